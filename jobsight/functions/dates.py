@@ -17,7 +17,8 @@ TEXT_FMT = "yyyy-MM-dd HH:mm:ss"
 # ISO-8601 as Python's fromisoformat reads it: date, optional time (hour,
 # minute, second, fraction); the offset is removed beforehand.
 _ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?)?$"
-_OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+# An offset only counts after a time of day ('2026-04-28' keeps its '-28').
+_OFFSET = r"([T ]\d{2}(?::\d{2}){0,2}(?:\.\d+)?)(?:Z|[+-]\d{2}(?::?\d{2})?)$"
 
 
 def _ntz(ts: Column) -> Column:
@@ -27,7 +28,7 @@ def _ntz(ts: Column) -> Column:
 def parse_iso(c) -> Column:
     """ISO-8601 text to ``timestamp_ntz``; an offset is dropped, not converted."""
     c = _col(c)
-    body = F.regexp_replace(c, _OFFSET, "")
+    body = F.regexp_replace(c, _OFFSET, "$1")
     body = F.when(body.rlike(_ISO_SHAPE), F.replace(body, F.lit("T"), F.lit(" ")))
     return _ntz(F.try_to_timestamp(body))
 

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 # Python whitespace as a Java regex class (used with the (?U) flag).
 PY_WS_CLASS = r"[\s\x1c-\x1f]"
 _TAG = r"<[^>]+>"
-# Runs of cased letters vs everything else: str.title() upper-cases the first
-# cased letter after any uncased character and lower-cases the rest.
+# str.title() upper-cases a cased letter that follows an uncased character
+# (or starts the text) and lower-cases every other cased letter.
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
-_TITLE_RUNS = r"(?U)[" + _CASED + r"]+|[^" + _CASED + r"]+"
+_TITLE_BOUNDARY = r"(?U)(?<=[^" + _CASED + r"])(?=[" + _CASED + r"])"
+_TITLE_MARK = "\u0002 "
 
 
 def _col(c) -> Column:
@@ -106,10 +107,15 @@ def null_if_na(c) -> Column:
 
 
 def py_title(c) -> Column:
-    """``str.title()``."""
-    runs = F.regexp_extract_all(_col(c), F.lit(_TITLE_RUNS), 0)
-    return F.array_join(F.transform(runs, lambda s: F.concat(F.upper(F.substring(s, 1, 1)),
-                                                            F.lower(F.substring(s, 2, 1 << 30)))), "")
+    """``str.title()``, fully inside codegen.
+
+    ``initcap`` lower-cases the text and upper-cases the first letter after a
+    space.  Marking every cased letter that follows an uncased character with
+    a private marker plus a space lets ``initcap`` capitalise exactly the
+    letters ``str.title()`` does; the markers are then removed.
+    """
+    marked = F.regexp_replace(_col(c), _TITLE_BOUNDARY, _TITLE_MARK)
+    return F.replace(F.initcap(marked), F.lit(_TITLE_MARK), F.lit(""))
 
 
 def py_capitalize(c) -> Column:

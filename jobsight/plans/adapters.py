@@ -13,7 +13,21 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A small table stored as one row group scans as a single task, and all the
+    per-row regex work behind it would run on one core.  Large inputs already
+    scan as many splits and pass through untouched, so no shuffle is added at
+    scale; round-robin (not a key) keeps a hot key from landing in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _case(x: Column, mapping: list, default) -> Column:

@@ -54,10 +54,12 @@ L_SQL = "(" + O.landing_sql() + ")"
 
 
 def classified(df: DataFrame) -> DataFrame:
-    t = X.clean_text("job_title")
-    proj = K.classify_job({**{c: F.col(c) for c in df.columns}, "job_title": t})
+    # The cleaned title feeds four rules: computing it once as a column keeps
+    # the optimizer from inlining the regex chain into every rule.
+    df = df.withColumn("_t", X.clean_text("job_title"))
+    proj = K.classify_job({**{c: F.col(c) for c in df.columns}, "job_title": F.col("_t")})
     return df.select("pos", "seen_at", *[e.alias(k) for k, e in proj.items()],
-                     X.search_text(t, X.clean_text("job_department")).alias("search_text"))
+                     X.search_text("_t", X.clean_text("job_department")).alias("search_text"))
 
 
 CLS_P = "(" + O.classified_sql(P_SQL) + ")"
@@ -233,7 +235,7 @@ def TXT_SPARK():
     return F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss")
 
 TXT_SQL = f"strftime(seen_at, {O.TS_FMT})"
-ISO_PARSE_SQL = ("strftime(try_strptime(regexp_replace({x}, '(Z|[+-][0-9]{{2}}(:?[0-9]{{2}})?)$', ''), "
+ISO_PARSE_SQL = ("strftime(try_strptime(regexp_replace({x}, '([T ][0-9]{{2}}(:[0-9]{{2}}){{0,2}}(\\.[0-9]+)?)(Z|[+-][0-9]{{2}}(:?[0-9]{{2}})?)$', '\\1'), "
                  "['%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M:%S', '%Y-%m-%d']), " + O.TS_FMT + ")")
 
 

@@ -1,5 +1,214 @@
-"""Registered normaliser queries (filled in as normalisers land)."""
+"""Registered normaliser queries over payloads that Spark builds from ``orders``.
+
+The driver tables hold no crawled payloads, so each query first renders the
+orders (joined to customer and nation) as API responses or HTML pages of 20
+postings each, grouped by ``o_orderkey div 20`` (a page never holds more than
+20 rows, whatever the skew of any other column), then runs the normaliser.
+The work of both steps grows with ``orders``.  These are rows-only checks;
+unit tests compare each normaliser with hand-written payloads.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ...plans import adapters as A
+from ..pages import board_sizes
+from . import api, html
+
+NOW = "2026-04-29 06:00:00"
+PAGE = 20
+
+
+def _orders(spark: SparkSession, sf: str) -> DataFrame:
+    o = A.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                            "o_orderdate", "o_orderpriority")
+    c = A.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = A.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    return (o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+            .withColumn("iso", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")))
+
+
+def _title() -> Column:
+    k = F.col("o_orderkey")
+    return A._case(k % 8, list(enumerate(A.TITLES[:-1])), A.TITLES[-1])
+
+
+def _paged(df: DataFrame, item: Column) -> DataFrame:
+    """(seq, items) with at most PAGE items per page, in key order."""
+    page = F.floor(F.col("o_orderkey") / PAGE).alias("seq")
+    g = df.select(page, F.struct(F.col("o_orderkey").alias("_k"), item.alias("v")).alias("e"))
+    g = g.groupBy("seq").agg(F.sort_array(F.collect_list("e")).alias("es"))
+    return g.select("seq", F.transform("es", lambda e: e["v"]).alias("items"))
+
+
+def _payloads(spark, sf, item: Column, wrap, kind: str) -> DataFrame:
+    g = _paged(_orders(spark, sf), item)
+    return g.select(F.lit(kind).alias("source"), F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("url"),
+                    F.lit(200).alias("status"), wrap(F.col("items")).alias("body"),
+                    F.lit(None).cast("timestamp_ntz").alias("fetched_at"), F.col("seq").cast("long"))
+
+
+def _pages(spark, sf, piece: Column, wrap) -> DataFrame:
+    g = _paged(_orders(spark, sf), piece)
+    return g.select(F.col("seq").alias("page_id"), F.concat(F.lit("https://site.example/p/"), F.col("seq").cast("string")).alias("url"),
+                    wrap(F.col("items")).alias("html"))
+
+
+def dealls_payloads(spark, sf):
+    k = F.col("o_orderkey")
+    item = F.struct(
+        _title().alias("role"), F.col("c_mktsegment").alias("description"),
+        F.concat(F.lit("job-"), k.cast("string")).alias("slug"),
+        F.when(k % 3 == 0, F.concat(F.lower("c_mktsegment"), F.lit("-team"))).alias("categorySlug"),
+        F.when(k % 2 == 0, F.concat("iso", F.lit(".000Z"))).alias("latestUpdatedAt"), F.col("iso").alias("createdAt"),
+        F.when(F.col("o_orderstatus") == "O", "active").otherwise("closed").alias("status"),
+        A._case(F.col("o_orderpriority"), [("1-URGENT", "remote"), ("2-HIGH", "hybrid")], "on-site").alias("workplaceType"),
+        F.struct(F.lower("n_name").alias("name")).alias("city"), F.struct(F.lit("Indonesia").alias("name")).alias("country"),
+        F.struct(F.col("c_name").alias("name"), F.col("c_custkey").cast("string").alias("slug")).alias("company"),
+        F.array(F.lit("Full-time"), F.lit("Contract")).alias("employmentTypes"),
+        F.struct(F.floor("o_totalprice").alias("start")).alias("salaryRange"),
+        F.struct(F.array((k % 8).cast("int")).alias("lastEducations")).alias("candidatePreference"))
+    return _payloads(spark, sf, item, lambda a: F.to_json(F.struct(F.struct(a.alias("docs"), F.lit(1).alias("page")).alias("data"))), "dealls")
+
+
+def kalibrr_payloads(spark, sf):
+    k = F.col("o_orderkey")
+    item = F.struct(
+        k.alias("id"), _title().alias("name"), F.col("c_mktsegment").alias("function"),
+        F.lit("<p>Use <b>SQL</b></p>").alias("description"), F.lit("Python").alias("qualifications"),
+        F.concat("iso", F.lit("Z")).alias("created_at"), F.concat("iso", F.lit("+07:00")).alias("application_end_date"),
+        F.lit("Full time").alias("tenure"), F.when(k % 2 == 0, F.floor("o_totalprice")).alias("base_salary"),
+        A._case(k % 4, [(0, 200), (1, 550), (2, 650)], 0).alias("education_level"),
+        F.col("c_name").alias("company_name"), F.struct(F.col("c_custkey").cast("string").alias("code")).alias("company"),
+        F.struct(F.struct(F.lower("n_name").alias("city"), F.lit("Jawa").alias("region")).alias("address_components")).alias("google_location"),
+        (k % 5 == 0).alias("is_work_from_home"), (k % 3 == 0).alias("is_hybrid"))
+    return _payloads(spark, sf, item, lambda a: F.to_json(F.struct(a.alias("jobs"))), "kalibrr")
+
+
+def karir_payloads(spark, sf):
+    k = F.col("o_orderkey")
+    item = F.struct(
+        k.alias("id"), _title().alias("job_position"), F.concat(F.col("c_name"), F.lit(", Tbk")).alias("company_name"),
+        F.lower("n_name").alias("location"), F.array(F.col("c_mktsegment"), F.lit("IT")).alias("job_functions"),
+        F.array(F.lit("Staff")).alias("job_levels"), F.floor("o_totalprice").alias("salary_lower"),
+        F.concat("iso", F.lit("Z")).alias("posted_at"), F.when(k % 2 == 0, F.col("iso")).otherwise(F.lit("")).alias("expires_at"))
+    return _payloads(spark, sf, item, lambda a: F.to_json(F.struct(F.struct(a.alias("opportunities")).alias("data"))), "karir")
+
+
+def greenhouse_payloads(spark, sf):
+    k = F.col("o_orderkey")
+    item = F.struct(
+        k.alias("id"), _title().alias("title"), F.concat("iso", F.lit("+07:00")).alias("updated_at"),
+        F.when(k % 2 == 0, F.concat(F.lit("https://boards.example/j/"), k.cast("string"))).alias("absolute_url"),
+        A._case(F.col("o_orderpriority"), [("1-URGENT", "Fully remote team"), ("2-HIGH", "Hybrid office")], "Office").alias("content"),
+        F.struct(F.lower("n_name").alias("name")).alias("location"),
+        F.array(F.struct(F.col("c_mktsegment").alias("name"))).alias("departments"),
+        F.array(F.struct(F.lower("n_name").alias("name"))).alias("offices"))
+    return _payloads(spark, sf, item, lambda a: F.to_json(F.struct(a.alias("jobs"))), "greenhouse")
+
+
+def lever_payloads(spark, sf):
+    k = F.col("o_orderkey")
+    item = F.struct(
+        _title().alias("text"), F.concat(F.lit("https://jobs.lever.example/"), k.cast("string")).alias("hostedUrl"),
+        (F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) * 1000).alias("createdAt"),
+        F.struct(F.col("c_mktsegment").alias("department"),
+                 A._case(F.col("o_orderpriority"), [("1-URGENT", "Remote"), ("2-HIGH", "Jakarta (Hybrid)")], "Jakarta").alias("location"),
+                 F.lit("Full-time").alias("commitment"), F.col("c_mktsegment").alias("team")).alias("categories"))
+    return _payloads(spark, sf, item, lambda a: F.to_json(a), "lever")
+
+
+def jibe_payloads(spark, sf):
+    k = F.col("o_orderkey")
+    data = F.struct(
+        k.alias("req_id"), _title().alias("title"), F.lit("Remote friendly").alias("description"),
+        F.lit("SQL").alias("qualifications"), F.array(F.col("c_mktsegment")).alias("tags2"),
+        F.lower("n_name").alias("full_location"), F.lit("Full time").alias("employment_type"),
+        F.col("c_name").alias("hiring_organization"),
+        F.date_format("o_orderdate", "MMMM d, yyyy").alias("posted_date"))
+    item = F.struct(data.alias("data"))
+    return _payloads(spark, sf, item, lambda a: F.to_json(F.struct(a.alias("jobs"))), "jibe")
+
+
+def koltiva_payloads(spark, sf):
+    k = F.col("o_orderkey")
+    item = F.struct(
+        F.lower(_title()).alias("position_name"), F.col("c_mktsegment").alias("unitsec_name"),
+        F.col("n_name").alias("unit_name"), F.lit("Indonesia").alias("country_name"),
+        F.concat(F.lit("job-"), k.cast("string")).alias("slug"), F.lit("Contract Full-time").alias("work_period_name"),
+        F.lit("Staff").alias("level_name"), F.concat("iso", F.lit("Z")).alias("close_date"),
+        F.when(k % 4 == 0, F.lit("Work-from-home, laptop")).otherwise(F.lit("laptop")).alias("jobs_benefits_perks"))
+    return _payloads(spark, sf, item, lambda a: F.to_json(F.struct(F.struct(a.alias("data")).alias("data"))), "koltiva")
+
+
+def ld_pages(spark, sf):
+    k = F.col("o_orderkey")
+    item = F.to_json(F.struct(
+        F.lit("JobPosting").alias("@type"), F.when(k % 9 != 0, F.concat(F.lit("https://id.jobstreet.example/job/"), k.cast("string"))).alias("url"),
+        _title().alias("title"), F.concat("iso", F.lit("Z")).alias("datePosted"), F.col("iso").alias("validThrough"),
+        F.lit("Full time").alias("employmentType"), F.lit("<p>SQL</p>").alias("description"),
+        F.struct(F.col("c_name").alias("name")).alias("hiringOrganization"),
+        F.struct(F.struct(F.lower("n_name").alias("addressLocality")).alias("address")).alias("jobLocation")))
+    return _pages(spark, sf, item, lambda a: F.concat(F.lit('<html><script type="application/ld+json">['),
+                                                        F.array_join(a, ","), F.lit("]</script></html>")))
+
+
+def next_pages(spark, sf):
+    k = F.col("o_orderkey")
+    item = F.struct(
+        F.concat(F.lit("/job/"), k.cast("string")).alias("jobUrl"), _title().alias("title"),
+        F.struct(F.col("c_name").alias("description")).alias("advertiser"),
+        F.struct(F.lower("n_name").alias("label")).alias("location"),
+        F.struct(F.col("c_mktsegment").alias("description")).alias("classification"),
+        F.concat("iso", F.lit("Z")).alias("listingDate"))
+    return _pages(spark, sf, item, lambda a: F.concat(
+        F.lit('<html><script id="__NEXT_DATA__" type="application/json">'),
+        F.to_json(F.struct(F.struct(F.struct(a.alias("jobs")).alias("pageProps")).alias("props"))), F.lit("</script></html>")))
+
+
+def apollo_pages(spark, sf):
+    k = F.col("o_orderkey")
+    item = F.struct(F.concat(F.lit("hit:"), k.cast("string")).alias("key"), F.struct(
+        F.lit("Search_ProductHit").alias("__typename"), A._case(k % 3, [(0, "Python for Data"), (1, "SQL Basics")], "Excel").alias("name"),
+        F.concat(F.lit("/learn/c"), k.cast("string")).alias("url"),
+        F.when(k % 2 == 0, F.array(F.lit("Python"), F.lit("SQL"))).otherwise(F.array().cast("array<string>")).alias("skills"),
+        F.lit("Learn fast").alias("tagline")).alias("value"))
+    return _pages(spark, sf, item, lambda a: F.concat(
+        F.lit("<script>window.__APOLLO_STATE__ = "), F.to_json(F.map_from_entries(a)), F.lit(";</script>")))
+
+
+def card_pages(spark, sf):
+    k = F.col("o_orderkey")
+    piece = F.concat(F.lit('<a href="/academies/'), (k % 500).cast("string"), F.lit('"><h5>'), _title(),
+                     F.lit('</h5><p>Belajar</p><span class="level">Pemula</span></a><a href="/about">About</a>'))
+    return _pages(spark, sf, piece, lambda a: F.array_join(a, ""))
+
+
+def job_card_pages(spark, sf):
+    k = F.col("o_orderkey")
+    piece = F.concat(F.lit('<div><a class="job" href="/o/'), k.cast("string"), F.lit('">'), _title(), F.lit("</a></div>"))
+    return _pages(spark, sf, piece, lambda a: F.array_join(a, ""))
 
 
 def catalog() -> dict:
-    return {}
+    now = lambda: F.lit(NOW)
+    return {
+        "normalise_dealls": (lambda s, sf: api.normalise_dealls(dealls_payloads(s, sf), now()), None),
+        "normalise_kalibrr": (lambda s, sf: api.normalise_kalibrr(kalibrr_payloads(s, sf), now()), None),
+        "normalise_karir": (lambda s, sf: api.normalise_karir(karir_payloads(s, sf), now()), None),
+        "normalise_greenhouse_flip": (lambda s, sf: api.normalise_greenhouse(greenhouse_payloads(s, sf), now()), None),
+        "normalise_greenhouse_vidio": (lambda s, sf: api.normalise_greenhouse(
+            greenhouse_payloads(s, sf), now(), company="Vidio", board="Vidio Careers", infer_from_content=False), None),
+        "normalise_lever": (lambda s, sf: api.normalise_lever(lever_payloads(s, sf), now()), None),
+        "normalise_jibe": (lambda s, sf: api.normalise_jibe(jibe_payloads(s, sf), now()), None),
+        "normalise_koltiva": (lambda s, sf: api.normalise_koltiva(koltiva_payloads(s, sf), now()), None),
+        "normalise_ld_json": (lambda s, sf: html.normalise_ld_json(ld_pages(s, sf), now()), None),
+        "normalise_next_data": (lambda s, sf: html.normalise_next_data(next_pages(s, sf), now()), None),
+        "normalise_apollo": (lambda s, sf: html.normalise_apollo(apollo_pages(s, sf), now()), None),
+        "normalise_course_cards": (lambda s, sf: html.normalise_course_cards(card_pages(s, sf), now()), None),
+        "normalise_job_cards": (lambda s, sf: html.normalise_job_cards(
+            job_card_pages(s, sf), now(), "/o/", "https://careers.example", "Mekari", "Mekari Careers"), None),
+        "board_sizes": (lambda s, sf: board_sizes(greenhouse_payloads(s, sf)).select("seq", "n_postings"), None),
+    }

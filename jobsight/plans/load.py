@@ -51,7 +51,17 @@ def clean_course_batch(courses: DataFrame, order: Sequence[str] = ORDER) -> Data
 def daily_load(spark: SparkSession, landing_path: str, root: str, as_of: str, run_id: str,
                keywords: Sequence[str] = SKILL_KEYWORDS, strict: bool = False, days: int = 3) -> dict:
     """One run of the load; returns the new manifest (and rejects under '_rejects')."""
-    lines = read_landing(spark, landing_path)
+    return load_lines(spark, read_landing(spark, landing_path), root, as_of, run_id, keywords, strict, days)
+
+
+def load_lines(spark: SparkSession, lines: DataFrame, root: str, as_of: str, run_id: str,
+               keywords: Sequence[str] = SKILL_KEYWORDS, strict: bool = False, days: int = 3,
+               batch_id: int | None = None) -> dict:
+    """The load over landing lines ``(value, file_path, block_start, pos)``.
+
+    ``batch_id`` is stored with the manifest, so a stream that replays a
+    micro-batch after a failure can tell that it was already committed.
+    """
     records = parse_landing(lines).checkpoint(eager=True)
     if records.isEmpty():
         return {}  # no record of any kind: nothing changes
@@ -80,7 +90,7 @@ def daily_load(spark: SparkSession, landing_path: str, root: str, as_of: str, ru
                                   resolve_course_id(cgood.select("course_title", "search_text"), courses),
                                   "search_text", "course_id", keywords)
     out = publish_all(spark, root, {"job_vacancies": jobs_path, "courses": courses_path,
-                                    "job_skills": job_skills, "course_skills": course_skills}, run_id)
+                                    "job_skills": job_skills, "course_skills": course_skills}, run_id, batch_id)
     out["_rejects"] = rejects.unionByName(crejects, allowMissingColumns=True)
     return out
 

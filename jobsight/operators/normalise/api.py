@@ -30,36 +30,51 @@ def _truthy_text(c: Column) -> Column:
     return ~(is_falsy(c) | c.isin("0", "0.0", "false", "[]", "{}"))
 
 
+DEALLS_ITEM = ("role string, description string, slug string, categorySlug string, latestUpdatedAt string, "
+               "createdAt string, status string, workplaceType string, city string, country string, company string, "
+               "employmentTypes string, salaryRange string, candidatePreference string")
+
+
+def _obj(text: Column, field: str, default: str) -> Column:
+    """``o.get(field, default)`` when the raw JSON text ``o`` is an object, else ``default``."""
+    return F.when(F.coalesce(text.startswith("{"), F.lit(False)),
+                  F.coalesce(jget(text, f"$.{field}"), F.lit(default))).otherwise(F.lit(default))
+
+
 def normalise_dealls(payloads: DataFrame, now: Column) -> DataFrame:
-    """B1: Dealls ``data.docs``; level from education codes; status decides activity."""
+    """B1: Dealls ``data.docs``; level from education codes; status decides activity.
+
+    Each posting is parsed once into a struct; polymorphic members stay raw
+    JSON text and are read only where needed.
+    """
     it = explode_items(payloads, "$.data.docs")
-    i = F.col("item")
-    role = jget(i, "$.role")
-    raw_seen = first_truthy(jget(i, "$.latestUpdatedAt"), jget(i, "$.createdAt"))
+    it = it.withColumn("j", F.from_json("item", DEALLS_ITEM))
+    j = lambda f: F.col(f"j.{f}")
+    role = j("role")
+    raw_seen = first_truthy(j("latestUpdatedAt"), j("createdAt"))
     last_seen = F.when(is_falsy(raw_seen), now).otherwise(iso_seconds_or_input(raw_seen))
-    slug_dept = jget(i, "$.categorySlug")
-    types = F.from_json(jget(i, "$.employmentTypes"), "array<string>")
-    edu = F.from_json(jget(i, "$.candidatePreference.lastEducations"), "array<int>")
+    slug_dept = j("categorySlug")
+    types = F.from_json(j("employmentTypes"), "array<string>")
+    edu = F.from_json(jget(j("candidatePreference"), "$.lastEducations"), "array<int>")
     level = (F.when(F.array_contains(edu, 7), "Postgraduate").when(F.array_contains(edu, 6), "Graduate")
              .when(F.array_contains(edu, 5), "Undergraduate").otherwise("Junior/Mid-Level"))
-    salary = jget(i, "$.salaryRange.start")
-    company_slug = _obj_field(i, "company", "slug", "")
+    salary = jget(j("salaryRange"), "$.start")
     rec = job_record(
         now,
         job_title=collapse_ws(role, dash_commas=True),
-        job_location=F.concat_ws(", ", _obj_field(i, "city", "name", "N/A"), _obj_field(i, "country", "name", "Indonesia")),
+        job_location=F.concat_ws(", ", _obj(j("city"), "name", "N/A"), _obj(j("country"), "name", "Indonesia")),
         job_department=F.when(is_falsy(slug_dept), "N/A").otherwise(py_title(F.replace(slug_dept, F.lit("-"), F.lit(" ")))),
-        job_url=F.concat(F.lit("https://dealls.com/role/"), F.coalesce(jget(i, "$.slug"), F.lit(""))),
+        job_url=F.concat(F.lit("https://dealls.com/role/"), F.coalesce(j("slug"), F.lit(""))),
         base_salary=F.when(_truthy_text(salary), salary).otherwise("0"),
         job_type=F.when(F.size(types) > 0, F.array_join(types, ", ")).otherwise("N/A"),
         job_level=F.coalesce(level, F.lit("Junior/Mid-Level")),
         last_seen=last_seen,
-        is_active=F.when(jget(i, "$.status") == "active", "True").otherwise("False"),
-        company=_obj_field(i, "company", "name", "Unknown"),
-        company_url=F.concat(F.lit("https://dealls.com/company/"), company_slug),
+        is_active=F.when(j("status") == "active", "True").otherwise("False"),
+        company=_obj(j("company"), "name", "Unknown"),
+        company_url=F.concat(F.lit("https://dealls.com/company/"), _obj(j("company"), "slug", "")),
         job_board=F.lit("Dealls"), job_board_url=F.lit("https://dealls.com/"),
-        work_arrangement=py_capitalize(F.coalesce(jget(i, "$.workplaceType"), F.lit("On-site"))),
-        desc=F.concat_ws(" ", F.coalesce(role, F.lit("")), F.coalesce(jget(i, "$.description"), F.lit(""))),
+        work_arrangement=py_capitalize(F.coalesce(j("workplaceType"), F.lit("On-site"))),
+        desc=F.concat_ws(" ", F.coalesce(role, F.lit("")), F.coalesce(j("description"), F.lit(""))),
     )
     return keep_order(it, rec)
 
@@ -68,36 +83,43 @@ def normalise_dealls(payloads: DataFrame, now: Column) -> DataFrame:
 KALIBRR_LEVELS = {200: "High School", 550: "Bachelor", 650: "Master"}
 
 
+KALIBRR_ITEM = ("id string, name string, function string, description string, qualifications string, "
+                "created_at string, application_end_date string, tenure string, base_salary string, "
+                "education_level string, company_name string, company string, google_location string, "
+                "is_work_from_home string, is_hybrid string")
+
+
 def normalise_kalibrr(payloads: DataFrame, now: Column) -> DataFrame:
     """B2: Kalibrr ``jobs``; url from company code and id; remote flag beats hybrid."""
-    it = explode_items(payloads, "$.jobs")
-    i = F.col("item")
-    code = _obj_field(i, "company", "code", "")
-    city = F.coalesce(jget(i, "$.google_location.address_components.city"), F.lit(""))
-    region = F.coalesce(jget(i, "$.google_location.address_components.region"), F.lit(""))
+    it = explode_items(payloads, "$.jobs").withColumn("j", F.from_json("item", KALIBRR_ITEM))
+    j = lambda f: F.col(f"j.{f}")
+    code = _obj(j("company"), "code", "")
+    ac = jget(j("google_location"), "$.address_components")
+    city = F.coalesce(jget(ac, "$.city"), F.lit(""))
+    region = F.coalesce(jget(ac, "$.region"), F.lit(""))
     loc = F.regexp_replace(F.concat(city, F.lit(", "), region), r"^[, ]+|[, ]+$", "")
-    has_ac = jget(i, "$.google_location.address_components").startswith("{")
-    edu = jget(i, "$.education_level").try_cast("int")
+    has_ac = F.coalesce(ac.startswith("{"), F.lit(False))
+    edu = j("education_level").try_cast("int")
     level = F.lit("Junior/Mid-Level")
     for k, v in sorted(KALIBRR_LEVELS.items(), reverse=True):
         level = F.when(edu == k, F.lit(v)).otherwise(level)
-    salary = jget(i, "$.base_salary")
-    desc = F.concat_ws(" ", F.coalesce(jget(i, "$.name"), F.lit("")), F.coalesce(jget(i, "$.function"), F.lit("")),
-                       strip_html(jget(i, "$.description")), strip_html(jget(i, "$.qualifications")))
-    flags = F.when(_truthy_text(jget(i, "$.is_work_from_home")), "Remote").when(
-        _truthy_text(jget(i, "$.is_hybrid")), "Hybrid").otherwise("On-site")
+    salary = j("base_salary")
+    desc = F.concat_ws(" ", F.coalesce(j("name"), F.lit("")), F.coalesce(j("function"), F.lit("")),
+                       strip_html(j("description")), strip_html(j("qualifications")))
+    flags = F.when(_truthy_text(j("is_work_from_home")), "Remote").when(
+        _truthy_text(j("is_hybrid")), "Hybrid").otherwise("On-site")
     rec = job_record(
         now,
-        job_title=collapse_ws(F.replace(jget(i, "$.name"), F.lit("\n"), F.lit(" "))),
-        job_location=F.when(F.coalesce(has_ac, F.lit(False)), or_default(loc, "N/A")).otherwise("N/A"),
-        job_department=F.coalesce(jget(i, "$.function"), F.lit("N/A")),
-        job_url=F.concat(F.lit("https://www.kalibrr.com/c/"), code, F.lit("/jobs/"), F.coalesce(jget(i, "$.id"), F.lit(""))),
+        job_title=collapse_ws(F.replace(j("name"), F.lit("\n"), F.lit(" "))),
+        job_location=F.when(has_ac, or_default(loc, "N/A")).otherwise("N/A"),
+        job_department=F.coalesce(j("function"), F.lit("N/A")),
+        job_url=F.concat(F.lit("https://www.kalibrr.com/c/"), code, F.lit("/jobs/"), F.coalesce(j("id"), F.lit(""))),
         base_salary=F.when(_truthy_text(salary), salary).otherwise("0"),
-        job_type=F.coalesce(jget(i, "$.tenure"), F.lit("N/A")),
+        job_type=F.coalesce(j("tenure"), F.lit("N/A")),
         job_level=level,
-        last_seen=iso_or_now(jget(i, "$.created_at"), now),
-        job_apply_end_date=iso_or_now(jget(i, "$.application_end_date"), now),
-        company=F.coalesce(jget(i, "$.company_name"), F.lit("Unknown")),
+        last_seen=iso_or_now(j("created_at"), now),
+        job_apply_end_date=iso_or_now(j("application_end_date"), now),
+        company=F.coalesce(j("company_name"), F.lit("Unknown")),
         company_url=F.concat(F.lit("https://www.kalibrr.com/c/"), code),
         job_board=F.lit("Kalibrr"), job_board_url=F.lit("https://www.kalibrr.com/"),
         work_arrangement=flags, desc=desc,

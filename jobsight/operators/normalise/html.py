@@ -55,33 +55,40 @@ def normalise_next_data(pages: DataFrame, now: Column) -> DataFrame:
     nd = pages.select("page_id", F.regexp_extract("html", NEXT_DATA, 1).alias("nd")).filter(F.col("nd") != "")
     paths = ["$.props.pageProps.initialCandidateExperimentalData.jobs", "$.props.pageProps.jobs",
              "$.props.pageProps.searchResults.jobs"]
-    arrays = [F.from_json(F.get_json_object("nd", p), "array<string>") for p in paths]
-    jobs = F.coalesce(*[F.when(F.size(a) > 0, a) for a in arrays])
+    # each candidate list is parsed once, as its own column, then the first non-empty wins
+    nd = nd.select("page_id", *[F.from_json(F.get_json_object("nd", p), "array<string>").alias(f"_a{k}")
+                                for k, p in enumerate(paths)])
+    jobs = F.coalesce(*[F.when(F.size(f"_a{k}") > 0, F.col(f"_a{k}")) for k in range(len(paths))])
     items = nd.select("page_id", F.posexplode(F.coalesce(jobs, F.array().cast("array<string>"))).alias("item_pos", "item"))
-    i = F.col("item")
-    url = F.coalesce(F.nullif(jget(i, "$.jobUrl"), F.lit("")), jget(i, "$.url"), F.lit(""))
+    items = items.withColumn("j", F.from_json("item", NEXT_ITEM)).withColumn("_is_obj", F.col("item").startswith("{"))
+    j = lambda f: F.col(f"j.{f}")
+    url = F.coalesce(F.nullif(j("jobUrl"), F.lit("")), j("url"), F.lit(""))
     url = F.when(url.startswith("http") | (url == ""), url).otherwise(F.concat(F.lit(JOBSTREET), url))
-    items = items.filter(jget(i, "$").startswith("{") & (url != ""))
-    loc_raw = F.coalesce(F.nullif(jget(i, "$.location"), F.lit("")), F.nullif(jget(i, "$.locationDescription"), F.lit("")),
+    items = items.withColumn("_url", url).filter(F.col("_is_obj") & (F.col("_url") != ""))
+    url = F.col("_url")
+    loc_raw = F.coalesce(F.nullif(j("location"), F.lit("")), F.nullif(j("locationDescription"), F.lit("")),
                          F.lit("Indonesia"))
     loc = F.when(loc_raw.startswith("{"), F.coalesce(F.nullif(jget(loc_raw, "$.label"), F.lit("")),
                                                       jget(loc_raw, "$.name"), F.lit("Indonesia"))).otherwise(loc_raw)
-    cats = F.coalesce(jget(i, "$.classification"), jget(i, "$.categories"))
+    cats = F.coalesce(j("classification"), j("categories"))
     dept = (F.when(cats.startswith("{"), F.coalesce(jget(cats, "$.description"), F.lit("N/A")))
             .when(cats.startswith("["), F.coalesce(jget(cats, "$[0].name"), F.lit("N/A"))).otherwise(F.lit("N/A")))
-    title = clean_string(F.coalesce(F.nullif(jget(i, "$.title"), F.lit("")), F.nullif(jget(i, "$.jobTitle"), F.lit("")),
-                                    F.lit("N/A")))
-    posted = F.coalesce(F.nullif(jget(i, "$.listingDate"), F.lit("")), jget(i, "$.postedAt"))
+    title = clean_string(F.coalesce(F.nullif(j("title"), F.lit("")), F.nullif(j("jobTitle"), F.lit("")), F.lit("N/A")))
+    posted = F.coalesce(F.nullif(j("listingDate"), F.lit("")), j("postedAt"))
     rec = job_record(
         now, job_title=title, job_location=clean_string(loc), job_department=clean_string(dept), job_url=url,
         job_type=F.lit("Full-time"), last_seen=F.when(is_falsy(posted), now).otherwise(iso_or_now(posted, now)),
-        job_apply_end_date=iso_or_now(jget(i, "$.expiryDate"), now),
-        company=clean_string(F.coalesce(jget(i, "$.advertiser.description"), F.lit("Private Advertiser"))),
+        job_apply_end_date=iso_or_now(j("expiryDate"), now),
+        company=clean_string(F.coalesce(jget(j("advertiser"), "$.description"), F.lit("Private Advertiser"))),
         job_board=F.lit("Jobstreet"), job_board_url=F.lit(JOBSTREET), work_arrangement=F.lit("On-site"),
         desc=F.concat_ws(" ", title, dept))
     return items.select(F.lit("jobstreet").alias("source"), F.col("page_id").alias("seq"), "item_pos", *rec)
 
 
+NEXT_ITEM = ("jobUrl string, url string, title string, jobTitle string, advertiser string, location string, "
+             "locationDescription string, classification string, categories string, listingDate string, "
+             "postedAt string, expiryDate string")
+
 APOLLO = r"(?s)window\.__APOLLO_STATE__\s*=\s*(\{.*?\});\s*(?:window\.|</script>)"
 
 

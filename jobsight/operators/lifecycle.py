@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import JOB_VACANCIES, LENGTH_LIMITS
+from ..session import ensure_checkpoint_dir
 
 JOB_COLS = [f.name for f in JOB_VACANCIES.fields]
 # Columns an existing url takes from a new sighting; all others keep old values.
@@ -49,6 +50,7 @@ def assign_ids(df: DataFrame, id_col: str, start, order: Sequence[str] = (),
     base = start if isinstance(start, Column) else F.lit(start)
     if not compact:
         return local.withColumn(id_col, (base + 1 + F.monotonically_increasing_id()).cast("long"))
+    ensure_checkpoint_dir(df.sparkSession)
     local = (local.withColumn("_pid", F.spark_partition_id())
              .withColumn("_mid", F.monotonically_increasing_id())
              .checkpoint(eager=True))
@@ -211,6 +213,7 @@ def replay(current: DataFrame, batches: Sequence[tuple], days: int = 3) -> DataF
     one step deep.
     """
     state = current
+    ensure_checkpoint_dir(current.sparkSession)
     for as_of, batch in sorted(batches, key=lambda t: str(t[0])):
         if batch is not None:
             state = upsert_jobs(state, batch, as_of)

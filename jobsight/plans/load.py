@@ -19,6 +19,7 @@ from ..operators.dedup import dedup_courses, dedup_jobs
 from ..operators.lifecycle import check_constraints, close_stale, insert_courses, upsert_jobs
 from ..operators.skills import append_skills, resolve_course_id, resolve_job_id
 from ..schemas import SKILL_KEYWORDS, empty
+from ..session import ensure_checkpoint_dir
 from ..sources.landing import parse_landing, read_landing, route_records
 from ..sources.snapshot import publish_all, publish_snapshot, read_snapshot, table_path
 
@@ -62,6 +63,7 @@ def load_lines(spark: SparkSession, lines: DataFrame, root: str, as_of: str, run
     ``batch_id`` is stored with the manifest, so a stream that replays a
     micro-batch after a failure can tell that it was already committed.
     """
+    ensure_checkpoint_dir(spark)
     records = parse_landing(lines).checkpoint(eager=True)
     if records.isEmpty():
         return {}  # no record of any kind: nothing changes

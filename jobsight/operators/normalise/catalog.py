@@ -4,8 +4,9 @@ The driver tables hold no crawled payloads, so each query first renders the
 orders (joined to customer and nation) as API responses or HTML pages of 20
 postings each, grouped by ``o_orderkey div 20`` (a page never holds more than
 20 rows, whatever the skew of any other column), then runs the normaliser.
-The work of both steps grows with ``orders``.  These are rows-only checks;
-unit tests compare each normaliser with hand-written payloads.
+The work of both steps grows with ``orders``.  ``oracle.py`` holds the DuckDB
+twins, which compute the expected records straight from the orders join; unit
+tests also compare each normaliser with hand-written payloads.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...plans import adapters as A
-from ..pages import board_sizes
+from ..pages import board_sizes, extract_ld_json, ld_json_type_census, next_data_keys
 from . import api, html
+from .oracle import SQL
 
 NOW = "2026-04-29 06:00:00"
 PAGE = 20
@@ -194,7 +196,7 @@ def job_card_pages(spark, sf):
 
 def catalog() -> dict:
     now = lambda: F.lit(NOW)
-    return {
+    queries = {
         "normalise_dealls": (lambda s, sf: api.normalise_dealls(dealls_payloads(s, sf), now()), None),
         "normalise_kalibrr": (lambda s, sf: api.normalise_kalibrr(kalibrr_payloads(s, sf), now()), None),
         "normalise_karir": (lambda s, sf: api.normalise_karir(karir_payloads(s, sf), now()), None),
@@ -211,4 +213,9 @@ def catalog() -> dict:
         "normalise_job_cards": (lambda s, sf: html.normalise_job_cards(
             job_card_pages(s, sf), now(), "/o/", "https://careers.example", "Mekari", "Mekari Careers"), None),
         "board_sizes": (lambda s, sf: board_sizes(greenhouse_payloads(s, sf)).select("seq", "n_postings"), None),
+        "extract_ld_json": (lambda s, sf: extract_ld_json(ld_pages(s, sf)).select(
+            "page_id", "block_pos", F.json_array_length("block").alias("n_items")), None),
+        "ld_json_type_census": (lambda s, sf: ld_json_type_census(ld_pages(s, sf)), None),
+        "next_data_keys": (lambda s, sf: next_data_keys(next_pages(s, sf)), None),
     }
+    return {name: (fn, SQL[name]() if name in SQL else None) for name, (fn, _) in queries.items()}

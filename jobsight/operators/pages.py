@@ -235,7 +235,4 @@ def catalog() -> dict:
             lambda s, sf: dedup.exclude_seen(links(pg(s, sf)).select("page_id", "item_pos", "href"), key="href",
                                              order=["page_id", "item_pos"]),
             f"SELECT page_id, item_pos, href FROM (SELECT *, row_number() OVER (PARTITION BY href ORDER BY page_id, item_pos) AS rn FROM {link_sql}) WHERE rn = 1"),
-        "extract_ld_json": (lambda s, sf: extract_ld_json(pg(s, sf)), None),
-        "ld_json_type_census": (lambda s, sf: ld_json_type_census(pg(s, sf)), None),
-        "next_data_keys": (lambda s, sf: next_data_keys(pg(s, sf)), None),
     }

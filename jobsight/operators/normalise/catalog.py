@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...plans import adapters as A
-from ..pages import board_sizes, extract_ld_json, ld_json_type_census, next_data_keys
+from ..filters import filter_json_type
+from ..pages import board_sizes, extract_ld_json, json_items, ld_json_type_census, next_data_keys
 from . import api, html
 from .oracle import SQL
 
@@ -217,5 +218,7 @@ def catalog() -> dict:
             "page_id", "block_pos", F.json_array_length("block").alias("n_items")), None),
         "ld_json_type_census": (lambda s, sf: ld_json_type_census(ld_pages(s, sf)), None),
         "next_data_keys": (lambda s, sf: next_data_keys(next_pages(s, sf)), None),
+        "filter_json_type": (lambda s, sf: filter_json_type(extract_ld_json(ld_pages(s, sf)).select(
+            "page_id", F.posexplode(json_items(F.col("block"))).alias("item_pos", "item"))).select("page_id", "item_pos"), None),
     }
     return {name: (fn, SQL[name]() if name in SQL else None) for name, (fn, _) in queries.items()}

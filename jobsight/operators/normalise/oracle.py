@@ -227,7 +227,12 @@ def next_data_keys() -> str:
     return f"SELECT seq AS page_id, 'jobs' AS key, TRUE AS job_like, count(*) AS n_items FROM {ORD} GROUP BY seq"
 
 
+def filter_json_type() -> str:
+    return f"SELECT seq AS page_id, item_pos FROM {ORD}"
+
+
 SQL = {
+    "filter_json_type": filter_json_type,
     "normalise_dealls": dealls, "normalise_kalibrr": kalibrr, "normalise_karir": karir,
     "normalise_greenhouse_flip": lambda: greenhouse(True), "normalise_greenhouse_vidio": lambda: greenhouse(False),
     "normalise_lever": lever, "normalise_jibe": jibe, "normalise_koltiva": koltiva,

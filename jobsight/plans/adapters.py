@@ -116,15 +116,16 @@ def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``error`` events become truncated lines, ``view`` events JSON arrays,
     ``signup`` events course records (one with an explicit null title), the
-    rest job records whose urls repeat.
+    rest job records whose urls repeat (every 50th one is blank).
     """
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     uid = F.col("user_id").cast("string")
     eid = F.col("event_id")
     cents = F.floor(F.col("value") * 100).cast("bigint").cast("string")
     job = F.concat(
-        F.lit('{"job_title": "'), F.col("event_type"), F.lit(' analyst <b>SQL</b>", "job_url": "https://jobs.example/e/'),
-        (eid % 5000).cast("string"), F.lit('", "job_board": "'), F.upper("event_type"),
+        F.lit('{"job_title": "'), F.col("event_type"), F.lit(' analyst <b>SQL</b>", "job_url": "'),
+        F.when(eid % 50 == 0, F.lit("")).otherwise(F.concat(F.lit("https://jobs.example/e/"), (eid % 5000).cast("string"))),
+        F.lit('", "job_board": "'), F.upper("event_type"),
         F.lit('", "base_salary": "'), cents, F.lit('", "job_location": "Jakarta"}'))
     course = F.concat(
         F.lit('{"course_title": '),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import classify as K
 from ..functions import dates as D
 from ..functions import text as X
-from ..operators import dedup, lifecycle, pages as P, skills
+from ..operators import dedup, filters, lifecycle, pages as P, skills
 from ..operators.normalise import catalog as normalise_catalog
 from ..schemas import SKILL_KEYWORDS
 from ..sources.landing import parse_landing, route_records, union_sources
@@ -112,6 +112,29 @@ def _source_yield(spark, sf):
     return I.source_yield(recs)
 
 
+@register("drop_keyless", f"""SELECT pos, value->>'job_url' AS job_url, value->>'url' AS url, value->>'platform' AS platform
+FROM {L_SQL} WHERE json_valid(value) AND json_type(value) = 'OBJECT' AND CASE WHEN coalesce(value->>'platform', '') <> ''
+  THEN coalesce(value->>'url', '') <> '' ELSE coalesce(value->>'job_url', '') <> '' END""")
+def _drop_keyless(spark, sf):
+    recs = parse_landing(A.landing_lines(spark, sf))
+    return filters.drop_keyless(recs).select("pos", "job_url", "url", "platform")
+
+
+@register("drop_incomplete", f"""SELECT pos, job_url, job_location, job_department FROM {P_SQL}
+WHERE coalesce(trim(job_location), '') <> '' AND coalesce(trim(job_department), '') <> ''""")
+def _drop_incomplete(spark, sf):
+    p = P_(spark, sf).select("pos", "job_url", "job_location", "job_department")
+    return filters.drop_incomplete(p, ["job_location", "job_department"])
+
+
+@register("assign_ids_summary", f"""SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(1 AS BIGINT) AS min_id, count(*) AS max_id
+FROM {FIRST_P}""")
+def _assign_ids_summary(spark, sf):
+    ids = _assign_ids(spark, sf)
+    return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("job_id").alias("n_ids"),
+                   F.min("job_id").alias("min_id"), F.max("job_id").alias("max_id"))
+
+
 # ------------------------------------------------------------------ text
 
 @register("clean_string", f"SELECT pos, {O.clean_string('job_title')} AS title_c1, {O.clean_string('job_location')} AS location_c1 FROM {P_SQL}")

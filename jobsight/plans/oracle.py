@@ -167,8 +167,9 @@ FROM part"""
 
 def landing_sql() -> str:
     uid = "CAST(user_id AS STRING)"
-    job = ("'{\"job_title\": \"' || event_type || ' analyst <b>SQL</b>\", \"job_url\": \"https://jobs.example/e/' || "
-           "CAST(event_id % 5000 AS STRING) || '\", \"job_board\": \"' || upper(event_type) || "
+    job = ("'{\"job_title\": \"' || event_type || ' analyst <b>SQL</b>\", \"job_url\": \"' || "
+           "CASE WHEN event_id % 50 = 0 THEN '' ELSE 'https://jobs.example/e/' || CAST(event_id % 5000 AS STRING) END || "
+           "'\", \"job_board\": \"' || upper(event_type) || "
            "'\", \"base_salary\": \"' || CAST(CAST(floor(value * 100) AS BIGINT) AS STRING) || "
            "'\", \"job_location\": \"Jakarta\"}'")
     course = (f"'{{\"course_title\": ' || CASE WHEN user_id % 10 = 0 THEN 'null' ELSE '\"Course ' || {uid} || '\"' END || "

@@ -98,3 +98,18 @@ def test_course_pages(spark):
     assert (r.course_title, r.desc, r.url) == ("ML", "Python, SQL", "https://www.coursera.org/learn/ml")
     rows = html.normalise_course_cards(pg, F.lit(NOW)).collect()
     assert len(rows) == 1 and (rows[0].course_title, rows[0].desc, rows[0].level) == ("Belajar Python", "Dasar", "Pemula")
+
+
+def test_filters_and_static_catalogue(spark):
+    from jobsight.operators import filters as Fl
+    recs = spark.createDataFrame([("P", "c1", None), ("P", "", "j"), (None, None, "j2"), ("", None, ""), (None, None, None)],
+                                 "platform string, url string, job_url string")
+    kept = [(r.platform, r.url, r.job_url) for r in Fl.drop_keyless(recs).collect()]
+    assert kept == [("P", "c1", None), (None, None, "j2")]
+    cards = spark.createDataFrame([("t", "u"), ("  ", "u"), ("t", None)], "job_title string, job_url string")
+    assert Fl.drop_incomplete(cards, ["job_title", "job_url"]).count() == 1
+    items = spark.createDataFrame([('{"@type": "JobPosting"}',), ('{"@type": "Place"}',), ("[]",)], "item string")
+    assert Fl.filter_json_type(items).count() == 1
+    cat = html.static_catalogue(spark, [{"course_title": "A", "url": "https://d/1"}, {"course_title": "B", "url": "https://d/2"}], NOW)
+    rows = cat.collect()
+    assert [r.platform for r in rows] == ["Dicoding", "Dicoding"] and rows[0].scraped_at == NOW

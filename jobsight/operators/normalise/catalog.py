@@ -195,6 +195,26 @@ def job_card_pages(spark, sf):
     return _pages(spark, sf, piece, lambda a: F.array_join(a, ""))
 
 
+def vidio_pages(spark, sf):
+    k = F.col("o_orderkey")
+    piece = F.concat(F.lit('<div class="b-job"><a href="/careers/'), k.cast("string"), F.lit('"><span class="b-job__name">'),
+                     _title(), F.lit('</span><span class="b-job__location">'), F.lower("n_name"),
+                     F.lit('</span><span class="b-job__department">'), F.col("c_mktsegment"), F.lit("</span></a></div>"))
+    return _pages(spark, sf, piece, lambda a: F.concat(F.lit("<html><body>"), F.array_join(a, ""), F.lit("</body></html>")))
+
+
+def trakstar_pages(spark, sf):
+    k = F.col("o_orderkey")
+    setup = F.when(F.col("o_orderpriority") == "1-URGENT", "Remote").otherwise("On-site")
+    piece = F.concat(
+        F.lit('<div class="js-card list-item"><h3 class="js-job-list-opening-name">'), _title(),
+        F.lit('</h3><div class="js-job-list-opening-loc">'), F.lower("n_name"),
+        F.lit('</div><div class="col-md-4"><div class="rb-text-4">'), F.col("c_mktsegment"),
+        F.lit('</div></div><div class="js-job-list-opening-meta"><span>Full-time</span><span>'), setup,
+        F.lit('</span></div><a href="/jobs/'), k.cast("string"), F.lit('">Apply</a></div>'))
+    return _pages(spark, sf, piece, lambda a: F.concat(F.lit("<html><body>"), F.array_join(a, ""), F.lit("</body></html>")))
+
+
 def catalog() -> dict:
     now = lambda: F.lit(NOW)
     queries = {
@@ -213,6 +233,8 @@ def catalog() -> dict:
         "normalise_course_cards": (lambda s, sf: html.normalise_course_cards(card_pages(s, sf), now()), None),
         "normalise_job_cards": (lambda s, sf: html.normalise_job_cards(
             job_card_pages(s, sf), now(), "/o/", "https://careers.example", "Mekari", "Mekari Careers"), None),
+        "normalise_vidio_cards": (lambda s, sf: html.normalise_vidio_cards(vidio_pages(s, sf), now()), None),
+        "normalise_trakstar_cards": (lambda s, sf: html.normalise_trakstar_cards(trakstar_pages(s, sf), now()), None),
         "board_sizes": (lambda s, sf: board_sizes(greenhouse_payloads(s, sf)).select("seq", "n_postings"), None),
         "extract_ld_json": (lambda s, sf: extract_ld_json(ld_pages(s, sf)).select(
             "page_id", "block_pos", F.json_array_length("block").alias("n_items")), None),

@@ -141,7 +141,7 @@ def static_catalogue(spark: SparkSession, rows: Sequence[dict], now: str, platfo
 
 def normalise_job_cards(pages: DataFrame, now: Column, link_marker: str, base: str, company: str,
                         board: str) -> DataFrame:
-    """Career-page job cards; relative hrefs prefixed; no url or title, no row."""
+    """B6 / B8 generic form: anchors whose href contains ``link_marker``."""
     anchors = pages.select("page_id", F.posexplode(F.regexp_extract_all(
         "html", F.lit(r'(?s)(<a\b[^>]*href="[^"]*' + link_marker + r'[^"]*"[^>]*>.*?</a>)'), 1)).alias("item_pos", "card"))
     c = F.col("card")
@@ -155,3 +155,83 @@ def normalise_job_cards(pages: DataFrame, now: Column, link_marker: str, base: s
                      job_board=F.lit(board), work_arrangement=F.lit("On-site"),
                      desc=F.concat_ws(" ", F.col("title"), F.lit("N/A")))
     return out.select(F.lit(company.lower()).alias("source"), F.col("page_id").alias("seq"), "item_pos", *rec)
+
+
+def _first_text(card: Column, patterns: Sequence[str]) -> Column:
+    """The first pattern whose group 1 is non-empty, as in a ``a, b, c::text`` selector list."""
+    return F.coalesce(*[F.nullif(F.regexp_extract(card, p, 1), F.lit("")) for p in patterns])
+
+
+def cards_by_cascade(pages: DataFrame, routes: Sequence[str]) -> DataFrame:
+    """Cards of the first route that finds any on a page (selector cascade).
+
+    A route is a regex for the start of a card element.  The page is split in
+    front of every match, so a card runs from its start to the next card (or
+    the page end).  All routes are evaluated in one projection of the page and
+    the first non-empty one wins: one scan, no shuffle.
+    """
+    parts = [F.slice(F.split("html", "(?=" + r + ")"), 2, 1 << 30) for r in routes]
+    hits = [F.when(F.col("html").rlike(r), a) for r, a in zip(routes, parts)]
+    chosen = F.coalesce(*hits, F.array().cast("array<string>"))
+    return pages.select("page_id", F.posexplode(chosen).alias("item_pos", "card"))
+
+
+# Selector cascades of the two career pages, as regexes for card starts and
+# for the text of each field (first hit wins, like a CSS selector list).
+VIDIO_ROUTES = [r'<div[^>]*class="[^"]*b-job[^"]*"[^>]*>\s*<a\b', r'<div[^>]*class="career-item[ "][^>]*>\s*<a\b',
+                r'<li[^>]*class="job-item[ "][^>]*>\s*<a\b', r'<a\b[^>]*href="[^"]*/careers/',
+                r'<div[^>]*class="[^"]*job[^"]*"[^>]*>\s*<h3\b', r'<(?:div|li)[^>]*class="[^"]*job[^"]*"[^>]*>']
+VIDIO_TITLE = [r'class="[^"]*(?:b-job__name|job-title)[^"]*"[^>]*>([^<]*)<', r"<h3[^>]*>([^<]*)<", r"<h2[^>]*>([^<]*)<",
+               r">([^<]*\S[^<]*)<"]
+VIDIO_LOCATION = [r'class="[^"]*(?:b-job__location|location)[^"]*"[^>]*>([^<]*)<', r"<span[^>]*>([^<]*)<"]
+VIDIO_DEPARTMENT = [r'class="[^"]*(?:b-job__department|department)[^"]*"[^>]*>([^<]*)<']
+TRAKSTAR_ROUTES = [r'<div[^>]*class="js-card list-item[ "]', r'<div[^>]*class="job-card[ "]', r'<li[^>]*class="opening[ "]',
+                   r'<a\b[^>]*href="[^"]*job']
+TRAKSTAR_TITLE = [r'<h3[^>]*class="js-job-list-opening-name[^"]*"[^>]*>([^<]*)<', r"<h3[^>]*>([^<]*)<",
+                  r"<h2[^>]*>([^<]*)<", r">([^<]*\S[^<]*)<"]
+TRAKSTAR_LOCATION = [r'class="js-job-list-opening-loc[^"]*"[^>]*>([^<]*)<', r'class="[^"]*location[^"]*"[^>]*>([^<]*)<']
+TRAKSTAR_DEPARTMENT = [r'class="rb-text-4[^"]*"[^>]*>([^<]*)<', r'class="[^"]*department[^"]*"[^>]*>([^<]*)<']
+TRAKSTAR_TYPE = [r'class="js-job-list-opening-meta[^"]*"[^>]*>\s*<span[^>]*>([^<]*)<', r'class="[^"]*\btype\b[^"]*"[^>]*>([^<]*)<']
+TRAKSTAR_SETUP = [r'class="js-job-list-opening-meta[^"]*"[^>]*>(?:\s*<span[^>]*>[^<]*</span>)*?\s*<span[^>]*>([^<]*)</span>\s*</div>']
+
+
+def _sanitize(c: Column) -> Column:
+    """``' '.join(s.strip().split()) if s else 'N/A'``."""
+    return F.when(is_falsy(c), F.lit("N/A")).otherwise(F.regexp_replace(py_strip(c), r"(?U)[\s\x1c-\x1f]+", " "))
+
+
+def normalise_vidio_cards(pages: DataFrame, now: Column, base: str = "https://www.vidio.com") -> DataFrame:
+    """Vidio careers cards; no url, no title or a title of 'N/A' drops the card."""
+    cards = cards_by_cascade(pages, VIDIO_ROUTES)
+    c = F.col("card")
+    title = F.coalesce(_first_text(c, VIDIO_TITLE), F.lit("N/A"))
+    dept = F.coalesce(_first_text(c, VIDIO_DEPARTMENT), F.lit("N/A"))
+    href = F.regexp_extract(c, r'href="([^"]*)"', 1)
+    url = F.when(href.startswith("http"), href).when(href != "", F.concat(F.lit(base), href)).otherwise(F.lit(""))
+    cards = cards.withColumn("_t", title).withColumn("_u", url).filter((F.col("_u") != "") & (F.col("_t") != "N/A"))
+    rec = job_record(
+        now, job_title=_sanitize(F.col("_t")), job_location=_sanitize(F.coalesce(_first_text(c, VIDIO_LOCATION), F.lit("Indonesia"))),
+        job_department=_sanitize(dept), job_url=F.col("_u"), job_type=F.lit("Full-time"), company=F.lit("Vidio"),
+        company_url=F.lit(base), job_board=F.lit("Vidio Careers"), work_arrangement=F.lit("On-site"),
+        desc=F.concat_ws(" ", F.col("_t"), dept))
+    return cards.select(F.lit("vidio").alias("source"), F.col("page_id").alias("seq"), "item_pos", *rec)
+
+
+def normalise_trakstar_cards(pages: DataFrame, now: Column, base: str = "https://mekari.hire.trakstar.com") -> DataFrame:
+    """Trakstar opening cards; per-field selector fallbacks; no href drops the card."""
+    cards = cards_by_cascade(pages, TRAKSTAR_ROUTES)
+    c = F.col("card")
+    title = F.coalesce(_first_text(c, TRAKSTAR_TITLE), F.lit("N/A"))
+    dept = F.coalesce(_first_text(c, TRAKSTAR_DEPARTMENT), F.lit("N/A"))
+    jtype = F.coalesce(_first_text(c, TRAKSTAR_TYPE), F.lit("Full-time"))
+    href = F.regexp_extract(c, r'<a\b[^>]*href="([^"]*)"', 1)
+    url = F.when(href.startswith("http"), href).when(href != "", F.concat(F.lit(base), href)).otherwise(F.lit(""))
+    cards = cards.withColumn("_u", url).filter(F.col("_u") != "")
+    san = lambda x: F.coalesce(F.nullif(_sanitize(x), F.lit("")), F.lit("N/A"))
+    rec = job_record(
+        now, job_title=san(title), job_location=san(F.coalesce(_first_text(c, TRAKSTAR_LOCATION), F.lit("Indonesia"))),
+        job_department=san(dept), job_url=F.col("_u"), job_type=san(jtype), company=F.lit("Mekari"),
+        job_board=F.lit("Mekari Careers"),
+        work_arrangement=san(F.coalesce(_first_text(c, TRAKSTAR_SETUP), F.lit("On-site"))),
+        desc=F.concat_ws(" ", title, dept, jtype))
+    return cards.select(F.lit("mekari").alias("source"), F.col("page_id").alias("seq"), "item_pos", *rec)

@@ -227,12 +227,33 @@ def next_data_keys() -> str:
     return f"SELECT seq AS page_id, 'jobs' AS key, TRUE AS job_like, count(*) AS n_items FROM {ORD} GROUP BY seq"
 
 
+def vidio_cards() -> str:
+    raw = "regexp_replace(title, '<.*$', '')"
+    return record_sql("vidio", {
+        "job_title": O.ws(raw), "job_location": "lower(n_name)", "job_department": "c_mktsegment",
+        "job_url": "'https://www.vidio.com/careers/' || CAST(o_orderkey AS VARCHAR)", "job_type": "'Full-time'",
+        "company": "'Vidio'", "company_url": "'https://www.vidio.com'", "job_board": "'Vidio Careers'",
+        "work_arrangement": "'On-site'", "desc": f"{raw} || ' ' || c_mktsegment",
+    }, where="WHERE regexp_replace(title, '<.*$', '') <> 'N/A'")
+
+
+def trakstar_cards() -> str:
+    raw = "regexp_replace(title, '<.*$', '')"
+    return record_sql("mekari", {
+        "job_title": O.ws(raw), "job_location": "lower(n_name)", "job_department": "c_mktsegment",
+        "job_url": "'https://mekari.hire.trakstar.com/jobs/' || CAST(o_orderkey AS VARCHAR)", "job_type": "'Full-time'",
+        "company": "'Mekari'", "job_board": "'Mekari Careers'",
+        "work_arrangement": "CASE WHEN o_orderpriority = '1-URGENT' THEN 'Remote' ELSE 'On-site' END",
+        "desc": f"{raw} || ' ' || c_mktsegment || ' Full-time'",
+    })
+
+
 def filter_json_type() -> str:
     return f"SELECT seq AS page_id, item_pos FROM {ORD}"
 
 
 SQL = {
-    "filter_json_type": filter_json_type,
+    "filter_json_type": filter_json_type, "normalise_vidio_cards": vidio_cards, "normalise_trakstar_cards": trakstar_cards,
     "normalise_dealls": dealls, "normalise_kalibrr": kalibrr, "normalise_karir": karir,
     "normalise_greenhouse_flip": lambda: greenhouse(True), "normalise_greenhouse_vidio": lambda: greenhouse(False),
     "normalise_lever": lever, "normalise_jibe": jibe, "normalise_koltiva": koltiva,

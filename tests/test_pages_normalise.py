@@ -113,3 +113,19 @@ def test_filters_and_static_catalogue(spark):
     cat = html.static_catalogue(spark, [{"course_title": "A", "url": "https://d/1"}, {"course_title": "B", "url": "https://d/2"}], NOW)
     rows = cat.collect()
     assert [r.platform for r in rows] == ["Dicoding", "Dicoding"] and rows[0].scraped_at == NOW
+
+
+def test_card_cascades(spark):
+    vidio = ('<ul><li class="job-item"><a href="/careers/7"><h3> QA  Lead </h3><span>Jakarta</span></a></li>'
+             '<li class="job-item"><a href="/careers/8"><h3>N/A</h3></a></li>'
+             '<li class="job-item"><a><h3>No link</h3></a></li></ul>')
+    trak = ('<div class="js-card list-item"><h3>Ops</h3><div class="js-job-list-opening-meta"><span>Contract</span>'
+            '<span>Hybrid</span></div><a href="https://x/job/1">Apply</a></div>'
+            '<div class="js-card list-item"><h3>Missing href</h3></div>')
+    pg = spark.createDataFrame([(1, "u", vidio), (2, "u", trak)], "page_id long, url string, html string")
+    v = html.normalise_vidio_cards(pg, F.lit(NOW)).collect()
+    assert [(r.job_title, r.job_url, r.job_location) for r in v if r.seq == 1] == [
+        ("QA Lead", "https://www.vidio.com/careers/7", "Jakarta")]
+    t = html.normalise_trakstar_cards(pg, F.lit(NOW)).orderBy("seq", "item_pos").collect()
+    assert [(r.job_title, r.job_type, r.work_arrangement, r.job_url) for r in t if r.seq == 2] == [
+        ("Ops", "Contract", "Hybrid", "https://x/job/1")]

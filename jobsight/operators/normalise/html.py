@@ -170,7 +170,11 @@ def cards_by_cascade(pages: DataFrame, routes: Sequence[str]) -> DataFrame:
     the page end).  All routes are evaluated in one projection of the page and
     the first non-empty one wins: one scan, no shuffle.
     """
-    parts = [F.slice(F.split("html", "(?=" + r + ")"), 2, 1 << 30) for r in routes]
+    # a leading marker keeps the text before the first card as element 1 even
+    # when the page starts with a card (a split never yields a leading empty
+    # string for a zero-width match)
+    page = F.concat(F.lit("\u0001"), F.col("html"))
+    parts = [F.slice(F.split(page, "(?=" + r + ")"), 2, 1 << 30) for r in routes]
     hits = [F.when(F.col("html").rlike(r), a) for r, a in zip(routes, parts)]
     chosen = F.coalesce(*hits, F.array().cast("array<string>"))
     return pages.select("page_id", F.posexplode(chosen).alias("item_pos", "card"))

@@ -8,6 +8,7 @@ needs neither a shuffle nor a join against the dictionary.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,67 @@ def match_keywords(df: DataFrame, text: str, keywords: Sequence[str] = SKILL_KEY
     return df.select(*keep, F.explode(keyword_hits(text, keywords)).alias(out))
 
 
+WORD_RUN = r"(?U)\w+"
+# The regex projection evaluates every keyword on every row; beyond a few
+# dozen keywords the token join below does less work.
+REGEX_MAX_KEYWORDS = 64
+# A dictionary given as a list is broadcast only up to this many entries.
+BROADCAST_MAX_KEYWORDS = 200_000
+
+
+def _dictionary(spark, keywords) -> tuple[DataFrame, list[str]]:
+    """Keyword table for the token join, plus keywords it cannot serve."""
+    if isinstance(keywords, DataFrame):
+        return keywords.select(F.col(keywords.columns[0]).alias("skill_name")).distinct(), []
+    uniq = list(dict.fromkeys(keywords))
+    wordless = [k for k in uniq if not re.search(r"\w", k)]
+    table = spark.createDataFrame([(k,) for k in uniq if k not in wordless], "skill_name string")
+    return (F.broadcast(table) if len(uniq) <= BROADCAST_MAX_KEYWORDS else table), wordless
+
+
+def match_keywords_join(df: DataFrame, text: str, keywords, keep: Sequence[str] = (),
+                        out: str = "skill_name") -> DataFrame:
+    """E3 for large dictionaries: candidates by token, then exact verification.
+
+    In a ``\\b kw \\b`` match, the first run of word characters inside the
+    keyword is a whole token of the text (a boundary or a non-word character
+    of the keyword sits on each side).  So each text's distinct tokens are
+    joined to the keywords' first runs: a keyword that is a single run matches
+    exactly when its token is present, a longer one is verified with its own
+    pattern on those candidate rows only.  Each (row, keyword) pair comes out
+    of the join at most once, so no de-duplication shuffle follows.
+
+    ``keywords`` is a list (broadcast when its length allows) or a one-column
+    DataFrame.  Keywords without any word character cannot be found through
+    tokens; from a list they go through the regex projection, a DataFrame
+    must not contain them.  The result equals ``match_keywords``.
+    """
+    table, wordless = _dictionary(df.sparkSession, keywords)
+    low = F.lower(F.col("skill_name"))
+    kw = table.select(
+        F.col("skill_name").alias("_kw"), low.alias("_low"),
+        F.regexp_extract(low, WORD_RUN, 0).alias("_first"),
+        low.rlike(r"^(?U)\w+$").alias("_single"),
+        F.concat(F.lit(r"(?U)\b\Q"), low, F.lit(r"\E\b")).alias("_pat"))
+    rows = df.select(*keep, F.col(text).alias("_t"))
+    tokens = rows.select(*keep, "_t", F.explode(F.array_distinct(
+        F.regexp_extract_all("_t", F.lit(WORD_RUN), 0))).alias("_first"))
+    cand = tokens.join(kw, "_first")
+    hit = F.col("_single") | (F.col("_t").contains(F.col("_low")) & F.expr("_t RLIKE _pat"))
+    found = cand.filter(hit).select(*keep, F.col("_kw").alias(out))
+    if wordless:
+        found = found.unionByName(match_keywords(rows, "_t", wordless, keep=keep, out=out))
+    return found
+
+
+def match_any(df: DataFrame, text: str, keywords=SKILL_KEYWORDS, keep: Sequence[str] = (),
+              out: str = "skill_name") -> DataFrame:
+    """E3 with the plan chosen by dictionary size (same result either way)."""
+    if not isinstance(keywords, DataFrame) and len(keywords) <= REGEX_MAX_KEYWORDS:
+        return match_keywords(df, text, keywords, keep=keep, out=out)
+    return match_keywords_join(df, text, keywords, keep=keep, out=out)
+
+
 def resolve_job_id(batch: DataFrame, jobs: DataFrame, key: str = "job_url") -> DataFrame:
     """Attach ``job_id`` by url; unmatched batch rows are skipped."""
     return batch.join(jobs.select("job_id", key), key, "inner")

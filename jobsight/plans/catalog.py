@@ -364,6 +364,30 @@ def _match_documents(spark, sf):
     return skills.match_keywords(docs, "t", DOC_WORDS, keep=["doc_id"])
 
 
+def benchmark_dictionary(spark, sf):
+    """A dictionary Spark derives from ``benchmark``: long words and word pairs."""
+    b = A.table(spark, sf, "benchmark").select(F.lower("text").alias("t"))
+    words = b.select(F.explode(F.regexp_extract_all("t", F.lit(r"(?U)\w{5,}"), 0)).alias("keyword"))
+    pairs = b.select(F.explode(F.regexp_extract_all("t", F.lit(r"(?U)\w+ \w+"), 0)).alias("keyword"))
+    return words.unionByName(pairs).distinct()
+
+
+WCLASS = r"[\p{L}\p{Mn}\p{Mc}\p{Me}\p{Nd}\p{Nl}\p{Pc}]"
+
+
+@register("match_keywords_dictionary", f"""WITH dict AS (
+  SELECT DISTINCT w AS skill_name FROM (
+    SELECT unnest(regexp_extract_all(lower(text), '{WCLASS}{{5,}}')) AS w FROM benchmark
+    UNION ALL SELECT unnest(regexp_extract_all(lower(text), '{WCLASS}+ {WCLASS}+')) AS w FROM benchmark)),
+kw AS (SELECT skill_name, regexp_extract(skill_name, '{WCLASS}+') AS first, NOT contains(skill_name, ' ') AS single FROM dict),
+toks AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '{WCLASS}+')) AS tok FROM documents)
+SELECT t.doc_id, kw.skill_name FROM toks t JOIN kw ON t.tok = kw.first JOIN documents d ON d.doc_id = t.doc_id
+WHERE kw.single OR regexp_matches(lower(d.text), '(^|[^' || '{WCLASS[1:-1]}' || '])' || kw.skill_name || '([^' || '{WCLASS[1:-1]}' || ']|$)')""")
+def _match_dictionary(spark, sf):
+    docs = A.documents(spark, sf).select("doc_id", F.lower("text").alias("t"))
+    return skills.match_keywords_join(docs, "t", benchmark_dictionary(spark, sf), keep=["doc_id"])
+
+
 @register("distinct_pairs", f"SELECT DISTINCT job_url, skill_name FROM ({E3_SQL})")
 def _distinct_pairs(spark, sf):
     return dedup.distinct_pairs(_match_keywords(spark, sf), ["job_url", "skill_name"])

@@ -90,3 +90,19 @@ def test_top_skills_ties_and_limit(spark):
     pairs = spark.createDataFrame([(1, "SQL"), (2, "SQL"), (1, "AWS"), (3, "AWS"), (4, "Git")], "job_id long, skill_name string")
     got = [(r.skill_name, r.job_count) for r in I.top_skills(pairs, n=2).collect()]
     assert got == [("AWS", 2), ("SQL", 2)]
+
+
+def test_token_join_equals_regex_and_python(spark):
+    texts = ["asp.net and c++ devs", "node.js, node and power bi", "déjava java_ee java", "de la mer, de lamer",
+             "a++b", "machine learning engineers"]
+    kws = ["java", "node.js", ".net", "c++", "power bi", "de la", "++", "machine learning", "node", "java_ee"] + \
+          [f"w{i}" for i in range(80)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    want = sorted((i, kw) for i, t in enumerate(texts) for kw in kws
+                  if re.search(r"\b" + re.escape(kw.lower()) + r"\b", t))
+    via_join = sorted((r.i, r.skill_name) for r in S.match_keywords_join(df, "t", kws, keep=["i"]).collect())
+    via_any = sorted((r.i, r.skill_name) for r in S.match_any(df, "t", kws, keep=["i"]).collect())
+    assert via_join == want and via_any == want
+    table = spark.createDataFrame([(k,) for k in kws if k != "++"], "keyword string")
+    via_df = sorted((r.i, r.skill_name) for r in S.match_keywords_join(df, "t", table, keep=["i"]).collect())
+    assert via_df == [p for p in want if p[1] != "++"]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import _col, is_falsy, null_if_na, py_strip, py_title
@@ -161,3 +161,30 @@ def classify_job(df_cols: dict) -> dict:
         "work_setup": standardize_work_setup(g("work_arrangement")),
         "job_type": null_if_na(g("job_type")),
     }
+
+
+def classify_frame(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The warehouse projection of job records, in two stages.
+
+    Stage one computes each rule once as a column; stage two applies C7,
+    which reads its input three times.  Spark does not fold the stages back
+    into one projection while a costly expression is read more than once, so
+    every regex chain runs once per row.  ``job_title`` should already be
+    cleaned (C5) and be a column of ``df``.
+    """
+    def g(name):
+        return F.col(name) if name in df.columns else F.lit(None).cast("string")
+    s1 = df.select(
+        *keep,
+        g("job_title").alias("_title"), g("company").alias("_company"),
+        standardize_location(g("job_location")).alias("_loc"), g("job_board").alias("_board"),
+        F.coalesce(g("job_url"), F.lit("")).alias("job_url"),
+        parse_salary(g("base_salary")).alias("salary_avg"), salary_is_numeric(g("base_salary")).alias("salary_ok"),
+        standardize_category(g("job_department"), g("job_title")).alias("_cat"), g("job_level").alias("_level"),
+        standardize_work_setup(g("work_arrangement")).alias("work_setup"), g("job_type").alias("_type"))
+    return s1.select(
+        *keep,
+        null_if_na("_title").alias("job_title"), null_if_na("_company").alias("company_name"),
+        null_if_na("_loc").alias("location"), null_if_na("_board").alias("source"), "job_url",
+        "salary_avg", "salary_ok", null_if_na("_cat").alias("job_category"),
+        null_if_na("_level").alias("experience_level"), "work_setup", null_if_na("_type").alias("job_type"))

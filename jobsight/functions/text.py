@@ -47,8 +47,7 @@ def clean_string(c) -> Column:
     body = F.regexp_replace(c, _TAG, " ")
     body = F.replace(F.replace(body, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(""))
     body = py_ws(body)
-    return F.when(is_falsy(c), F.lit("N/A")).otherwise(
-        F.when(body == "", F.lit("N/A")).otherwise(body))
+    return F.when(is_falsy(c), F.lit("N/A")).otherwise(F.coalesce(F.nullif(body, F.lit("")), F.lit("N/A")))
 
 
 def strip_html(c) -> Column:
@@ -67,7 +66,7 @@ def collapse_ws(c, default: str = "N/A", dash_commas: bool = False,
     body = F.replace(c, F.lit(", "), F.lit(" - ")) if dash_commas else c
     body = py_ws(body)
     if blank_to_default:
-        body = F.when(body == "", F.lit(default)).otherwise(body)
+        body = F.coalesce(F.nullif(body, F.lit("")), F.lit(default))
     return F.when(is_falsy(c), F.lit(default)).otherwise(body)
 
 
@@ -86,7 +85,7 @@ def comma_to_dash(c, null_default: str = "N/A", title: bool = False,
         body = py_strip(F.replace(body, F.lit(drop_word), F.lit("")))
     body = py_ws(body)
     if blank_default is not None:
-        body = F.when(body == "", F.lit(blank_default)).otherwise(body)
+        body = F.coalesce(F.nullif(body, F.lit("")), F.lit(blank_default))
     return F.when(c.isNull(), F.lit(null_default)).otherwise(body)
 
 
@@ -101,7 +100,11 @@ def clean_text(c) -> Column:
 
 
 def null_if_na(c) -> Column:
-    """Null when empty or when strip+upper equals 'N/A'; else unchanged."""
+    """Null when empty or when strip+upper equals 'N/A'; else unchanged.
+
+    The input is read three times: pass a column, not a costly expression
+    (see ``classify_frame``), or the expression is evaluated three times.
+    """
     c = _col(c)
     return F.when((c == "") | (F.upper(py_strip(c)) == "N/A"), F.lit(None).cast("string")).otherwise(c)
 

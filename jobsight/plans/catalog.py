@@ -54,12 +54,15 @@ L_SQL = "(" + O.landing_sql() + ")"
 
 
 def classified(df: DataFrame) -> DataFrame:
-    # The cleaned title feeds four rules: computing it once as a column keeps
-    # the optimizer from inlining the regex chain into every rule.
-    df = df.withColumn("_t", X.clean_text("job_title"))
-    proj = K.classify_job({**{c: F.col(c) for c in df.columns}, "job_title": F.col("_t")})
-    return df.select("pos", "seen_at", *[e.alias(k) for k, e in proj.items()],
-                     X.search_text("_t", X.clean_text("job_department")).alias("search_text"))
+    # C5 first, as its own projection: the cleaned title feeds several rules
+    # and the search text, and must not be re-evaluated inside each of them.
+    cols = [c for c in df.columns if c not in ("job_title",)]
+    cleaned = df.select(*cols, X.clean_text("job_title").alias("job_title"),
+                        X.clean_text("job_department").alias("_dept_clean"))
+    cleaned = cleaned.withColumn("search_text", X.search_text("job_title", "_dept_clean"))
+    return K.classify_frame(cleaned, keep=["pos", "seen_at", "search_text"]).select(
+        "pos", "seen_at", "job_title", "company_name", "location", "source", "job_url", "salary_avg", "salary_ok",
+        "job_category", "experience_level", "work_setup", "job_type", "search_text")
 
 
 CLS_P = "(" + O.classified_sql(P_SQL) + ")"
@@ -221,12 +224,15 @@ def _parse_salary(spark, sf):
 
 @register("standardize_location", f"SELECT pos, {O.null_if_na(O.location('job_location'))} AS location FROM {P_SQL}")
 def _location(spark, sf):
-    return P_(spark, sf).select("pos", X.null_if_na(K.standardize_location("job_location")).alias("location"))
+    raw = P_(spark, sf).select("pos", K.standardize_location("job_location").alias("_loc"))
+    return raw.select("pos", X.null_if_na("_loc").alias("location"))
 
 
 @register("standardize_category", f"SELECT pos, {O.null_if_na(O.category('job_department', O.clean_text('job_title')))} AS job_category FROM {P_SQL}")
 def _category(spark, sf):
-    return P_(spark, sf).select("pos", X.null_if_na(K.standardize_category("job_department", X.clean_text("job_title"))).alias("job_category"))
+    p = P_(spark, sf).select("pos", "job_department", X.clean_text("job_title").alias("_t"))
+    raw = p.select("pos", K.standardize_category("job_department", "_t").alias("_c"))
+    return raw.select("pos", X.null_if_na("_c").alias("job_category"))
 
 
 @register("standardize_work_setup", f"SELECT pos, {O.work_setup('work_arrangement')} AS work_setup FROM {P_SQL}")

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.classify import classify_job
+from ..functions.classify import classify_frame
 from ..functions.text import clean_text, null_if_na, search_text
 from ..operators.dedup import dedup_courses, dedup_jobs
 from ..operators.lifecycle import check_constraints, close_stale, insert_courses, upsert_jobs
@@ -29,11 +29,13 @@ ORDER = ("file_path", "block_start", "pos")
 def clean_job_batch(jobs: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """F1 then C5 then the warehouse projection (C7-C11, C8) of job records."""
     first = dedup_jobs(jobs, order=list(order))
-    cleaned = (first.withColumn("job_title", clean_text("job_title"))
-               .withColumn("desc", clean_text("desc") if "desc" in first.columns else F.lit("")))
-    proj = classify_job({c: F.col(c) for c in cleaned.columns})
-    return cleaned.select(*[e.alias(k) for k, e in proj.items()],
-                          search_text("job_title", "desc").alias("search_text"), *order)
+    cols = [c for c in first.columns if c not in ("job_title", "desc")]
+    desc = clean_text("desc") if "desc" in first.columns else F.lit("")
+    cleaned = first.select(*cols, clean_text("job_title").alias("job_title"), desc.alias("desc"))
+    cleaned = cleaned.withColumn("search_text", search_text("job_title", "desc"))
+    return classify_frame(cleaned, keep=["search_text", *order]).select(
+        "job_title", "company_name", "location", "source", "job_url", "salary_avg", "salary_ok", "job_category",
+        "experience_level", "work_setup", "job_type", "search_text", *order)
 
 
 def clean_course_batch(courses: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:

@@ -64,13 +64,20 @@ def salary_is_numeric(c) -> Column:
     return is_falsy(c) | c.rlike(FLOAT_SHAPE)
 
 
-def parse_salary(c) -> Column:
+def parse_salary(c, numeric: Column | None = None) -> Column:
     """``float(x or 0)`` into NUMERIC(15,2).
 
     Falsy gives 0.  Non-numeric text, NaN, infinities and values beyond the
     15,2 range give null; ``check_constraints`` turns those into rejects.
+    ``numeric`` may pass an already computed ``salary_is_numeric`` column.
     """
     c = _col(c)
+    if numeric is not None:
+        body = F.regexp_replace(py_strip(c), "_", "")
+        num = F.when(body.rlike(r"(?i)^[+-]?(nan|inf|infinity)$"), F.lit(None)).otherwise(
+            body.try_cast("double").try_cast(SALARY_TYPE))
+        return (F.when(is_falsy(c), F.lit(0).cast(SALARY_TYPE))
+                .when(numeric, num).otherwise(F.lit(None).cast(SALARY_TYPE)))
     body = F.regexp_replace(py_strip(c), "_", "")
     num = F.when(body.rlike(r"(?i)^[+-]?(nan|inf|infinity)$"), F.lit(None)).otherwise(
         body.try_cast("double").try_cast(SALARY_TYPE))
@@ -178,13 +185,14 @@ def classify_frame(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *keep,
         g("job_title").alias("_title"), g("company").alias("_company"),
         standardize_location(g("job_location")).alias("_loc"), g("job_board").alias("_board"),
-        F.coalesce(g("job_url"), F.lit("")).alias("job_url"),
-        parse_salary(g("base_salary")).alias("salary_avg"), salary_is_numeric(g("base_salary")).alias("salary_ok"),
+        F.coalesce(g("job_url"), F.lit("")).alias("job_url"), g("base_salary").alias("_salary"),
+        salary_is_numeric(g("base_salary")).alias("salary_ok"),
         standardize_category(g("job_department"), g("job_title")).alias("_cat"), g("job_level").alias("_level"),
         standardize_work_setup(g("work_arrangement")).alias("work_setup"), g("job_type").alias("_type"))
     return s1.select(
         *keep,
         null_if_na("_title").alias("job_title"), null_if_na("_company").alias("company_name"),
         null_if_na("_loc").alias("location"), null_if_na("_board").alias("source"), "job_url",
-        "salary_avg", "salary_ok", null_if_na("_cat").alias("job_category"),
+        parse_salary("_salary", F.col("salary_ok")).alias("salary_avg"), "salary_ok",
+        null_if_na("_cat").alias("job_category"),
         null_if_na("_level").alias("experience_level"), "work_setup", null_if_na("_type").alias("job_type"))

@@ -106,7 +106,9 @@ def null_if_na(c) -> Column:
     (see ``classify_frame``), or the expression is evaluated three times.
     """
     c = _col(c)
-    return F.when((c == "") | (F.upper(py_strip(c)) == "N/A"), F.lit(None).cast("string")).otherwise(c)
+    # the substring test is cheap and necessary, the strip regex runs only when it passes
+    na = F.lower(c).contains("n/a") & (F.upper(py_strip(c)) == "N/A")
+    return F.when((c == "") | na, F.lit(None).cast("string")).otherwise(c)
 
 
 def py_title(c) -> Column:

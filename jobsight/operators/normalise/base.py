@@ -45,24 +45,50 @@ def explode_items(payloads: DataFrame, path: str | None, item: str = "item") ->
                            F.posexplode(F.coalesce(items, F.array().cast("array<string>"))).alias("item_pos", item))
 
 
-def job_record(now: Column, **f) -> list[Column]:
+class JobRecord:
+    """The 18 landed job fields of one source, computed in two stages.
+
+    Stage one evaluates every source rule once as a column; stage two adds
+    the fields derived from ``last_seen`` (end date, job age), so a costly
+    ``last_seen`` rule is not re-evaluated inside each of them.
+    """
+
+    def __init__(self, now: Column, fields: dict):
+        self.now = now
+        self.fields = fields
+
+    def emit(self, df: DataFrame, prefix: dict) -> DataFrame:
+        raw = {k: s(v) for k, v in self.fields.items()}
+        raw.setdefault("last_seen", self.now)
+        s1 = df.select(*[c.alias(n) for n, c in prefix.items()], self.now.alias("_now"),
+                       *[v.alias("_r_" + k) for k, v in raw.items()])
+        last = F.col("_r_last_seen")
+        now = F.col("_now")
+        vals = {
+            "first_seen": now,
+            "base_salary": F.lit("0"),
+            "job_level": F.lit("N/A"),
+            "is_active": F.lit("True"),
+            "job_apply_end_date": apply_end_date(last),
+            "job_age": F.when(is_falsy(now) | is_falsy(last), F.lit("unknown")).otherwise(job_age(now, last)),
+        }
+        vals.update({k: F.col("_r_" + k) for k in raw})
+        return s1.select(*prefix.keys(), *[s(vals.get(name, F.lit(None).cast("string"))).cast("string").alias(name)
+                                           for name in JOB_FIELDS])
+
+
+def job_record(now: Column, **f) -> JobRecord:
     """The 18 landed job fields, with the shared defaults of all sources.
 
     ``first_seen`` is the run time; ``job_age`` is derived from first and last
     sighting as the item pipeline does for every record.
     """
-    last_seen = f.get("last_seen", now)
-    vals = {
-        "first_seen": now,
-        "base_salary": F.lit("0"),
-        "job_level": F.lit("N/A"),
-        "is_active": F.lit("True"),
-        "last_seen": last_seen,
-        "job_apply_end_date": f.get("job_apply_end_date", apply_end_date(last_seen)),
-        "job_age": F.when(is_falsy(now) | is_falsy(last_seen), F.lit("unknown")).otherwise(job_age(now, last_seen)),
-    }
-    vals.update({k: v for k, v in f.items() if k not in ("last_seen", "job_apply_end_date")})
-    return [s(vals.get(name, F.lit(None).cast("string"))).cast("string").alias(name) for name in JOB_FIELDS]
+    return JobRecord(now, f)
+
+
+def emit(df: DataFrame, prefix: dict, rec: JobRecord) -> DataFrame:
+    """Select ``prefix`` columns (name -> Column) and the job record."""
+    return rec.emit(df, prefix)
 
 
 def course_record(now: Column, **f) -> list[Column]:
@@ -71,5 +97,5 @@ def course_record(now: Column, **f) -> list[Column]:
     return [s(vals.get(name, F.lit(None).cast("string"))).cast("string").alias(name) for name in COURSE_FIELDS]
 
 
-def keep_order(df: DataFrame, cols: list[Column]) -> DataFrame:
-    return df.select(*[F.col(c) for c in ORDER_COLS], *cols)
+def keep_order(df: DataFrame, rec: JobRecord) -> DataFrame:
+    return rec.emit(df, {c: F.col(c) for c in ORDER_COLS})

@@ -16,7 +16,7 @@ from ...functions.dates import iso_or_now
 from ...functions.text import absolutize_url, clean_string, is_falsy, py_strip
 from ...schemas import COURSE_RECORD
 from ..pages import LD_JSON, NEXT_DATA, json_items
-from .base import course_record, jget, job_record
+from .base import course_record, emit, jget, job_record
 
 JOBSTREET = "https://id.jobstreet.com"
 
@@ -46,8 +46,8 @@ def normalise_ld_json(pages: DataFrame, now: Column) -> DataFrame:
         company=clean_string(F.coalesce(jget(i, "$.hiringOrganization.name"), F.lit("Private Advertiser"))),
         job_board=F.lit("Jobstreet"), job_board_url=F.lit(JOBSTREET), work_arrangement=F.lit("On-site"),
         desc=clean_string(F.substring(F.coalesce(jget(i, "$.description"), F.lit("")), 1, 300)))
-    return items.select(F.lit("jobstreet").alias("source"), F.col("page_id").alias("seq"),
-                        (F.col("block_pos") * 100000 + F.col("item_pos")).alias("item_pos"), *rec)
+    return emit(items, {"source": F.lit("jobstreet"), "seq": F.col("page_id"),
+                        "item_pos": F.col("block_pos") * 100000 + F.col("item_pos")}, rec)
 
 
 def normalise_next_data(pages: DataFrame, now: Column) -> DataFrame:
@@ -82,7 +82,7 @@ def normalise_next_data(pages: DataFrame, now: Column) -> DataFrame:
         company=clean_string(F.coalesce(jget(j("advertiser"), "$.description"), F.lit("Private Advertiser"))),
         job_board=F.lit("Jobstreet"), job_board_url=F.lit(JOBSTREET), work_arrangement=F.lit("On-site"),
         desc=F.concat_ws(" ", title, dept))
-    return items.select(F.lit("jobstreet").alias("source"), F.col("page_id").alias("seq"), "item_pos", *rec)
+    return emit(items, {"source": F.lit("jobstreet"), "seq": F.col("page_id"), "item_pos": F.col("item_pos")}, rec)
 
 
 NEXT_ITEM = ("jobUrl string, url string, title string, jobTitle string, advertiser string, location string, "
@@ -154,7 +154,7 @@ def normalise_job_cards(pages: DataFrame, now: Column, link_marker: str, base: s
                      job_url=F.col("url"), job_type=F.lit("Full-time"), company=F.lit(company),
                      job_board=F.lit(board), work_arrangement=F.lit("On-site"),
                      desc=F.concat_ws(" ", F.col("title"), F.lit("N/A")))
-    return out.select(F.lit(company.lower()).alias("source"), F.col("page_id").alias("seq"), "item_pos", *rec)
+    return emit(out, {"source": F.lit(company.lower()), "seq": F.col("page_id"), "item_pos": F.col("item_pos")}, rec)
 
 
 def _first_text(card: Column, patterns: Sequence[str]) -> Column:
@@ -218,7 +218,7 @@ def normalise_vidio_cards(pages: DataFrame, now: Column, base: str = "https://ww
         job_department=_sanitize(dept), job_url=F.col("_u"), job_type=F.lit("Full-time"), company=F.lit("Vidio"),
         company_url=F.lit(base), job_board=F.lit("Vidio Careers"), work_arrangement=F.lit("On-site"),
         desc=F.concat_ws(" ", F.col("_t"), dept))
-    return cards.select(F.lit("vidio").alias("source"), F.col("page_id").alias("seq"), "item_pos", *rec)
+    return emit(cards, {"source": F.lit("vidio"), "seq": F.col("page_id"), "item_pos": F.col("item_pos")}, rec)
 
 
 def normalise_trakstar_cards(pages: DataFrame, now: Column, base: str = "https://mekari.hire.trakstar.com") -> DataFrame:
@@ -238,4 +238,4 @@ def normalise_trakstar_cards(pages: DataFrame, now: Column, base: str = "https:/
         job_board=F.lit("Mekari Careers"),
         work_arrangement=san(F.coalesce(_first_text(c, TRAKSTAR_SETUP), F.lit("On-site"))),
         desc=F.concat_ws(" ", title, dept, jtype))
-    return cards.select(F.lit("mekari").alias("source"), F.col("page_id").alias("seq"), "item_pos", *rec)
+    return emit(cards, {"source": F.lit("mekari"), "seq": F.col("page_id"), "item_pos": F.col("item_pos")}, rec)

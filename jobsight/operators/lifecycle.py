@@ -232,39 +232,38 @@ def replay_closed_form(sightings: DataFrame, as_of, key: str = "job_url", seen:
     ``closed_at`` holds the last such day.  Refreshable columns come from the
     first row of the last day, the others from the first row of the first day.
 
-    (key, day) pairs are pre-aggregated first, so the window per key holds at
-    most one row per calendar day, whatever the key's row count.
+    One aggregation per key, with partial aggregation before the shuffle: the
+    key's distinct sighting days (at most one per calendar day of the history,
+    whatever the key's row count), its first row by (day, order) and the first
+    row of its last day.  The gaps are then read off the sorted day array.
     """
-    s = sightings.withColumn("_day", F.to_date(F.col(seen)))
-    rank = F.struct(*[F.col(c) for c in order])
+    day = F.to_date(F.col(seen))
     row = F.struct(*[F.col(c) for c in BATCH_COLS if c != key])
-    per_day = s.groupBy(key, "_day").agg(F.min_by(row, rank).alias("_r"))
-    nxt = F.lead("_day").over(Window.partitionBy(key).orderBy("_day"))
-    per_day = per_day.withColumn("_next", nxt)
-    end = F.to_date(_ts(as_of))
-    close_day = F.date_add(F.col("_day"), days + 1)
-    # a closing happened after this sighting if the next one came too late
-    closed_here = F.when((F.coalesce(F.col("_next"), F.date_add(end, 1)) > close_day) & (close_day <= end),
-                         close_day)
-    agg = per_day.groupBy(key).agg(
-        F.min_by("_r", "_day").alias("_first"),
-        F.max_by("_r", "_day").alias("_last"),
-        F.min("_day").alias("_d0"),
-        F.max("_day").alias("_d1"),
-        F.max(closed_here).alias("_closed"),
+    first_rank = F.struct(day.alias("d"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    # the first row of the last day: latest day, then smallest order (any orderable type)
+    last_rank = F.struct((-F.datediff(day, F.lit("1970-01-01"))).alias("d"),
+                         *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    agg = sightings.groupBy(key).agg(
+        F.sort_array(F.collect_set(day)).alias("_days"),
+        F.min_by(row, first_rank).alias("_first"),
+        F.min_by(row, last_rank).alias("_last"),
     )
+    end = F.to_date(_ts(as_of))
+    n = F.size("_days")
+    closing = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.when(
+            (F.date_add(F.element_at("_days", i + 1), days + 1) <= end)
+            & ((i == n - 1) | (F.element_at("_days", i + 2) > F.date_add(F.element_at("_days", i + 1), days + 1))),
+            F.date_add(F.element_at("_days", i + 1), days + 1)))
     refreshed = set(UPSERT_REFRESH)
-    cols = []
-    for c in BATCH_COLS:
-        if c == key:
-            cols.append(F.col(key))
-        else:
-            src = "_last" if c in refreshed else "_first"
-            cols.append(F.col(f"{src}.{c}").alias(c))
+    cols = [F.col(key) if c == key else F.col(f"{'_last' if c in refreshed else '_first'}.{c}").alias(c)
+            for c in BATCH_COLS]
+    d0, d1 = F.element_at("_days", 1), F.element_at("_days", -1)
     return agg.select(
         *cols,
-        F.col("_d0").cast("timestamp_ntz").alias("scraped_at"),
-        F.col("_d1").cast("timestamp_ntz").alias("last_seen"),
-        (F.col("_d1") >= F.date_sub(end, days)).alias("is_active"),
-        F.col("_closed").cast("timestamp_ntz").alias("closed_at"),
+        d0.cast("timestamp_ntz").alias("scraped_at"),
+        d1.cast("timestamp_ntz").alias("last_seen"),
+        (d1 >= F.date_sub(end, days)).alias("is_active"),
+        F.array_max(closing).cast("timestamp_ntz").alias("closed_at"),
     )

@@ -12,8 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Dimension tables are joined (and broadcast by AQE when small), never
+# processed row by row, so they are read as they are.
+DIMENSIONS = {"region", "nation", "customer", "supplier"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in DIMENSIONS else spread(df)
 
 
 def spread(df: DataFrame) -> DataFrame:

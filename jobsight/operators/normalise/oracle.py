@@ -212,11 +212,11 @@ def course_cards() -> str:
 
 
 def board_sizes() -> str:
-    return f"SELECT seq, count(*) AS n_postings FROM {ORD} GROUP BY seq"
+    return f"SELECT seq, CAST(count(*) AS INTEGER) AS n_postings FROM {ORD} GROUP BY seq"
 
 
 def extract_ld_json() -> str:
-    return f"SELECT seq AS page_id, 0 AS block_pos, count(*) AS n_items FROM {ORD} GROUP BY seq"
+    return f"SELECT seq AS page_id, 0 AS block_pos, CAST(count(*) AS INTEGER) AS n_items FROM {ORD} GROUP BY seq"
 
 
 def ld_json_type_census() -> str:
@@ -224,7 +224,7 @@ def ld_json_type_census() -> str:
 
 
 def next_data_keys() -> str:
-    return f"SELECT seq AS page_id, 'jobs' AS key, TRUE AS job_like, count(*) AS n_items FROM {ORD} GROUP BY seq"
+    return f"SELECT seq AS page_id, 'jobs' AS key, TRUE AS job_like, CAST(count(*) AS INTEGER) AS n_items FROM {ORD} GROUP BY seq"
 
 
 def vidio_cards() -> str:

@@ -180,7 +180,7 @@ def catalog() -> dict:
     def pg(spark, sf):
         return A.pages(spark, sf)
 
-    link_sql = ("(SELECT page_id, url, unnest(l) AS href, unnest(range(len(l))) AS item_pos FROM "
+    link_sql = ("(SELECT page_id, url, unnest(l) AS href, CAST(unnest(range(len(l))) AS INTEGER) AS item_pos FROM "
                 "(SELECT page_id, url, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS l FROM pages))")
     cen = " UNION ALL ".join(
         f"SELECT '{m}' AS pattern, (length(html) - length(replace(html, '{m}', ''))) // {len(m)} AS hits FROM pages"
@@ -199,13 +199,13 @@ def catalog() -> dict:
             f"(SELECT page_id, item_pos, 'https://www.dicoding.com' || href AS link FROM {link_sql} WHERE regexp_matches(href, '^/[a-z]+$'))) WHERE rn = 1"),
         "pattern_census": (
             lambda s, sf: pattern_census(pg(s, sf)),
-            f"SELECT pattern, count(*) FILTER (WHERE hits > 0) AS pages_with_hits, sum(hits) AS total_hits FROM ({cen}) GROUP BY pattern"),
+            f"SELECT pattern, count(*) FILTER (WHERE hits > 0) AS pages_with_hits, CAST(sum(hits) AS BIGINT) AS total_hits FROM ({cen}) GROUP BY pattern"),
         "has_next_data": (
             lambda s, sf: pg(s, sf).select("page_id", has_next_data("html").alias("has_next_data")),
             "SELECT page_id, regexp_matches(html, '(?s)<script id=\"__NEXT_DATA__\" type=\"application/json\">(\\{.*?\\})</script>') AS has_next_data FROM pages"),
         "link_harvest": (
             lambda s, sf: link_harvest(pg(s, sf), marker="th"),
-            "SELECT page_id, len(list_filter(l, lambda h: contains(h, 'th'))) AS n_links, "
+            "SELECT page_id, CAST(len(list_filter(l, lambda h: contains(h, 'th'))) AS INTEGER) AS n_links, "
             "list_slice(list_filter(l, lambda h: contains(h, 'th')), 1, 3) AS samples FROM "
             "(SELECT page_id, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS l FROM pages)"),
         "detect_ats": (
@@ -220,7 +220,7 @@ def catalog() -> dict:
             lambda s, sf: search_cards(pg(s, sf), keep_linkless=True).select("page_id", "card_idx", "job_title", "job_url", "company"),
             "SELECT page_id, card_idx, nullif(trim(regexp_replace(regexp_extract(card, '(?s)<h[1-3][^>]*>(.*?)</h[1-3]>', 1), '<[^>]+>', '', 'g')), '') AS job_title, "
             "CAST(NULL AS VARCHAR) AS job_url, 'Private Advertiser' AS company FROM "
-            "(SELECT page_id, unnest(parts[2:]) AS card, unnest(range(1, len(parts))) AS card_idx FROM "
+            "(SELECT page_id, unnest(parts[2:]) AS card, CAST(unnest(range(1, len(parts))) AS INTEGER) AS card_idx FROM "
             "(SELECT page_id, string_split(html, '<article') AS parts FROM pages))"),
         "title_page": (
             lambda s, sf: title_page(pg(s, sf)),

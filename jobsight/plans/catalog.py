@@ -615,7 +615,7 @@ def warehouse_jobs(spark, sf):
     return lifecycle.replay_closed_form(sightings(spark, sf), AS_OF)
 
 
-@register("jobs_by_source", f"SELECT source, count(*) AS total_jobs, count_if(is_active) AS active_jobs FROM {W_SQL} GROUP BY source")
+@register("jobs_by_source", f"SELECT source, count(*) AS total_jobs, CAST(count_if(is_active) AS BIGINT) AS active_jobs FROM {W_SQL} GROUP BY source")
 def _by_source(spark, sf):
     return I.jobs_by_source(warehouse_jobs(spark, sf))
 

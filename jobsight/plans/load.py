@@ -26,14 +26,49 @@ from ..sources.snapshot import publish_all, publish_snapshot, read_snapshot, tab
 ORDER = ("file_path", "block_start", "pos")
 
 
-def clean_job_batch(jobs: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
-    """F1 then C5 then the warehouse projection (C7-C11, C8) of job records."""
+def with_pandas_missing(jobs: DataFrame) -> DataFrame:
+    """Key-presence compatibility (trap T2) for the two fields where it shows.
+
+    In the reference, records are unioned into one pandas frame: a key that
+    some record of the batch has but this record lacks becomes NaN, which is
+    truthy.  A missing location is then title-cased to 'Nan', and a missing
+    department is kept as the category and nulled, instead of falling back to
+    the title keywords.  Every other field ends the same as with null.  The
+    batch's key presence is one aggregate row (two booleans).
+    """
+    if "_keys" not in jobs.columns:
+        return jobs
+    present = jobs.agg(*[F.max(F.array_contains("_keys", k)).alias(k)
+                         for k in ("job_location", "job_department")]).collect()[0]  # one row
+    out = jobs
+    if present["job_location"]:
+        out = out.withColumn("job_location", F.when(F.array_contains("_keys", "job_location"), F.col("job_location"))
+                             .otherwise(F.lit("nan")))
+    if present["job_department"]:
+        out = out.withColumn("_dept_missing", ~F.array_contains("_keys", "job_department"))
+    return out
+
+
+def clean_job_batch(jobs: DataFrame, order: Sequence[str] = ORDER, pandas_missing: bool = False) -> DataFrame:
+    """F1 then C5 then the warehouse projection (C7-C11, C8) of job records.
+
+    ``pandas_missing=True`` reproduces the reference's treatment of keys
+    missing from some records (see ``with_pandas_missing``); by default a
+    missing key is the same as null.
+    """
+    if pandas_missing:
+        jobs = with_pandas_missing(jobs)
     first = dedup_jobs(jobs, order=list(order))
     cols = [c for c in first.columns if c not in ("job_title", "desc")]
     desc = clean_text("desc") if "desc" in first.columns else F.lit("")
     cleaned = first.select(*cols, clean_text("job_title").alias("job_title"), desc.alias("desc"))
     cleaned = cleaned.withColumn("search_text", search_text("job_title", "desc"))
-    return classify_frame(cleaned, keep=["search_text", *order]).select(
+    extra = ["_dept_missing"] if "_dept_missing" in cleaned.columns else []
+    out = classify_frame(cleaned, keep=["search_text", *order, *extra])
+    if extra:
+        out = out.withColumn("job_category", F.when(F.col("_dept_missing"), F.lit(None).cast("string"))
+                             .otherwise(F.col("job_category")))
+    return out.select(
         "job_title", "company_name", "location", "source", "job_url", "salary_avg", "salary_ok", "job_category",
         "experience_level", "work_setup", "job_type", "search_text", *order)
 
@@ -52,14 +87,16 @@ def clean_course_batch(courses: DataFrame, order: Sequence[str] = ORDER) -> Data
 
 
 def daily_load(spark: SparkSession, landing_path: str, root: str, as_of: str, run_id: str,
-               keywords: Sequence[str] = SKILL_KEYWORDS, strict: bool = False, days: int = 3) -> dict:
+               keywords: Sequence[str] = SKILL_KEYWORDS, strict: bool = False, days: int = 3,
+               pandas_missing: bool = False) -> dict:
     """One run of the load; returns the new manifest (and rejects under '_rejects')."""
-    return load_lines(spark, read_landing(spark, landing_path), root, as_of, run_id, keywords, strict, days)
+    return load_lines(spark, read_landing(spark, landing_path), root, as_of, run_id, keywords, strict, days,
+                      pandas_missing=pandas_missing)
 
 
 def load_lines(spark: SparkSession, lines: DataFrame, root: str, as_of: str, run_id: str,
                keywords: Sequence[str] = SKILL_KEYWORDS, strict: bool = False, days: int = 3,
-               batch_id: int | None = None) -> dict:
+               batch_id: int | None = None, pandas_missing: bool = False) -> dict:
     """The load over landing lines ``(value, file_path, block_start, pos)``.
 
     ``batch_id`` is stored with the manifest, so a stream that replays a
@@ -71,7 +108,7 @@ def load_lines(spark: SparkSession, lines: DataFrame, root: str, as_of: str, run
         return {}  # no record of any kind: nothing changes
     jobs_raw, courses_raw = route_records(records)
 
-    batch = clean_job_batch(jobs_raw)
+    batch = clean_job_batch(jobs_raw, pandas_missing=pandas_missing)
     good, rejects = check_constraints(batch, "job_vacancies", strict=strict)
     current = read_snapshot(spark, root, "job_vacancies")
     jobs = close_stale(upsert_jobs(current, good, as_of), as_of, days)

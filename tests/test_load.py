@@ -106,3 +106,17 @@ def test_token_join_equals_regex_and_python(spark):
     table = spark.createDataFrame([(k,) for k in kws if k != "++"], "keyword string")
     via_df = sorted((r.i, r.skill_name) for r in S.match_keywords_join(df, "t", table, keep=["i"]).collect())
     assert via_df == [p for p in want if p[1] != "++"]
+
+
+def test_pandas_missing_keys(spark, tmp_path):
+    from jobsight.plans.load import clean_job_batch
+    land = tmp_path / "m"
+    write(land, "a_output.jl", [
+        json.dumps({"job_title": "Data Engineer", "job_url": "a", "job_location": "Bandung", "job_department": "Ops"}),
+        json.dumps({"job_title": "Data Engineer", "job_url": "b"}),
+        json.dumps({"job_title": "Data Engineer", "job_url": "c", "job_location": None, "job_department": None})])
+    jobs, _ = route_records(parse_landing(read_landing(spark, str(land))))
+    plain = {r.job_url: (r.location, r.job_category) for r in clean_job_batch(jobs).collect()}
+    compat = {r.job_url: (r.location, r.job_category) for r in clean_job_batch(jobs, pandas_missing=True).collect()}
+    assert plain == {"a": ("Bandung", "Ops"), "b": (None, "Data Engineering"), "c": (None, "Data Engineering")}
+    assert compat == {"a": ("Bandung", "Ops"), "b": ("Nan", None), "c": (None, "Data Engineering")}

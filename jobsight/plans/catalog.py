@@ -667,6 +667,60 @@ def _facet_filter(spark, sf):
                           salary_min=1000, salary_max=300000, scraped_from="1996-01-01")
 
 
+# ------------------------------------------------------------------ the daily load end to end (§3.1)
+
+LOAD_AS_OF = "2026-04-29 06:00:00"
+
+
+def _load_events(spark, sf):
+    """Run the whole load on the events landing lines into a fresh warehouse
+    under the session's checkpoint folder; returns the warehouse root."""
+    import uuid
+
+    from ..session import scratch_path
+    from .load import bootstrap, load_lines
+    root = scratch_path(spark, f"warehouse-{uuid.uuid4().hex}")
+    bootstrap(spark, root)
+    load_lines(spark, A.landing_lines(spark, sf), root, LOAD_AS_OF, "r1")
+    return root
+
+
+def _load_job_sql() -> str:
+    t = O.clean_text("value->>'job_title'")
+    cols = f"""{O.null_if_na(t)} AS job_title, {O.null_if_na("value->>'company'")} AS company_name,
+  {O.null_if_na(O.location("value->>'job_location'"))} AS location, {O.null_if_na("value->>'job_board'")} AS source,
+  coalesce(value->>'job_url', '') AS job_url, {O.parse_salary("value->>'base_salary'")} AS salary_avg,
+  {O.salary_ok("value->>'base_salary'")} AS salary_ok,
+  {O.null_if_na(O.category("value->>'job_department'", t))} AS job_category,
+  {O.null_if_na("value->>'job_level'")} AS experience_level, {O.work_setup("value->>'work_arrangement'")} AS work_setup,
+  {O.null_if_na("value->>'job_type'")} AS job_type,
+  {O.search_text(t, O.clean_text("value->>'desc'"))} AS search_text"""
+    first = (f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY value->>'job_url' ORDER BY pos) AS rn "
+             f"FROM {L_SQL} WHERE json_valid(value) AND json_type(value) = 'OBJECT' "
+             f"AND NOT list_contains(json_keys(value), 'course_title')) WHERE rn = 1)")
+    sal = "value->>'base_salary'"
+    good = f"{O.null_if_na(t)} IS NOT NULL AND {O.salary_ok(sal)} AND {O.parse_salary(sal)} IS NOT NULL"
+    return f"(SELECT {cols} FROM {first} WHERE {good})"
+
+
+@register("daily_load_jobs", f"""SELECT job_title, company_name, location, source, job_url, salary_avg, job_category,
+  experience_level, work_setup, job_type, TIMESTAMP '{LOAD_AS_OF}' AS scraped_at, TIMESTAMP '{LOAD_AS_OF}' AS last_seen,
+  TRUE AS is_active, CAST(NULL AS TIMESTAMP) AS closed_at FROM {_load_job_sql()}""")
+def _daily_load_jobs(spark, sf):
+    from ..sources.snapshot import read_snapshot
+    root = _load_events(spark, sf)
+    return read_snapshot(spark, root, "job_vacancies").drop("job_id")
+
+
+@register("daily_load_skills", f"""SELECT DISTINCT j.job_url, kw.skill_name FROM {_load_job_sql()} j, {O.keyword_values()}
+WHERE regexp_matches(j.search_text, kw.pat)""")
+def _daily_load_skills(spark, sf):
+    from ..sources.snapshot import read_snapshot
+    root = _load_events(spark, sf)
+    jobs = read_snapshot(spark, root, "job_vacancies", ["job_id", "job_url"])
+    return read_snapshot(spark, root, "job_skills").join(jobs, "job_id").select("job_url", "skill_name")
+
+
 # ------------------------------------------------------------------ pages
 
 for _name, (_fn, _sql) in P.catalog().items():

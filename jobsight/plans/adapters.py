@@ -30,10 +30,14 @@ def spread(df: DataFrame) -> DataFrame:
     scan as many splits and pass through untouched, so no shuffle is added at
     scale; round-robin (not a key) keeps a hot key from landing in one task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    spark = df.sparkSession
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+        splits = len(df.inputFiles())
+    return df.repartition(cores) if splits < cores else df
 
 
 def _case(x: Column, mapping: list, default) -> Column:

@@ -178,6 +178,15 @@ def _clean_text(spark, sf):
                                 X.clean_text("job_location").alias("location_c5"))
 
 
+@register("clean_documents", f"""SELECT doc_id, {O.clean_text('text')} AS text_c5, {O.clean_string('text')} AS text_c1,
+  {O.strip_html('text')} AS text_c2 FROM documents""")
+def _clean_documents(spark, sf):
+    """C5, C1 and C2 over whole document texts."""
+    d = A.documents(spark, sf)
+    return d.select("doc_id", X.clean_text("text").alias("text_c5"), X.clean_string("text").alias("text_c1"),
+                    X.strip_html("text").alias("text_c2"))
+
+
 @register("null_if_na", f"""SELECT pos, {O.null_if_na('job_location')} AS location_c7, {O.null_if_na('work_arrangement')} AS setup_c7,
   {O.null_if_na('job_department')} AS dept_c7 FROM {P_SQL}""")
 def _null_if_na(spark, sf):

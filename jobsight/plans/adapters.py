@@ -118,6 +118,7 @@ def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("level"),
         F.col("p_brand").alias("platform"),
         F.concat(F.lit("https://courses.example/"), (k - shift).cast("string")).alias("url"),
+        F.col("p_size").alias("size"),
     )
 
 

@@ -533,31 +533,42 @@ def _assign_ids(spark, sf):
 
 # ------------------------------------------------------------------ courses
 
-def _course_batch(spark, sf):
-    c = A.courses(spark, sf).withColumn("file_path", F.lit("part")).withColumn("block_start", F.lit(0))
+def _course_batch(spark, sf, where=None):
+    c = A.courses(spark, sf)
+    if where is not None:
+        c = c.filter(where)
+    c = c.withColumn("file_path", F.lit("part")).withColumn("block_start", F.lit(0))
     return clean_course_batch(c)
 
 
-C_BATCH_SQL = f"""(SELECT {O.null_if_na(O.clean_text('course_title'))} AS course_title, {O.null_if_na('platform')} AS platform,
+def _c_batch_sql(where: str = "TRUE") -> str:
+    return f"""(SELECT {O.null_if_na(O.clean_text('course_title'))} AS course_title, {O.null_if_na('platform')} AS platform,
   coalesce(url, '') AS url, {O.search_text(O.clean_text('course_title'), O.clean_text('"desc"'))} AS search_text, pos
-FROM (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY course_title ORDER BY pos) AS rn FROM {C_SQL}) WHERE rn = 1))"""
+FROM (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY course_title ORDER BY pos) AS rn
+  FROM {C_SQL} WHERE {where}) WHERE rn = 1))"""
+
+
+C_BATCH_SQL = _c_batch_sql()
 C_GOOD_SQL = f"(SELECT * FROM {C_BATCH_SQL} WHERE course_title IS NOT NULL)"
+# Two daily course batches: small parts first, then larger ones (sizes 21-30 in both).
+DAY1, DAY2 = "size <= 30", "size > 20"
 
 
 def _first_url_sql(where: str) -> str:
     return (f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY pos) AS rn "
-            f"FROM {C_GOOD_SQL} WHERE {where}) WHERE rn = 1)")
+            f"FROM (SELECT * FROM {_c_batch_sql(where)} WHERE course_title IS NOT NULL)) WHERE rn = 1)")
 
 
-@register("insert_courses", f"""SELECT course_title, platform, url, TIMESTAMP '2026-04-01' AS scraped_at FROM {_first_url_sql('pos < 1000')}
-UNION ALL SELECT course_title, platform, url, TIMESTAMP '2026-04-02' AS scraped_at FROM {_first_url_sql('pos >= 1000')} n
-WHERE NOT EXISTS (SELECT 1 FROM {_first_url_sql('pos < 1000')} o WHERE o.url = n.url)""")
+@register("insert_courses", f"""SELECT course_title, platform, url, TIMESTAMP '2026-04-01' AS scraped_at FROM {_first_url_sql(DAY1)}
+UNION ALL SELECT course_title, platform, url, TIMESTAMP '2026-04-02' AS scraped_at FROM {_first_url_sql(DAY2)} n
+WHERE NOT EXISTS (SELECT 1 FROM {_first_url_sql(DAY1)} o WHERE o.url = n.url)""")
 def _insert_courses(spark, sf):
-    good, _ = lifecycle.check_constraints(_course_batch(spark, sf), "courses", check_unique=False)
     empty = spark.createDataFrame([], "course_id long, course_title string, platform string, url string, scraped_at timestamp_ntz")
-    day1 = lifecycle.insert_courses(empty, good.filter("pos < 1000"), "2026-04-01", order=["pos"])
-    day2 = lifecycle.insert_courses(day1, good.filter("pos >= 1000"), "2026-04-02", order=["pos"])
-    return day2.select("course_title", "platform", "url", "scraped_at")
+    state = empty
+    for as_of, where in (("2026-04-01", DAY1), ("2026-04-02", DAY2)):
+        good, _ = lifecycle.check_constraints(_course_batch(spark, sf, where), "courses", check_unique=False)
+        state = lifecycle.insert_courses(state, good, as_of, order=["pos"])
+    return state.select("course_title", "platform", "url", "scraped_at")
 
 
 @register("resolve_course_id", f"""SELECT b.course_title, i.course_id FROM {C_GOOD_SQL} b
@@ -576,39 +587,50 @@ def _resolve_job(spark, sf):
 
 # ------------------------------------------------------------------ set operators
 
-PAIRS_SQL = f"(SELECT DISTINCT c.pos AS job_id, kw.skill_name FROM {CLS_FIRST} c, {O.keyword_values()} WHERE regexp_matches(c.search_text, kw.pat))"
+PAIRS_SQL = (f"(SELECT DISTINCT c.pos AS job_id, c.seen_at, kw.skill_name FROM {CLS_FIRST} c, {O.keyword_values()} "
+             "WHERE regexp_matches(c.search_text, kw.pat))")
+# Yesterday's pairs are those of postings first seen before the cut; today's
+# batch holds the postings seen since half a year earlier (an overlap).
+PAIR_CUT, PAIR_FROM = "1998-01-01", "1997-07-01"
 
 
 def _pairs(spark, sf):
     first = classified(dedup.dedup_jobs(P_(spark, sf), order=["pos"]))
-    return first, skills.match_keywords(first.withColumnRenamed("pos", "job_id"), "search_text", keep=["job_id"])
+    return first, skills.match_keywords(first.withColumnRenamed("pos", "job_id"), "search_text", keep=["job_id", "seen_at"])
+
+
+def _ts_lit(x: str):
+    return F.lit(x).cast("timestamp_ntz")
 
 
-@register("insert_absent", f"""SELECT * FROM {PAIRS_SQL} WHERE job_id < 7500
-UNION ALL SELECT * FROM {PAIRS_SQL} n WHERE job_id >= 5000 AND NOT EXISTS (SELECT 1 FROM {PAIRS_SQL} o WHERE o.job_id < 7500 AND o.job_id = n.job_id AND o.skill_name = n.skill_name)""")
+@register("insert_absent", f"""SELECT job_id, skill_name FROM {PAIRS_SQL} WHERE seen_at < TIMESTAMP '{PAIR_CUT}'
+UNION ALL SELECT job_id, skill_name FROM {PAIRS_SQL} n WHERE seen_at >= TIMESTAMP '{PAIR_FROM}' AND NOT EXISTS (
+  SELECT 1 FROM {PAIRS_SQL} o WHERE o.seen_at < TIMESTAMP '{PAIR_CUT}' AND o.job_id = n.job_id AND o.skill_name = n.skill_name)""")
 def _insert_absent(spark, sf):
     _, pairs = _pairs(spark, sf)
-    pairs = dedup.distinct_pairs(pairs)
-    return lifecycle.insert_absent(pairs.filter("job_id < 7500"), pairs.filter("job_id >= 5000"), ["job_id", "skill_name"])
+    old = dedup.distinct_pairs(pairs.filter(F.col("seen_at") < _ts_lit(PAIR_CUT)))
+    new = dedup.distinct_pairs(pairs.filter(F.col("seen_at") >= _ts_lit(PAIR_FROM)))
+    return lifecycle.insert_absent(old, new, ["job_id", "skill_name"])
 
 
-@register("append_skills", f"""SELECT * FROM {PAIRS_SQL} WHERE job_id < 5000
-UNION ALL SELECT * FROM {PAIRS_SQL} WHERE job_id >= 5000""")
+@register("append_skills", f"""SELECT job_id, skill_name FROM {PAIRS_SQL} WHERE seen_at < TIMESTAMP '{PAIR_CUT}'
+UNION ALL SELECT job_id, skill_name FROM {PAIRS_SQL} n WHERE seen_at >= TIMESTAMP '{PAIR_FROM}' AND NOT EXISTS (
+  SELECT 1 FROM {PAIRS_SQL} o WHERE o.seen_at < TIMESTAMP '{PAIR_CUT}' AND o.job_id = n.job_id AND o.skill_name = n.skill_name)""")
 def _append_skills(spark, sf):
     first, pairs = _pairs(spark, sf)
-    existing = dedup.distinct_pairs(pairs).filter("job_id < 5000")
-    owners = first.withColumnRenamed("pos", "job_id").filter("job_id >= 5000")
+    existing = dedup.distinct_pairs(pairs.filter(F.col("seen_at") < _ts_lit(PAIR_CUT)))
+    owners = first.withColumnRenamed("pos", "job_id").filter(F.col("seen_at") >= _ts_lit(PAIR_FROM))
     return skills.append_skills(existing, owners, "search_text", "job_id")
 
 
-@register("cascade_delete", f"""SELECT * FROM {PAIRS_SQL} s WHERE EXISTS (SELECT 1 FROM {FIRST_P} f WHERE f.pos = s.job_id AND f.seen_at < TIMESTAMP '1998-01-01')""")
+@register("cascade_delete", f"""SELECT job_id, skill_name FROM {PAIRS_SQL} s WHERE EXISTS (SELECT 1 FROM {FIRST_P} f WHERE f.pos = s.job_id AND f.seen_at < TIMESTAMP '1998-01-01')""")
 def _cascade(spark, sf):
     first, pairs = _pairs(spark, sf)
     parents = first.filter(F.col("seen_at") < F.lit("1998-01-01").cast("timestamp_ntz")).select(F.col("pos").alias("job_id"))
     return lifecycle.cascade_delete(dedup.distinct_pairs(pairs), parents, "job_id")
 
 
-@register("orphan_check", f"""SELECT * FROM {PAIRS_SQL} s WHERE NOT EXISTS (SELECT 1 FROM {FIRST_P} f WHERE f.pos = s.job_id AND f.seen_at < TIMESTAMP '1998-01-01')""")
+@register("orphan_check", f"""SELECT job_id, skill_name FROM {PAIRS_SQL} s WHERE NOT EXISTS (SELECT 1 FROM {FIRST_P} f WHERE f.pos = s.job_id AND f.seen_at < TIMESTAMP '1998-01-01')""")
 def _orphans(spark, sf):
     first, pairs = _pairs(spark, sf)
     parents = first.filter(F.col("seen_at") < F.lit("1998-01-01").cast("timestamp_ntz")).select(F.col("pos").alias("job_id"))

@@ -161,7 +161,8 @@ def courses_sql() -> str:
                                         for i, d in enumerate(COURSE_DESCS[:-1])], q(COURSE_DESCS[-1]))
     return f"""SELECT p_partkey AS pos, {titles} || ' #' || CAST(p_size AS STRING) AS course_title,
   {descs} AS "desc", p_type AS level, p_brand AS platform,
-  'https://courses.example/' || CAST(p_partkey - CASE WHEN p_partkey % 7 = 0 AND p_partkey > 0 THEN 1 ELSE 0 END AS STRING) AS url
+  'https://courses.example/' || CAST(p_partkey - CASE WHEN p_partkey % 7 = 0 AND p_partkey > 0 THEN 1 ELSE 0 END AS STRING) AS url,
+  p_size AS size
 FROM part"""
 
 

@@ -50,48 +50,86 @@ REGEX_MAX_KEYWORDS = 64
 BROADCAST_MAX_KEYWORDS = 200_000
 
 
-def _dictionary(spark, keywords) -> tuple[DataFrame, list[str]]:
-    """Keyword table for the token join, plus keywords it cannot serve."""
+def _dictionary(spark, keywords) -> tuple[DataFrame, list[str], int | None]:
+    """Keyword table for the join, keywords it cannot serve, and the known max run count."""
     if isinstance(keywords, DataFrame):
-        return keywords.select(F.col(keywords.columns[0]).alias("skill_name")).distinct(), []
+        return keywords.select(F.col(keywords.columns[0]).alias("skill_name")).distinct(), [], None
     uniq = list(dict.fromkeys(keywords))
     wordless = [k for k in uniq if not re.search(r"\w", k)]
+    runs = max((len(re.findall(r"\w+", k)) for k in uniq if k not in wordless), default=1)
     table = spark.createDataFrame([(k,) for k in uniq if k not in wordless], "skill_name string")
-    return (F.broadcast(table) if len(uniq) <= BROADCAST_MAX_KEYWORDS else table), wordless
+    return (F.broadcast(table) if len(uniq) <= BROADCAST_MAX_KEYWORDS else table), wordless, runs
+
+
+def _grams(toks: Column, seps: Column, off: Column, n_max: int) -> Column:
+    """Distinct tokens and token n-grams (n <= n_max) with their original separators.
+
+    ``toks``/``seps`` are the text's word runs and non-word runs (``off`` is 1
+    when the text starts with a separator).  They must be columns, not the
+    regex expressions, since the lambdas below read them once per element.
+    A keyword that starts and ends with a word character matches
+    ``\\b kw \\b`` exactly when it equals one of these strings: the match is
+    bounded by whole tokens, and the separators between its tokens are the
+    text's.
+    """
+    def ngram_fn(n: int):
+        def fn(i):
+            pieces = [F.element_at(toks, i)]
+            for j in range(1, n):
+                pieces += [F.element_at(seps, i + (j - 1) + off), F.element_at(toks, i + j)]
+            return F.when(F.size(toks) >= n, F.concat(*pieces))
+        return fn
+
+    parts = [toks]
+    for n in range(2, n_max + 1):
+        starts = F.sequence(F.lit(1), F.greatest(F.size(toks) - (n - 1), F.lit(1)))
+        parts.append(F.transform(starts, ngram_fn(n)))
+    return F.array_distinct(F.filter(F.flatten(F.array(*parts)), lambda g: g.isNotNull()))
+
+
+def split_runs(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
+    """The text's word runs and separator runs as columns of their own projection."""
+    t = F.col(text)
+    return df.select(*keep, F.regexp_extract_all(t, F.lit(WORD_RUN), 0).alias("_toks"),
+                     F.regexp_extract_all(t, F.lit(r"(?U)\W+"), 0).alias("_seps"),
+                     F.when(t.rlike(r"^(?U)\W"), F.lit(1)).otherwise(F.lit(0)).alias("_off"))
 
 
 def match_keywords_join(df: DataFrame, text: str, keywords, keep: Sequence[str] = (),
-                        out: str = "skill_name") -> DataFrame:
-    """E3 for large dictionaries: candidates by token, then exact verification.
-
-    In a ``\\b kw \\b`` match, the first run of word characters inside the
-    keyword is a whole token of the text (a boundary or a non-word character
-    of the keyword sits on each side).  So each text's distinct tokens are
-    joined to the keywords' first runs: a keyword that is a single run matches
-    exactly when its token is present, a longer one is verified with its own
-    pattern on those candidate rows only.  Each (row, keyword) pair comes out
-    of the join at most once, so no de-duplication shuffle follows.
-
-    ``keywords`` is a list (broadcast when its length allows) or a one-column
-    DataFrame.  Keywords without any word character cannot be found through
-    tokens; from a list they go through the regex projection, a DataFrame
-    must not contain them.  The result equals ``match_keywords``.
+                        out: str = "skill_name", max_runs: int | None = None) -> DataFrame:
+    """E3 for large dictionaries, as an equi-join with no regex per candidate.
+
+    Each text is reduced to its distinct tokens and token n-grams (with the
+    text's own separators, up to the longest keyword's number of word runs);
+    these are joined to the lower-cased keywords.  For a keyword that starts
+    and ends with a word character this is exactly ``\\b kw \\b`` (see
+    ``_grams``).  The text itself is not carried through the explode.  Other
+    keywords (rare: leading or trailing punctuation, or no word character)
+    are found by the regex projection when given in a list; a DataFrame
+    dictionary must not contain them.  Each (row, keyword) pair comes out at
+    most once, so no de-duplication shuffle follows.
     """
-    table, wordless = _dictionary(df.sparkSession, keywords)
+    table, wordless, runs = _dictionary(df.sparkSession, keywords)
     low = F.lower(F.col("skill_name"))
-    kw = table.select(
-        F.col("skill_name").alias("_kw"), low.alias("_low"),
-        F.regexp_extract(low, WORD_RUN, 0).alias("_first"),
-        low.rlike(r"^(?U)\w+$").alias("_single"),
-        F.concat(F.lit(r"(?U)\b\Q"), low, F.lit(r"\E\b")).alias("_pat"))
-    rows = df.select(*keep, F.col(text).alias("_t"))
-    tokens = rows.select(*keep, "_t", F.explode(F.array_distinct(
-        F.regexp_extract_all("_t", F.lit(WORD_RUN), 0))).alias("_first"))
-    cand = tokens.join(kw, "_first")
-    hit = F.col("_single") | (F.col("_t").contains(F.col("_low")) & F.expr("_t RLIKE _pat"))
-    found = cand.filter(hit).select(*keep, F.col("_kw").alias(out))
+    kw = table.select(F.col("skill_name").alias("_kw"), low.alias("_gram"),
+                      low.rlike(r"^(?U)\w(.*\w)?$").alias("_plain"))
+    if isinstance(keywords, DataFrame):
+        odd = kw.filter(~F.col("_plain")).limit(1).count()  # 0 or 1
+        if odd:
+            raise ValueError("a keyword DataFrame may hold only keywords that start and end with a word "
+                             "character; pass the others as a list")
+    else:
+        odd = [k for k in dict.fromkeys(keywords) if k not in wordless and not re.match(r"^\w(.*\w)?$", k.lower(), re.S)]
+        wordless = wordless + odd
+        kw = kw.filter("_plain")
+    if max_runs is None:
+        max_runs = runs if runs is not None else table.select(
+            F.max(F.size(F.regexp_extract_all(F.lower("skill_name"), F.lit(WORD_RUN), 0)))).first()[0] or 1  # one row
+    runs_df = split_runs(df, text, keep)
+    grams = runs_df.select(*keep, F.explode(_grams(F.col("_toks"), F.col("_seps"), F.col("_off"), max_runs)).alias("_gram"))
+    found = grams.join(kw, "_gram").select(*keep, F.col("_kw").alias(out))
     if wordless:
-        found = found.unionByName(match_keywords(rows, "_t", wordless, keep=keep, out=out))
+        found = found.unionByName(match_keywords(df, text, wordless, keep=keep, out=out))
     return found
 
 

@@ -3,6 +3,8 @@
 import json
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from jobsight.operators import skills as S
@@ -103,9 +105,12 @@ def test_token_join_equals_regex_and_python(spark):
     via_join = sorted((r.i, r.skill_name) for r in S.match_keywords_join(df, "t", kws, keep=["i"]).collect())
     via_any = sorted((r.i, r.skill_name) for r in S.match_any(df, "t", kws, keep=["i"]).collect())
     assert via_join == want and via_any == want
-    table = spark.createDataFrame([(k,) for k in kws if k != "++"], "keyword string")
+    plain = [k for k in kws if re.match(r"^\w(.*\w)?$", k)]
+    table = spark.createDataFrame([(k,) for k in plain], "keyword string")
     via_df = sorted((r.i, r.skill_name) for r in S.match_keywords_join(df, "t", table, keep=["i"]).collect())
-    assert via_df == [p for p in want if p[1] != "++"]
+    assert via_df == [p for p in want if p[1] in plain]
+    with pytest.raises(ValueError):
+        S.match_keywords_join(df, "t", spark.createDataFrame([(".net",)], "keyword string"), keep=["i"])
 
 
 def test_pandas_missing_keys(spark, tmp_path):

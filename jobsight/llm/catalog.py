@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobsight.llm.decontaminate import contamination
 from jobsight.llm.exact_dedup import exact_duplicates
+from jobsight.llm.jaccard_join import near_duplicates
+from jobsight.llm.piece_bpe import encode_digests
 from jobsight.llm.store import table
+from jobsight.llm.textops import crc_mod
+from jobsight.llm.toxicity import fit_toxicity, toxicity_score
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,16 +24,75 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = f"""
-WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS norm FROM documents)
+WITH d AS (SELECT doc_id, {LOWERED} AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY norm)
 """
 
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def model_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op6_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), model_path())
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity_score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+OP10_SQL = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[k:k + least(13, len(w)) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT n FROM windows),
+doc_windows AS (
+  SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, lengths WHERE len(w) >= n)
+), hits AS (
+  SELECT dw.doc_id, dw.n, dw.k, windows.item_id FROM doc_windows dw JOIN windows ON dw.n = windows.n AND dw.g = windows.g
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op6_piece_bpe": op6_piece_bpe,
+    "op9_toxicity": op9_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
 
 SQL: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
+    "op10_decontamination": OP10_SQL,
 }

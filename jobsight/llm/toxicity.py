@@ -48,7 +48,7 @@ LEAST_WEIGHT = 2.0
 def fold_table() -> dict[int, str | None]:
     """Lower-case, strip accents, fold look-alikes; zero-width signs vanish."""
     out: dict[int, str | None] = {cp: None for cp in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)}
-    for cp in [*range(0x20, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)]:
+    for cp in [*range(0x20, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x1F00), *range(0x2160, 0x2180), *range(0xFF01, 0xFF5F)]:
         plain = "".join(c for c in unicodedata.normalize("NFKD", chr(cp)) if not unicodedata.combining(c))
         folded = "".join(LOOKS_LIKE.get(c, c) for c in plain.lower())
         if folded != chr(cp) and folded.strip():

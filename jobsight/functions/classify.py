@@ -145,31 +145,6 @@ def infer_arrangement_flags(remote_flag, hybrid_flag, default: str = ARRANGEMENT
             .otherwise(F.lit(default)))
 
 
-def classify_job(df_cols: dict) -> dict:
-    """Warehouse projection of one job record (field mapping of the load).
-
-    ``df_cols`` maps record field names to columns; returns warehouse column
-    name to expression.  C7 is applied to all but url, salary and work setup.
-    """
-    def g(name):
-        c = df_cols.get(name)
-        return c if c is not None else F.lit(None).cast("string")
-    title = g("job_title")
-    return {
-        "job_title": null_if_na(title),
-        "company_name": null_if_na(g("company")),
-        "location": null_if_na(standardize_location(g("job_location"))),
-        "source": null_if_na(g("job_board")),
-        "job_url": F.coalesce(g("job_url"), F.lit("")),
-        "salary_avg": parse_salary(g("base_salary")),
-        "salary_ok": salary_is_numeric(g("base_salary")),
-        "job_category": null_if_na(standardize_category(g("job_department"), title)),
-        "experience_level": null_if_na(g("job_level")),
-        "work_setup": standardize_work_setup(g("work_arrangement")),
-        "job_type": null_if_na(g("job_type")),
-    }
-
-
 def classify_frame(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The warehouse projection of job records, in two stages.
 
@@ -185,7 +160,7 @@ def classify_frame(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *keep,
         g("job_title").alias("_title"), g("company").alias("_company"),
         standardize_location(g("job_location")).alias("_loc"), g("job_board").alias("_board"),
-        F.coalesce(g("job_url"), F.lit("")).alias("job_url"), g("base_salary").alias("_salary"),
+        g("job_url").alias("job_url"), g("base_salary").alias("_salary"),
         salary_is_numeric(g("base_salary")).alias("salary_ok"),
         standardize_category(g("job_department"), g("job_title")).alias("_cat"), g("job_level").alias("_level"),
         standardize_work_setup(g("work_arrangement")).alias("work_setup"), g("job_type").alias("_type"))

@@ -42,8 +42,8 @@ def assign_ids(df: DataFrame, id_col: str, start, order: Sequence[str] = (),
       warehouse key allows gaps).
     * ``compact=True``: ``start + 1, start + 2, ...``; each partition numbers
       its rows locally and adds the row count of the partitions before it.
-      The counts are one row per partition, so broadcasting them is bounded by
-      the partition count.  The numbered rows are checkpointed to the shared
+      The counts are one row per partition, summed up in one unpartitioned
+      window over those few rows.  The numbered rows are checkpointed to the shared
       checkpoint folder first, so both passes see the same numbering.
     """
     local = df.sortWithinPartitions(*order) if order else df
@@ -57,15 +57,14 @@ def assign_ids(df: DataFrame, id_col: str, start, order: Sequence[str] = (),
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n"))
-    out =(local.join(F.broadcast(offsets.select("_pid", "_off", "_m0")), "_pid")
+    out = (local.join(offsets.select("_pid", "_off", "_m0"), "_pid")
            .withColumn(id_col, (base + F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1).cast("long")))
     return out.drop("_pid", "_mid", "_off", "_m0")
 
 
 def max_id(df: DataFrame, id_col: str) -> Column:
-    """Scalar subquery-free max id as a literal column (0 when empty)."""
-    row = df.agg(F.max(id_col).alias("m")).collect()[0]  # one row
-    return F.lit(row["m"] or 0).cast("long")
+    """The largest id as a scalar subquery (0 when empty): evaluated with the plan, not before it."""
+    return F.coalesce(df.agg(F.max(id_col)).scalar(), F.lit(0)).cast("long")
 
 
 # ------------------------------------------------------------ predicates
@@ -173,8 +172,9 @@ def check_constraints(df: DataFrame, table: str = "job_vacancies", key: str | No
 
     Checks NOT NULL, VARCHAR lengths, the salary's numeric shape and range,
     and key uniqueness (every row of a repeated key is rejected: the
-    warehouse would refuse the whole batch).  ``strict`` raises instead, as
-    the warehouse does.
+    warehouse would refuse the whole batch).  Uniqueness counts the rows of a
+    key behind one shuffle; a batch that F1 has made unique needs no
+    ``check_unique``.  ``strict`` raises instead, as the warehouse does.
     """
     key = key or ("job_url" if table == "job_vacancies" else "url")
     not_null = list(not_null) if not_null is not None else (
@@ -188,12 +188,11 @@ def check_constraints(df: DataFrame, table: str = "job_vacancies", key: str | No
         reasons.append(F.when(F.col("salary_ok") & F.col("salary_avg").isNull(), F.lit("salary_out_of_range")))
     checked = df
     if check_unique:
-        dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
-        checked = df.join(dup.withColumn("_dup", F.lit(True)), key, "left")
-        reasons.append(F.when(F.col("_dup"), F.lit("duplicate_key")))
+        checked = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
+        reasons.append(F.when(F.col(key).isNotNull() & (F.col("_n") > 1), F.lit("duplicate_key")))
     checked = checked.withColumn("reject_reason", F.concat_ws(";", F.array_compact(F.array(*reasons))))
     if check_unique:
-        checked = checked.drop("_dup")
+        checked = checked.drop("_n")
     good = checked.filter(F.col("reject_reason") == "").drop("reject_reason")
     bad = checked.filter(F.col("reject_reason") != "")
     if strict:
@@ -222,9 +221,13 @@ def replay(current: DataFrame, batches: Sequence[tuple], days: int = 3) -> DataF
 
 
 def replay_closed_form(sightings: DataFrame, as_of, key: str = "job_url", seen: str = "seen_at",
-                       order: Sequence[str] = ("pos",), days: int = 3) -> DataFrame:
+                       order: Sequence[str] = ("pos",), days: int = 3,
+                       columns: Sequence[str] | None = None) -> DataFrame:
     """G8 in closed form: the state after daily runs up to ``as_of``.
 
+    ``columns`` names the output columns wanted (default: all).  Only those are
+    carried, so the rules behind the others are pruned from the plan.
+
     A run on day d stamps ``last_seen = d`` on every key seen that day and
     closes active keys last seen before ``d - days``.  So a key seen on days
     s1 < ... < sk is active iff ``sk >= as_of - days``; it was closed on the
@@ -238,16 +241,15 @@ def replay_closed_form(sightings: DataFrame, as_of, key: str = "job_url", seen:
     row of its last day.  The gaps are then read off the sorted day array.
     """
     day = F.to_date(F.col(seen))
-    row = F.struct(*[F.col(c) for c in BATCH_COLS if c != key])
+    wanted = [c for c in BATCH_COLS if columns is None or c in columns]
+    refreshed = set(UPSERT_REFRESH)
+    held = {"_first": [c for c in wanted if c != key and c not in refreshed], "_last": [c for c in wanted if c in refreshed]}
     first_rank = F.struct(day.alias("d"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
     # the first row of the last day: latest day, then smallest order (any orderable type)
     last_rank = F.struct((-F.datediff(day, F.lit("1970-01-01"))).alias("d"),
                          *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
-    agg = sightings.groupBy(key).agg(
-        F.sort_array(F.collect_set(day)).alias("_days"),
-        F.min_by(row, first_rank).alias("_first"),
-        F.min_by(row, last_rank).alias("_last"),
-    )
+    best = [F.min_by(F.struct(*names), rank).alias(at) for (at, names), rank in zip(held.items(), (first_rank, last_rank)) if names]
+    agg = sightings.groupBy(key).agg(F.sort_array(F.collect_set(day)).alias("_days"), *best)
     end = F.to_date(_ts(as_of))
     n = F.size("_days")
     closing = F.transform(
@@ -256,14 +258,9 @@ def replay_closed_form(sightings: DataFrame, as_of, key: str = "job_url", seen:
             (F.date_add(F.element_at("_days", i + 1), days + 1) <= end)
             & ((i == n - 1) | (F.element_at("_days", i + 2) > F.date_add(F.element_at("_days", i + 1), days + 1))),
             F.date_add(F.element_at("_days", i + 1), days + 1)))
-    refreshed = set(UPSERT_REFRESH)
     cols = [F.col(key) if c == key else F.col(f"{'_last' if c in refreshed else '_first'}.{c}").alias(c)
-            for c in BATCH_COLS]
+            for c in wanted]
     d0, d1 = F.element_at("_days", 1), F.element_at("_days", -1)
-    return agg.select(
-        *cols,
-        d0.cast("timestamp_ntz").alias("scraped_at"),
-        d1.cast("timestamp_ntz").alias("last_seen"),
-        (d1 >= F.date_sub(end, days)).alias("is_active"),
-        F.array_max(closing).cast("timestamp_ntz").alias("closed_at"),
-    )
+    times = {"scraped_at": d0.cast("timestamp_ntz"), "last_seen": d1.cast("timestamp_ntz"),
+             "is_active": d1 >= F.date_sub(end, days), "closed_at": F.array_max(closing).cast("timestamp_ntz")}
+    return agg.select(*cols, *[v.alias(k) for k, v in times.items() if columns is None or k in columns])

@@ -158,8 +158,13 @@ def normalise_karir(payloads: DataFrame, now: Column) -> DataFrame:
 
 def normalise_greenhouse(payloads: DataFrame, now: Column, company: str = "Flip",
                          board: str = "Flip Careers", infer_from_content: bool = True,
-                         url_base: str = "https://boards.greenhouse.io/flip/jobs/") -> DataFrame:
-    """B4 (Flip) / B5 (Vidio): Greenhouse ``jobs``; first department and office."""
+                         url_base: str = "https://boards.greenhouse.io/flip/jobs/",
+                         content_chars: int | None = None) -> DataFrame:
+    """B4 (Flip) / B5 (Vidio): Greenhouse ``jobs``; first department and office.
+
+    The description takes the whole content; ``content_chars=200`` cuts it as
+    the original crawler does, so that later text reaches no skill.
+    """
     it = explode_items(payloads, "$.jobs")
     i = F.col("item")
     title = collapse_ws(jget(i, "$.title"))
@@ -170,7 +175,7 @@ def normalise_greenhouse(payloads: DataFrame, now: Column, company: str = "Flip"
         updated = jget(i, "$.updated_at")
         last_seen = F.when(is_falsy(updated), now).otherwise(iso_or_now(updated, now))
         setup = infer_arrangement([content])
-        desc = F.concat_ws(" ", title, dept, F.substring(content, 1, 200))
+        desc = F.concat_ws(" ", title, dept, content if content_chars is None else F.substring(content, 1, content_chars))
         url = F.coalesce(jget(i, "$.absolute_url"), F.concat(F.lit(url_base), F.coalesce(jget(i, "$.id"), F.lit(""))))
     else:
         loc = F.coalesce(jget(i, "$.offices[0].name"), F.lit("Indonesia"))

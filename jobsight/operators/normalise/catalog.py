@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 from ...plans import adapters as A
 from ..filters import filter_json_type
-from ..pages import board_sizes, extract_ld_json, json_items, ld_json_type_census, next_data_keys
+from ..pages import (board_sizes, detect_ats, extract_ld_json, harvest_titles, has_next_data, json_items, ld_json_type_census,
+                     next_data_keys)
 from . import api, html
 from .oracle import SQL
 
 NOW = "2026-04-29 06:00:00"
 PAGE = 20
+# longer than any cut of the original crawler, with a skill at its end
+FILLER = " lorem ipsum" * 30 + " Python"
 
 
 def _orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,7 +32,7 @@ def _orders(spark: SparkSession, sf: str) -> DataFrame:
                                             "o_orderdate", "o_orderpriority")
     c = A.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = A.table(spark, sf, "nation").select("n_nationkey", "n_name")
-    return (o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
             .withColumn("iso", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")))
 
 
@@ -105,7 +108,7 @@ def greenhouse_payloads(spark, sf):
     item = F.struct(
         k.alias("id"), _title().alias("title"), F.concat("iso", F.lit("+07:00")).alias("updated_at"),
         F.when(k % 2 == 0, F.concat(F.lit("https://boards.example/j/"), k.cast("string"))).alias("absolute_url"),
-        A._case(F.col("o_orderpriority"), [("1-URGENT", "Fully remote team"), ("2-HIGH", "Hybrid office")], "Office").alias("content"),
+        F.concat(A._case(F.col("o_orderpriority"), [("1-URGENT", "Fully remote team"), ("2-HIGH", "Hybrid office")], "Office"), F.lit(FILLER)).alias("content"),
         F.struct(F.lower("n_name").alias("name")).alias("location"),
         F.array(F.struct(F.col("c_mktsegment").alias("name"))).alias("departments"),
         F.array(F.struct(F.lower("n_name").alias("name"))).alias("offices"))
@@ -126,7 +129,7 @@ def lever_payloads(spark, sf):
 def jibe_payloads(spark, sf):
     k = F.col("o_orderkey")
     data = F.struct(
-        k.alias("req_id"), _title().alias("title"), F.lit("Remote friendly").alias("description"),
+        k.alias("req_id"), _title().alias("title"), A._case(k % 3, [(0, "Remote friendly"), (1, "Hybrid desk")], "Office").alias("description"),
         F.lit("SQL").alias("qualifications"), F.array(F.col("c_mktsegment")).alias("tags2"),
         F.lower("n_name").alias("full_location"), F.lit("Full time").alias("employment_type"),
         F.col("c_name").alias("hiring_organization"),
@@ -147,28 +150,73 @@ def koltiva_payloads(spark, sf):
 
 
 def ld_pages(spark, sf):
+    """JSON-LD lists; the script tag has other attributes too, every second place is a list."""
     k = F.col("o_orderkey")
     item = F.to_json(F.struct(
         F.lit("JobPosting").alias("@type"), F.when(k % 9 != 0, F.concat(F.lit("https://id.jobstreet.example/job/"), k.cast("string"))).alias("url"),
         _title().alias("title"), F.concat("iso", F.lit("Z")).alias("datePosted"), F.col("iso").alias("validThrough"),
-        F.lit("Full time").alias("employmentType"), F.lit("<p>SQL</p>").alias("description"),
-        F.struct(F.col("c_name").alias("name")).alias("hiringOrganization"),
-        F.struct(F.struct(F.lower("n_name").alias("addressLocality")).alias("address")).alias("jobLocation")))
-    return _pages(spark, sf, item, lambda a: F.concat(F.lit('<html><script type="application/ld+json">['),
-                                                        F.array_join(a, ","), F.lit("]</script></html>")))
+        F.lit("Full time").alias("employmentType"), F.lit("<p>SQL</p>" + FILLER).alias("description"),
+        F.struct(F.col("c_name").alias("name")).alias("hiringOrganization")))
+    place = F.to_json(F.struct(F.struct(F.lower("n_name").alias("addressLocality")).alias("address")))
+    place = F.when(k % 2 == 0, F.concat(F.lit("["), place, F.lit("]"))).otherwise(place)
+    item = F.concat(F.substring(item, F.lit(1), F.length(item) - 1), F.lit(', "jobLocation": '), place, F.lit("}"))
+    tag = F.when(F.col("seq") % 2 == 0, F.lit('<script data-rh="true" type="application/ld+json">')).otherwise(
+        F.lit('<script type="application/ld+json" id="x">'))
+    return _pages(spark, sf, item, lambda a: F.concat(F.lit("<html>"), tag, F.lit("["), F.array_join(a, ","), F.lit("]</script></html>")))
 
 
 def next_pages(spark, sf):
+    """The jobs at each of the three paths in turn; an empty classification falls through to the categories."""
     k = F.col("o_orderkey")
-    item = F.struct(
+    item = F.to_json(F.struct(
         F.concat(F.lit("/job/"), k.cast("string")).alias("jobUrl"), _title().alias("title"),
         F.struct(F.col("c_name").alias("description")).alias("advertiser"),
         F.struct(F.lower("n_name").alias("label")).alias("location"),
-        F.struct(F.col("c_mktsegment").alias("description")).alias("classification"),
-        F.concat("iso", F.lit("Z")).alias("listingDate"))
-    return _pages(spark, sf, item, lambda a: F.concat(
-        F.lit('<html><script id="__NEXT_DATA__" type="application/json">'),
-        F.to_json(F.struct(F.struct(F.struct(a.alias("jobs")).alias("pageProps")).alias("props"))), F.lit("</script></html>")))
+        F.array(F.struct(F.col("c_mktsegment").alias("name"))).alias("categories"),
+        F.concat("iso", F.lit("Z")).alias("listingDate")))
+    kind = F.when(k % 3 == 0, F.lit('""')).when(k % 3 == 1, F.lit("{}")).otherwise(
+        F.to_json(F.struct(F.lower("c_mktsegment").alias("description"))))
+    item = F.concat(F.substring(item, F.lit(1), F.length(item) - 1), F.lit(', "classification": '), kind, F.lit("}"))
+
+    def wrap(a):
+        jobs = F.concat(F.lit('{"jobs": ['), F.array_join(a, ","), F.lit("]}"))
+        at = F.col("seq") % 3
+        props = (F.when(at == 0, F.concat(F.lit('{"initialCandidateExperimentalData": '), jobs, F.lit("}")))
+                 .when(at == 1, jobs).otherwise(F.concat(F.lit('{"jobs": [], "searchResults": '), jobs, F.lit("}"))))
+        tag = F.when(F.col("seq") % 2 == 0, F.lit('<script id="__NEXT_DATA__" type="application/json">')).otherwise(
+            F.lit('<script type="application/json" nonce="n" id="__NEXT_DATA__">'))
+        return F.concat(F.lit("<html>"), tag, F.lit('{"props": {"pageProps": '), props, F.lit("}}</script></html>"))
+    return _pages(spark, sf, item, wrap)
+
+
+def posting_pages(spark, sf):
+    """Search cards, vendor links, JSON titles and page titles of several kinds; one page in four has data for Next."""
+    k = F.col("o_orderkey")
+    key = k.cast("string")
+    name = F.regexp_replace(_title(), "<[^>]*>", " ")
+    link = (F.when(k % 5 == 0, F.lit(""))
+            .when(k % 5 == 1, F.concat(F.lit('<a href="/id/job/other"><b>x</b></a><a data-x="1" href="/id/job/'), key,
+                                       F.lit('?ref=cardTitle">'), name, F.lit("</a>")))
+            .when(k % 5 == 2, F.concat(F.lit('<a href="https://id.jobstreet.com/id/job/'), key, F.lit('?a=1"> </a><h2>'), name, F.lit("</h2>")))
+            .otherwise(F.concat(F.lit('<a href="/id/job/'), key, F.lit('"><span>'), name, F.lit("</span></a>"))))
+    company = (F.when(k % 3 == 0, F.concat(F.lit('<b data-automation="jobCompany">'), F.col("c_name"), F.lit("</b>")))
+               .when(k % 3 == 1, F.concat(F.lit('<span class="x-company y">'), F.lower("c_name"), F.lit("</span>"))).otherwise(F.lit("")))
+    place = F.when(k % 2 == 0, F.concat(F.lit('<i data-automation="jobLocation">'), F.lower("n_name"), F.lit("</i>"))).otherwise(F.lit(""))
+    pay = F.when(k % 4 == 0, F.concat(F.lit('<i data-automation="jobSalary">Rp '), F.floor("o_totalprice").cast("string"), F.lit("</i>"))).otherwise(F.lit(""))
+    piece = F.concat(F.lit('<article data-testid="job-card">'), link, company, place, pay, F.lit("</article>"))
+
+    def wrap(a):
+        n = F.col("seq")
+        text = n.cast("string")
+        title = (F.when(n % 3 == 0, F.concat(F.lit("Engineer "), text, F.lit(" at Firm "), text, F.lit(" - Tech in Asia")))
+                 .when(n % 3 == 1, F.concat(F.lit("Role "), text, F.lit(" - Tech in Asia"))).otherwise(F.lit("")))
+        vendor = (F.when(n % 3 == 0, F.lit('<a href="https://boards.greenhouse.io/x">g</a><a href="http://jobs.lever.co/y">l</a>'))
+                  .when(n % 3 == 1, F.lit('<a href="https://x.recruitee.com/o">r</a>')).otherwise(F.lit("")))
+        data = F.when(n % 4 == 0, F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">{"title": "Posting number '), text,
+                                           F.lit('", "n": {"title": "x"}}</script>'))).otherwise(F.lit(""))
+        return F.concat(F.lit("<html><head><title>"), title, F.lit("</title></head><body><p>About <b>team "), text, F.lit("</b> </p><span>Use SQL</span>"),
+                        vendor, data, F.array_join(a, ""), F.lit('<footer><a href="/id/job/footer">f</a></footer></body></html>'))
+    return _pages(spark, sf, piece, wrap)
 
 
 def apollo_pages(spark, sf):
@@ -197,22 +245,28 @@ def job_card_pages(spark, sf):
 
 def vidio_pages(spark, sf):
     k = F.col("o_orderkey")
-    piece = F.concat(F.lit('<div class="b-job"><a href="/careers/'), k.cast("string"), F.lit('"><span class="b-job__name">'),
-                     _title(), F.lit('</span><span class="b-job__location">'), F.lower("n_name"),
+    piece = F.concat(F.lit('<div class="b-job"><a href="/careers/'), k.cast("string"), F.lit('"><h3 class="b-job__name">'),
+                     _title(), F.lit('</h3><span class="b-job__location">'), F.lower("n_name"),
                      F.lit('</span><span class="b-job__department">'), F.col("c_mktsegment"), F.lit("</span></a></div>"))
-    return _pages(spark, sf, piece, lambda a: F.concat(F.lit("<html><body>"), F.array_join(a, ""), F.lit("</body></html>")))
+    return _pages(spark, sf, piece, lambda a: F.concat(
+        F.lit("<html><body>"), F.array_join(a, ""), F.lit('<div class="b-job"><a><h2>No link</h2></a></div>'
+                                                           '<footer><a href="/about"><h3>About</h3></a></footer></body></html>')))
 
 
 def trakstar_pages(spark, sf):
     k = F.col("o_orderkey")
     setup = F.when(F.col("o_orderpriority") == "1-URGENT", "Remote").otherwise("On-site")
     piece = F.concat(
-        F.lit('<div class="js-card list-item"><h3 class="js-job-list-opening-name">'), _title(),
-        F.lit('</h3><div class="js-job-list-opening-loc">'), F.lower("n_name"),
+        F.lit('<div class="js-card list-item">'),
+        F.when(k % 2 == 0, F.lit('<h3 class="js-job-list-opening-name">')).otherwise(F.lit("<h2>")), _title(),
+        F.when(k % 2 == 0, F.lit("</h3>")).otherwise(F.lit("</h2><h3>Second</h3>")),
+        F.lit('<div class="js-job-list-opening-loc">'), F.lower("n_name"),
         F.lit('</div><div class="col-md-4"><div class="rb-text-4">'), F.col("c_mktsegment"),
         F.lit('</div></div><div class="js-job-list-opening-meta"><span>Full-time</span><span>'), setup,
         F.lit('</span></div><a href="/jobs/'), k.cast("string"), F.lit('">Apply</a></div>'))
-    return _pages(spark, sf, piece, lambda a: F.concat(F.lit("<html><body>"), F.array_join(a, ""), F.lit("</body></html>")))
+    return _pages(spark, sf, piece, lambda a: F.concat(
+        F.lit("<html><body>"), F.array_join(a, ""), F.lit('<div class="js-card list-item"><h3>No link</h3></div>'
+                                                           '<footer><a href="/about">About</a></footer></body></html>')))
 
 
 def catalog() -> dict:
@@ -237,7 +291,13 @@ def catalog() -> dict:
         "normalise_trakstar_cards": (lambda s, sf: html.normalise_trakstar_cards(trakstar_pages(s, sf), now()), None),
         "board_sizes": (lambda s, sf: board_sizes(greenhouse_payloads(s, sf)).select("seq", "n_postings"), None),
         "extract_ld_json": (lambda s, sf: extract_ld_json(ld_pages(s, sf)).select(
-            "page_id", "block_pos", F.json_array_length("block").alias("n_items")), None),
+            "page_id", "block_pos", F.json_array_length("block").alias("n_items"),
+            F.transform(json_items(F.col("block")), lambda x: F.get_json_object(x, "$.title")).alias("titles")), None),
+        "normalise_search_cards": (lambda s, sf: html.normalise_search_cards(posting_pages(s, sf), now()), None),
+        "normalise_title_page": (lambda s, sf: html.normalise_title_page(posting_pages(s, sf), now()), None),
+        "has_next_data_rendered": (lambda s, sf: posting_pages(s, sf).select("page_id", has_next_data("html").alias("has_next_data")), None),
+        "detect_ats_rendered": (lambda s, sf: detect_ats(posting_pages(s, sf)), None),
+        "harvest_titles_rendered": (lambda s, sf: harvest_titles(posting_pages(s, sf), markers=["__NEXT_DATA__", "lever.co"]), None),
         "ld_json_type_census": (lambda s, sf: ld_json_type_census(ld_pages(s, sf)), None),
         "next_data_keys": (lambda s, sf: next_data_keys(next_pages(s, sf)), None),
         "filter_json_type": (lambda s, sf: filter_json_type(extract_ld_json(ld_pages(s, sf)).select(

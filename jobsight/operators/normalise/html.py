@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ...functions.dates import iso_or_now
 from ...functions.text import absolutize_url, clean_string, is_falsy, py_strip
 from ...schemas import COURSE_RECORD
-from ..pages import LD_JSON, NEXT_DATA, json_items
+from ..pages import LD_JSON, NEXT_DATA, json_items, title_page
 from .base import course_record, emit, jget, job_record
 
 JOBSTREET = "https://id.jobstreet.com"
@@ -25,8 +25,12 @@ def _pages_order(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("page_id", "seq")
 
 
-def normalise_ld_json(pages: DataFrame, now: Column) -> DataFrame:
-    """JSON-LD ``JobPosting`` items (object or list); items without url dropped."""
+def normalise_ld_json(pages: DataFrame, now: Column, desc_chars: int | None = None) -> DataFrame:
+    """JSON-LD ``JobPosting`` items (object or list); items without url dropped.
+
+    The whole description is kept; ``desc_chars=300`` cuts it as the original
+    crawler does, so that later text reaches no skill.
+    """
     blocks = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(LD_JSON), 1)).alias("block_pos", "block"))
     items = blocks.select("page_id", "block_pos", F.posexplode(json_items(F.col("block"))).alias("item_pos", "item"))
     i = F.col("item")
@@ -37,6 +41,7 @@ def normalise_ld_json(pages: DataFrame, now: Column) -> DataFrame:
         F.coalesce(F.nullif(jget(i, "$.jobLocation.address.addressLocality"), F.lit("")),
                    F.nullif(jget(i, "$.jobLocation.address.addressRegion"), F.lit("")), F.lit("Indonesia")))
     posted = jget(i, "$.datePosted")
+    desc = F.coalesce(jget(i, "$.description"), F.lit(""))
     rec = job_record(
         now, job_title=clean_string(F.coalesce(jget(i, "$.title"), F.lit("N/A"))),
         job_location=clean_string(location), job_department=F.lit("N/A"), job_url=jget(i, "$.url"),
@@ -45,9 +50,9 @@ def normalise_ld_json(pages: DataFrame, now: Column) -> DataFrame:
         job_apply_end_date=iso_or_now(jget(i, "$.validThrough"), now),
         company=clean_string(F.coalesce(jget(i, "$.hiringOrganization.name"), F.lit("Private Advertiser"))),
         job_board=F.lit("Jobstreet"), job_board_url=F.lit(JOBSTREET), work_arrangement=F.lit("On-site"),
-        desc=clean_string(F.substring(F.coalesce(jget(i, "$.description"), F.lit("")), 1, 300)))
+        desc=clean_string(desc if desc_chars is None else F.substring(desc, 1, desc_chars)))
     return emit(items, {"source": F.lit("jobstreet"), "seq": F.col("page_id"),
-                        "item_pos": F.col("block_pos") * 100000 + F.col("item_pos")}, rec)
+                        "block_pos": F.col("block_pos"), "item_pos": F.col("item_pos")}, rec)
 
 
 def normalise_next_data(pages: DataFrame, now: Column) -> DataFrame:
@@ -70,7 +75,8 @@ def normalise_next_data(pages: DataFrame, now: Column) -> DataFrame:
                          F.lit("Indonesia"))
     loc = F.when(loc_raw.startswith("{"), F.coalesce(F.nullif(jget(loc_raw, "$.label"), F.lit("")),
                                                       jget(loc_raw, "$.name"), F.lit("Indonesia"))).otherwise(loc_raw)
-    cats = F.coalesce(j("classification"), j("categories"))
+    filled = lambda c: F.when(~c.isin("", "{}", "[]", "null", "false", "0"), c)
+    cats = F.coalesce(filled(j("classification")), filled(j("categories")))
     dept = (F.when(cats.startswith("{"), F.coalesce(jget(cats, "$.description"), F.lit("N/A")))
             .when(cats.startswith("["), F.coalesce(jget(cats, "$[0].name"), F.lit("N/A"))).otherwise(F.lit("N/A")))
     title = clean_string(F.coalesce(F.nullif(j("title"), F.lit("")), F.nullif(j("jobTitle"), F.lit("")), F.lit("N/A")))
@@ -158,17 +164,24 @@ def normalise_job_cards(pages: DataFrame, now: Column, link_marker: str, base: s
 
 
 def _first_text(card: Column, patterns: Sequence[str]) -> Column:
-    """The first pattern whose group 1 is non-empty, as in a ``a, b, c::text`` selector list."""
-    return F.coalesce(*[F.nullif(F.regexp_extract(card, p, 1), F.lit("")) for p in patterns])
+    """Text of the first element in the card that any pattern matches, as in a CSS ``a, b, c::text`` group.
+
+    The patterns are tried together at each place, so document order decides.
+    """
+    every = "|".join(f"(?:{p})" for p in patterns)
+    found = F.regexp_extract(card, every, 0)
+    inner = F.coalesce(*[F.nullif(F.regexp_extract(found, p, 1), F.lit("")) for p in patterns])
+    return F.when(found != "", inner)
 
 
 def cards_by_cascade(pages: DataFrame, routes: Sequence[str]) -> DataFrame:
     """Cards of the first route that finds any on a page (selector cascade).
 
     A route is a regex for the start of a card element.  The page is split in
-    front of every match, so a card runs from its start to the next card (or
-    the page end).  All routes are evaluated in one projection of the page and
-    the first non-empty one wins: one scan, no shuffle.
+    front of every match; a card then ends at its own closing tag (see
+    ``own_element``), so nothing behind it, on a page's last card the footer,
+    counts as the card's.  All routes are evaluated in one projection of the
+    page and the first non-empty one wins: one scan, no shuffle.
     """
     # a leading marker keeps the text before the first card as element 1 even
     # when the page starts with a card (a split never yields a leading empty
@@ -177,30 +190,53 @@ def cards_by_cascade(pages: DataFrame, routes: Sequence[str]) -> DataFrame:
     parts = [F.slice(F.split(page, "(?=" + r + ")"), 2, 1 << 30) for r in routes]
     hits = [F.when(F.col("html").rlike(r), a) for r, a in zip(routes, parts)]
     chosen = F.coalesce(*hits, F.array().cast("array<string>"))
-    return pages.select("page_id", F.posexplode(chosen).alias("item_pos", "card"))
+    cards = pages.select("page_id", F.posexplode(chosen).alias("item_pos", "card"))
+    return cards.select("page_id", "item_pos", own_element(F.col("card")).alias("card"))
 
 
-# Selector cascades of the two career pages, as regexes for card starts and
+def own_element(markup: Column) -> Column:
+    """The element that ``markup`` starts with, up to its closing tag (all of it if there is none).
+
+    The pieces between tags of the element's name are counted up and down; the
+    first piece after which the count is zero ends the element.
+    """
+    name = F.regexp_extract(markup, r"^<([a-zA-Z0-9]+)", 1)
+    pieces = F.split(markup, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"\b)")))
+    step = lambda p: F.when(p.startswith("</"), -1).when(p.startswith("<"), 1).otherwise(0)
+    ended = F.aggregate(
+        pieces, F.struct(F.lit(0).alias("open"), F.lit(0).alias("seen"), F.lit(0).alias("end")),
+        lambda a, p: F.struct((a["open"] + step(p)).alias("open"), (a["seen"] + 1).alias("seen"),
+                              F.when((a["end"] == 0) & (a["open"] + step(p) == 0), a["seen"] + 1).otherwise(a["end"]).alias("end")),
+        lambda a: a["end"])
+    whole = F.concat(F.array_join(F.slice(pieces, 1, ended - 1), ""),
+                     F.regexp_extract(F.element_at(pieces, ended), r"^</[^>]*>?", 0))
+    return F.when(ended > 0, whole).otherwise(markup)
+
+
+# Selector cascades of the two career pages, as regexes for card starts and
 # for the text of each field (first hit wins, like a CSS selector list).
 VIDIO_ROUTES = [r'<div[^>]*class="[^"]*b-job[^"]*"[^>]*>\s*<a\b', r'<div[^>]*class="career-item[ "][^>]*>\s*<a\b',
                 r'<li[^>]*class="job-item[ "][^>]*>\s*<a\b', r'<a\b[^>]*href="[^"]*/careers/',
                 r'<div[^>]*class="[^"]*job[^"]*"[^>]*>\s*<h3\b', r'<(?:div|li)[^>]*class="[^"]*job[^"]*"[^>]*>']
-VIDIO_TITLE = [r'class="[^"]*(?:b-job__name|job-title)[^"]*"[^>]*>([^<]*)<', r"<h3[^>]*>([^<]*)<", r"<h2[^>]*>([^<]*)<",
-               r">([^<]*\S[^<]*)<"]
-VIDIO_LOCATION = [r'class="[^"]*(?:b-job__location|location)[^"]*"[^>]*>([^<]*)<', r"<span[^>]*>([^<]*)<"]
-VIDIO_DEPARTMENT = [r'class="[^"]*(?:b-job__department|department)[^"]*"[^>]*>([^<]*)<']
+VIDIO_TITLE = [r'class="[^"]*(?:b-job__name|job-title)[^"]*"[^>]*>([^<]+)<', r"<h3[^>]*>([^<]+)<", r"<h2[^>]*>([^<]+)<"]
+VIDIO_LOCATION = [r'class="[^"]*(?:b-job__location|location)[^"]*"[^>]*>([^<]+)<', r"<span[^>]*>([^<]+)<"]
+VIDIO_DEPARTMENT = [r'class="[^"]*(?:b-job__department|department)[^"]*"[^>]*>([^<]+)<']
 TRAKSTAR_ROUTES = [r'<div[^>]*class="js-card list-item[ "]', r'<div[^>]*class="job-card[ "]', r'<li[^>]*class="opening[ "]',
                    r'<a\b[^>]*href="[^"]*job']
-TRAKSTAR_TITLE = [r'<h3[^>]*class="js-job-list-opening-name[^"]*"[^>]*>([^<]*)<', r"<h3[^>]*>([^<]*)<",
-                  r"<h2[^>]*>([^<]*)<", r">([^<]*\S[^<]*)<"]
-TRAKSTAR_LOCATION = [r'class="js-job-list-opening-loc[^"]*"[^>]*>([^<]*)<', r'class="[^"]*location[^"]*"[^>]*>([^<]*)<']
-TRAKSTAR_DEPARTMENT = [r'class="rb-text-4[^"]*"[^>]*>([^<]*)<', r'class="[^"]*department[^"]*"[^>]*>([^<]*)<']
-TRAKSTAR_TYPE = [r'class="js-job-list-opening-meta[^"]*"[^>]*>\s*<span[^>]*>([^<]*)<', r'class="[^"]*\btype\b[^"]*"[^>]*>([^<]*)<']
-TRAKSTAR_SETUP = [r'class="js-job-list-opening-meta[^"]*"[^>]*>(?:\s*<span[^>]*>[^<]*</span>)*?\s*<span[^>]*>([^<]*)</span>\s*</div>']
+TRAKSTAR_TITLE = [r'<h3[^>]*class="js-job-list-opening-name[^"]*"[^>]*>([^<]+)<', r"<h3[^>]*>([^<]+)<",
+                  r"<h2[^>]*>([^<]+)<"]
+TRAKSTAR_LOCATION = [r'class="js-job-list-opening-loc[^"]*"[^>]*>([^<]+)<', r'class="[^"]*location[^"]*"[^>]*>([^<]+)<']
+TRAKSTAR_DEPARTMENT = [r'class="rb-text-4[^"]*"[^>]*>([^<]+)<', r'class="[^"]*department[^"]*"[^>]*>([^<]+)<']
+TRAKSTAR_TYPE = [r'class="js-job-list-opening-meta[^"]*"[^>]*>\s*<span[^>]*>([^<]+)<', r'class="[^"]*\btype\b[^"]*"[^>]*>([^<]+)<']
+TRAKSTAR_SETUP = [r'class="js-job-list-opening-meta[^"]*"[^>]*>(?:\s*<span[^>]*>[^<]*</span>)*?\s*<span[^>]*>([^<]+)</span>\s*</div>']
+
+
+#: The first text of a card, where no selector of a field has any.
+ANY_TEXT = r">([^<]+)<"
 
 
 def _sanitize(c: Column) -> Column:
-    """``' '.join(s.strip().split()) if s else 'N/A'``."""
+    """White space collapsed; an empty text becomes 'N/A'."""
     return F.when(is_falsy(c), F.lit("N/A")).otherwise(F.regexp_replace(py_strip(c), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
@@ -208,7 +244,7 @@ def normalise_vidio_cards(pages: DataFrame, now: Column, base: str = "https://ww
     """Vidio careers cards; no url, no title or a title of 'N/A' drops the card."""
     cards = cards_by_cascade(pages, VIDIO_ROUTES)
     c = F.col("card")
-    title = F.coalesce(_first_text(c, VIDIO_TITLE), F.lit("N/A"))
+    title = F.coalesce(_first_text(c, VIDIO_TITLE), _first_text(c, [ANY_TEXT]), F.lit("N/A"))
     dept = F.coalesce(_first_text(c, VIDIO_DEPARTMENT), F.lit("N/A"))
     href = F.regexp_extract(c, r'href="([^"]*)"', 1)
     url = F.when(href.startswith("http"), href).when(href != "", F.concat(F.lit(base), href)).otherwise(F.lit(""))
@@ -225,7 +261,7 @@ def normalise_trakstar_cards(pages: DataFrame, now: Column, base: str = "https:/
     """Trakstar opening cards; per-field selector fallbacks; no href drops the card."""
     cards = cards_by_cascade(pages, TRAKSTAR_ROUTES)
     c = F.col("card")
-    title = F.coalesce(_first_text(c, TRAKSTAR_TITLE), F.lit("N/A"))
+    title = F.coalesce(_first_text(c, TRAKSTAR_TITLE), _first_text(c, [ANY_TEXT]), F.lit("N/A"))
     dept = F.coalesce(_first_text(c, TRAKSTAR_DEPARTMENT), F.lit("N/A"))
     jtype = F.coalesce(_first_text(c, TRAKSTAR_TYPE), F.lit("Full-time"))
     href = F.regexp_extract(c, r'<a\b[^>]*href="([^"]*)"', 1)
@@ -239,3 +275,64 @@ def normalise_trakstar_cards(pages: DataFrame, now: Column, base: str = "https:/
         work_arrangement=san(F.coalesce(_first_text(c, TRAKSTAR_SETUP), F.lit("On-site"))),
         desc=F.concat_ws(" ", title, dept, jtype))
     return emit(cards, {"source": F.lit("mekari"), "seq": F.col("page_id"), "item_pos": F.col("item_pos")}, rec)
+
+
+# Selectors of a search-result card, as regexes.
+SEARCH_ROUTES = [r'<article\b[^>]*data-testid="job-card"', r"<article\b"]
+CARD_LINK = r'(?is)<a\b[^>]*href="(?=[^"]*/id/job/)(?=[^"]*cardTitle)([^"]*)"[^>]*>(.*?)</a>'
+ANY_LINK = r'(?is)<a\b[^>]*href="([^"]*/id/job/[^"]*)"[^>]*>(.*?)</a>'
+CARD_HEADING = [r"<h3[^>]*>([^<]+)", r"<h2[^>]*>([^<]+)", r'<[a-z0-9]+[^>]*data-automation="jobTitle"[^>]*>([^<]+)']
+FIRST_TEXT = r"(?s)(?:^|>)([^<]+)"
+
+
+def _automation(card: Column, name: str) -> Column:
+    return F.nullif(F.regexp_extract(card, r'<[a-z0-9]+[^>]*data-automation="' + name + r'"[^>]*>([^<]+)', 1), F.lit(""))
+
+
+def _span_class(card: Column, name: str) -> Column:
+    return F.nullif(F.regexp_extract(card, r'<span[^>]*class="[^"]*' + name + r'[^"]*"[^>]*>([^<]+)', 1), F.lit(""))
+
+
+def normalise_search_cards(pages: DataFrame, now: Column, base: str = JOBSTREET) -> DataFrame:
+    """Search-result cards (``job-card`` articles, else any) to the 18-field record.
+
+    The link is the one that mentions ``cardTitle``, else the first job link; a
+    card without one is dropped.  The title is the link's first text, else the
+    first heading.  Company, location and salary come from the card.
+    """
+    cards = cards_by_cascade(pages, SEARCH_ROUTES)
+    c = F.col("card")
+    cards = cards.filter(c.rlike(ANY_LINK)).withColumns({
+        "_href": F.when(c.rlike(CARD_LINK), F.regexp_extract(c, CARD_LINK, 1)).otherwise(F.regexp_extract(c, ANY_LINK, 1)),
+        "_inner": F.when(c.rlike(CARD_LINK), F.regexp_extract(c, CARD_LINK, 2)).otherwise(F.regexp_extract(c, ANY_LINK, 2))})
+    text = py_strip(F.regexp_extract("_inner", FIRST_TEXT, 1))
+    title = F.coalesce(F.nullif(text, F.lit("")), _first_text(c, CARD_HEADING), F.lit("N/A"))
+    url = F.substring_index(F.when(F.col("_href").startswith("http"), F.col("_href")).otherwise(F.concat(F.lit(base), F.col("_href"))), "?", 1)
+    cards = cards.withColumns({
+        "_title": clean_string(title), "_url": url,
+        "_company": clean_string(F.coalesce(_automation(c, "jobCompany"), _span_class(c, "company"), F.lit("Private Advertiser"))),
+        "_location": clean_string(F.coalesce(_automation(c, "jobLocation"), _span_class(c, "location"), F.lit("Indonesia")))})
+    rec = job_record(
+        now, job_title=F.col("_title"), job_location=F.col("_location"), job_department=F.lit("N/A"), job_url=F.col("_url"),
+        base_salary=F.coalesce(_automation(c, "jobSalary"), F.lit("0")), job_type=F.lit("Full-time"), job_apply_end_date=now,
+        company=F.col("_company"), job_board=F.lit("Jobstreet"), job_board_url=F.lit(base), work_arrangement=F.lit("On-site"),
+        job_age=F.lit("0"), desc=F.concat_ws(" ", "_title", "_company"))
+    return emit(cards, {"source": F.lit("jobstreet"), "seq": F.col("page_id"), "item_pos": F.col("item_pos")}, rec)
+
+
+def page_texts(html: Column) -> Column:
+    """Texts inside paragraphs and directly in spans, stripped, in page order, joined by a space."""
+    pieces = F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>.*?</p>|<span\b[^>]*>[^<]*"), F.lit(0))
+    nodes = F.flatten(F.transform(pieces, lambda x: F.split(F.regexp_replace(x, r"(?s)<[^>]*>", "\u0001"), "\u0001")))
+    return F.array_join(F.filter(F.transform(nodes, lambda t: py_strip(t)), lambda t: t != ""), " ")
+
+
+def normalise_title_page(pages: DataFrame, now: Column) -> DataFrame:
+    """A posting's own page: title and company from ``<title>``, the description from its texts."""
+    read = title_page(pages, keep={"_desc": page_texts(F.col("html"))})
+    rec = job_record(
+        now, job_title=F.col("job_title"), job_location=F.lit("N/A"), job_department=F.lit("N/A"), job_url=F.col("job_url"),
+        job_type=F.lit("N/A"), company=F.col("company"), company_url=F.lit(""), job_board=F.lit("Tech in Asia Jobs"),
+        job_board_url=F.lit("https://www.techinasia.com/jobs"), work_arrangement=F.lit("N/A"), job_age=F.lit("0"),
+        desc=F.col("_desc"))
+    return emit(read, {"source": F.lit("techinasia"), "seq": F.col("page_id"), "item_pos": F.lit(0)}, rec)

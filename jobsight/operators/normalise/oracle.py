@@ -112,7 +112,7 @@ def greenhouse(flip: bool = True) -> str:
             "job_url": "CASE WHEN o_orderkey % 2 = 0 THEN 'https://boards.example/j/' ELSE 'https://boards.greenhouse.io/flip/jobs/' END || CAST(o_orderkey AS VARCHAR)",
             "job_type": "'Full-time'", "last_seen": "txt", "company": "'Flip'", "job_board": "'Flip Careers'",
             "work_arrangement": "CASE o_orderpriority WHEN '1-URGENT' THEN 'Remote' WHEN '2-HIGH' THEN 'Hybrid' ELSE 'On-site' END",
-            "desc": f"{title} || ' ' || c_mktsegment || ' ' || CASE o_orderpriority WHEN '1-URGENT' THEN 'Fully remote team' WHEN '2-HIGH' THEN 'Hybrid office' ELSE 'Office' END",
+            "desc": f"{title} || ' ' || c_mktsegment || ' ' || CASE o_orderpriority WHEN '1-URGENT' THEN 'Fully remote team' WHEN '2-HIGH' THEN 'Hybrid office' ELSE 'Office' END || repeat(' lorem ipsum', 30) || ' Python'",
         })
     return record_sql("greenhouse", {
         "job_title": title, "job_location": O.collapse_ws("lower(n_name)"),
@@ -139,8 +139,9 @@ def jibe() -> str:
         "job_title": "title", "job_location": "lower(n_name)", "job_department": "c_mktsegment",
         "job_url": "'https://careers.softwareone.com/en/jobs/' || CAST(o_orderkey AS VARCHAR)",
         "job_type": "'Full time'", "last_seen": "txt", "company": "c_name",
-        "job_board": "'SoftwareOne Careers'", "work_arrangement": "'Remote'",
-        "desc": "title || ' ' || c_mktsegment || ' Remote friendly SQL'",
+        "job_board": "'SoftwareOne Careers'",
+        "work_arrangement": "CASE o_orderkey % 3 WHEN 0 THEN 'Remote' WHEN 1 THEN 'Hybrid' ELSE 'On-site' END",
+        "desc": "title || ' ' || c_mktsegment || CASE o_orderkey % 3 WHEN 0 THEN ' Remote friendly' WHEN 1 THEN ' Hybrid desk' ELSE ' Office' END || ' SQL'",
     })
 
 
@@ -164,19 +165,20 @@ def ld_json() -> str:
         "job_department": "'N/A'", "job_url": "'https://id.jobstreet.example/job/' || CAST(o_orderkey AS VARCHAR)",
         "job_type": "'Full time'", "last_seen": "txt", "job_apply_end_date": "txt",
         "company": O.clean_string("c_name"), "job_board": "'Jobstreet'", "job_board_url": "'https://id.jobstreet.com'",
-        "work_arrangement": "'On-site'", "desc": "'SQL'",
-    }, where="WHERE o_orderkey % 9 <> 0")
+        "work_arrangement": "'On-site'", "desc": "'SQL' || repeat(' lorem ipsum', 30) || ' Python'",
+    }, where="WHERE o_orderkey % 9 <> 0", pos="0 AS block_pos, item_pos")
 
 
 def next_data() -> str:
     title = O.clean_string("title")
+    dept = "CASE WHEN o_orderkey % 3 = 2 THEN lower(c_mktsegment) ELSE c_mktsegment END"
     return record_sql("jobstreet", {
         "job_title": title, "job_location": O.clean_string("lower(n_name)"),
-        "job_department": O.clean_string("c_mktsegment"),
+        "job_department": O.clean_string(f"({dept})"),
         "job_url": "'https://id.jobstreet.com/job/' || CAST(o_orderkey AS VARCHAR)",
         "job_type": "'Full-time'", "last_seen": "txt", "job_apply_end_date": f"'{NOW}'",
         "company": O.clean_string("c_name"), "job_board": "'Jobstreet'", "job_board_url": "'https://id.jobstreet.com'",
-        "work_arrangement": "'On-site'", "desc": f"{title} || ' ' || {O.clean_string('c_mktsegment')}",
+        "work_arrangement": "'On-site'", "desc": f"{title} || ' ' || ({dept})",
     })
 
 
@@ -216,7 +218,7 @@ def board_sizes() -> str:
 
 
 def extract_ld_json() -> str:
-    return f"SELECT seq AS page_id, 0 AS block_pos, CAST(count(*) AS INTEGER) AS n_items FROM {ORD} GROUP BY seq"
+    return f"SELECT seq AS page_id, 0 AS block_pos, CAST(count(*) AS INTEGER) AS n_items, list(title ORDER BY item_pos) AS titles FROM {ORD} GROUP BY seq"
 
 
 def ld_json_type_census() -> str:
@@ -224,7 +226,11 @@ def ld_json_type_census() -> str:
 
 
 def next_data_keys() -> str:
-    return f"SELECT seq AS page_id, 'jobs' AS key, TRUE AS job_like, CAST(count(*) AS INTEGER) AS n_items FROM {ORD} GROUP BY seq"
+    n = "CAST(count(*) AS INTEGER)"
+    return (f"SELECT seq AS page_id, 'initialCandidateExperimentalData' AS key, FALSE AS job_like, CAST(NULL AS INTEGER) AS n_items FROM {ORD} WHERE seq % 3 = 0 GROUP BY seq "
+            f"UNION ALL SELECT seq, 'jobs', TRUE, {n} FROM {ORD} WHERE seq % 3 = 1 GROUP BY seq "
+            f"UNION ALL SELECT seq, 'jobs', FALSE, 0 FROM {ORD} WHERE seq % 3 = 2 GROUP BY seq "
+            f"UNION ALL SELECT seq, 'searchResults', FALSE, CAST(NULL AS INTEGER) FROM {ORD} WHERE seq % 3 = 2 GROUP BY seq")
 
 
 def vidio_cards() -> str:
@@ -248,11 +254,63 @@ def trakstar_cards() -> str:
     })
 
 
+def search_cards() -> str:
+    name = "regexp_replace(title, '<[^>]*>', ' ', 'g')"
+    t = O.clean_string(f"({name})")
+    company = ("CASE o_orderkey % 3 WHEN 0 THEN " + O.clean_string("c_name") + " WHEN 1 THEN " + O.clean_string("lower(c_name)")
+               + " ELSE 'Private Advertiser' END")
+    return record_sql("jobstreet", {
+        "job_title": t, "job_location": "CASE WHEN o_orderkey % 2 = 0 THEN " + O.clean_string("lower(n_name)") + " ELSE 'Indonesia' END",
+        "job_department": "'N/A'", "job_url": "'https://id.jobstreet.com/id/job/' || CAST(o_orderkey AS VARCHAR)",
+        "base_salary": "CASE WHEN o_orderkey % 4 = 0 THEN 'Rp ' || salary ELSE '0' END", "job_type": "'Full-time'",
+        "job_apply_end_date": f"'{NOW}'", "company": f"({company})", "job_board": "'Jobstreet'",
+        "job_board_url": "'https://id.jobstreet.com'", "job_age": "'0'", "work_arrangement": "'On-site'",
+        "desc": f"{t} || ' ' || ({company})",
+    }, where="WHERE o_orderkey % 5 <> 0")
+
+
+PAGE_KEYS = f"(SELECT DISTINCT seq, 0 AS item_pos FROM {ORD})"
+
+
+def title_pages() -> str:
+    n = "CAST(seq AS VARCHAR)"
+    return record_sql("techinasia", {
+        "job_title": f"CASE seq % 3 WHEN 0 THEN 'Engineer ' || {n} WHEN 1 THEN 'Role ' || {n} ELSE 'N/A' END",
+        "job_location": "'N/A'", "job_department": "'N/A'", "job_url": f"'https://site.example/p/' || {n}", "job_type": "'N/A'",
+        "company": f"CASE seq % 3 WHEN 0 THEN 'Firm ' || {n} ELSE 'N/A' END", "company_url": "''", "job_board": "'Tech in Asia Jobs'",
+        "job_board_url": "'https://www.techinasia.com/jobs'", "job_age": "'0'", "work_arrangement": "'N/A'",
+        "desc": f"'About team ' || {n} || ' Use SQL' || coalesce(' ' || spans, '')",
+    }, src=f"(SELECT seq, 0 AS item_pos, {SPANS} AS spans FROM {ORD} GROUP BY seq)")
+
+
+# texts of the cards' spans, in page order: job links of two kinds, and companies
+SPANS = ("nullif(array_to_string(flatten(list(list_filter([CASE WHEN o_orderkey % 5 >= 3 THEN "
+         + O.strip("regexp_replace(title, '<[^>]*>', ' ', 'g')") + " END, CASE WHEN o_orderkey % 3 = 1 THEN lower(c_name) END], "
+         "lambda x: x IS NOT NULL) ORDER BY item_pos)), ' '), '')")
+
+
+def has_next_data_rendered() -> str:
+    return f"SELECT seq AS page_id, seq % 4 = 0 AS has_next_data FROM {PAGE_KEYS}"
+
+
+def detect_ats_rendered() -> str:
+    return (f"SELECT seq AS page_id, CASE seq % 3 WHEN 0 THEN ['greenhouse', 'lever'] WHEN 1 THEN ['recruitee'] "
+            f"ELSE CAST([] AS VARCHAR[]) END AS vendors FROM {PAGE_KEYS}")
+
+
+def harvest_titles_rendered() -> str:
+    return (f"SELECT seq AS page_id, CASE WHEN seq % 4 = 0 THEN ['Posting number ' || CAST(seq AS VARCHAR)] ELSE CAST([] AS VARCHAR[]) END AS titles, "
+            f"seq % 4 = 0 AS has___NEXT_DATA__, seq % 3 = 0 AS has_lever_co FROM {PAGE_KEYS}")
+
+
 def filter_json_type() -> str:
     return f"SELECT seq AS page_id, item_pos FROM {ORD}"
 
 
 SQL = {
+    "normalise_search_cards": search_cards, "normalise_title_page": title_pages,
+    "has_next_data_rendered": has_next_data_rendered, "detect_ats_rendered": detect_ats_rendered,
+    "harvest_titles_rendered": harvest_titles_rendered,
     "filter_json_type": filter_json_type, "normalise_vidio_cards": vidio_cards, "normalise_trakstar_cards": trakstar_cards,
     "normalise_dealls": dealls, "normalise_kalibrr": kalibrr, "normalise_karir": karir,
     "normalise_greenhouse_flip": lambda: greenhouse(True), "normalise_greenhouse_vidio": lambda: greenhouse(False),

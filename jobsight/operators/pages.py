@@ -16,8 +16,12 @@ from ..functions.text import absolutize_url, py_strip, strip_query
 from . import dedup
 
 HREF = r'href="([^"]*)"'
-LD_JSON = r'(?s)<script type="application/ld\+json">(.*?)</script>'
-NEXT_DATA = r'(?s)<script id="__NEXT_DATA__" type="application/json">(\{.*?\})</script>'
+# Patterns and markers.  Embedded JSON is found by one attribute of
+# its script tag, whatever other attributes stand beside it.
+LD_JSON = r'(?is)<script\b[^>]*\btype\s*=\s*["\']?application/ld\+json["\']?[^>]*>(.*?)</script>'
+NEXT_DATA = r'(?is)<script\b[^>]*\bid\s*=\s*["\']?__NEXT_DATA__["\']?[^>]*>\s*(\{.*?\})\s*</script>'
+# H4 looks for this very text.
+NEXT_DATA_LITERAL = r'(?s)<script id="__NEXT_DATA__" type="application/json">(\{.*?\})</script>'
 TITLE_TAG = r"(?s)<title>(.*?)</title>"
 # Hosting vendors recognised in page links.
 ATS_VENDORS = ["greenhouse", "lever", "workable", "kalibrr", "glints", "recruitee", "smartrecruit"]
@@ -86,7 +90,7 @@ def ld_json_type_census(pages: DataFrame) -> DataFrame:
 def has_next_data(html) -> Column:
     """H4: the page carries a ``__NEXT_DATA__`` script holding an object."""
     h = F.col(html) if isinstance(html, str) else html
-    return h.rlike(NEXT_DATA)
+    return h.rlike(NEXT_DATA_LITERAL)
 
 
 def next_data_keys(pages: DataFrame) -> DataFrame:
@@ -103,8 +107,8 @@ def next_data_keys(pages: DataFrame) -> DataFrame:
                        F.json_array_length(val).alias("n_items"))
 
 
-def link_harvest(pages: DataFrame, marker: str = "/id/job/", samples: int = 3) -> DataFrame:
-    """H6: per page, the number of links containing ``marker`` and the first few."""
+def link_harvest(pages: DataFrame, marker: str, samples: int) -> DataFrame:
+    """H6: per page, the number of links containing ``marker`` and the first ``samples`` of them."""
     hits = F.filter(hrefs(F.col("html")), lambda h: h.contains(marker))
     return pages.select("page_id", F.size(hits).alias("n_links"), F.slice(hits, 1, samples).alias("samples"))
 
@@ -151,8 +155,8 @@ def search_cards(pages: DataFrame, link_marker: str = "/id/job/", base: str = "h
     return out if keep_linkless else out.filter(F.col("job_url").isNotNull())
 
 
-def title_page(pages: DataFrame, suffix: str = TIA_SUFFIX) -> DataFrame:
-    """Title and company from ``<title>X at Y - Tech in Asia</title>``."""
+def title_page(pages: DataFrame, suffix: str = TIA_SUFFIX, keep: dict | None = None) -> DataFrame:
+    """Title and company from ``<title>X at Y - Tech in Asia</title>``; ``keep`` adds columns of the page."""
     t = py_strip(F.coalesce(F.regexp_extract("html", TITLE_TAG, 1), F.lit("")))
     parts = F.split(t, " at ")
     both = t.contains(" at ") & t.contains(suffix)
@@ -160,17 +164,28 @@ def title_page(pages: DataFrame, suffix: str = TIA_SUFFIX) -> DataFrame:
              .when(t != "", py_strip(F.replace(t, F.lit(suffix), F.lit(""))))
              .otherwise(F.lit("N/A")))
     company = F.when(both, py_strip(F.replace(parts.getItem(1), F.lit(suffix), F.lit("")))).otherwise(F.lit("N/A"))
-    return pages.select("page_id", F.col("url").alias("job_url"), title.alias("job_title"), company.alias("company"))
+    return pages.select("page_id", F.col("url").alias("job_url"), title.alias("job_title"), company.alias("company"),
+                        *[v.alias(k) for k, v in (keep or {}).items()])
 
 
-def page_routes(pages: DataFrame, marker: str = "/jobs/") -> DataFrame:
-    """Items of three extraction routes per page: marked links, other links, the title."""
-    lk = links(pages)
-    r1 = lk.filter(F.col("href").contains(marker)).select("page_id", F.lit(1).alias("route"), "item_pos", "href")
-    r2 = lk.filter(~F.col("href").contains(marker)).select("page_id", F.lit(2).alias("route"), "item_pos", "href")
-    r3 = pages.select("page_id", F.lit(3).alias("route"), F.lit(0).alias("item_pos"),
-                      F.regexp_extract("html", TITLE_TAG, 1).alias("href"))
-    return r1.unionByName(r2).unionByName(r3)
+def first_page_route(pages: DataFrame, marker: str = "/jobs/") -> DataFrame:
+    """E7 on pages: marked links, else other links, else the title.
+
+    The routes are arrays of one projection and the first that is not empty is
+    exploded: one scan, no shuffle.
+    """
+    at = F.transform(hrefs(F.col("html")), lambda h, i: F.struct(i.alias("item_pos"), h.alias("href")))
+    found = pages.select("page_id", "html", at.alias("all"))
+    marked = F.filter("all", lambda x: x["href"].contains(marker))
+    other = F.filter("all", lambda x: ~x["href"].contains(marker))
+    title = F.array(F.struct(F.lit(0).alias("item_pos"), F.regexp_extract("html", TITLE_TAG, 1).alias("href")))
+
+    def numbered(items: Column, route: int) -> Column:
+        return F.transform(items, lambda x: F.struct(F.lit(route).alias("route"), x["item_pos"].alias("item_pos"), x["href"].alias("href")))
+
+    routes = [numbered(r, k) for k, r in enumerate((marked, other, title), start=1)]
+    best = F.coalesce(*[F.when(F.size(r) > 0, r) for r in routes])
+    return found.select("page_id", F.explode(best).alias("x")).select("page_id", "x.route", "x.item_pos", "x.href")
 
 
 def catalog() -> dict:
@@ -204,7 +219,7 @@ def catalog() -> dict:
             lambda s, sf: pg(s, sf).select("page_id", has_next_data("html").alias("has_next_data")),
             "SELECT page_id, regexp_matches(html, '(?s)<script id=\"__NEXT_DATA__\" type=\"application/json\">(\\{.*?\\})</script>') AS has_next_data FROM pages"),
         "link_harvest": (
-            lambda s, sf: link_harvest(pg(s, sf), marker="th"),
+            lambda s, sf: link_harvest(pg(s, sf), marker="th", samples=3),
             "SELECT page_id, CAST(len(list_filter(l, lambda h: contains(h, 'th'))) AS INTEGER) AS n_links, "
             "list_slice(list_filter(l, lambda h: contains(h, 'th')), 1, 3) AS samples FROM "
             "(SELECT page_id, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS l FROM pages)"),
@@ -229,7 +244,7 @@ def catalog() -> dict:
             "CASE WHEN contains(t, ' at ') AND contains(t, ' - Tech in Asia') THEN trim(replace(split_part(t, ' at ', 2), ' - Tech in Asia', '')) ELSE 'N/A' END AS company "
             "FROM (SELECT page_id, url, trim(coalesce(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '')) AS t FROM pages)"),
         "first_nonempty_route": (
-            lambda s, sf: dedup.first_nonempty_route(page_routes(pg(s, sf), marker="/e"), "page_id").select("page_id", "route", "item_pos", "href"),
+            lambda s, sf: first_page_route(pg(s, sf), marker="/e"),
             f"SELECT page_id, route, item_pos, href FROM (SELECT *, min(route) OVER (PARTITION BY page_id) AS best FROM {routes_sql}) WHERE route = best"),
         "exclude_seen": (
             lambda s, sf: dedup.exclude_seen(links(pg(s, sf)).select("page_id", "item_pos", "href"), key="href",

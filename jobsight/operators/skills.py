@@ -8,7 +8,6 @@ needs neither a shuffle nor a join against the dictionary.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,19 +18,19 @@ from .dedup import distinct_pairs
 from .lifecycle import insert_absent
 
 
-def keyword_pattern(keyword: str) -> str:
+def keyword_pattern(keyword) -> Column:
     """Java regex for ``\\b`` + literal lower-cased keyword + ``\\b`` (Unicode words)."""
-    return r"(?U)\b\Q" + keyword.lower() + r"\E\b"
+    k = F.lit(keyword) if isinstance(keyword, str) else keyword
+    return F.concat(F.lit(r"(?U)\b\Q"), F.lower(k), F.lit(r"\E\b"))
 
 
 def keyword_hits(text, keywords: Sequence[str] = SKILL_KEYWORDS) -> Column:
-    """Array of the keywords (original spelling) found in the lower-cased ``text``."""
+    """Array of the distinct keywords (original spelling) found in the lower-cased ``text``."""
     t = F.col(text) if isinstance(text, str) else text
     none = F.array().cast("array<string>")
     parts = []
-    for kw in keywords:
-        low = kw.lower()
-        hit = t.contains(low) & t.rlike(keyword_pattern(kw))
+    for kw in dict.fromkeys(keywords):
+        hit = t.contains(F.lower(F.lit(kw))) & F.rlike(t, keyword_pattern(kw))
         parts.append(F.when(hit, F.array(F.lit(kw))).otherwise(none))
     return F.flatten(F.array(*parts)) if parts else none
 
@@ -43,26 +42,10 @@ def match_keywords(df: DataFrame, text: str, keywords: Sequence[str] = SKILL_KEY
 
 
 WORD_RUN = r"(?U)\w+"
-# The regex projection evaluates every keyword on every row; beyond a few
-# dozen keywords the token join below does less work.
-REGEX_MAX_KEYWORDS = 64
-# A dictionary given as a list is broadcast only up to this many entries.
-BROADCAST_MAX_KEYWORDS = 200_000
 
 
-def _dictionary(spark, keywords) -> tuple[DataFrame, list[str], int | None]:
-    """Keyword table for the join, keywords it cannot serve, and the known max run count."""
-    if isinstance(keywords, DataFrame):
-        return keywords.select(F.col(keywords.columns[0]).alias("skill_name")).distinct(), [], None
-    uniq = list(dict.fromkeys(keywords))
-    wordless = [k for k in uniq if not re.search(r"\w", k)]
-    runs = max((len(re.findall(r"\w+", k)) for k in uniq if k not in wordless), default=1)
-    table = spark.createDataFrame([(k,) for k in uniq if k not in wordless], "skill_name string")
-    return (F.broadcast(table) if len(uniq) <= BROADCAST_MAX_KEYWORDS else table), wordless, runs
-
-
-def _grams(toks: Column, seps: Column, off: Column, n_max: int) -> Column:
-    """Distinct tokens and token n-grams (n <= n_max) with their original separators.
+def _grams(toks: Column, seps: Column, off: Column, lengths: Sequence[int]) -> Column:
+    """Distinct token n-grams of the given lengths with their original separators.
 
     ``toks``/``seps`` are the text's word runs and non-word runs (``off`` is 1
     when the text starts with a separator).  They must be columns, not the
@@ -80,8 +63,11 @@ def _grams(toks: Column, seps: Column, off: Column, n_max: int) -> Column:
             return F.when(F.size(toks) >= n, F.concat(*pieces))
         return fn
 
-    parts = [toks]
-    for n in range(2, n_max + 1):
+    parts = [F.array().cast("array<string>")]
+    for n in lengths:
+        if n == 1:
+            parts.append(toks)
+            continue
         starts = F.sequence(F.lit(1), F.greatest(F.size(toks) - (n - 1), F.lit(1)))
         parts.append(F.transform(starts, ngram_fn(n)))
     return F.array_distinct(F.filter(F.flatten(F.array(*parts)), lambda g: g.isNotNull()))
@@ -96,51 +82,56 @@ def split_runs(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
 
 
 def match_keywords_join(df: DataFrame, text: str, keywords, keep: Sequence[str] = (),
-                        out: str = "skill_name", max_runs: int | None = None) -> DataFrame:
-    """E3 for large dictionaries, as an equi-join with no regex per candidate.
-
-    Each text is reduced to its distinct tokens and token n-grams (with the
-    text's own separators, up to the longest keyword's number of word runs);
-    these are joined to the lower-cased keywords.  For a keyword that starts
-    and ends with a word character this is exactly ``\\b kw \\b`` (see
-    ``_grams``).  The text itself is not carried through the explode.  Other
-    keywords (rare: leading or trailing punctuation, or no word character)
-    are found by the regex projection when given in a list; a DataFrame
-    dictionary must not contain them.  Each (row, keyword) pair comes out at
-    most once, so no de-duplication shuffle follows.
+                        out: str = "skill_name") -> DataFrame:
+    """E3 for large dictionaries (a list or a one-column DataFrame), as equi-joins.
+
+    Same rows as ``match_keywords``; the caller picks the plan.  Spark's regex
+    classifies the keywords, by the same word class that finds the tokens:
+
+    * A keyword that starts and ends with a word character matches exactly when
+      it equals a run of the text's tokens with their separators (``_grams``).
+      Only runs of lengths that the dictionary has are made (the distinct
+      lengths are the one thing the driver learns of it), and the text is not
+      carried through the explode.
+    * Any other keyword with a word in it (``c++``, ``.net``) is joined on its
+      first token, which must be a whole token of the text, and then checked
+      by the regex.
+    * A keyword without any word character is matched by the regex projection;
+      such keywords (strings of signs) are collected.
+
+    Each (row, keyword) pair comes out once per input row.
     """
-    table, wordless, runs = _dictionary(df.sparkSession, keywords)
-    low = F.lower(F.col("skill_name"))
-    kw = table.select(F.col("skill_name").alias("_kw"), low.alias("_gram"),
-                      low.rlike(r"^(?U)\w(.*\w)?$").alias("_plain"))
-    if isinstance(keywords, DataFrame):
-        odd = kw.filter(~F.col("_plain")).limit(1).count()  # 0 or 1
-        if odd:
-            raise ValueError("a keyword DataFrame may hold only keywords that start and end with a word "
-                             "character; pass the others as a list")
-    else:
-        odd = [k for k in dict.fromkeys(keywords) if k not in wordless and not re.match(r"^\w(.*\w)?$", k.lower(), re.S)]
-        wordless = wordless + odd
-        kw = kw.filter("_plain")
-    if max_runs is None:
-        max_runs = runs if runs is not None else table.select(
-            F.max(F.size(F.regexp_extract_all(F.lower("skill_name"), F.lit(WORD_RUN), 0)))).first()[0] or 1  # one row
-    runs_df = split_runs(df, text, keep)
-    grams = runs_df.select(*keep, F.explode(_grams(F.col("_toks"), F.col("_seps"), F.col("_off"), max_runs)).alias("_gram"))
-    found = grams.join(kw, "_gram").select(*keep, F.col("_kw").alias(out))
-    if wordless:
-        found = found.unionByName(match_keywords(df, text, wordless, keep=keep, out=out))
+    spark = df.sparkSession
+    table = keywords if isinstance(keywords, DataFrame) else spark.createDataFrame(
+        [(k,) for k in dict.fromkeys(keywords)], "skill_name string")
+    low = F.lower(F.col("_kw"))
+    kw = table.select(F.col(table.columns[0]).alias("_kw")).filter("_kw IS NOT NULL").distinct().select(
+        "_kw", low.alias("_gram"), F.rlike(low, F.lit(r"(?Us)^\w(.*\w)?$")).alias("_plain"),
+        F.size(F.regexp_extract_all(low, F.lit(WORD_RUN), 0)).alias("_runs"),
+        F.regexp_extract(low, WORD_RUN, 0).alias("_head"))
+    kinds = kw.groupBy("_plain", F.when(F.col("_plain") | (F.col("_runs") == 0), F.col("_runs")).alias("_runs")).count().collect()
+    runs = split_runs(df, text, keep)
+    none = runs.select(*keep, F.lit("").alias(out)).filter(F.lit(False))
+    parts = []
+    lengths = sorted(r["_runs"] for r in kinds if r["_plain"])
+    if lengths:
+        grams = runs.select(*keep, F.explode(_grams(F.col("_toks"), F.col("_seps"), F.col("_off"), lengths)).alias("_gram"))
+        parts.append(grams.join(kw.filter("_plain"), "_gram").select(*keep, F.col("_kw").alias(out)))
+    if any(not r["_plain"] and r["_runs"] is None for r in kinds):
+        heads = df.select(*keep, F.col(text).alias("_text")).withColumn(
+            "_head", F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(WORD_RUN), 0))))
+        odd = kw.filter("NOT _plain AND _runs > 0").select("_kw", "_head")
+        parts.append(heads.join(odd, "_head").filter(F.rlike("_text", keyword_pattern(F.col("_kw"))))
+                     .select(*keep, F.col("_kw").alias(out)))
+    if any(not r["_plain"] and r["_runs"] == 0 for r in kinds):
+        signs = [r["_kw"] for r in kw.filter("_runs = 0").select("_kw").collect()]
+        parts.append(match_keywords(df, text, signs, keep=keep, out=out))
+    found = parts[0] if parts else none
+    for part in parts[1:]:
+        found = found.unionByName(part)
     return found
 
 
-def match_any(df: DataFrame, text: str, keywords=SKILL_KEYWORDS, keep: Sequence[str] = (),
-              out: str = "skill_name") -> DataFrame:
-    """E3 with the plan chosen by dictionary size (same result either way)."""
-    if not isinstance(keywords, DataFrame) and len(keywords) <= REGEX_MAX_KEYWORDS:
-        return match_keywords(df, text, keywords, keep=keep, out=out)
-    return match_keywords_join(df, text, keywords, keep=keep, out=out)
-
-
 def resolve_job_id(batch: DataFrame, jobs: DataFrame, key: str = "job_url") -> DataFrame:
     """Attach ``job_id`` by url; unmatched batch rows are skipped."""
     return batch.join(jobs.select("job_id", key), key, "inner")

@@ -12,32 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Dimension tables are joined (and broadcast by AQE when small), never
-# processed row by row, so they are read as they are.
-DIMENSIONS = {"region", "nation", "customer", "supplier"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in DIMENSIONS else spread(df)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A small table stored as one row group scans as a single task, and all the
-    per-row regex work behind it would run on one core.  Large inputs already
-    scan as many splits and pass through untouched, so no shuffle is added at
-    scale; round-robin (not a key) keeps a hot key from landing in one task.
-    """
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
-        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-        splits = len(df.inputFiles())
-    return df.repartition(cores) if splits < cores else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(x: Column, mapping: list, default) -> Column:
@@ -63,15 +39,14 @@ def postings(spark: SparkSession, sf_dir: str, url_by: str = "order") -> DataFra
 
     ``url_by='customer'`` keys the url on the customer instead, which turns
     the orders of one customer into repeated sightings of one posting (the
-    lifecycle view).  ``nation`` (25 rows by definition) is broadcast; the
-    customer join is left to AQE.
+    lifecycle view).  Join strategies are left to Spark.
     """
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (o.join(c, o.o_custkey == c.c_custkey)
-         .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")))
+         .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
     k = F.col("o_orderkey")
     if url_by == "customer":
         url = F.concat(F.lit("https://jobs.example/c/"), F.col("o_custkey").cast("string"))

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import classify as K
 from ..functions import dates as D
 from ..functions import text as X
 from ..operators import dedup, filters, lifecycle, pages as P, skills
 from ..operators.normalise import catalog as normalise_catalog
-from ..schemas import SKILL_KEYWORDS
+from ..schemas import JOB_VACANCIES, RECORD, SKILL_KEYWORDS
 from ..sources.landing import parse_landing, route_records, union_sources
+from ..sources.snapshot import written
 from . import adapters as A
 from . import insights as I
 from . import oracle as O
@@ -394,10 +396,12 @@ WCLASS = r"[\p{L}\p{Mn}\p{Mc}\p{Me}\p{Nd}\p{Nl}\p{Pc}]"
   SELECT DISTINCT w AS skill_name FROM (
     SELECT unnest(regexp_extract_all(lower(text), '{WCLASS}{{5,}}')) AS w FROM benchmark
     UNION ALL SELECT unnest(regexp_extract_all(lower(text), '{WCLASS}+ {WCLASS}+')) AS w FROM benchmark)),
-kw AS (SELECT skill_name, regexp_extract(skill_name, '{WCLASS}+') AS first, NOT contains(skill_name, ' ') AS single FROM dict),
-toks AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '{WCLASS}+')) AS tok FROM documents)
-SELECT t.doc_id, kw.skill_name FROM toks t JOIN kw ON t.tok = kw.first JOIN documents d ON d.doc_id = t.doc_id
-WHERE kw.single OR regexp_matches(lower(d.text), '(^|[^' || '{WCLASS[1:-1]}' || '])' || kw.skill_name || '([^' || '{WCLASS[1:-1]}' || ']|$)')""")
+runs AS (SELECT doc_id, regexp_extract_all(lower(text), '{WCLASS}+') AS t, regexp_extract_all(lower(text), '[^{WCLASS[1:-1]}]+') AS s,
+  CASE WHEN regexp_matches(lower(text), '^[^{WCLASS[1:-1]}]') THEN 1 ELSE 0 END AS off FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(t) AS g FROM runs
+  UNION SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || s[i + off] || t[i + 1])) AS g FROM runs)
+SELECT doc_id, skill_name FROM grams JOIN dict ON g = skill_name""")
 def _match_dictionary(spark, sf):
     docs = A.documents(spark, sf).select("doc_id", F.lower("text").alias("t"))
     return skills.match_keywords_join(docs, "t", benchmark_dictionary(spark, sf), keep=["doc_id"])
@@ -435,15 +439,26 @@ def _clean_batch(spark, sf):
     return classified(first).drop("pos", "seen_at", "search_text")
 
 
-@register("check_constraints", f"""SELECT job_url, concat_ws(';',
+REASON_SQL = """concat_ws(';',
   CASE WHEN job_title IS NULL THEN 'job_title_null' END, CASE WHEN job_url IS NULL THEN 'job_url_null' END,
   CASE WHEN length(company_name) > 255 THEN 'company_name_too_long' END,
   CASE WHEN NOT salary_ok THEN 'salary_not_numeric' END,
-  CASE WHEN salary_ok AND salary_avg IS NULL THEN 'salary_out_of_range' END) AS reject_reason
-FROM ({BATCH_SQL}) WHERE job_title IS NULL OR NOT salary_ok OR (salary_ok AND salary_avg IS NULL) OR length(company_name) > 255""")
+  CASE WHEN salary_ok AND salary_avg IS NULL THEN 'salary_out_of_range' END{more})"""
+
+
+@register("check_constraints", f"""SELECT * FROM (SELECT *, {REASON_SQL.format(more='')} AS reject_reason FROM ({BATCH_SQL}))""")
 def _check(spark, sf):
-    good, bad = lifecycle.check_constraints(_clean_batch(spark, sf), "job_vacancies")
-    return bad.select("job_url", "reject_reason")
+    """Accepted rows (no reason) and rejects."""
+    good, bad = lifecycle.check_constraints(_clean_batch(spark, sf), "job_vacancies", check_unique=False)
+    return good.withColumn("reject_reason", F.lit("")).unionByName(bad)
+
+
+@register("check_constraints_unique", f"""SELECT job_url, pos, {REASON_SQL.format(more=", CASE WHEN n > 1 THEN 'duplicate_key' END")} AS reject_reason
+FROM (SELECT *, count(*) OVER (PARTITION BY job_url) AS n FROM {CLS_P})""")
+def _check_unique(spark, sf):
+    """The same on postings that were not deduplicated: rows of a repeated url are refused."""
+    good, bad = lifecycle.check_constraints(classified(P_(spark, sf)), "job_vacancies")
+    return good.withColumn("reject_reason", F.lit("")).unionByName(bad).select("job_url", "pos", "reject_reason")
 
 
 # ------------------------------------------------------------------ lifecycle
@@ -459,7 +474,8 @@ def _closed_form(spark, sf):
 
 JOB_OUT = ["job_title", "company_name", "location", "source", "job_url", "salary_avg", "job_category",
            "experience_level", "work_setup", "job_type", "scraped_at", "last_seen", "is_active", "closed_at"]
-G1_CUT, G1_END = "2000-01-01 00:00:00", "2000-02-01 00:00:00"
+# all sightings: those before the cut make the state, the others the batch
+G1_CUT, G1_END = "2000-01-01 00:00:00", "2002-01-01 00:00:00"
 G1_STATE = O.closed_form_sql(f"(SELECT * FROM {CLS_S} WHERE seen_at < TIMESTAMP '{G1_CUT}')", "1999-12-31 00:00:00")
 G1_BATCH = (f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY job_url ORDER BY pos) AS rn FROM {CLS_S} "
             f"WHERE seen_at >= TIMESTAMP '{G1_CUT}' AND seen_at < TIMESTAMP '{G1_END}') WHERE rn = 1)")
@@ -511,10 +527,14 @@ def _upsert(spark, sf):
     return out.select(*JOB_OUT)
 
 
-@register("close_stale", _close_sql(f"SELECT * FROM {G1_STATE}", "2000-06-01 00:00:00"))
+# a state over all sightings that ran last some days before the run that closes
+AS_OF_STATE, AS_OF_CLOSE = "1998-08-01 00:00:00", "1998-08-06 10:00:00"
+
+
+@register("close_stale", _close_sql(f"SELECT * FROM {O.closed_form_sql(CLS_S, AS_OF_STATE)}", AS_OF_CLOSE))
 def _close(spark, sf):
-    state = _g1_state(spark, sf)
-    return lifecycle.close_stale(state, "2000-06-01 00:00:00").select(*JOB_OUT)
+    state = lifecycle.replay_closed_form(sightings(spark, sf), AS_OF_STATE)
+    return lifecycle.close_stale(state, AS_OF_CLOSE).select(*JOB_OUT)
 
 
 @register("stale_predicate", f"""SELECT pos, job_url, (seen_at < CAST(CAST(TIMESTAMP '2001-07-15 10:00:00' AS DATE) - 3 AS TIMESTAMP)) AS stale
@@ -642,32 +662,32 @@ def _orphans(spark, sf):
 W_SQL = f"(SELECT * FROM {O.closed_form_sql(CLS_S, AS_OF)})"
 
 
-def warehouse_jobs(spark, sf):
-    return lifecycle.replay_closed_form(sightings(spark, sf), AS_OF)
+def warehouse_jobs(spark, sf, columns=None):
+    return lifecycle.replay_closed_form(sightings(spark, sf), AS_OF, columns=columns)
 
 
 @register("jobs_by_source", f"SELECT source, count(*) AS total_jobs, CAST(count_if(is_active) AS BIGINT) AS active_jobs FROM {W_SQL} GROUP BY source")
 def _by_source(spark, sf):
-    return I.jobs_by_source(warehouse_jobs(spark, sf))
+    return I.jobs_by_source(warehouse_jobs(spark, sf, ["source", "is_active"]))
 
 
 @register("top_companies", f"""SELECT company_name, count(*) AS job_count FROM {W_SQL} WHERE company_name IS NOT NULL
 GROUP BY company_name ORDER BY job_count DESC, company_name LIMIT 10""")
 def _top_companies(spark, sf):
-    return I.top_companies(warehouse_jobs(spark, sf), 10)
+    return I.top_companies(warehouse_jobs(spark, sf, ["company_name"]), 10)
 
 
 @register("salary_distribution", f"""SELECT CAST(floor(salary_avg / 5000) * 5000 AS BIGINT) AS band_start, count(*) AS job_count
 FROM {W_SQL} WHERE salary_avg > 0 GROUP BY 1""")
 def _salary_dist(spark, sf):
-    return I.salary_distribution(warehouse_jobs(spark, sf), width=5000)
+    return I.salary_distribution(warehouse_jobs(spark, sf, ["salary_avg"]), width=5000)
 
 
 @register("salary_summary", f"""SELECT count(*) AS n, round(min(CAST(salary_avg AS DOUBLE)), 2) AS min_salary,
   round(quantile_cont(CAST(salary_avg AS DOUBLE), 0.5), 2) AS median_salary, round(avg(CAST(salary_avg AS DOUBLE)), 2) AS mean_salary,
   round(max(CAST(salary_avg AS DOUBLE)), 2) AS max_salary FROM {W_SQL} WHERE salary_avg > 0""")
 def _salary_summary(spark, sf):
-    return I.salary_summary(warehouse_jobs(spark, sf))
+    return I.salary_summary(warehouse_jobs(spark, sf, ["salary_avg"]))
 
 
 @register("skills_gap", f"""WITH d AS (SELECT kw.skill_name, count(DISTINCT c.job_url) AS demand FROM {CLS_S} c, {O.keyword_values()}
@@ -677,16 +697,18 @@ def _salary_summary(spark, sf):
 SELECT coalesce(d.skill_name, s.skill_name) AS skill_name, coalesce(demand, 0) AS demand, coalesce(supply, 0) AS supply,
   coalesce(demand, 0) - coalesce(supply, 0) AS gap FROM d FULL OUTER JOIN s ON d.skill_name = s.skill_name""")
 def _skills_gap(spark, sf):
-    demand = skills.match_keywords(sightings(spark, sf), "search_text", keep=["job_url"]).withColumnRenamed("job_url", "job_id")
+    demand = dedup.distinct_pairs(skills.match_keywords(sightings(spark, sf), "search_text", keep=["job_url"])
+                                  .withColumnRenamed("job_url", "job_id"))
     good, _ = lifecycle.check_constraints(_course_batch(spark, sf), "courses", check_unique=False)
-    supply = skills.match_keywords(good, "search_text", keep=["url"]).withColumnRenamed("url", "course_id")
+    supply = dedup.distinct_pairs(skills.match_keywords(good, "search_text", keep=["url"])
+                                  .withColumnRenamed("url", "course_id"), ["course_id", "skill_name"])
     return I.skills_gap(demand, supply)
 
 
 for _dim in ("location", "work_setup", "job_category", "source"):
     def _mk(dim):
         def fn(spark, sf):
-            return I.facet_counts(warehouse_jobs(spark, sf), dim)
+            return I.facet_counts(warehouse_jobs(spark, sf, [dim]), dim)
         return fn
     register(f"facet_counts_{_dim}", f"SELECT {_dim} AS value, count(*) AS job_count FROM {W_SQL} GROUP BY 1")(_mk(_dim))
 
@@ -698,6 +720,72 @@ def _facet_filter(spark, sf):
                           salary_min=1000, salary_max=300000, scraped_from="1996-01-01")
 
 
+def _detailed(spark, sf):
+    """The warehouse rows with a job type by the url's number and a level by the salary."""
+    jobs = warehouse_jobs(spark, sf)
+    n = F.regexp_extract("job_url", "([0-9]+)$", 1).cast("long")
+    return jobs.withColumns({
+        "job_type": A._case(n % 3, [(0, "Full-time"), (1, "Contract")], F.lit(None).cast("string")),
+        "experience_level": F.when(F.col("salary_avg") > 150000, "Senior").when(F.col("salary_avg") > 0, "Junior")})
+
+
+D_SQL = f"""(SELECT * REPLACE (CASE CAST(regexp_extract(job_url, '([0-9]+)$', 1) AS BIGINT) % 3 WHEN 0 THEN 'Full-time' WHEN 1 THEN 'Contract' END AS job_type,
+  CASE WHEN salary_avg > 150000 THEN 'Senior' WHEN salary_avg > 0 THEN 'Junior' END AS experience_level) FROM {W_SQL})"""
+
+for _dim in ("job_type", "experience_level"):
+    def _mk2(dim):
+        def fn(spark, sf):
+            return I.facet_counts(_detailed(spark, sf), dim)
+        return fn
+    register(f"facet_counts_{_dim}", f"SELECT {_dim} AS value, count(*) AS job_count FROM {D_SQL} GROUP BY 1")(_mk2(_dim))
+
+S_PAIRS_SQL = (f"(SELECT DISTINCT c.job_url, kw.skill_name FROM {CLS_S} c, {O.keyword_values()} WHERE regexp_matches(c.search_text, kw.pat))")
+
+
+def _sighting_pairs(spark, sf):
+    return dedup.distinct_pairs(skills.match_keywords(sightings(spark, sf), "search_text", keep=["job_url"]), ["job_url", "skill_name"])
+
+
+@register("facet_filter_details", f"""SELECT * FROM {D_SQL} j WHERE job_type IN ('Contract') AND experience_level = 'Senior'
+  AND EXISTS (SELECT 1 FROM {S_PAIRS_SQL} p WHERE p.job_url = j.job_url AND p.skill_name = 'SQL')""")
+def _facet_details(spark, sf):
+    """Job type, level and skill."""
+    pairs = _sighting_pairs(spark, sf).withColumnRenamed("job_url", "job_id")
+    jobs = _detailed(spark, sf).withColumn("job_id", F.col("job_url"))
+    return I.facet_filter(jobs, job_type=["Contract"], experience_level="Senior", skill="SQL", skills=pairs).drop("job_id")
+
+
+@register("top_skills_active", f"""SELECT skill_name, count(*) AS job_count FROM {S_PAIRS_SQL} p
+WHERE job_url IN (SELECT job_url FROM {O.closed_form_sql(CLS_S, AS_OF_STATE)} WHERE is_active)
+GROUP BY skill_name ORDER BY job_count DESC, skill_name LIMIT 10""")
+def _top_skills_active(spark, sf):
+    """F4 among the postings that are open."""
+    jobs = lifecycle.replay_closed_form(sightings(spark, sf), AS_OF_STATE, columns=["job_url", "is_active"])
+    return I.top_skills(_sighting_pairs(spark, sf), n=10, jobs=jobs, active_only=True, id_col="job_url")
+
+
+# G8 step by step: the runs of four days spread over the whole history, each with all sightings since the last
+RUNS = ["1994-01-01", "1996-01-01", "1996-01-03", "2002-01-01"]
+R_SIGHT_SQL = (f"(SELECT * REPLACE (CASE " + " ".join(f"WHEN seen_at < TIMESTAMP '{d}' THEN TIMESTAMP '{d}'" for d in RUNS)
+               + f" END AS seen_at) FROM {CLS_S})")
+
+
+@register("replay", f"SELECT * FROM {O.closed_form_sql(R_SIGHT_SQL, RUNS[-1] + ' 00:00:00')}")
+def _replay(spark, sf):
+    """G8 as a fold of dated runs; its twin is the closed form over the same runs."""
+    s = written(sightings(spark, sf), "sightings")
+    batches, low = [], None
+    for day in RUNS:
+        window = F.col("seen_at") < _ts_lit(day)
+        window = window if low is None else window & (F.col("seen_at") >= _ts_lit(low))
+        batches.append((f"{day} 00:00:00", dedup.first_per_key(s.filter(window), "job_url", ["pos"])))
+        low = day
+    # runs without records still close, on the day the closed form names
+    extra = [(f"{d} 00:00:00", None) for d in ("1994-01-05", "1996-01-05", "1996-01-07")]
+    state = lifecycle.replay(spark.createDataFrame([], JOB_VACANCIES), [*batches, *extra])
+    return state.select(*JOB_OUT)
+
+
 # ------------------------------------------------------------------ the daily load end to end (§3.1)
 
 LOAD_AS_OF = "2026-04-29 06:00:00"
@@ -716,11 +804,27 @@ def _load_events(spark, sf):
     return root
 
 
+# D1 on a landed line
+KEYED_SQL = ("CASE WHEN coalesce(value->>'platform', '') <> '' THEN coalesce(value->>'url', '') <> '' "
+             "ELSE coalesce(value->>'job_url', '') <> '' END")
+
+
+def _load_course_sql() -> str:
+    t = O.clean_text("value->>'course_title'")
+    desc = """value->>'desc'"""
+    title = f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY value->>'course_title' ORDER BY pos) AS rn FROM {L_SQL} " \
+            f"WHERE json_valid(value) AND json_type(value) = 'OBJECT' AND list_contains(json_keys(value), 'course_title') AND {KEYED_SQL}) WHERE rn = 1)"
+    rows = f"""SELECT {O.null_if_na(t)} AS course_title, {O.null_if_na("value->>'platform'")} AS platform, value->>'url' AS url,
+  {O.search_text(t, O.clean_text(desc))} AS search_text, pos FROM {title}"""
+    return (f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY pos) AS rn FROM ({rows}) "
+            "WHERE course_title IS NOT NULL) WHERE rn = 1)")
+
+
 def _load_job_sql() -> str:
     t = O.clean_text("value->>'job_title'")
     cols = f"""{O.null_if_na(t)} AS job_title, {O.null_if_na("value->>'company'")} AS company_name,
   {O.null_if_na(O.location("value->>'job_location'"))} AS location, {O.null_if_na("value->>'job_board'")} AS source,
-  coalesce(value->>'job_url', '') AS job_url, {O.parse_salary("value->>'base_salary'")} AS salary_avg,
+  value->>'job_url' AS job_url, {O.parse_salary("value->>'base_salary'")} AS salary_avg,
   {O.salary_ok("value->>'base_salary'")} AS salary_ok,
   {O.null_if_na(O.category("value->>'job_department'", t))} AS job_category,
   {O.null_if_na("value->>'job_level'")} AS experience_level, {O.work_setup("value->>'work_arrangement'")} AS work_setup,
@@ -728,7 +832,7 @@ def _load_job_sql() -> str:
   {O.search_text(t, O.clean_text("value->>'desc'"))} AS search_text"""
     first = (f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY value->>'job_url' ORDER BY pos) AS rn "
              f"FROM {L_SQL} WHERE json_valid(value) AND json_type(value) = 'OBJECT' "
-             f"AND NOT list_contains(json_keys(value), 'course_title')) WHERE rn = 1)")
+             f"AND NOT list_contains(json_keys(value), 'course_title') AND {KEYED_SQL}) WHERE rn = 1)")
     sal = "value->>'base_salary'"
     good = f"{O.null_if_na(t)} IS NOT NULL AND {O.salary_ok(sal)} AND {O.parse_salary(sal)} IS NOT NULL"
     return f"(SELECT {cols} FROM {first} WHERE {good})"
@@ -752,6 +856,43 @@ def _daily_load_skills(spark, sf):
     return read_snapshot(spark, root, "job_skills").join(jobs, "job_id").select("job_url", "skill_name")
 
 
+@register("daily_load_courses", f"SELECT course_title, platform, url, TIMESTAMP '{LOAD_AS_OF}' AS scraped_at FROM {_load_course_sql()}")
+def _daily_load_courses(spark, sf):
+    from ..sources.snapshot import read_snapshot
+    return read_snapshot(spark, _load_events(spark, sf), "courses").drop("course_id")
+
+
+@register("daily_load_course_skills", f"""SELECT DISTINCT c.url, kw.skill_name FROM {_load_course_sql()} c, {O.keyword_values()}
+WHERE regexp_matches(c.search_text, kw.pat)""")
+def _daily_load_course_skills(spark, sf):
+    from ..sources.snapshot import read_snapshot
+    root = _load_events(spark, sf)
+    courses = read_snapshot(spark, root, "courses", ["course_id", "url"])
+    return read_snapshot(spark, root, "course_skills").join(courses, "course_id").select("url", "skill_name")
+
+
+@register("landing_round_trip", f"""SELECT pos, value->>'job_title' AS job_title, value->>'job_url' AS job_url,
+  value->>'course_title' AS course_title, value->>'platform' AS platform, list_contains(json_keys(value), 'course_title') AS is_course
+FROM {L_SQL} WHERE json_valid(value) AND json_type(value) = 'OBJECT'""")
+def _landing_round_trip(spark, sf):
+    """A6 then A1 and A2 on files: landed records are read back with their keys."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.landing import LANDED, read_landing, write_landing
+    records = parse_landing(A.landing_lines(spark, sf)).drop("file_path", "block_start")
+    path = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    # the position rides along as a field of its own
+    keyed = (records.withColumnRenamed("pos", "line_pos").withColumn("_keys", F.concat("_keys", F.array(F.lit("line_pos"))))
+             .withColumn("landed_from", F.coalesce("job_board", "platform")))
+    write_landing(keyed, path, source_col="landed_from")
+    back = parse_landing(read_landing(spark, path, pattern=LANDED), schema=StructType([*RECORD.fields, StructField("line_pos", StringType())]))
+    jobs, courses = route_records(back)
+    cols = ["job_title", "job_url", "course_title", "platform"]
+    return (jobs.withColumn("is_course", F.lit(False)).unionByName(courses.withColumn("is_course", F.lit(True)))
+            .select(F.col("line_pos").cast("long").alias("pos"), *cols, "is_course"))
+
+
 # ------------------------------------------------------------------ pages
 
 for _name, (_fn, _sql) in P.catalog().items():

@@ -7,16 +7,18 @@ heap per task, no global sort).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.snapshot import written
+
 
 def top_skills(skills: DataFrame, n: int = 10, jobs: DataFrame | None = None,
                active_only: bool = False, id_col: str = "job_id") -> DataFrame:
-    """skills by number of distinct owners, ties by name."""
+    """skills by number of owners, ties by name; ``skills`` holds each (owner, skill) pair once."""
     if active_only and jobs is not None:
         skills = skills.join(jobs.filter("is_active").select(id_col), id_col, "left_semi")
-    agg = skills.groupBy("skill_name").agg(F.count_distinct(id_col).alias("job_count"))
+    agg = skills.groupBy("skill_name").agg(F.count(id_col).alias("job_count"))
     return agg.orderBy(F.desc("job_count"), F.asc("skill_name")).limit(n)
 
 
@@ -42,20 +44,42 @@ def salary_distribution(jobs: DataFrame, width: int = 5_000_000) -> DataFrame:
 
 
 def salary_summary(jobs: DataFrame) -> DataFrame:
-    """min, median, mean and max of known salaries (one row)."""
-    s = F.col("salary_avg").cast("double")
-    return jobs.filter(F.col("salary_avg") > 0).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.min(s), 2).alias("min_salary"),
-        F.round(F.percentile(s, F.lit(0.5)), 2).alias("median_salary"),
-        F.round(F.avg(s), 2).alias("mean_salary"),
-        F.round(F.max(s), 2).alias("max_salary"))
+    """min, median, mean and max of known salaries (one row).
+
+    The median is read off counts per distinct salary: the salaries are ranged
+    over partitions, each partition's count places it, and only the partition
+    that holds a middle rank is looked into.  No task gathers all salaries.
+    """
+    counts = written(jobs.filter(F.col("salary_avg") > 0).groupBy(F.col("salary_avg").cast("double").alias("s"))
+                     .agg(F.count(F.lit(1)).alias("c")), "salaries")
+    ranged = written(counts.repartitionByRange("s").withColumn("part", F.spark_partition_id()), "salary-ranges")
+    sizes = ranged.groupBy("part").agg(F.sum("c").alias("size"))  # one row per partition
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.select("part", "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("skip"),
+                          F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"))
+    low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    holds = placed.filter(((low > F.col("skip")) & (low <= F.col("skip") + F.col("size")))
+                          | ((high > F.col("skip")) & (high <= F.col("skip") + F.col("size"))))
+    inside = ranged.join(holds, "part").withColumn(
+        "upto", F.col("skip") + F.sum("c").over(Window.partitionBy("part").orderBy("s")))
+    middle = inside.agg(F.min(F.when(F.col("upto") >= low, F.col("s"))).alias("a"),
+                        F.min(F.when(F.col("upto") >= high, F.col("s"))).alias("b"))
+    total = counts.agg(F.sum("c").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi"), F.sum(F.col("s") * F.col("c")).alias("sum"))
+    return total.select(
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+        F.round("lo", 2).alias("min_salary"),
+        F.round((middle.select("a").scalar() + middle.select("b").scalar()) / 2, 2).alias("median_salary"),
+        F.round(F.col("sum") / F.col("n"), 2).alias("mean_salary"),
+        F.round("hi", 2).alias("max_salary"))
 
 
 def skills_gap(job_skills: DataFrame, course_skills: DataFrame) -> DataFrame:
-    """F8: per skill, jobs asking (demand), courses teaching (supply), and the gap."""
-    demand = job_skills.groupBy("skill_name").agg(F.count_distinct("job_id").alias("demand"))
-    supply = course_skills.groupBy("skill_name").agg(F.count_distinct("course_id").alias("supply"))
+    """F8: per skill, jobs asking (demand), courses teaching (supply), and the gap.
+
+    Both inputs hold each (owner, skill) pair once (F3), so rows are counted.
+    """
+    demand = job_skills.groupBy("skill_name").agg(F.count("job_id").alias("demand"))
+    supply = course_skills.groupBy("skill_name").agg(F.count("course_id").alias("supply"))
     both = demand.join(supply, "skill_name", "full_outer")
     d = F.coalesce("demand", F.lit(0)).cast("bigint")
     s = F.coalesce("supply", F.lit(0)).cast("bigint")

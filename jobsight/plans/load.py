@@ -2,8 +2,10 @@
 
 Order follows the reference load: dedup on raw keys, clean text, classify,
 check, upsert jobs, close stale rows, insert courses, then append skill pairs
-for the batch's members.  The parsed batch is written once to the shared
-checkpoint folder (``checkpoint``) because it feeds jobs, courses and skills.
+for the batch's members.  Records without their key are dropped before the
+dedup shuffle (D1).  The parsed records and the classified batch are written
+once as Parquet under the shared checkpoint folder, since several steps read
+them and each needs few of their columns.
 """
 
 from __future__ import annotations
@@ -16,12 +18,13 @@ from pyspark.sql import functions as F
 from ..functions.classify import classify_frame
 from ..functions.text import clean_text, null_if_na, search_text
 from ..operators.dedup import dedup_courses, dedup_jobs
+from ..operators.filters import drop_keyless
 from ..operators.lifecycle import check_constraints, close_stale, insert_courses, upsert_jobs
 from ..operators.skills import append_skills, resolve_course_id, resolve_job_id
 from ..schemas import SKILL_KEYWORDS, empty
 from ..session import ensure_checkpoint_dir
 from ..sources.landing import parse_landing, read_landing, route_records
-from ..sources.snapshot import publish_all, publish_snapshot, read_snapshot, table_path
+from ..sources.snapshot import committed, publish_all, publish_snapshot, read_snapshot, table_path, written
 
 ORDER = ("file_path", "block_start", "pos")
 
@@ -81,7 +84,7 @@ def clean_course_batch(courses: DataFrame, order: Sequence[str] = ORDER) -> Data
     return cleaned.select(
         null_if_na("course_title").alias("course_title"),
         null_if_na("platform").alias("platform"),
-        F.coalesce("url", F.lit("")).alias("url"),
+        "url",
         search_text("course_title", "desc").alias("search_text"),
         *order)
 
@@ -102,19 +105,24 @@ def load_lines(spark: SparkSession, lines: DataFrame, root: str, as_of: str, run
     ``batch_id`` is stored with the manifest, so a stream that replays a
     micro-batch after a failure can tell that it was already committed.
     """
+    done = committed(spark, root, run_id)
+    if done:
+        return done  # a run is applied once
     ensure_checkpoint_dir(spark)
-    records = parse_landing(lines).checkpoint(eager=True)
+    records = written(drop_keyless(parse_landing(lines)), "records")
     if records.isEmpty():
-        return {}  # no record of any kind: nothing changes
+        return {}  # no record with a key: nothing changes
     jobs_raw, courses_raw = route_records(records)
 
     batch = clean_job_batch(jobs_raw, pandas_missing=pandas_missing)
-    good, rejects = check_constraints(batch, "job_vacancies", strict=strict)
+    batch = written(batch, "batch")  # read twice: for the postings and for their skills
+    good, rejects = check_constraints(batch, "job_vacancies", check_unique=False, strict=strict)  # F1 made the key unique
     current = read_snapshot(spark, root, "job_vacancies")
     jobs = close_stale(upsert_jobs(current, good, as_of), as_of, days)
 
+    # titles are unique (F2), urls need not be: G3 keeps the first of each
     courses_batch = clean_course_batch(courses_raw)
-    cgood, crejects = check_constraints(courses_batch, "courses", strict=strict)
+    cgood, crejects = check_constraints(courses_batch, "courses", check_unique=False, strict=strict)
     courses = insert_courses(read_snapshot(spark, root, "courses"), cgood, as_of)
 
     # Write the two owner tables first and read them back: the skill pairs

@@ -1,8 +1,8 @@
 """SparkSession construction and the shared checkpoint folder.
 
 On a cluster the session is built by the platform and ``spark.checkpoint.dir``
-names a shared folder; this module only reads it.  A private folder is created
-only when the setting is absent (local runs and tests).
+names a shared folder; this module only reads it.  A local session without the
+setting (tests, bench) gets a private folder.
 """
 
 from __future__ import annotations
@@ -42,14 +42,19 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a private one only if unset."""
+    """Return the session's checkpoint folder.
+
+    Where none is set, a local session (tests, bench) gets a private one; any
+    other master raises, since its executors would not share the folder.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached where the cluster names no shared folder (local tests).
-        configured = tempfile.mkdtemp(prefix="jobsight-ckpt-", dir="/tmp")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="jobsight-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..schemas import RECORD
 
 ORDER_COLS = ["file_path", "block_start", "pos"]
+#: Names of the files that ``write_landing`` makes.
+LANDED = "part-*.txt"
 
 
 def read_landing(spark: SparkSession, path: str, pattern: str = "*.jl",
@@ -74,7 +76,23 @@ def union_sources(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def write_landing(records: DataFrame, path: str, source_col: str = "source") -> None:
-    """One JSON-lines dataset per source, replacing only the sources written."""
-    (records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(source_col).json(path))
+def write_landing(records: DataFrame, path: str, source_col: str = "source", keys_col: str = "_keys") -> None:
+    """JSON lines in one folder per source, replacing only the sources written.
+
+    The lines are read back by ``read_landing(path, pattern=LANDED)``: null
+    fields stay present and the source stays a field.  Where ``keys_col`` is
+    there, a record holds just the keys it lists (as ``parse_landing`` found
+    them), so that absent keys stay absent.
+    """
+    fields = [c for c in records.columns if c != keys_col]
+    options = {"ignoreNullFields": "false"}
+    if keys_col in records.columns:
+        entries = F.array(*[F.struct(F.lit(c).alias("k"), F.to_json(F.struct(F.col(c).alias("v")), options).alias("v")) for c in fields])
+        present = F.filter(entries, lambda e: F.array_contains(F.col(keys_col), e["k"]))
+        # each entry is {"v":...}: its value goes behind the key's name
+        line = F.concat(F.lit("{"), F.array_join(F.transform(present, lambda e: F.concat(
+            F.lit('"'), e["k"], F.lit('":'), F.substring(e["v"], F.lit(6), F.length(e["v"]) - 6))), ","), F.lit("}"))
+    else:
+        line = F.to_json(F.struct(*fields), options)
+    (records.select(line.alias("value"), F.col(source_col).alias("landed_source"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("landed_source").text(path))

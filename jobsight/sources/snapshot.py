@@ -1,24 +1,33 @@
-"""Versioned warehouse snapshots on plain files.
+"""Warehouse snapshots on plain files.
 
 Layout under ``root``::
 
-    v=<run>/<table>/part-*.parquet      one folder per table and run
-    _manifest/seq=<n>/part-*.json       (table, path, run_id, batch_id) rows
+    v=<run>/<table>-<unique>/part-*.parquet   a new folder for every write
+    _manifest/seq=<n>/part-*.json             (table, path, run_id, batch_id) rows
 
-A run writes its tables first and its manifest last.  The manifest is one small
-Spark write; the output committer makes its files visible only when the job
-commits, so readers that take the highest committed ``seq`` see either all four
-tables of a run or none of them.  Re-running a run id overwrites its own
-folders, which is what a retried load needs.
+A run writes its tables to new folders first and its manifest last, as one
+small Spark write.  Readers take the highest ``seq``.  Nothing a reader may
+hold is ever overwritten, and a committed run id is not applied again.  One
+load runs at a time: concurrent loads need a table format with transactions.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..schemas import WAREHOUSE
+from ..session import scratch_path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as columns under the shared checkpoint folder, and read back."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
@@ -26,7 +35,9 @@ def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
         return spark.read.schema(
             "table string, path string, run_id string, batch_id long, seq long"
         ).json(root.rstrip("/") + "/_manifest")
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -47,6 +58,14 @@ def current_manifest(spark: SparkSession, root: str) -> dict:
     return out
 
 
+def committed(spark: SparkSession, root: str, run_id: str) -> dict:
+    """The current manifest if ``run_id`` has been committed, else an empty one."""
+    m = _manifest(spark, root)
+    if m is None or m.filter(F.col("run_id") == run_id).isEmpty():
+        return {}
+    return current_manifest(spark, root)
+
+
 def read_snapshot(spark: SparkSession, root: str, table: str,
                   columns: list[str] | None = None) -> DataFrame:
     """The current state of ``table``; empty with the table schema if none."""
@@ -60,13 +79,14 @@ def read_snapshot(spark: SparkSession, root: str, table: str,
 
 
 def publish_snapshot(df: DataFrame, path: str) -> str:
-    """Write one table version (overwrite of its own folder only)."""
-    df.write.mode("overwrite").parquet(path)
+    """Write one table version to a new folder."""
+    df.write.mode("error").parquet(path)
     return path
 
 
 def table_path(root: str, run_id: str, table: str) -> str:
-    return f"{root.rstrip('/')}/v={run_id}/{table}"
+    """A folder that no earlier write has used."""
+    return f"{root.rstrip('/')}/v={run_id}/{table}-{uuid.uuid4().hex}"
 
 
 def publish_all(spark: SparkSession, root: str, tables: dict[str, DataFrame], run_id: str,
@@ -93,10 +113,11 @@ def publish_all(spark: SparkSession, root: str, tables: dict[str, DataFrame], ru
             entries.append((name, path, run_id, batch_id))
     seq = (previous.get("_seq") or 0) + 1
     man = spark.createDataFrame(entries, "table string, path string, run_id string, batch_id long")
-    man.coalesce(1).write.mode("overwrite").json(f"{root}/_manifest/seq={seq}")
+    man.coalesce(1).write.mode("error").json(f"{root}/_manifest/seq={seq}")
     return current_manifest(spark, root)
 
 
 def last_batch_id(spark: SparkSession, root: str) -> int | None:
-    """Batch id stored with the current manifest (idempotent stream folds)."""
-    return current_manifest(spark, root).get("_batch_id")
+    """Highest batch id committed so far (batch loads in between store none)."""
+    m = _manifest(spark, root)
+    return None if m is None else m.agg(F.max("batch_id")).first()[0]

@@ -2,7 +2,8 @@
 
 "First row per key" is an aggregate, not a window: ``min_by(row, order)`` runs
 a partial aggregation before the shuffle, so a key that holds a third of the
-input leaves each map task as a single row.  No sort, no hot task.
+input leaves each map task as a single row.  Its struct buffer makes Spark sort
+by the key on both sides of the shuffle; no task gathers the rows of a key.
 """
 
 from __future__ import annotations

@@ -172,9 +172,8 @@ def check_constraints(df: DataFrame, table: str = "job_vacancies", key: str | No
 
     Checks NOT NULL, VARCHAR lengths, the salary's numeric shape and range,
     and key uniqueness (every row of a repeated key is rejected: the
-    warehouse would refuse the whole batch).  Uniqueness counts the rows of a
-    key behind one shuffle; a batch that F1 has made unique needs no
-    ``check_unique``.  ``strict`` raises instead, as the warehouse does.
+    warehouse would refuse the whole batch).  A batch that F1 has made
+    unique needs no ``check_unique`` and is read once.  ``strict`` raises instead, as the warehouse does.
     """
     key = key or ("job_url" if table == "job_vacancies" else "url")
     not_null = list(not_null) if not_null is not None else (
@@ -188,11 +187,13 @@ def check_constraints(df: DataFrame, table: str = "job_vacancies", key: str | No
         reasons.append(F.when(F.col("salary_ok") & F.col("salary_avg").isNull(), F.lit("salary_out_of_range")))
     checked = df
     if check_unique:
-        checked = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
-        reasons.append(F.when(F.col(key).isNotNull() & (F.col("_n") > 1), F.lit("duplicate_key")))
+        # counted with partial aggregation and joined back: a hot key stays spread over tasks
+        dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
+        checked = df.join(dup.withColumn("_dup", F.lit(True)), key, "left")
+        reasons.append(F.when(F.col("_dup"), F.lit("duplicate_key")))
     checked = checked.withColumn("reject_reason", F.concat_ws(";", F.array_compact(F.array(*reasons))))
     if check_unique:
-        checked = checked.drop("_n")
+        checked = checked.drop("_dup")
     good = checked.filter(F.col("reject_reason") == "").drop("reject_reason")
     bad = checked.filter(F.col("reject_reason") != "")
     if strict:

@@ -6,6 +6,10 @@ tracks which files were consumed; the manifest stores the last committed
 batch id, so a micro-batch replayed after a failure is skipped instead of
 being applied twice.  ``trigger(availableNow=True)`` turns a daily schedule
 into "process everything new, then stop".
+
+The file source never reads a path twice.  A crawler must therefore land each
+day under new names (``2026-04-29/x_output.jl``); a file rewritten under its old
+name is not seen, and its postings would close as stale.
 """
 
 from __future__ import annotations

@@ -3,15 +3,13 @@
 import json
 import re
 
-import pytest
-
 from pyspark.sql import functions as F
 
 from jobsight.operators import skills as S
 from jobsight.plans import insights as I
 from jobsight.plans.load import bootstrap, daily_load
 from jobsight.schemas import SKILL_KEYWORDS
-from jobsight.sources.landing import parse_landing, read_landing, route_records, union_sources, write_landing
+from jobsight.sources.landing import LANDED, parse_landing, read_landing, route_records, union_sources, write_landing
 from jobsight.sources.snapshot import current_manifest, read_snapshot
 
 
@@ -72,10 +70,24 @@ def test_daily_load_end_to_end(spark, tmp_path):
 
 
 def test_write_landing_partitions(spark, tmp_path):
-    df = spark.createDataFrame([("a", "u1"), ("b", "u2")], "source string, job_url string")
-    write_landing(df, str(tmp_path / "out"))
-    back = spark.read.json(str(tmp_path / "out"))
-    assert sorted(r.source for r in back.collect()) == ["a", "b"]
+    lines = [json.dumps({"job_title": "T", "job_url": "u1", "job_board": "a"}),
+             json.dumps({"job_title": None, "job_url": "u2", "job_board": "b"}),
+             json.dumps({"course_title": None, "platform": "a", "url": 'c"1'})]
+    write(tmp_path / "in", "x.jl", lines)
+    records = parse_landing(read_landing(spark, str(tmp_path / "in"))).withColumn("from_source", F.coalesce("job_board", "platform"))
+    out = str(tmp_path / "out")
+    write_landing(records, out, source_col="from_source")
+    write_landing(records.filter("from_source = 'b'"), out, source_col="from_source")  # the other source stays
+    back = parse_landing(read_landing(spark, out, pattern=LANDED))
+    jobs, courses = route_records(back)
+    assert sorted((r.job_url, r.job_title, tuple(sorted(r._keys))) for r in jobs.collect()) == [
+        ("u1", "T", ("job_board", "job_title", "job_url")), ("u2", None, ("job_board", "job_title", "job_url"))]
+    assert [(r.url, r.course_title, tuple(sorted(r._keys))) for r in courses.collect()] == [
+        ('c"1', None, ("course_title", "platform", "url"))]
+    plain = spark.createDataFrame([("a", "u1", None), ("b", None, "c")], "source string, job_url string, course_title string")
+    write_landing(plain, str(tmp_path / "plain"))
+    kept = parse_landing(read_landing(spark, str(tmp_path / "plain"), pattern=LANDED))
+    assert all("course_title" in r._keys for r in kept.collect()) and kept.count() == 2
 
 
 def test_keywords_match_python_regex(spark):
@@ -103,14 +115,48 @@ def test_token_join_equals_regex_and_python(spark):
     want = sorted((i, kw) for i, t in enumerate(texts) for kw in kws
                   if re.search(r"\b" + re.escape(kw.lower()) + r"\b", t))
     via_join = sorted((r.i, r.skill_name) for r in S.match_keywords_join(df, "t", kws, keep=["i"]).collect())
-    via_any = sorted((r.i, r.skill_name) for r in S.match_any(df, "t", kws, keep=["i"]).collect())
-    assert via_join == want and via_any == want
-    plain = [k for k in kws if re.match(r"^\w(.*\w)?$", k)]
-    table = spark.createDataFrame([(k,) for k in plain], "keyword string")
+    via_regex = sorted((r.i, r.skill_name) for r in S.match_keywords(df, "t", kws, keep=["i"]).collect())
+    assert via_join == want and via_regex == want
+    table = spark.createDataFrame([(k,) for k in [*kws, "java", None]], "keyword string")
     via_df = sorted((r.i, r.skill_name) for r in S.match_keywords_join(df, "t", table, keep=["i"]).collect())
-    assert via_df == [p for p in want if p[1] in plain]
-    with pytest.raises(ValueError):
-        S.match_keywords_join(df, "t", spark.createDataFrame([(".net",)], "keyword string"), keep=["i"])
+    assert via_df == want
+
+
+def test_both_keyword_plans_agree_on_odd_keywords(spark):
+    texts = ["le cafe\u0301 java", "cafe x", "java, java", "a.net b", "c++x c++", "x+y ++ a++b", "UP\u0130 stra\u00dfe", ""]
+    kws = ["java", "java", "cafe\u0301", "cafe", ".net", "c++", "++", "+", "stra\u00dfe", "cafe\u0301 java"]
+    df = spark.createDataFrame([(i, t.lower()) for i, t in enumerate(texts)], "i int, t string")
+    a = sorted((r.i, r.skill_name) for r in S.match_keywords(df, "t", kws, keep=["i"]).collect())
+    b = sorted((r.i, r.skill_name) for r in S.match_keywords_join(df, "t", kws, keep=["i"]).collect())
+    assert a == b and (0, "cafe\u0301") in a and len(a) == len(set(a))
+
+
+def test_load_loses_nothing_and_runs_once(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    bootstrap(spark, root)
+    course = lambda title, url: json.dumps({"course_title": title, "platform": "P", "url": url, "desc": "SQL"})
+    land = tmp_path / "d1"
+    write(land, "a.jl", [job("u1", "Data Engineer"), job(None, "No url"), job("", "Blank url"),
+                         course("One", "c1"), course("Two", "c1"), course("Three", "c3")])
+    first = daily_load(spark, str(land), root, "2026-04-01 06:00:00", "r1")
+    assert first["_rejects"].count() == 0
+    state = {t: sorted(map(str, read_snapshot(spark, root, t).collect()))
+             for t in ("job_vacancies", "courses", "job_skills", "course_skills")}
+    assert [r.job_url for r in read_snapshot(spark, root, "job_vacancies").collect()] == ["u1"]
+    assert {(r.course_title, r.url) for r in read_snapshot(spark, root, "courses").collect()} == {("One", "c1"), ("Three", "c3")}
+    assert len(state["course_skills"]) == 2
+    again = daily_load(spark, str(land), root, "2026-04-09 06:00:00", "r1")
+    assert again["_seq"] == first["_seq"]
+    assert state == {t: sorted(map(str, read_snapshot(spark, root, t).collect())) for t in state}
+    # the next day refreshes, closes and reopens over a warehouse that is not empty
+    write(tmp_path / "d2", "a.jl", [job("u2", "New"), course("One again", "c1"), course("Four", "c4")])
+    daily_load(spark, str(tmp_path / "d2"), root, "2026-04-06 06:00:00", "r2")
+    write(tmp_path / "d3", "a.jl", [job("u1", "Back again")])
+    daily_load(spark, str(tmp_path / "d3"), root, "2026-04-07 06:00:00", "r3")
+    rows = {r.job_url: r for r in read_snapshot(spark, root, "job_vacancies").collect()}
+    assert rows["u1"].is_active and rows["u1"].job_title == "Back again" and str(rows["u1"].closed_at) == "2026-04-06 06:00:00"
+    assert len({r.job_id for r in rows.values()}) == 2
+    assert sorted(r.course_title for r in read_snapshot(spark, root, "courses").collect()) == ["Four", "One", "Three"]
 
 
 def test_pandas_missing_keys(spark, tmp_path):

@@ -129,3 +129,30 @@ def test_card_cascades(spark):
     t = html.normalise_trakstar_cards(pg, F.lit(NOW)).orderBy("seq", "item_pos").collect()
     assert [(r.job_title, r.job_type, r.work_arrangement, r.job_url) for r in t if r.seq == 2] == [
         ("Ops", "Contract", "Hybrid", "https://x/job/1")]
+
+
+def test_cards_end_at_their_own_tag_and_follow_document_order(spark):
+    page = ('<div class="b-job"><a href="/careers/1"><h2>First</h2><h3>Second</h3></a></div>'
+            '<div class="b-job"><a><div>inner</div><h3>No link</h3></a></div><footer><a href="/about">x</a></footer>')
+    pg = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    rows = html.normalise_vidio_cards(pg, F.lit(NOW)).collect()
+    assert [(r.job_title, r.job_url) for r in rows] == [("First", "https://www.vidio.com/careers/1")]
+
+
+def test_script_attributes_in_any_order(spark):
+    ld = '<script data-rh="true" type="application/ld+json">{"@type": "JobPosting", "url": "u", "description": "%s Python"}</script>' % ("x " * 300)
+    pg = spark.createDataFrame([(1, "u", ld)], "page_id long, url string, html string")
+    rows = html.normalise_ld_json(pg, F.lit(NOW)).collect()
+    assert len(rows) == 1 and rows[0].desc.endswith("Python")
+    assert not html.normalise_ld_json(pg, F.lit(NOW), desc_chars=300).first().desc.endswith("Python")
+
+
+def test_search_card_and_title_page(spark):
+    page = ('<title>Data Lead at Acme - Tech in Asia</title><article data-testid="job-card"><a href="/id/job/1?x=cardTitle"> <b>Lead</b></a>'
+            '<span class="a company">Acme</span><i data-automation="jobSalary">Rp 5</i></article><p>One <i>two</i></p><span>three</span>')
+    pg = spark.createDataFrame([(1, "https://p/1", page)], "page_id long, url string, html string")
+    c = html.normalise_search_cards(pg, F.lit(NOW)).first()
+    assert (c.job_title, c.job_url, c.company, c.base_salary, c.job_location) == (
+        "N/A", "https://id.jobstreet.com/id/job/1", "Acme", "Rp 5", "Indonesia")  # the link's first text is blank, and no heading
+    t = html.normalise_title_page(pg, F.lit(NOW)).first()
+    assert (t.job_title, t.company, t.desc) == ("Data Lead", "Acme", "Acme One two three")

@@ -99,31 +99,31 @@ def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = f"""
 WITH captures AS (
   SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 365 AS INTEGER) AS fetched_at,
-         regexp_replace(lower(regexp_extract(url, '{HOST}', 1)), '\.$', '') AS h,
+         regexp_replace(lower(regexp_extract(url, '{HOST}', 1)), '\\.$', '') AS h,
          regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path
   FROM pages
 ), hosts AS (
   SELECT h, CAST('0x' || substr(md5(h), 1, 7) AS BIGINT) AS x FROM (SELECT DISTINCT h FROM captures WHERE h <> '')
 ), parents AS (
   SELECT h, CAST('0x' || substr(md5(h), 1, 7) AS BIGINT) AS x
-  FROM (SELECT DISTINCT regexp_replace(h, '^[^.]*\.', '') AS h FROM hosts) WHERE contains(h, '.')
+  FROM (SELECT DISTINCT regexp_replace(h, '^[^.]*\\.', '') AS h FROM hosts) WHERE contains(h, '.')
 ), entries AS (
-  SELECT 'blocked_hosts' AS list, 'host:' || h AS pattern, 'add' AS action, x % 200 AS at FROM hosts WHERE x % 2 = 0
+  SELECT 'blocked_hosts' AS list, 'host:' || h AS pattern, 'add' AS action, x % 200 AS n FROM hosts WHERE x % 2 = 0
   UNION ALL SELECT 'blocked_hosts', 'host:' || h, 'remove', x % 200 + 40 + x % 50 FROM hosts WHERE x % 6 = 0
   UNION ALL SELECT 'blocked_hosts', 'host:' || h, 'add', x % 200 + 120 FROM hosts WHERE x % 12 = 0
   UNION ALL SELECT 'blocked_domains', 'domain:' || h, 'add', x % 300 FROM parents WHERE x % 3 = 0
   UNION ALL SELECT 'english_only', 'path:' || h || '/en/', 'add', x % 100 FROM hosts WHERE x % 5 = 0
   UNION ALL SELECT 'english_only', 'path:' || h || '/en/', 'remove', x % 100 + 90 FROM hosts WHERE x % 5 = 0
 ), days AS (
-  SELECT list, pattern, DATE '2024-01-01' + CAST(at AS INTEGER) AS at, bool_and(action = 'add') AS added
+  SELECT list, pattern, DATE '2024-01-01' + CAST(n AS INTEGER) AS since, bool_and(action = 'add') AS added
   FROM entries GROUP BY ALL
 ), latest AS (
   SELECT DISTINCT c.page_id, c.url, d.list
-  FROM captures c JOIN days d ON d.at <= c.fetched_at AND (
+  FROM captures c JOIN days d ON d.since <= c.fetched_at AND (
        d.pattern = 'host:' || c.h OR (starts_with(d.pattern, 'domain:') AND ('.' || c.h) LIKE ('%.' || substr(d.pattern, 8)))
        OR (starts_with(d.pattern, 'path:') AND starts_with(c.h || c.path, substr(d.pattern, 6))))
   WHERE d.added AND NOT EXISTS (SELECT 1 FROM days n WHERE n.list = d.list AND n.pattern = d.pattern AND NOT n.added
-                                AND n.at > d.at AND n.at <= c.fetched_at)
+                                AND n.since > d.since AND n.since <= c.fetched_at)
 ), named AS (SELECT page_id, url, count(*) AS n, string_agg(list, ',' ORDER BY list) AS lists FROM latest GROUP BY ALL)
 SELECT c.page_id, c.url, c.fetched_at, coalesce(n, 0) AS n_lists, coalesce(lists, '') AS lists, coalesce(n, 0) > 0 AS blocked
 FROM captures c LEFT JOIN named USING (page_id, url)

@@ -3,9 +3,11 @@
 Folding maps letters that look alike (Cyrillic and Greek look-alikes, accented
 and full-width letters, digits and signs that stand for letters) to one symbol,
 so that "1dіöt" and "idiot" are the same word; i, l, 1 and | share a symbol.  The
-lexicon's words and weights are learned from labelled documents as the lower
-confidence bound of their log-odds.  Hits inside an exception phrase do not
-count.  The score is a logistic function of the summed weights, of the weights
+lexicon holds words and stems (beginnings of words) of labelled documents; the
+weight is the lower confidence bound of the log-odds.  What counts is not how
+many documents hold a word but in how many contexts (previous words) it stands,
+so that copies of a document count once.  A word counts with its best entry, and
+hits inside an exception phrase do not count.  The score is a logistic function of the summed weights, of the weights
 normalised by length, and of whether there is a hit at all, fitted on the same
 labelled documents.
 """
@@ -17,12 +19,15 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsight.llm.store import written
+
 # Letters and digits that stand for a Latin letter.
 LOOKS_LIKE = {
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "l": "i", "|": "i",
@@ -39,10 +44,14 @@ INSIDE = (("$", re.compile(r"\$(?=\w)"), "s"), ("@", re.compile(r"@(?=\w)"), "a"
 EXCEPTIONS = ("trash can", "trash bag", "clown fish", "idiot proof", "stupid simple", "sore loser board")
 #: Labelled documents that the lexicon and the score are fitted on, about.
 FIT_DOCUMENTS = 20_000
-#: Words of the lexicon, at most: those of the largest weight.
+#: Words and stems of the lexicon, at most: those of the largest weight.
 LEXICON_WORDS = 2_000
-#: A word enters with this weight (natural log-odds, lower 99 % bound) or more.
+#: A word or stem enters with this weight (natural log-odds, lower 99 % bound) or more.
 LEAST_WEIGHT = 2.0
+#: Letters of a stem.
+STEM = (4, 10)
+#: Ends an entry that is a whole word.
+WHOLE = "$"
 
 
 def fold_table() -> dict[int, str | None]:
@@ -69,7 +78,7 @@ def fold(text: str) -> str:
 
 @dataclass
 class ToxicityModel:
-    """Lexicon (folded word to weight), exception phrases and the score's coefficients."""
+    """Lexicon (folded stem, or word and ``WHOLE``, to weight), exception phrases and the score's coefficients."""
 
     lexicon: dict[str, float]
     exceptions: tuple[str, ...] = EXCEPTIONS
@@ -78,11 +87,14 @@ class ToxicityModel:
     def automaton(self):
         import ahocorasick
         found = ahocorasick.Automaton()
-        for word, weight in self.lexicon.items():
-            found.add_word(word, (weight, len(word)))
-        for phrase in self.exceptions:
-            p = fold(phrase)
-            found.add_word(p, (0.0, len(p)))
+        entries: dict[str, list[float]] = {}  # weight as a stem, as a whole word
+        for name, weight in self.lexicon.items():
+            whole = name.endswith(WHOLE)
+            entries.setdefault(name.removesuffix(WHOLE), [0.0, 0.0])[whole] = weight
+        for phrase in map(fold, self.exceptions):
+            entries.setdefault(phrase, [0.0, 0.0])
+        for name, (stem, whole) in entries.items():
+            found.add_word(name, (stem, whole, len(name)))
         if len(found):
             found.make_automaton()
         return found
@@ -91,18 +103,20 @@ class ToxicityModel:
 def features(text: str, automaton) -> tuple[float, float, float]:
     """Summed weights (log), weights per word, and 1 if anything was hit."""
     folded = fold(text)
-    hits: list[tuple[int, int, float]] = []
+    hits: dict[int, tuple[int, float]] = {}  # of a word's start: its end and best weight
     spared: list[tuple[int, int]] = []
     if len(automaton):
-        for end, (weight, size) in automaton.iter(folded):
+        for end, (stem, whole, size) in automaton.iter(folded):
             start = end + 1 - size
-            if (start and folded[start - 1].isalnum()) or (end + 1 < len(folded) and folded[end + 1].isalnum()):
+            if start and folded[start - 1].isalnum():
                 continue
-            if weight:
-                hits.append((start, end, weight))
-            else:
+            ends = end + 1 == len(folded) or not folded[end + 1].isalnum()
+            weight = max(stem, whole) if ends else stem
+            if weight > hits.get(start, (0, 0.0))[1]:
+                hits[start] = end, weight
+            if ends and not stem and not whole:
                 spared.append((start, end))
-    total = sum(w for s, e, w in hits if not any(a <= s and e <= b for a, b in spared))
+    total = sum(w for s, (e, w) in hits.items() if not any(a <= s and e <= b for a, b in spared))
     if not total:
         return 0.0, 0.0, 0.0
     return math.log1p(total), total / (len(folded.split()) + 20.0), 1.0
@@ -138,6 +152,31 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col:
     return texts.join(F.broadcast(usable), "id")
 
 
+def lower_bound(n1: float, n0: float, all1: float, all0: float) -> float:
+    """Lower 99 % bound of the log-odds of toxic against other contexts."""
+    cells = n1 + 0.5, n0 + 0.5, all1 - n1 + 0.5, all0 - n0 + 0.5
+    return math.log(cells[0] / cells[2]) - math.log(cells[1] / cells[3]) - 2.58 * math.sqrt(sum(1 / c for c in cells))
+
+
+def chosen(entries: list[tuple[str, int, int, float]], all1: int, all0: int) -> dict[str, float]:
+    """Entries (name, toxic and other contexts, weight) that say something beyond better ones.
+
+    By falling weight: an entry is left out if a chosen stem begins it, and a
+    stem whose longer forms are chosen has to stand on the contexts they leave.
+    """
+    out: dict[str, float] = {}
+    counts: dict[str, tuple[int, int]] = {}
+    for name, n1, n0, weight in sorted(entries, key=lambda e: (-e[3], -len(e[0]), e[0])):
+        if any(name[:k] in out for k in range(1, len(name))):
+            continue
+        longer = [counts[x] for x in out if x.startswith(name)]
+        if longer:
+            weight = lower_bound(max(0, n1 - sum(c[0] for c in longer)), max(0, n0 - sum(c[1] for c in longer)), all1, all0)
+        if weight >= LEAST_WEIGHT:
+            out[name], counts[name] = weight, (n1, n0)
+    return out
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
                  text_col: str = "text", exceptions: tuple[str, ...] = EXCEPTIONS,
                  fit_documents: int = FIT_DOCUMENTS) -> ToxicityModel:
@@ -149,24 +188,33 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", i
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen = [(w, int(y)) for y, t in zip(batch["label"], batch["text"])
-                    for w in set(re.findall(r"\w+", fold(t))) if 2 < len(w) <= 40]
-            yield pd.DataFrame(seen, columns=["word", "label"])
+            seen = set()
+            for y, t in zip(batch["label"], batch["text"]):
+                found = re.findall(r"\w+", fold(t))
+                seen.update(zip(found, ["", *found], repeat(int(y))))
+            yield pd.DataFrame([x for x in seen if 2 < len(x[0]) <= 40], columns=["word", "before", "label"])
 
-    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     model = ToxicityModel({}, exceptions)
-    if not n1 or not n0:
+    kinds = {r["label"] for r in sample.select("label").distinct().collect()}
+    if kinds != {0, 1}:
         return model
+    contexts = (sample.select("label", "text").mapInPandas(words, "word string, before string, label int").distinct()
+                .groupBy("word").agg(F.sum("label").alias("n1"), F.sum(1 - F.col("label")).alias("n0")))
+    contexts = written(contexts, "words")
+    whole = contexts.agg(F.sum("n1"), F.sum("n0")).first()
+    low, high = STEM
+    names = F.concat(F.array(F.concat("word", F.lit(WHOLE))), F.when(F.length("word") >= low, F.transform(
+        F.sequence(F.lit(low), F.least(F.length("word"), F.lit(high))), lambda n: F.substring("word", F.lit(1), n)))
+        .otherwise(F.array().cast("array<string>")))
+    counted = contexts.select(F.explode(names).alias("name"), "n1", "n0").groupBy("name").agg(
+        F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     in1, in0 = F.col("n1") + 0.5, F.col("n0") + 0.5
-    not1, not0 = n1 - F.col("n1") + 0.5, n0 - F.col("n0") + 0.5
+    not1, not0 = whole[0] - F.col("n1") + 0.5, whole[1] - F.col("n0") + 0.5
     odds = F.log(in1 / not1) - F.log(in0 / not0)
     error = F.sqrt(1 / in1 + 1 / in0 + 1 / not1 + 1 / not0)
-    counted = (sample.select("label", "text").mapInPandas(words, "word string, label int")
-               .groupBy("word").agg(F.sum("label").alias("n1"), F.sum(1 - F.col("label")).alias("n0")))
-    top = (counted.filter("n1 >= 3").select("word", (odds - 2.58 * error).alias("weight"))
-           .filter(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc("weight"), "word").limit(LEXICON_WORDS))
-    model.lexicon = {r["word"]: float(r["weight"]) for r in top.collect()}
+    top = (counted.filter("n1 >= 3").select("name", "n1", "n0", (odds - 2.58 * error).alias("weight"))
+           .filter(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc("weight"), "name").limit(LEXICON_WORDS)).collect()
+    model.lexicon = chosen([(r["name"], r["n1"], r["n0"], r["weight"]) for r in top], whole[0], whole[1])
     if not model.lexicon:
         return model
 

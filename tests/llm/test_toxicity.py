@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobsight.llm.textops import crc_mod
-from jobsight.llm.toxicity import ToxicityModel, features, fit_toxicity, fold, toxicity_score
+from jobsight.llm.toxicity import WHOLE, ToxicityModel, features, fit_toxicity, fold, toxicity_score
 
 SF = "/root/testdata/sf0.1"
 
@@ -16,9 +16,13 @@ def test_variants_fold_to_the_word(text):
 
 def test_boundaries_exceptions_and_length():
     a = ToxicityModel({fold("trash"): 3.0}, ("trash can",)).automaton()
+    whole = ToxicityModel({fold("trash") + WHOLE: 3.0}).automaton()
+    assert features("a trash", whole)[2] and not features("a trashy", whole)[2]
+    both = ToxicityModel({fold("tra"): 1.0, fold("trash") + WHOLE: 3.0}).automaton()
+    assert features("trash", both)[0] == features("trash", whole)[0]  # a word counts once
     hit = lambda t: features(t, a)[2]
     assert hit("you tr4sh!") and hit("TRASH") and hit("tra$h")
-    assert not hit("trashy") and not hit("a trash can here") and not hit("")
+    assert hit("trashy") and not hit("mytrash") and not hit("a trash can here") and not hit("")
     assert hit("a trash can is trash")
     assert features("trash", a)[1] > features("trash" + " word" * 500, a)[1]
     assert features("trash " * 200000, a)[0] > 10
@@ -40,8 +44,8 @@ def test_held_out_accuracy(spark):
     held = crc_mod(F.col("doc_id"), 4) == 2
     model = fit_toxicity(docs, labels.filter(~held))
     rows = (docs.join(labels.filter(held), "doc_id")
-            .select("toxic", (toxicity_score(F.col("text"), model) >= 0.3).cast("int").alias("p")).collect())
-    right = sum(r["toxic"] == r["p"] for r in rows)
+            .select("lang", "toxic", (toxicity_score(F.col("text"), model) >= 0.3).cast("int").alias("p")).collect())
+    right = sum(r["toxic"] == r["p"] for r in rows) / len(rows)
     recall = sum(r["p"] for r in rows if r["toxic"]) / sum(r["toxic"] for r in rows)
-    print(len(rows), right / len(rows), recall, sorted(model.lexicon), model.coefficients)
-    assert right / len(rows) > 0.95 and recall > 0.8
+    assert right > 0.97 and recall > 0.85
+    assert sum(r["p"] for r in rows if not r["toxic"]) <= 0.005 * len(rows)

@@ -11,10 +11,14 @@ tests also compare each normaliser with hand-written payloads.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...plans import adapters as A
+from ...session import scratch_path
+from ...sources.payloads import read_payloads
 from ..filters import filter_json_type
 from ..pages import (board_sizes, detect_ats, extract_ld_json, harvest_titles, has_next_data, json_items, ld_json_type_census,
                      next_data_keys)
@@ -269,6 +273,13 @@ def trakstar_pages(spark, sf):
                                                            '<footer><a href="/about">About</a></footer></body></html>')))
 
 
+def landed_payloads(spark, sf):
+    """A4: two kinds of payloads landed as one table under the scratch folder, one kind read back."""
+    path = scratch_path(spark, f"payloads-{uuid.uuid4().hex}")
+    lever_payloads(spark, sf).unionByName(greenhouse_payloads(spark, sf)).write.parquet(path)
+    return read_payloads(spark, path, kind="lever")
+
+
 def catalog() -> dict:
     now = lambda: F.lit(NOW)
     queries = {
@@ -289,6 +300,7 @@ def catalog() -> dict:
             job_card_pages(s, sf), now(), "/o/", "https://careers.example", "Mekari", "Mekari Careers"), None),
         "normalise_vidio_cards": (lambda s, sf: html.normalise_vidio_cards(vidio_pages(s, sf), now()), None),
         "normalise_trakstar_cards": (lambda s, sf: html.normalise_trakstar_cards(trakstar_pages(s, sf), now()), None),
+        "read_payloads": (lambda s, sf: landed_payloads(s, sf).select("source", "kind", "seq", F.json_array_length("body").alias("n_items")), None),
         "board_sizes": (lambda s, sf: board_sizes(greenhouse_payloads(s, sf)).select("seq", "n_postings"), None),
         "extract_ld_json": (lambda s, sf: extract_ld_json(ld_pages(s, sf)).select(
             "page_id", "block_pos", F.json_array_length("block").alias("n_items"),

@@ -217,6 +217,10 @@ def board_sizes() -> str:
     return f"SELECT seq, CAST(count(*) AS INTEGER) AS n_postings FROM {ORD} GROUP BY seq"
 
 
+def read_payloads() -> str:
+    return f"SELECT 'lever' AS source, 'lever' AS kind, seq, CAST(count(*) AS INTEGER) AS n_items FROM {ORD} GROUP BY seq"
+
+
 def extract_ld_json() -> str:
     return f"SELECT seq AS page_id, 0 AS block_pos, CAST(count(*) AS INTEGER) AS n_items, list(title ORDER BY item_pos) AS titles FROM {ORD} GROUP BY seq"
 
@@ -317,5 +321,5 @@ SQL = {
     "normalise_lever": lever, "normalise_jibe": jibe, "normalise_koltiva": koltiva,
     "normalise_ld_json": ld_json, "normalise_next_data": next_data, "normalise_apollo": apollo,
     "normalise_course_cards": course_cards, "normalise_job_cards": job_cards, "board_sizes": board_sizes,
-    "extract_ld_json": extract_ld_json, "ld_json_type_census": ld_json_type_census, "next_data_keys": next_data_keys,
+    "read_payloads": read_payloads, "extract_ld_json": extract_ld_json, "ld_json_type_census": ld_json_type_census, "next_data_keys": next_data_keys,
 }

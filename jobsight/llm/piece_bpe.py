@@ -19,17 +19,22 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*")
-#: Memoised segments of a task (about 100 MB); beyond it the memo starts anew.
-MEMO_SEGMENTS = 300_000
+SEGMENT = re.compile(f"{SPACE}([^{SPACE}]+|{SPACE}*[^{SPACE}]*)")
+#: Memoised segments of a worker (about 150 MB); beyond it the memo starts anew.
+MEMO_SEGMENTS = 400_000
 #: Longer segments are encoded each time.
 MEMO_CHARS = 64
+#: Up to this length the agenda is a flat array of scores, beyond it a heap.
+FLAT_CHARS = 48
+NONE = float("-inf")
 
 
 class MergeCodec:
@@ -62,7 +67,37 @@ class MergeCodec:
         self.memo: dict[str, tuple[list[int], str]] = {}
 
     def merge(self, segment: str) -> list[int]:
-        """Ids of one segment by the agenda."""
+        """Ids of one segment by the agenda: the best score first, of equals the leftmost."""
+        symbols = self.merge_flat(segment) if len(segment) <= FLAT_CHARS else self.merge_heap(segment)
+        ids = self.ids
+        found: list[int] = []
+        for s in symbols:
+            i = ids.get(s)
+            if i is not None:
+                found.append(i)
+            else:
+                found.extend(self.bytes[b] for b in s.encode())
+        return found
+
+    def merge_flat(self, segment: str) -> list[str]:
+        """The agenda as an array: ``agenda[i]`` is the score of the pair that starts at symbol i."""
+        symbols, score = list(segment), self.scores.get
+        agenda = [score(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = max(agenda)
+            if best == NONE:
+                break
+            i = agenda.index(best)
+            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+            del agenda[i]
+            if i:
+                agenda[i - 1] = score(symbols[i - 1] + symbols[i], NONE)
+            if i < len(agenda):
+                agenda[i] = score(symbols[i] + symbols[i + 1], NONE)
+        return symbols
+
+    def merge_heap(self, segment: str) -> list[str]:
+        """The agenda as a heap; entries whose symbols have merged meanwhile are skipped."""
         symbols: list[str | None] = list(segment)
         size, scores = len(symbols), self.scores
         before, after = list(range(-1, size - 1)), list(range(1, size + 1))
@@ -87,37 +122,40 @@ class MergeCodec:
                 before[after[left]] = left
             propose(before[left], left)
             propose(left, after[left])
-        found: list[int] = []
-        for s in symbols:
-            if s is not None:
-                if s in self.ids:
-                    found.append(self.ids[s])
-                else:
-                    found.extend(self.bytes[b] for b in s.encode())
+        return [s for s in symbols if s is not None]
+
+    def learn(self, segments: set[str]) -> dict[str, tuple[list[int], str]]:
+        """Ids, and ids as comma-joined decimals, of segments (named without their first space symbol).
+
+        All are compared with the library's ids in one call.
+        """
+        names = list(segments)
+        ids = [self.merge(SPACE + s) for s in names]
+        if self.check:
+            # a word stands in front, since the library adds a space before a text but not before none
+            plain = self.library.encode([f"a {s.replace(SPACE, ' ')}" for s in names])
+            for s, own, other in zip(names, ids, plain):
+                if own != other[self.lead:]:
+                    raise ValueError(f"the library encodes {s[:80]!r} differently")
+        found = {s: (i, ",".join(map(str, i))) for s, i in zip(names, ids)}
+        short = {s: v for s, v in found.items() if len(s) <= MEMO_CHARS}
+        if len(self.memo) + len(short) > MEMO_SEGMENTS:
+            self.memo.clear()
+        if len(short) <= MEMO_SEGMENTS:
+            self.memo.update(short)
         return found
 
-    def segment(self, segment: str) -> tuple[list[int], str]:
-        """Ids of a segment, and the ids as comma-joined decimals."""
-        known = self.memo.get(segment)
-        if known is None:
-            ids = self.merge(segment)
-            if self.check and ids != self.library.encode("a" + segment.replace(SPACE, " "))[self.lead:]:
-                raise ValueError(f"the library encodes {segment[:80]!r} differently")
-            known = ids, ",".join(map(str, ids))
-            if len(segment) <= MEMO_CHARS:
-                if len(self.memo) >= MEMO_SEGMENTS:
-                    self.memo.clear()
-                self.memo[segment] = known
-        return known
-
-    def segments(self, text: str) -> list[tuple[list[int], str]]:
-        if not text:
-            return []
-        return [self.memo.get(s) or self.segment(s)
-                for s in SEGMENT.findall(SPACE + text.replace(" ", SPACE))]
+    def segments(self, texts: list[str | None]) -> Iterator[list[tuple[list[int], str]]]:
+        """The segments of each text, as ids and as decimals; none for null and empty texts."""
+        cut = [split(t) if t else [] for t in texts]
+        known = [list(map(self.memo.get, words)) for words in cut]
+        new = {s for words, got in zip(cut, known) if None in got for s, v in zip(words, got) if v is None}
+        found = self.learn(new) if new else {}
+        for words, got in zip(cut, known):
+            yield [v or found[s] for s, v in zip(words, got)] if None in got else got
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _ in self.segments(text) for i in ids]
+        return flat(next(self.segments([text])))
 
     def decode(self, ids: list[int]) -> str:
         """Pieces joined, the space symbol as a space, without the first space."""
@@ -125,13 +163,34 @@ class MergeCodec:
         return (raw[1:] if raw[:1] == b" " else raw).decode(errors="replace")
 
 
+def flat(found: list[tuple[list[int], str]]) -> list[int]:
+    return list(chain.from_iterable(map(itemgetter(0), found)))
+
+
+def split(text: str) -> list[str]:
+    """The segments of a text, each without its first space symbol."""
+    if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
+        return SEGMENT.findall(SPACE + text.replace(" ", SPACE))
+    return text.split(" ")
+
+
+_codecs: dict[tuple[str, bool], MergeCodec] = {}
+
+
+def codec_of(model_file: str, check: bool = True) -> MergeCodec:
+    """One codec per worker process, so that its memo outlives a task."""
+    if (model_file, check) not in _codecs:
+        _codecs[model_file, check] = MergeCodec(model_file, check)
+    return _codecs[model_file, check]
+
+
 def encoder(model_file: str, check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = MergeCodec(model_file, check)
+        codec = codec_of(model_file, check)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = [codec.encode(t or "") for t in part.column(1).to_pylist()]
+                ids = [flat(found) for found in codec.segments(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"])
     return run
@@ -154,7 +213,7 @@ def decode_documents(encoded: DataFrame, model_file: str, id_col: str = "id", id
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = MergeCodec(model_file)
+        codec = codec_of(model_file)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -173,15 +232,14 @@ def encode_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = MergeCodec(model_file)
+        codec = codec_of(model_file)
         sha = hashlib.sha256
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 n_tokens, of_ids, of_text = [], [], []
-                for text in part.column(1):
-                    found = codec.segments(text.as_py() or "")
-                    ids = [i for x, _ in found for i in x]
+                for found in codec.segments(part.column(1).to_pylist()):
+                    ids = flat(found)
                     n_tokens.append(len(ids))
                     of_ids.append(sha(",".join([s for _, s in found]).encode()).hexdigest())
                     of_text.append(sha(codec.library.decode(ids).encode()).hexdigest())

@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsight.llm.bitmap import bitmap, in_bitmap
 from jobsight.llm.store import written
 from jobsight.llm.words import BY_LETTER, U, grams, hash_words
 
 SPAN = 13
 K = 7
-BITMAP_BITS = 1 << 24
 
 
 def winnow(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,22 +62,10 @@ def item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["item_id", "n", "item_words", "at", "fp"])
 
 
-def bitmap(prints: DataFrame) -> np.ndarray:
-    """A bitmap of the fingerprints, put together from at most 512 rows of 4 KB."""
-    bit = F.pmod("fp", F.lit(BITMAP_BITS)) + 1
-    rows = (prints.select(F.bitmap_bucket_number(bit).alias("b"), F.bitmap_bit_position(bit).alias("p"))
-            .groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect())
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for r in rows:
-        out[(r["b"] - 1) * 4096:r["b"] * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out
-
-
 def document_rows(bits, short: list[int]):
     """Per document its number of words and, if any fingerprint passes the bitmap, words and fingerprints."""
     def passing(at: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        place = (fp & U(BITMAP_BITS - 1)).astype(np.int64)
-        keep = (bits.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        keep = in_bitmap(bits.value, fp)
         return at[keep], fp[keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +143,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     prints = written(items.select("item_key", F.explode(F.arrays_zip("at", "fp")).alias("x"))
                      .select(F.col("x.fp").alias("fp"), "item_key", F.col("x.at").alias("item_at")), "prints")
     short = sorted(r["n"] for r in items.filter(F.col("n") < SPAN).select("n").distinct().collect())
-    bits = spark.sparkContext.broadcast(bitmap(prints))
+    bits = spark.sparkContext.broadcast(bitmap(prints, "fp"))
 
     source = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"),
                          F.col(text_col).alias("text"))

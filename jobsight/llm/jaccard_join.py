@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsight.llm.bitmap import bitmap, in_bitmap
 from jobsight.llm.store import written
 from jobsight.llm.words import BY_SPACE, U, grams, hash_words, mix
 
@@ -179,21 +180,25 @@ def shared_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = int(last_seen)
 
 
-def set_arrays(size: int):
-    """The shingle sets of documents that stand for a class."""
+def set_arrays(size: int, bits):
+    """The shingle sets of documents whose text key is in the bitmap, each class once per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for part in parts(batches, 128):
-            texts, expected, node = (part.column(i).to_pylist() for i in range(3))
-            names, arrays = [], []
-            for words, name, i in zip(hash_words(texts, BY_SPACE), expected, node):
+        seen: set[tuple] = set()
+        for part in parts(batches, 256):
+            keys = part.column(1).to_numpy()
+            part = part.filter(pa.array(in_bitmap(bits.value, keys.view(U))))
+            ids, keys, names, arrays = [], [], [], []
+            for i, k, words in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
+                                   hash_words(part.column(2).to_pylist(), BY_SPACE)):
                 s = shingle_set(words, size)
-                if i not in seen and class_key(s) == name:
-                    seen.add(i)
-                    names.append(i)
+                if (i, k) not in seen:
+                    seen.add((i, k))
+                    ids.append(i)
+                    keys.append(k)
+                    names.append(class_key(s))
                     arrays.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(arrays, pa.binary())],
-                                             names=["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, part.column(0).type), pa.array(keys, pa.int64()), pa.array(names, pa.binary()),
+                                              pa.array(arrays, pa.binary())], names=["doc_id", "tkey", "cls", "shingles"])
     return run
 
 
@@ -309,8 +314,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tkey"),
                          F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    bitmap = ", ".join(f"{c} long" for c in BITMAP)
-    sig = written(source.mapInArrow(signatures(shingle), f"doc_id {kind}, tkey long, n long, cls binary, {bitmap}"), "sets")
+    bit_columns = ", ".join(f"{c} long" for c in BITMAP)
+    sig = written(source.mapInArrow(signatures(shingle), f"doc_id {kind}, tkey long, n long, cls binary, {bit_columns}"), "sets")
     classes = written(
         sig.filter("n > 0").groupBy("cls", "n", *BITMAP)
         .agg(F.min("doc_id").alias("first_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("rep"))
@@ -323,9 +328,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         """Of candidate pairs u, v those whose sets are similar enough."""
         pairs = written(pairs, f"{name}-pairs")
         wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-        reps = classes.join(wanted, "node").select("node", "cls", F.col("doc_id").alias("d"), F.col("tkey").alias("t"))
-        texts = source.join(reps, source["tkey"].eqNullSafe(F.col("t")) & source["doc_id"].eqNullSafe(F.col("d")))
-        sets = written(texts.select("text", "cls", "node").mapInArrow(set_arrays(shingle), "node long, shingles binary"), f"{name}-sets")
+        reps = written(classes.join(wanted, "node").select("node", F.col("cls").alias("name"), F.col("doc_id").alias("d"),
+                                                           F.col("tkey").alias("t")), f"{name}-reps")
+        # a bitmap of fixed size spares most other texts; the join decides
+        bits = docs.sparkSession.sparkContext.broadcast(bitmap(reps.select("t"), "t"))
+        arrays = source.mapInArrow(set_arrays(shingle, bits), f"doc_id {kind}, tkey long, cls binary, shingles binary")
+        sets = written(arrays.join(reps, (F.col("tkey") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("cls") == F.col("name")))
+                       .select("node", "shingles"), f"{name}-sets")
         a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
         b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
         return written(pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b")

@@ -5,7 +5,8 @@ elements from the root.  Per path, text length and punctuation per node are
 aggregated; the two ratios are smoothed along the page, so that a heading next
 to paragraphs shares their weight, and fused, less the share of link text.  The
 paths above a threshold of the page are content, the smallest element around
-their nodes is the content region, and the region's nodes make the text.
+their nodes, or the article or main element that it lies in, is the content
+region, and the region's nodes make the text.
 
 Elements that never hold main text (menus, footers, forms, scripts and the like,
 by tag, role, or a word of class or id) do not enter the ratios.
@@ -37,6 +38,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 RAW_END = {t: re.compile(f"</{t}[^>]*>", re.I) for t in RAW}
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
+# Elements that are a part of a text and never all of it.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blockquote".split())
 BREAKS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                      "header hr main menu nav ol p pre section table ul".split())
 # Words of class or id that mark an element as no main text.
@@ -55,14 +58,17 @@ MOST_LINK = 0.5
 
 @dataclass
 class Element:
-    """An open or closed element; ``last`` is the number of the last element opened within it."""
+    """An open or closed element; ``last`` is the number of the last element opened within it.
+
+    ``main`` is the number of the nearest article or main element, itself included; 0 for none.
+    """
 
     tag: str
     number: int
     parent: int
     path: int
     never: bool
-    main: bool
+    main: int
     last: int = 0
 
 
@@ -70,14 +76,14 @@ class Element:
 class Node:
     path: int
     element: int
-    main: bool
+    main: int
     text: str
     link: int
 
 
 def parse(page: str) -> tuple[list[Node], list[Element]]:
     """Text nodes that may be content, in page order, and the elements; a node is the text between two block borders."""
-    root = Element("", 0, 0, 0, False, False)
+    root = Element("", 0, 0, 0, False, 0)
     elements, stack = [root], [root]
     opened: Counter = Counter()
     paths: dict[tuple[int, str], int] = {}
@@ -151,7 +157,7 @@ def parse(page: str) -> tuple[list[Node], list[Element]]:
                  or (bool(given) and not main and tag != "body"
                      and bool(MARKS.search(f"{given.get('class', '')} {given.get('id', '')}"))))
         element = Element(tag, len(elements), top.number, paths.setdefault((top.path, tag), len(paths) + 1),
-                          never or top.never, main or top.main)
+                          never or top.never, len(elements) if main else top.main)
         elements.append(element)
         stack.append(element)
         opened[tag] += 1
@@ -194,8 +200,9 @@ def main_text(page: str | None) -> str:
     # the smallest element around all content; around a single paragraph, its parent
     low, high = min(n.element for n in content), max(n.element for n in content)
     region = elements[content[0].element if len(content) > 1 else elements[content[0].element].parent]
-    while not (region.number <= low and high <= region.last):
+    while not (region.number <= low and high <= region.last) or region.tag in PARTS:
         region = elements[region.parent]
+    region = elements[region.main] if region.main else region
     return " ".join(n.text for n in nodes
                     if region.number <= n.element <= region.last and n.link <= MOST_LINK * len(n.text))
 

@@ -27,6 +27,19 @@ def test_templates(body, want):
     assert main_text(SHELL.format(body)) == want
 
 
+WHOLE = [
+    (f"<article><h1>Head</h1><div class=body><p>{PARA}</p><p>{PARA}</p></div><ul><li>one</li><li>two</li></ul><div>End.</div></article>",
+     f"Head {PARA} {PARA} one two End."),
+    (f"<main><h1>Head</h1><p>{PARA}<br>{PARA}</p><h2>Tail</h2></main>", f"Head {PARA} {PARA} Tail"),
+    (f"<div id=story><h2>Head</h2><p>{PARA}<br>{PARA}</p></div>", f"Head {PARA} {PARA}"),
+]
+
+
+@pytest.mark.parametrize("body,want", WHOLE)
+def test_region_is_the_whole_article(body, want):
+    assert main_text(SHELL.format(body)) == want
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<!--", "<script>", "</p></div>", "&am", "<a href='", "<nav>x</nav>"])
 def test_nothing_or_broken(page):
     assert main_text(page) in ("", "<", "&am")

@@ -4,9 +4,12 @@ A page becomes its text nodes in page order, each with the path of block
 elements from the root.  Per path, text length and punctuation per node are
 aggregated; the two ratios are smoothed along the page, so that a heading next
 to paragraphs shares their weight, and fused, less the share of link text.  The
-paths above a threshold of the page are content, the smallest element around
-their nodes, or the article or main element that it lies in, is the content
-region, and the region's nodes make the text.
+paths above a threshold are content, taken apart for article and main elements and
+for the page outside them, so that neither hides the other, and the smallest element
+around their nodes, or the article or main element that it lies in, is a content region.
+Article and main elements with content are regions of their own; if the longest
+of them has less content than the page outside, the region of the outside counts,
+and with it those that are long enough beside it.  The regions' nodes make the text.
 
 Elements that never hold main text (menus, footers, forms, scripts and the like,
 by tag, role, or a word of class or id) do not enter the ratios.
@@ -60,7 +63,7 @@ MOST_LINK = 0.5
 class Element:
     """An open or closed element; ``last`` is the number of the last element opened within it.
 
-    ``main`` is the number of the nearest article or main element, itself included; 0 for none.
+    ``main`` and ``outer`` are the numbers of the nearest and of the outermost article or main element, itself included; 0 for none.
     """
 
     tag: str
@@ -69,6 +72,7 @@ class Element:
     path: int
     never: bool
     main: int
+    outer: int
     last: int = 0
 
 
@@ -76,17 +80,17 @@ class Element:
 class Node:
     path: int
     element: int
-    main: int
+    outer: int
     text: str
     link: int
 
 
 def parse(page: str) -> tuple[list[Node], list[Element]]:
     """Text nodes that may be content, in page order, and the elements; a node is the text between two block borders."""
-    root = Element("", 0, 0, 0, False, 0)
+    root = Element("", 0, 0, 0, False, 0, 0)
     elements, stack = [root], [root]
     opened: Counter = Counter()
-    paths: dict[tuple[int, str], int] = {}
+    paths: dict[tuple[int, str, bool], int] = {}
     nodes: list[Node] = []
     runs: list[str] = []
     link = links = 0
@@ -98,7 +102,7 @@ def parse(page: str) -> tuple[list[Node], list[Element]]:
             text = "" if top.never else " ".join("".join(runs).split())
             runs.clear()
             if text:
-                nodes.append(Node(top.path, top.number, top.main, text, min(link, len(text))))
+                nodes.append(Node(top.path, top.number, top.outer, text, min(link, len(text))))
         link = 0
 
     def add(raw: str) -> None:
@@ -156,8 +160,9 @@ def parse(page: str) -> tuple[list[Node], list[Element]]:
                  or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "")
                  or (bool(given) and not main and tag != "body"
                      and bool(MARKS.search(f"{given.get('class', '')} {given.get('id', '')}"))))
-        element = Element(tag, len(elements), top.number, paths.setdefault((top.path, tag), len(paths) + 1),
-                          never or top.never, len(elements) if main else top.main)
+        element = Element(tag, len(elements), top.number, paths.setdefault((top.path, tag, main), len(paths) + 1),
+                          never or top.never, len(elements) if main else top.main,
+                          top.outer or main * len(elements))
         elements.append(element)
         stack.append(element)
         opened[tag] += 1
@@ -185,26 +190,47 @@ def scores(nodes: list[Node]) -> dict[int, float]:
             for p, s in smooth.items()}
 
 
+def around(content: list[Node], elements: list[Element]) -> Element:
+    """The smallest element around all content, or the article or main element that it lies in; around a single node, from its parent on."""
+    low, high = min(n.element for n in content), max(n.element for n in content)
+    region = elements[content[0].element]
+    if len(content) == 1 and region.number != region.main:
+        region = elements[region.parent]
+    while not (region.number <= low and high <= region.last) or (region.tag in PARTS and region.number != region.main):
+        region = elements[region.parent]
+    return elements[region.main] if region.main else region
+
+
+def regions(content: list[Node], elements: list[Element]) -> list[Element]:
+    """The content regions of a page, in page order."""
+    groups: dict[int, list[Node]] = {}
+    for n in content:
+        groups.setdefault(n.outer, []).append(n)
+    size = {k: sum(len(n.text) for n in g) for k, g in groups.items()}
+    outside = size.pop(0, 0)
+    if outside > max(size.values(), default=0):
+        taken = [0, *(k for k, x in size.items() if x >= THRESHOLD * outside)]
+    else:
+        taken = list(size)
+    return sorted((around(groups[k], elements) for k in taken), key=lambda e: e.number)
+
+
 def main_text(page: str | None) -> str:
     """The main text; empty for null, for an empty page and for one without content."""
     nodes, elements = parse(page or "")
-    if any(n.main for n in nodes):
-        nodes = [n for n in nodes if n.main]
     if not nodes:
         return ""
     score = scores(nodes)
-    least = THRESHOLD * max(score.values())
-    content = [n for n in nodes if score[n.path] >= least and n.link <= MOST_LINK * len(n.text)]
-    if not content:
-        return ""
-    # the smallest element around all content; around a single paragraph, its parent
-    low, high = min(n.element for n in content), max(n.element for n in content)
-    region = elements[content[0].element if len(content) > 1 else elements[content[0].element].parent]
-    while not (region.number <= low and high <= region.last) or region.tag in PARTS:
-        region = elements[region.parent]
-    region = elements[region.main] if region.main else region
-    return " ".join(n.text for n in nodes
-                    if region.number <= n.element <= region.last and n.link <= MOST_LINK * len(n.text))
+    best = [max((score[n.path] for n in nodes if bool(n.outer) == inside), default=0.0) for inside in (False, True)]
+    content = [n for n in nodes if score[n.path] >= THRESHOLD * best[n.outer > 0] and n.link <= MOST_LINK * len(n.text)]
+    found = regions(content, elements)
+    out, at, last = [], 0, -1  # a node is in a region if it is in the last one begun that reaches farthest
+    for n in nodes:
+        while at < len(found) and found[at].number <= n.element:
+            last, at = max(last, found[at].last), at + 1
+        if n.element <= last and n.link <= MOST_LINK * len(n.text):
+            out.append(n.text)
+    return " ".join(out)
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

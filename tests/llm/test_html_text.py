@@ -40,6 +40,24 @@ def test_region_is_the_whole_article(body, want):
     assert main_text(SHELL.format(body)) == want
 
 
+CARD = "<article class=card><h3>Other</h3><p>A teaser, short.</p></article>"
+STORY = f"<div class=entry><h1>Head</h1><p>{PARA}</p><p>{PARA}</p><p>{PARA}</p></div>"
+PLACES = [
+    (STORY + 3 * CARD, f"Head {PARA} {PARA} {PARA}"),
+    (3 * CARD + STORY, f"Head {PARA} {PARA} {PARA}"),
+    (f"<article><h1>One</h1><p>{PARA}</p></article><article><h1>Two</h1><p>{PARA}</p></article>", f"One {PARA} Two {PARA}"),
+    (STORY + f"<article><h1>Two</h1><p>{PARA}</p></article>", f"Head {PARA} {PARA} {PARA} Two {PARA}"),
+    (f"<div>{PARA}</div><article>{PARA} {PARA}</article>", f"{PARA} {PARA}"),
+    (f"<div>{5 * PARA}</div><article>" + 5 * f"<p>{PARA}</p>" + "<p>End.</p></article>", " ".join(5 * [PARA]) + " End."),
+    (f"<div><p>{PARA}</p></div><main><h1>Two</h1><p>{PARA}</p><p>{PARA}</p></main>", f"Two {PARA} {PARA}"),
+]
+
+
+@pytest.mark.parametrize("body,want", PLACES)
+def test_teasers_do_not_displace_the_story(body, want):
+    assert main_text(SHELL.format(body)) == want
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<!--", "<script>", "</p></div>", "&am", "<a href='", "<nav>x</nav>"])
 def test_nothing_or_broken(page):
     assert main_text(page) in ("", "<", "&am")

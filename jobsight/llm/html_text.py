@@ -11,8 +11,13 @@ Article and main elements with content are regions of their own; if the longest
 of them has less content than the page outside, the region of the outside counts,
 and with it those that are long enough beside it.  The regions' nodes make the text.
 
-Elements that never hold main text (menus, footers, forms, scripts and the like,
-by tag, role, or a word of class or id) do not enter the ratios.
+Elements that never hold main text (menus, footers, scripts and the like, by tag
+or role) do not enter the ratios.  Forms, and elements marked by a word of class or
+id, do, at a lower score: a class that names nothing else (ad, share-buttons) weighs
+more than one that has such a word among others (has-sidebar, notice-period), and an
+article or main element is marked only by elements around it that hold other texts
+(comments, related).  Within a region, forms and elements of the former kind are left
+out unless they hold content.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
-NEVER = frozenset("head script style noscript template nav footer aside form button select textarea title iframe svg canvas "
+NEVER = frozenset("head script style noscript template nav footer aside button select textarea title iframe svg canvas "
                   "menu dialog object audio video option math".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 RAW_END = {t: re.compile(f"</{t}[^>]*>", re.I) for t in RAW}
@@ -45,11 +50,20 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
 PARTS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blockquote".split())
 BREAKS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                      "header hr main menu nav ol p pre section table ul".split())
-# Words of class or id that mark an element as no main text.
-MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banner|sponsor(?:ed)?|promo(?:tion)?|nav|navbar|"
-                   r"navigation|menu|breadcrumbs?|sidebar|footer|masthead|site-header|page-header|topbar|cookies?|consent|gdpr|"
-                   r"notices?|alert|newsletter|subscribe|signup|share|sharing|social|related|recommended|recommendations|"
-                   r"comments?|replies|reply|disqus|popup|modal|overlay|pagination|pager|toolbar|widget|login|search)(?:$|[\s_-])", re.I)
+# Words of class or id that mark an element as no main text, and words that say nothing beside them.
+ADVERTS = r"ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?"
+WORDS = (rf"{ADVERTS}|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|footer|masthead|site-header|page-header|topbar|"
+         r"cookies?|consent|gdpr|notices?|alert|newsletter|subscribe|signup|share|sharing|social|related|recommended|"
+         r"recommendations|comments?|replies|reply|disqus|popup|modal|overlay|pagination|pager|toolbar|widget|login|search")
+BESIDE = (r"top|bottom|inner|outer|area|bar|block|box|button|buttons|container|form|group|icons?|items?|"
+          r"links?|list|panel|posts?|section|slot|stories|unit|wrapper|wrap")
+MARKS = re.compile(rf"(?:^|[\s_-])(?:{WORDS})(?:$|[\s_-])", re.I)
+NOTHING_ELSE = re.compile(rf"(?:^|\s)(?:(?:{BESIDE})[_-]+)*(?:{WORDS})(?:[_-]+(?:{WORDS}|{BESIDE}))*(?:$|\s)", re.I)
+ADVERT = re.compile(rf"(?:^|\s)(?:{ADVERTS})(?:$|\s)", re.I)
+# Of these, words of elements that hold texts other than the main one, articles among them.
+OTHERS = re.compile(rf"(?:^|[\s_-])(?:{ADVERTS}|sidebar|related|recommended|recommendations|comments?|replies|reply|disqus)(?:$|[\s_-])", re.I)
+# Elements that a word of class or id other than of adverts never takes out.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote tr td th".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 #: Weight of neighbouring nodes, by distance, when ratios are smoothed.
 SMOOTH = [math.exp(-d * d / 2) for d in range(4)]
@@ -57,6 +71,8 @@ SMOOTH = [math.exp(-d * d / 2) for d in range(4)]
 THRESHOLD = 0.25
 #: Nodes with a larger share of link text are no content.
 MOST_LINK = 0.5
+#: Factor of a path's score by its mark: none, a word among others, a form or nothing but such words, those of ``OTHERS``.
+MARKED = (1.0, 0.5, 0.1, 0.02)
 
 
 @dataclass
@@ -64,6 +80,7 @@ class Element:
     """An open or closed element; ``last`` is the number of the last element opened within it.
 
     ``main`` and ``outer`` are the numbers of the nearest and of the outermost article or main element, itself included; 0 for none.
+    ``mark`` is a place in ``MARKED``; ``left_out`` is the number of the nearest form or element marked by nothing but such words, 0 for none.
     """
 
     tag: str
@@ -73,6 +90,8 @@ class Element:
     never: bool
     main: int
     outer: int
+    mark: int
+    left_out: int
     last: int = 0
 
 
@@ -81,16 +100,27 @@ class Node:
     path: int
     element: int
     outer: int
+    mark: int
+    left_out: int
     text: str
     link: int
 
 
+def mark_of(tag: str, words: str) -> int:
+    """Place in ``MARKED`` by the words of an element's class and id."""
+    if tag == "body" or not MARKS.search(words):
+        return 0
+    if not (NOTHING_ELSE.search(words) if tag not in PROSE else ADVERT.search(words)):
+        return 1
+    return 3 if OTHERS.search(words) else 2
+
+
 def parse(page: str) -> tuple[list[Node], list[Element]]:
     """Text nodes that may be content, in page order, and the elements; a node is the text between two block borders."""
-    root = Element("", 0, 0, 0, False, 0, 0)
+    root = Element("", 0, 0, 0, False, 0, 0, 0, 0)
     elements, stack = [root], [root]
     opened: Counter = Counter()
-    paths: dict[tuple[int, str, bool], int] = {}
+    paths: dict[tuple[int, str, bool, int], int] = {}
     nodes: list[Node] = []
     runs: list[str] = []
     link = links = 0
@@ -102,7 +132,7 @@ def parse(page: str) -> tuple[list[Node], list[Element]]:
             text = "" if top.never else " ".join("".join(runs).split())
             runs.clear()
             if text:
-                nodes.append(Node(top.path, top.number, top.outer, text, min(link, len(text))))
+                nodes.append(Node(top.path, top.number, top.outer, top.mark, top.left_out, text, min(link, len(text))))
         link = 0
 
     def add(raw: str) -> None:
@@ -157,12 +187,12 @@ def parse(page: str) -> tuple[list[Node], list[Element]]:
         role = given.get("role", "").lower()
         main = tag in ("article", "main") or role in ("main", "article")
         never = (tag in NEVER or (tag == "header" and not top.main) or role in ROLES or "hidden" in given
-                 or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "")
-                 or (bool(given) and not main and tag != "body"
-                     and bool(MARKS.search(f"{given.get('class', '')} {given.get('id', '')}"))))
-        element = Element(tag, len(elements), top.number, paths.setdefault((top.path, tag, main), len(paths) + 1),
-                          never or top.never, len(elements) if main else top.main,
-                          top.outer or main * len(elements))
+                 or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", ""))
+        mark = 2 if tag == "form" else mark_of(tag, f"{given.get('class', '')} {given.get('id', '')}") if given and not main else 0
+        number, all_marks = len(elements), max(mark, 0 if main and top.mark < 3 else top.mark)
+        element = Element(tag, number, top.number, paths.setdefault((top.path, tag, main, all_marks), len(paths) + 1),
+                          never or top.never, number if main else top.main, top.outer or main * number, all_marks,
+                          number if mark > 1 else top.left_out)
         elements.append(element)
         stack.append(element)
         opened[tag] += 1
@@ -173,7 +203,8 @@ def parse(page: str) -> tuple[list[Node], list[Element]]:
 
 
 def scores(nodes: list[Node]) -> dict[int, float]:
-    """Fused ratio of each path."""
+    """Fused ratio of each path, at the factor of its mark."""
+    factor = {n.path: MARKED[n.mark] for n in nodes}
     total: dict[int, list[float]] = {}
     for n in nodes:
         t = total.setdefault(n.path, [0, 0, 0, 0])
@@ -186,7 +217,7 @@ def scores(nodes: list[Node]) -> dict[int, float]:
         weight = sum(w for w, _ in near)
         for k in (0, 1):
             smooth[n.path][k] += sum(w * r[k] for w, r in near) / weight
-    return {p: (s[0] / total[p][0]) * (1 + s[1] / total[p][0]) * (1 - total[p][3] / total[p][1]) * math.sqrt(total[p][1])
+    return {p: factor[p] * (s[0] / total[p][0]) * (1 + s[1] / total[p][0]) * (1 - total[p][3] / total[p][1]) * math.sqrt(total[p][1])
             for p, s in smooth.items()}
 
 
@@ -201,18 +232,18 @@ def around(content: list[Node], elements: list[Element]) -> Element:
     return elements[region.main] if region.main else region
 
 
-def regions(content: list[Node], elements: list[Element]) -> list[Element]:
-    """The content regions of a page, in page order."""
+def regions(content: list[Node], elements: list[Element]) -> dict[int, Element]:
+    """The content regions of a page, by the outermost article or main element (0 for the page outside)."""
     groups: dict[int, list[Node]] = {}
     for n in content:
         groups.setdefault(n.outer, []).append(n)
-    size = {k: sum(len(n.text) for n in g) for k, g in groups.items()}
+    size = {k: sum(len(n.text) * MARKED[n.mark] for n in g) for k, g in groups.items()}
     outside = size.pop(0, 0)
     if outside > max(size.values(), default=0):
         taken = [0, *(k for k, x in size.items() if x >= THRESHOLD * outside)]
     else:
         taken = list(size)
-    return sorted((around(groups[k], elements) for k in taken), key=lambda e: e.number)
+    return {k: around(groups[k], elements) for k in taken}
 
 
 def main_text(page: str | None) -> str:
@@ -223,12 +254,16 @@ def main_text(page: str | None) -> str:
     score = scores(nodes)
     best = [max((score[n.path] for n in nodes if bool(n.outer) == inside), default=0.0) for inside in (False, True)]
     content = [n for n in nodes if score[n.path] >= THRESHOLD * best[n.outer > 0] and n.link <= MOST_LINK * len(n.text)]
-    found = regions(content, elements)
-    out, at, last = [], 0, -1  # a node is in a region if it is in the last one begun that reaches farthest
+    taken = regions(content, elements)
+    holding = {n.left_out for n in content if n.outer in taken}
+    found = sorted(taken.values(), key=lambda e: e.number)
+    out, at, first, last = [], 0, 0, -1  # first and last element of the region begun that reaches farthest
     for n in nodes:
         while at < len(found) and found[at].number <= n.element:
-            last, at = max(last, found[at].last), at + 1
-        if n.element <= last and n.link <= MOST_LINK * len(n.text):
+            if found[at].last > last:
+                first, last = found[at].number, found[at].last
+            at += 1
+        if n.element <= last and (n.left_out <= first or n.left_out in holding) and n.link <= MOST_LINK * len(n.text):
             out.append(n.text)
     return " ".join(out)
 

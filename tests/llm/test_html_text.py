@@ -58,6 +58,33 @@ def test_teasers_do_not_displace_the_story(body, want):
     assert main_text(SHELL.format(body)) == want
 
 
+ARTICLE = f"<article><h1>Head</h1><p>{PARA}</p><p>{PARA}</p></article>"
+MARKED = [
+    *((f"<{tag}>{ARTICLE}<div class=ad>Buy.</div></{tag.split()[0]}>", f"Head {PARA} {PARA}") for tag in (
+        "div class='layout has-sidebar'", "div id='page-widget'", "div class='content-with-sidebar'", "form id=page",
+        "div class=modal")),
+    (f"<article><p>{PARA}</p><p class='notice-period'>Two weeks.</p><div class='related-work'>Others did, too.</div><p class=notice>Note.</p>"
+     f"<div class='share-buttons'>Share, now.</div><p class=ad>Buy.</p><form>Sign up.</form></article>",
+     f"{PARA} Two weeks. Others did, too. Note."),
+    (f"<div class='layout has-sidebar'><div class=post><h1>Head</h1><p>{PARA}</p><p>{PARA}</p></div><div class=sidebar>More.</div></div>",
+     f"Head {PARA} {PARA}"),
+    (f"<article><h1>Head</h1><div class=widget><p>{PARA}</p></div><div class=ad>Buy.</div></article>", f"Head {PARA}"),
+    (ARTICLE + f"<div class=comments>{3 * f'<p>{PARA}</p>'}</div>", f"Head {PARA} {PARA}"),
+    (f"<h1>Head</h1><p>{PARA}</p><p>{PARA}</p><div class=comments><p>First, {PARA}</p><div>Second, it is.</div></div>", f"Head {PARA} {PARA}"),
+]
+
+
+@pytest.mark.parametrize("body,want", MARKED)
+def test_marks_weigh_and_do_not_delete(body, want):
+    assert main_text(SHELL.format(body)) == want
+
+
+@pytest.mark.parametrize("kind", ["sidebar", "widget", "comments", "page-widget"])
+def test_a_page_that_is_all_marked(kind):
+    assert main_text(f"<div class={kind}>{ARTICLE}</div>") == f"Head {PARA} {PARA}"
+    assert main_text(f"<div class={kind}><h1>Head</h1><p>{PARA}</p><p>{PARA}</p></div>") == f"Head {PARA} {PARA}"
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<!--", "<script>", "</p></div>", "&am", "<a href='", "<nav>x</nav>"])
 def test_nothing_or_broken(page):
     assert main_text(page) in ("", "<", "&am")

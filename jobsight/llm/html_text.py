@@ -69,7 +69,7 @@ PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 SMOOTH = [math.exp(-d * d / 2) for d in range(4)]
 #: A path is content from this share of the page's best path on.
 THRESHOLD = 0.25
-#: Nodes with a larger share of link text are no content.
+#: Nodes with a larger share of link text choose no region; within a region they are text like others.
 MOST_LINK = 0.5
 #: Factor of a path's score by its mark: none, a word among others, a form or nothing but such words, those of ``OTHERS``.
 MARKED = (1.0, 0.5, 0.1, 0.02)
@@ -263,7 +263,7 @@ def main_text(page: str | None) -> str:
             if found[at].last > last:
                 first, last = found[at].number, found[at].last
             at += 1
-        if n.element <= last and (n.left_out <= first or n.left_out in holding) and n.link <= MOST_LINK * len(n.text):
+        if n.element <= last and (n.left_out <= first or n.left_out in holding):
             out.append(n.text)
     return " ".join(out)
 

@@ -85,6 +85,20 @@ def test_a_page_that_is_all_marked(kind):
     assert main_text(f"<div class={kind}><h1>Head</h1><p>{PARA}</p><p>{PARA}</p></div>") == f"Head {PARA} {PARA}"
 
 
+LINKED = [
+    (f"<article><h1><a href=x>Head</a></h1><p>{PARA}</p><p><a href=y>See there.</a></p><table><tr><td><a href=u>cell</a></table>"
+     "<ol><li><a href=z>Source one</a></li><li><a href=w>Source</a> two</li></ol></article>",
+     f"Head {PARA} See there. cell Source one Source two"),
+    (f"<div id=story><h2><a href=x>Head</a></h2><p>{PARA}</p><p>{PARA}</p></div>", f"Head {PARA} {PARA}"),
+    (f"<ul><li><a href=x>Home page, and more.</a></li></ul><article><p>{PARA}</p></article>", PARA),
+]
+
+
+@pytest.mark.parametrize("body,want", LINKED)
+def test_links_within_a_region_stay(body, want):
+    assert main_text(SHELL.format(body)) == want
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<!--", "<script>", "</p></div>", "&am", "<a href='", "<nav>x</nav>"])
 def test_nothing_or_broken(page):
     assert main_text(page) in ("", "<", "&am")

@@ -44,8 +44,6 @@ INSIDE = (("$", re.compile(r"\$(?=\w)"), "s"), ("@", re.compile(r"@(?=\w)"), "a"
 EXCEPTIONS = ("trash can", "trash bag", "clown fish", "idiot proof", "stupid simple", "sore loser board")
 #: Labelled documents that the lexicon and the score are fitted on, about.
 FIT_DOCUMENTS = 20_000
-#: Words and stems of the lexicon, at most: those of the largest weight.
-LEXICON_WORDS = 2_000
 #: A word or stem enters with this weight (natural log-odds, lower 99 % bound) or more.
 LEAST_WEIGHT = 2.0
 #: Letters of a stem.
@@ -165,15 +163,17 @@ def chosen(entries: list[tuple[str, int, int, float]], all1: int, all0: int) ->
     stem whose longer forms are chosen has to stand on the contexts they leave.
     """
     out: dict[str, float] = {}
-    counts: dict[str, tuple[int, int]] = {}
+    taken: dict[str, list[int]] = {}  # contexts of the chosen entries that begin with a name
     for name, n1, n0, weight in sorted(entries, key=lambda e: (-e[3], -len(e[0]), e[0])):
         if any(name[:k] in out for k in range(1, len(name))):
             continue
-        longer = [counts[x] for x in out if x.startswith(name)]
-        if longer:
-            weight = lower_bound(max(0, n1 - sum(c[0] for c in longer)), max(0, n0 - sum(c[1] for c in longer)), all1, all0)
+        if name in taken:
+            weight = lower_bound(max(0, n1 - taken[name][0]), max(0, n0 - taken[name][1]), all1, all0)
         if weight >= LEAST_WEIGHT:
-            out[name], counts[name] = weight, (n1, n0)
+            out[name] = weight
+            for k in range(1, len(name)):
+                sums = taken.setdefault(name[:k], [0, 0])
+                sums[0], sums[1] = sums[0] + n1, sums[1] + n0
     return out
 
 
@@ -183,6 +183,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", i
     """Learn lexicon and score from ``labels`` (pass only rows that may be learned from).
 
     Without usable labels of both kinds the lexicon is empty and scores are low.
+    Every entry of ``LEAST_WEIGHT`` or more is considered; their number is bounded
+    by the words of the about ``fit_documents`` documents.
     """
     sample = labelled_sample(docs, labels, label_col, id_col, text_col, fit_documents)
 
@@ -213,7 +215,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", i
     odds = F.log(in1 / not1) - F.log(in0 / not0)
     error = F.sqrt(1 / in1 + 1 / in0 + 1 / not1 + 1 / not0)
     top = (counted.filter("n1 >= 3").select("name", "n1", "n0", (odds - 2.58 * error).alias("weight"))
-           .filter(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc("weight"), "name").limit(LEXICON_WORDS)).collect()
+           .filter(F.col("weight") >= LEAST_WEIGHT)).collect()
     model.lexicon = chosen([(r["name"], r["n1"], r["n0"], r["weight"]) for r in top], whole[0], whole[1])
     if not model.lexicon:
         return model

@@ -1,10 +1,14 @@
 """Folding, matching, and held-out accuracy of the toxicity score."""
 
+import itertools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from jobsight.llm.textops import crc_mod
-from jobsight.llm.toxicity import WHOLE, ToxicityModel, features, fit_toxicity, fold, toxicity_score
+from jobsight.llm.toxicity import (LEAST_WEIGHT, WHOLE, ToxicityModel, chosen, features, fit_toxicity, fold, lower_bound,
+                                   toxicity_score)
 
 SF = "/root/testdata/sf0.1"
 
@@ -49,3 +53,31 @@ def test_held_out_accuracy(spark):
     recall = sum(r["p"] for r in rows if r["toxic"]) / sum(r["toxic"] for r in rows)
     assert right > 0.97 and recall > 0.85
     assert sum(r["p"] for r in rows if not r["toxic"]) <= 0.005 * len(rows)
+
+
+def test_every_word_of_a_large_lexicon(spark):
+    pairs = ["".join(x) for x in itertools.product("bcdfghjkmnprstvwyz", repeat=2)]
+    toxic = [a + b + "unepar" for a, b in itertools.product(pairs[:20], repeat=2)]  # 8 entries a word, 3,200 in all
+    clean = [a + b + "omesat" for a, b in itertools.product(pairs[20:40], repeat=2)]
+    texts = [(" ".join(f"{p} {w}" for w in toxic), 1) for p in pairs[:30]] + [(" ".join(f"{p} {w}" for w in clean), 0) for p in pairs]
+    rows = [(i, t, y) for i, (t, y) in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit_toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    automaton = model.automaton()
+    assert all(features(w, automaton)[2] for w in toxic) and not any(features(w, automaton)[2] for w in clean)
+
+
+def test_chosen_against_all_pairs():
+    rnd = random.Random(5)
+    for _ in range(200):
+        names = {"".join(rnd.choice("ab") for _ in range(rnd.randint(1, 6))) + rnd.choice(["", WHOLE]) for _ in range(25)}
+        counts = {n: (rnd.randint(3, 200), rnd.randint(0, 3)) for n in names}
+        entries = [(n, *c, lower_bound(*c, 2000, 20000)) for n, c in counts.items()]
+        want = {}
+        for name, n1, n0, weight in sorted(entries, key=lambda e: (-e[3], -len(e[0]), e[0])):
+            longer = [counts[x] for x in want if x.startswith(name)]
+            if longer:
+                weight = lower_bound(max(0, n1 - sum(c[0] for c in longer)), max(0, n0 - sum(c[1] for c in longer)), 2000, 20000)
+            if weight >= LEAST_WEIGHT and not any(name.startswith(x) for x in want):
+                want[name] = weight
+        assert chosen(entries, 2000, 20000) == want

@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 KEY = "spark.checkpoint.dir"
 
@@ -40,5 +41,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sampled(hashed: Column, most: int, n: int) -> Column:
+    """Whether a row is in a sample of about ``most`` of ``n`` rows by its 64-bit hash; all are if there are no more.
+
+    The hash is compared with a share of its whole range, so the expected size holds at any ``n``.
+    """
+    return F.lit(True) if n <= most else hashed < F.lit((most << 64) // n - (1 << 63))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsight.llm.store import written
+from jobsight.llm.store import sampled, written
 
 # Letters and digits that stand for a Latin letter.
 LOOKS_LIKE = {
@@ -143,9 +143,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col:
     """
     usable = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
               .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label")))
-    n = usable.count()
-    if n > most:
-        usable = usable.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * most / n))
+    usable = usable.filter(sampled(F.xxhash64("id"), most, usable.count()))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return texts.join(F.broadcast(usable), "id")
 

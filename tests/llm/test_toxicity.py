@@ -6,9 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from jobsight.llm.store import sampled
 from jobsight.llm.textops import crc_mod
-from jobsight.llm.toxicity import (LEAST_WEIGHT, WHOLE, ToxicityModel, chosen, features, fit_toxicity, fold, lower_bound,
-                                   toxicity_score)
+from jobsight.llm.toxicity import (LEAST_WEIGHT, WHOLE, ToxicityModel, chosen, features, fit_toxicity, fold, labelled_sample,
+                                   lower_bound, toxicity_score)
 
 SF = "/root/testdata/sf0.1"
 
@@ -81,3 +82,13 @@ def test_chosen_against_all_pairs():
             if weight >= LEAST_WEIGHT and not any(name.startswith(x) for x in want):
                 want[name] = weight
         assert chosen(entries, 2000, 20000) == want
+
+
+def test_sample_of_any_share(spark):
+    ids = spark.range(4_000_000).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"), F.lit(1).alias("toxic"))
+    assert 0 < labelled_sample(ids, ids, "toxic", "doc_id", "text", 3).count() < 12  # below one in a million
+    assert 900 < ids.filter(sampled(F.xxhash64("doc_id"), 1_000, 4_000_000)).count() < 1_100
+    for n in (8_000_000_001, 10**13, 10**18):  # the least hash is in the sample at any size
+        least = spark.range(1).select(sampled(F.lit(-2**63), 8_000, n).alias("least"), sampled(F.lit(2**63 - 1), 8_000, n).alias("most"))
+        assert tuple(least.first()) == (True, False)
+    assert ids.limit(10).filter(sampled(F.xxhash64("doc_id"), 10, 10)).count() == 10

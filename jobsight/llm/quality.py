@@ -6,8 +6,8 @@ lengths and its repetitions by a small tanh layer.  Gated attention (tanh times
 sigmoid) gives each passage a weight within its document, the weighted sum of
 the encodings represents the document, and a logistic unit scores it.
 
-Training runs on the driver on the features of a bounded sample of labelled
-documents; scoring reads every passage of every document in Arrow batches.
+Training runs on the driver on the features of a sample of labelled
+documents, bounded in documents and in passages; scoring reads every passage of every document in Arrow batches.
 """
 
 from __future__ import annotations
@@ -22,11 +22,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsight.llm.store import written
 from jobsight.llm.toxicity import labelled_sample
 
 PASSAGE_WORDS = 100
 #: Labelled documents that the model is fitted on, about.
 FIT_DOCUMENTS = 8_000
+#: Passages of these documents that the driver trains on, at most.
+FIT_PASSAGES = 120_000
+#: Groups of labelled documents, by a hash of the id, that are taken or left as a whole.
+GROUPS = 65_536
 #: Documents whose passages are taken together when scoring.
 SCORE_DOCUMENTS = 256
 HIDDEN, GATE, STEPS, RATE, RIDGE = 16, 8, 400, 0.02, 1e-4
@@ -130,16 +135,41 @@ def train(x: np.ndarray, starts: np.ndarray, y: np.ndarray, steps: int = STEPS)
     return model
 
 
+def fitting(sizes: list[tuple[int, int, int]], most: int) -> list[tuple[int, int]]:
+    """Of groups (number, label, passages) those that fit into ``most`` passages, by their number; each label keeps its smallest at least."""
+    out, left = [], most
+    for number, label, size in sorted(sizes):
+        if size <= left:
+            out.append((number, label))
+            left -= size
+    for label in sorted({s[1] for s in sizes} - {o[1] for o in out}):
+        out.append(min((s for s in sizes if s[1] == label), key=lambda s: (s[2], s[0]))[:2])
+    return out
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
-                text_col: str = "text", fit_documents: int = FIT_DOCUMENTS) -> AttentionModel | None:
-    """Fit on ``labels`` (pass only rows that may be learned from); None without labels."""
+                text_col: str = "text", fit_documents: int = FIT_DOCUMENTS,
+                fit_passages: int = FIT_PASSAGES) -> AttentionModel | None:
+    """Fit on ``labels`` (pass only rows that may be learned from); None without labels.
+
+    If the sampled documents have more than ``fit_passages`` passages, whole documents
+    (all rows of an id) are chosen by a hash of the id as long as they fit.  Only where
+    no document of a label fits is the bound exceeded, by the smallest group of that label.
+    """
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"].astype(str), "label": batch["label"],
+            yield pd.DataFrame({"id": batch["id"].astype(str), "part": batch["part"], "label": batch["label"],
                                 "bag": [np.array(passages(t), np.float32).ravel() for t in batch["text"]]})
 
-    sample = labelled_sample(docs, labels, label_col, id_col, text_col, fit_documents)
-    rows = sample.mapInPandas(measure, "id string, label int, bag array<float>").collect()
+    sample = labelled_sample(docs, labels, label_col, id_col, text_col, fit_documents).withColumn(
+        "part", F.pmod(F.xxhash64("id"), F.lit(GROUPS)).cast("int"))
+    bagged = written(sample.mapInPandas(measure, "id string, part int, label int, bag array<float>"), "quality-sample")
+    sizes = [tuple(r) for r in bagged.groupBy("part", "label").agg(
+        F.sum(F.size("bag") / N_FEATURES).cast("long")).collect()]  # two rows a group at most
+    if sum(s[2] for s in sizes) > fit_passages:
+        taken = docs.sparkSession.createDataFrame(fitting(sizes, fit_passages), "part int, label int")
+        bagged = bagged.join(F.broadcast(taken), ["part", "label"])
+    rows = bagged.select("id", "label", "bag").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["id"], len(r["bag"]), r["bag"]))

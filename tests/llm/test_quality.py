@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from jobsight.llm.quality import N_FEATURES, fit_quality, passages, quality_score, train
+from jobsight.llm import quality
+from jobsight.llm.quality import N_FEATURES, fit_quality, fitting, passages, quality_score, train
 from jobsight.llm.textops import crc_mod
 
 SF = "/root/testdata/sf0.1"
@@ -48,3 +49,21 @@ def test_defined_results(spark):
     model = fit_quality(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
     assert all(0 <= r[0] <= 1 for r in docs.select(quality_score(F.col("text"), model)).collect())
     assert docs.limit(0).select(quality_score(F.col("text"), model)).collect() == []
+
+
+def test_passages_of_the_fit_are_bounded(spark, monkeypatch):
+    rows = ([(i, "word " * 450, i % 2) for i in range(60)] + [(100, "copy " * 100, 1)] * 200 + [(101, "long " * 40_000, 0)])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    labels = docs.select("doc_id", "quality").distinct()
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda x, starts, y: seen.append((len(x), np.diff(np.r_[starts, len(x)]).tolist(), set(y))))
+    fit_quality(docs, labels)
+    total, sizes, kinds = seen.pop()
+    assert total == 900 and sorted(sizes) == [1] * 200 + [5] * 60 + [400] and kinds == {0.0, 1.0}
+    fit_quality(docs, labels, fit_passages=100)
+    total, sizes, kinds = seen.pop()
+    assert total == 100 and sizes == [5] * 20 and kinds == {0.0, 1.0}  # whole documents
+
+
+def test_each_label_keeps_a_group():
+    assert fitting([(1, 0, 4), (2, 1, 50), (3, 1, 20), (4, 0, 5), (5, 0, 2)], 10) == [(1, 0), (4, 0), (3, 1)]

@@ -12,6 +12,8 @@ from jobsight.llm.exact_dedup import exact_duplicates
 from jobsight.llm.html_text import extract_pages
 from jobsight.llm.jaccard_join import near_duplicates
 from jobsight.llm.pii import fit_spans, personal_data, span_digests
+from jobsight.llm.line_dedup import line_digests
+from jobsight.llm.periodic_runs import run_digests
 from jobsight.llm.piece_bpe import encode_digests
 from jobsight.llm.quality import fit_quality, quality_score
 from jobsight.llm.sharding import SHARD_BYTES, assign_shards
@@ -195,6 +197,27 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digests(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = f"""
+WITH lines AS (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{UPPER.lower()}') AS key
+  FROM (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
+), common AS (
+  SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+), marked AS (SELECT lines.*, common.key IS NOT NULL AS gone FROM lines LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
@@ -206,6 +229,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {
@@ -213,4 +238,5 @@ SQL: dict[str, str] = {
     "op7_url_lists": OP7_SQL,
     "op8_sharding": OP8_SQL,
     "op10_decontamination": OP10_SQL,
+    "op12_line_dedup": OP12_SQL,
 }

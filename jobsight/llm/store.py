@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEY = "spark.checkpoint.dir"
 
+#: Where the written tables lie.
+_folders: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``.
@@ -38,7 +42,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _folders[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of written tables that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(_folders.pop(df))
+        path.getFileSystem(conf).delete(path, True)
 
 
 def sampled(hashed: Column, most: int, n: int) -> Column:

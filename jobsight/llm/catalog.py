@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobsight.llm.collocations import collocations
 from jobsight.llm.decontaminate import contamination
 from jobsight.llm.exact_dedup import exact_duplicates
 from jobsight.llm.html_text import extract_pages
@@ -197,6 +198,41 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), grams AS (
+  SELECT lang, m, w[i:i + m - 1] AS g
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, (VALUES (1), (2), (3)) AS s(m) WHERE len(w) >= m)
+), f AS (SELECT lang, m, g, count(*) AS f FROM grams GROUP BY ALL
+), cand AS (SELECT lang, m, g, f AS a FROM f WHERE m > 1 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.m, c.g, c.a, k, x.f AS l, y.f AS r,
+         CAST((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:c.m]
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), inner_pairs AS (
+  SELECT lang, p, max(a) AS longer FROM (
+    SELECT lang, g[1:2] AS p, a FROM cand WHERE m = 3 UNION ALL SELECT lang, g[2:3], a FROM cand WHERE m = 3) GROUP BY ALL
+), kept AS (
+  SELECT b.lang, array_to_string(b.g, ' ') AS phrase, a, l, r, score
+  FROM best b LEFT JOIN inner_pairs i ON i.lang = b.lang AND i.p = b.g
+  WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(table(spark, sf_dir, "documents"))
 
@@ -229,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_collocations": op11_collocations,
     "op12_line_dedup": op12_line_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -238,5 +275,6 @@ SQL: dict[str, str] = {
     "op7_url_lists": OP7_SQL,
     "op8_sharding": OP8_SQL,
     "op10_decontamination": OP10_SQL,
+    "op11_collocations": OP11_SQL,
     "op12_line_dedup": OP12_SQL,
 }

@@ -204,32 +204,38 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP11_SQL = f"""
 WITH pieces AS (
-  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
-), words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
-), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
-), grams AS (
-  SELECT lang, m, w[i:i + m - 1] AS g
-  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, (VALUES (1), (2), (3)) AS s(m) WHERE len(w) >= m)
-), f AS (SELECT lang, m, g, count(*) AS f FROM grams GROUP BY ALL
-), cand AS (SELECT lang, m, g, f AS a FROM f WHERE m > 1 AND f >= 10
+  SELECT lang, row_number() OVER () AS piece_id, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)
+), tokens AS (
+  SELECT lang, piece_id, unnest(w) AS w1, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), triples AS (
+  SELECT lang, w1, lead(w1) OVER s AS w2, lead(w1, 2) OVER s AS w3 FROM tokens WINDOW s AS (PARTITION BY piece_id ORDER BY i)
+), f AS (
+  SELECT lang, w1 AS phrase, count(*) AS f FROM triples GROUP BY ALL
+  UNION ALL SELECT lang, w1 || ' ' || w2, count(*) FROM triples WHERE w2 IS NOT NULL GROUP BY ALL
+), f3 AS (
+  SELECT lang, w1, w2, w3, count(*) AS a FROM triples WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
 ), cuts AS (
-  SELECT c.lang, c.m, c.g, c.a, k, x.f AS l, y.f AS r,
-         CAST((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
-  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand) c
-  JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:c.m]
+  SELECT lang, w1 || ' ' || w2 AS phrase, count(*) AS a, 1 AS k, w1 AS head, w2 AS tail FROM triples WHERE w2 IS NOT NULL
+  GROUP BY lang, w1, w2 HAVING count(*) >= 10
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, a, 1, w1, w2 || ' ' || w3 FROM f3
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, a, 2, w1 || ' ' || w2, w3 FROM f3
+), scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, CAST((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = head JOIN f y ON y.lang = c.lang AND y.phrase = tail
 ), best AS (
-  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
-), inner_pairs AS (
-  SELECT lang, p, max(a) AS longer FROM (
-    SELECT lang, g[1:2] AS p, a FROM cand WHERE m = 3 UNION ALL SELECT lang, g[2:3], a FROM cand WHERE m = 3) GROUP BY ALL
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longest AS (
+  SELECT lang, phrase, max(a) AS longer
+  FROM (SELECT lang, w1 || ' ' || w2 AS phrase, a FROM f3 UNION ALL SELECT lang, w2 || ' ' || w3, a FROM f3) GROUP BY ALL
 ), kept AS (
-  SELECT b.lang, array_to_string(b.g, ' ') AS phrase, a, l, r, score
-  FROM best b LEFT JOIN inner_pairs i ON i.lang = b.lang AND i.p = b.g
-  WHERE longer IS NULL OR 100 * longer < 50 * a
+  SELECT b.* FROM best b LEFT JOIN longest USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a
+), totals AS (SELECT lang, count(*) AS n FROM tokens GROUP BY lang
+), placed AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM kept JOIN totals USING (lang)
 )
-SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
-FROM kept JOIN totals USING (lang)
-QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+SELECT * FROM placed WHERE rank <= 2000
 """
 
 

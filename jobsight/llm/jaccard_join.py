@@ -7,27 +7,38 @@ in one band or in neighbouring ones, and a set enters the tiles of its band and
 of the next.  In band T linked sets differ in at most ``k`` shingles.  The hash
 space is cut into ``m > k`` ranges, so at least ``m - k`` ranges hold the same
 shingles in both sets: a tile is (band, range, content of the range), and linked
-sets meet in at least one.  Ranges without shingles are left out, unless a set
-has ``m - k`` or more of them.  No candidate is lost, no tile is capped, and a
-passage that many documents share gives few tiles, since its shingles are
-scattered over ranges with those of the rest of each document.
-
-Bounds.  Each class has a parity bitmap (the xor of its shingles' bits).  The
-bits in which two bitmaps differ bound the difference of the sets from below,
-hence their overlap from above; pairs under the bound are dropped before the
-sorted arrays are intersected exactly.
-
-Components.  A class is first compared with the partner it shares most tiles
-with.  Pairs of a tile that are connected by then need no comparison; all others
-of each tile that still holds several components are compared, in blocks, so a
-large tile is spread over tasks.  What is emitted are pairs across components
-that pass the bound, not the pairs of a group.
+sets meet in at least one.  Ranges without shingles make no tile.  A set that
+leaves ``m - k`` ranges or more empty also enters the tiles of another order of the
+hash space, and so on until fewer are empty: in the first order in which
+either of two linked sets has fewer, they share a range that is not empty.  No
+candidate is lost, no tile is capped, and a passage that many documents share
+gives few tiles, since its shingles are scattered over ranges with those of the
+rest of each document.
+
+Groups.  The smallest class of a tile is its pivot, and a group is a pivot with all
+classes of its tiles, each once however many tiles they share: two classes
+that meet in a tile are in the group of the tile's pivot.
+
+Bounds.  Each class has a parity bitmap (the xor of its shingles' bits) of two
+to four bits a shingle.  The bits in which two bitmaps differ bound the
+difference of the sets from below, hence their overlap from above; a wider bitmap is
+folded to the width of the narrower one.  Pairs under the bound are dropped
+before the sorted arrays are intersected exactly.
+
+Components.  A class is first compared with the pivot it shares most tiles with.
+Groups that still hold several components are compared, in blocks, pairs of one component
+left out: first each class with its most similar partner in the group by the bitmaps,
+then, in groups still not connected, all pairs that pass the bound.  The pairs of a
+group of near copies are thus not listed.  Exact comparison brings a class and its
+partners together, the class's array once for up to ``PARTNERS`` of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,17 +47,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsight.llm.bitmap import bitmap, in_bitmap
-from jobsight.llm.store import written
+from jobsight.llm.packed import emitted, rows_of
+from jobsight.llm.store import discard, written
 from jobsight.llm.words import BY_SPACE, U, grams, hash_words, mix
 
 #: Words of a shingle and percent of similarity of the registered query.
 SHINGLE, PERCENT = 4, 85
 #: The pipeline's near-duplicate stage.
 STAGE_SHINGLE, STAGE_PERCENT = 5, 80
-BITS = 512
-#: Rows of a block of a tile; larger tiles are compared block by block.
-BLOCK_ROWS = 4096
-BITMAP = [f"b{i}" for i in range(BITS // 64)]
+#: Rows, and bytes of bitmaps, of a block of a group; larger groups are compared block by block.
+BLOCK_ROWS, BLOCK_BYTES = 4096, 32 << 20
+#: Partners that meet one copy of a class's array.
+PARTNERS = 1024
+#: Partners of a class by which groups are compared, round by round; at last all.
+ROUNDS = (1, None)
+#: Classes a task remembers, to hash each once; then it begins to forget.
+REMEMBERED = 1 << 18
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -60,9 +76,19 @@ def class_key(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
-    odd = np.bincount((shingles >> U(64 - 9)).astype(np.int64), minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+def parity_bitmap(shingles: np.ndarray) -> bytes:
+    """Parities of the shingles per bit; twice as many bits as shingles or more, a power of two."""
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length()) if len(shingles) else 64
+    odd = np.bincount((shingles & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bitmap_words: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap (or rows of them) with so many words: of a wider one, the xor of its halves."""
+    while bitmap_words.shape[-1] > words:
+        half = bitmap_words.shape[-1] // 2
+        bitmap_words = bitmap_words[..., :half] ^ bitmap_words[..., half:]
+    return bitmap_words
 
 
 def parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
@@ -76,12 +102,10 @@ def signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts(batches):
             sets = [shingle_set(w, size) for w in hash_words(part.column(2).to_pylist(), BY_SPACE)]
-            bits = np.array([parity_bitmap(s) for s in sets])
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([class_key(s) for s in sets], pa.binary()),
-                 *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(BITMAP)))],
-                names=["doc_id", "tkey", "n", "cls", *BITMAP])
+                 pa.array([class_key(s) for s in sets], pa.binary()), pa.array([parity_bitmap(s) for s in sets], pa.binary())],
+                names=["doc_id", "tkey", "n", "cls", "bits"])
     return run
 
 
@@ -107,26 +131,27 @@ def band_plan(band: int, percent: int) -> tuple[int, int, np.ndarray | None]:
 
 def tile_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     """Hashes of the tiles that a set enters."""
-    n = len(shingles)
-    edges = band_edges(percent)
-    own = int(np.searchsorted(edges, n, side="right")) - 1
-    sums = np.zeros(n + 1, U)
-    np.cumsum(mix(shingles), out=sums[1:])
+    own = int(np.searchsorted(band_edges(percent), len(shingles), side="right")) - 1
     out = []
     for band in (own, own + 1):
         k, m, cuts = band_plan(band, percent)
-        if not m:
-            continue
-        at = np.concatenate([[0], np.searchsorted(shingles, cuts), [n]])
-        full = at[1:] > at[:-1]
-        content = sums[at[1:]] - sums[at[:-1]]
-        keys = mix(content + mix(np.arange(m, dtype=U) + U(band << 40)))
-        out.append(keys if m - int(full.sum()) >= m - k else keys[full])
+        turn, empty, order = 0, m, shingles
+        while m and empty >= m - k:
+            if turn:
+                order = np.sort(mix(shingles + U(turn)))
+            sums = np.zeros(len(order) + 1, U)
+            np.cumsum(mix(order), out=sums[1:])
+            at = np.concatenate([[0], np.searchsorted(order, cuts), [len(order)]])
+            full = at[1:] > at[:-1]
+            content = sums[at[1:]] - sums[at[:-1]]
+            out.append(mix(content + mix(np.arange(m, dtype=U) + U((band << 40) + (turn << 32))))[full])
+            empty = m - int(full.sum())
+            turn += 1
     return np.concatenate(out) if out else np.empty(0, U)
 
 
 def tiles(size: int, percent: int):
-    """(key, class) rows; a class enters once per task, however many copies the task reads."""
+    """(key, class) rows; a class enters once for the copies a task reads, unless it has met very many classes since."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for part in parts(batches, 256):
@@ -135,6 +160,8 @@ def tiles(size: int, percent: int):
                 s = shingle_set(words, size)
                 name = class_key(s)
                 if len(s) and name not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
                     seen.add(name)
                     found = tile_keys(s, percent)
                     keys.append(found)
@@ -181,7 +208,7 @@ def shared_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def set_arrays(size: int, bits):
-    """The shingle sets of documents whose text key is in the bitmap, each class once per task."""
+    """The shingle sets of documents whose text key is in the bitmap, repeated rows once, mostly."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple] = set()
         for part in parts(batches, 256):
@@ -192,6 +219,8 @@ def set_arrays(size: int, bits):
                                    hash_words(part.column(2).to_pylist(), BY_SPACE)):
                 s = shingle_set(words, size)
                 if (i, k) not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
                     seen.add((i, k))
                     ids.append(i)
                     keys.append(k)
@@ -202,79 +231,76 @@ def set_arrays(size: int, bits):
     return run
 
 
+LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
 def exact_links(percent: int):
-    """Pairs whose sorted arrays overlap enough."""
+    """Rows sorted by (hub, blk, kind), a hub's array (kind 0) before its partners': pairs whose sorted arrays overlap enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts(batches, 1024):
-            keep = []
-            for x, y in zip(part.column(2), part.column(3)):
-                a, b = (np.frombuffer(v.as_buffer(), U) for v in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            out = part.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([out.column(0), out.column(1)], names=["u", "v"])
+        def rows() -> Iterator[tuple]:
+            at = a = None
+            for hub, blk, kind, node, shingles in rows_of(batches):
+                if not kind:
+                    at, a = (hub, blk), np.frombuffer(shingles, U)
+                elif at == (hub, blk):
+                    b = np.frombuffer(shingles, U)
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * both >= percent * (len(a) + len(b) - both):
+                        yield hub, node
+        yield from emitted(rows(), LINKS)
     return run
 
 
-def compare_blocks(percent: int):
-    """Within each (key, i, j): pairs of different components that pass the bound.
+def may_link(n: np.ndarray, m: int, differ: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of sizes n and m can be similar enough if at least ``differ`` shingles are in one of them only."""
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * ((n + m - differ) // 2) >= percent * (n + m))
 
-    A group holds the rows of two blocks, about 2 * BLOCK_ROWS, or of one (i = j).
-    """
-    def pairs(rows: dict[str, np.ndarray]) -> list[np.ndarray]:
-        node, comp, n, side = (rows[c] for c in ("node", "comp", "n", "side"))
-        bits = np.column_stack([rows[c] for c in BITMAP]).view(U)
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1) if (side == 1).any() else None
-        out = []
-        for i in left:
-            j = right if right is not None else np.arange(i + 1, len(node))
-            j = j[comp[j] != comp[i]]
-            j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
-            if len(j):
-                total = n[j] + n[i]
-                differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                j = j[(100 + percent) * ((total - differ) // 2) >= percent * total]
-                if len(j):
-                    out.append(np.column_stack([np.full(len(j), node[i]), node[j]]))
-        return out
-
-    names = ["key", "i", "j", "side", "node", "comp", "n", *BITMAP]
 
+def bounded(percent: int):
+    """Pairs u, v with sizes and bitmaps -> those that can be similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: dict[str, np.ndarray] = {}
-        def emit(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            if found:
-                x = np.concatenate(found)
-                yield pa.RecordBatch.from_arrays([pa.array(x.min(axis=1)), pa.array(x.max(axis=1))], names=["u", "v"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = {c: batch.column(i).to_numpy() for i, c in enumerate(names)}
-            if rest:
-                cols = {c: np.concatenate([rest[c], cols[c]]) for c in names}
-            cut = np.ones(len(cols["key"]), bool)
-            cut[1:] = (np.diff(cols["key"]) != 0) | (np.diff(cols["i"]) != 0) | (np.diff(cols["j"]) != 0)
-            starts = np.flatnonzero(cut)
-            found = []
-            for a, b in zip(starts[:-1], starts[1:]):
-                if b - a > 1:
-                    found += pairs({c: cols[c][a:b] for c in names})
-            rest = {c: cols[c][starts[-1]:] for c in names}
-            yield from emit(found)
-        if rest and len(rest["key"]) > 1:
-            yield from emit(pairs(rest))
+        def rows() -> Iterator[tuple]:
+            for u, v, n, m, x, y in rows_of(batches):
+                x, y = np.frombuffer(x, U), np.frombuffer(y, U)
+                words = min(len(x), len(y))
+                if may_link(np.int64(n), m, np.bitwise_count(folded(x, words) ^ folded(y, words)).sum(dtype=np.int64), percent):
+                    yield u, v
+        yield from emitted(rows(), LINKS)
     return run
 
 
-def within_bound(percent: int, a: str, b: str) -> Column:
-    """Whether sizes and bitmaps of two classes allow the similarity."""
-    total = F.col(f"{a}n") + F.col(f"{b}n")
-    differ = sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in BITMAP[1:]),
-                 F.bit_count(F.col(f"{a}{BITMAP[0]}").bitwiseXOR(F.col(f"{b}{BITMAP[0]}")))).cast("long")
-    return ((100 * F.least(f"{a}n", f"{b}n") >= percent * F.greatest(f"{a}n", f"{b}n"))
-            & ((100 + percent) * F.floor((total - differ) / 2) >= percent * total))
+def group_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, bits: np.ndarray,
+                percent: int, most: int | None) -> Iterator[tuple[int, int]]:
+    """Pairs of different components that pass the bound; of each row the ``most`` most similar ones after it, or all."""
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    two = len(right) > 0
+    for i in left:
+        j = right if two else np.arange(i + 1, len(node))
+        j = j[(comp[j] != comp[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
+        if len(j):
+            differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            passed = np.flatnonzero(may_link(n[j], n[i], differ, percent))
+            if most and len(passed) > most:
+                passed = passed[np.argsort(differ[passed] / (n[j[passed]] + n[i]), kind="stable")[:most]]
+            for p in j[passed]:
+                yield min(int(node[i]), int(node[p])), max(int(node[i]), int(node[p]))
+
+
+def compare_groups(percent: int, most: int | None):
+    """Rows sorted by (pivot, i, j): pairs of different components that pass the bound.
+
+    A group holds the rows of two blocks, about 2 * BLOCK_ROWS, or of one (i = j).
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for _, members in groupby(rows_of(batches), itemgetter(0, 1, 2)):
+                side, node, comp, n, bits = zip(*(m[3:] for m in members))
+                if len(node) > 1 and min(comp) != max(comp):
+                    words = min(b.size for b in bits) // 8
+                    matrix = np.stack([folded(np.frombuffer(b, U), words) for b in bits])
+                    yield from group_pairs(np.array(node), np.array(comp), np.array(n), np.array(side), matrix, percent, most)
+        yield from emitted(rows(), LINKS)
+    return run
 
 
 def components(nodes: DataFrame, links: DataFrame, name: str) -> DataFrame:
@@ -287,18 +313,20 @@ def components(nodes: DataFrame, links: DataFrame, name: str) -> DataFrame:
     edges = written(links.filter("u <> v").select("u", "v").distinct(), f"{name}-edges")
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hook = written(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p")), f"{name}-hooks")
-        while True:
+        hook = written(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p"), F.lit(True).alias("moved")), f"{name}-hooks")
+        while not hook.filter("moved").isEmpty():
             to = hook.select(F.col("u").alias("w"), F.col("p").alias("q"))
             jumped = written(hook.join(to, hook["p"] == to["w"]).select("u", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")), f"{name}-jumps")
-            hook = jumped.select("u", "p")
-            if jumped.filter("moved").isEmpty():
-                break
-        label = written(label.join(hook, label["comp"] == hook["u"], "left")
+            discard(hook)
+            hook = jumped
+        moved = written(label.join(hook.drop("moved"), label["comp"] == hook["u"], "left")
                         .select("node", F.coalesce("p", "comp").alias("comp")), f"{name}-labels")
         a, b = hook.select("u", F.col("p").alias("a")), hook.select(F.col("u").alias("v"), F.col("p").alias("b"))
-        edges = written(edges.join(a, "u").join(b, "v").filter("a <> b")
-                        .select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), f"{name}-edges")
+        rest = written(edges.join(a, "u").join(b, "v").filter("a <> b")
+                       .select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), f"{name}-edges")
+        discard(label, edges, hook)
+        label, edges = moved, rest
+    discard(edges)
     return label
 
 
@@ -314,61 +342,74 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tkey"),
                          F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    bit_columns = ", ".join(f"{c} long" for c in BITMAP)
-    sig = written(source.mapInArrow(signatures(shingle), f"doc_id {kind}, tkey long, n long, cls binary, {bit_columns}"), "sets")
+    sig = written(source.mapInArrow(signatures(shingle), f"doc_id {kind}, tkey long, n long, cls binary, bits binary"), "sets")
+    # tiles name a class by its first eight bytes; two classes with one such name only add candidates
     classes = written(
-        sig.filter("n > 0").groupBy("cls", "n", *BITMAP)
-        .agg(F.min("doc_id").alias("first_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("rep"))
-        .select(F.monotonically_increasing_id().alias("node"), "cls", "n", *BITMAP, "first_id", "rep.doc_id", "rep.tkey"), "classes")
+        sig.filter("n > 0").groupBy("cls")
+        .agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("first_id"),
+             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("rep"))
+        .select(F.monotonically_increasing_id().alias("node"), first_word(F.col("cls")).alias("name"), "cls", "n", "bits",
+                "first_id", "rep.doc_id", "rep.tkey"), "classes")
 
     keyed = source.select("text").mapInArrow(tiles(shingle, percent), "key long, c long")
-    shared = written(keyed.repartition("key").sortWithinPartitions("key", "c")
-                     .mapInArrow(shared_tiles, "key long, c long, pivot long"), "tiles")
+    meets = written(keyed.repartition("key").sortWithinPartitions("key", "c")
+                    .mapInArrow(shared_tiles, "key long, c long, pivot long").filter("c <> pivot")
+                    .groupBy("c", "pivot").agg(F.count("*").alias("together")), "meets")
+
     def exact(pairs: DataFrame, name: str) -> DataFrame:
-        """Of candidate pairs u, v those whose sets are similar enough."""
-        pairs = written(pairs, f"{name}-pairs")
-        wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-        reps = written(classes.join(wanted, "node").select("node", F.col("cls").alias("name"), F.col("doc_id").alias("d"),
-                                                           F.col("tkey").alias("t")), f"{name}-reps")
+        """Of candidate pairs (u with its partners v) those whose sets are similar enough."""
+        pairs = written(pairs.distinct(), f"{name}-pairs")
+        if pairs.isEmpty():
+            return pairs
+        most = pairs.groupBy("u").agg(F.ceil(F.count("*") / PARTNERS).alias("blocks"))
+        dealt = pairs.join(most, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("blocks")).alias("blk"))
+        roles = (dealt.select(F.col("u").alias("hub"), "blk", F.lit(0).alias("kind"), F.col("u").alias("node")).distinct()
+                 .unionByName(dealt.select(F.col("u").alias("hub"), "blk", F.lit(1).alias("kind"), F.col("v").alias("node"))))
+        reps = written(roles.join(classes.select("node", F.col("cls").alias("name"), F.col("doc_id").alias("d"), F.col("tkey").alias("t")), "node"),
+                       f"{name}-reps")
         # a bitmap of fixed size spares most other texts; the join decides
         bits = docs.sparkSession.sparkContext.broadcast(bitmap(reps.select("t"), "t"))
         arrays = source.mapInArrow(set_arrays(shingle, bits), f"doc_id {kind}, tkey long, cls binary, shingles binary")
-        sets = written(arrays.join(reps, (F.col("tkey") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("cls") == F.col("name")))
-                       .select("node", "shingles"), f"{name}-sets")
-        a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-        b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-        return written(pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b")
-                       .mapInArrow(exact_links(percent), "u long, v long").distinct(), f"{name}-links")
-
-    # tiles name a class by its first eight bytes; two classes with one such name only add candidates
-    named = classes.withColumn("c", first_word(F.col("cls")))
-    node_of = named.select("c", "node")
-    members = shared.join(node_of, "c").select("key", "node", "pivot")
-
-    counted = shared.filter("c <> pivot").groupBy("c", "pivot").agg(F.count("*").alias("together"))
-    partner = counted.groupBy("c").agg(F.max_by("pivot", F.struct("together", "pivot")).alias("pivot"))
-    side = lambda p: named.select(F.col("c").alias(f"{p}c"), F.col("node").alias(f"{p}node"), F.col("n").alias(f"{p}n"),
-                                  *(F.col(c).alias(f"{p}{c}") for c in BITMAP))
-    stars = (partner.join(side("x_"), F.col("c") == F.col("x_c")).join(side("y_"), F.col("pivot") == F.col("y_c"))
-             .filter(within_bound(percent, "x_", "y_"))
-             .select(F.least("x_node", "y_node").alias("u"), F.greatest("x_node", "y_node").alias("v")))
-    links = exact(stars.distinct(), "stars")
+        met = (arrays.join(reps, (F.col("tkey") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("cls") == F.col("name")))
+               .select("hub", "blk", "kind", "node", "shingles"))
+        links = written(met.repartition("hub", "blk").sortWithinPartitions("hub", "blk", "kind")
+                        .mapInArrow(exact_links(percent), "u long, v long").distinct(), f"{name}-links")
+        discard(pairs, reps)
+        return links
+
+    partner = meets.groupBy("c").agg(F.max_by("pivot", F.struct("together", "pivot")).alias("pivot"))
+    side = lambda p, c: classes.select(F.col("name").alias(c), F.col("node").alias(f"{p}node"), F.col("n").alias(f"{p}n"), F.col("bits").alias(f"{p}bits"))
+    stars = (partner.join(side("x_", "c"), "c").join(side("y_", "pivot"), "pivot")
+             .select(F.col("y_node").alias("u"), F.col("x_node").alias("v"), F.col("y_n"), F.col("x_n"), F.col("y_bits"), F.col("x_bits"))
+             .mapInArrow(bounded(percent), "u long, v long"))
+    links = exact(stars, "stars")
     label = components(classes, links, "stars")
 
-    rows = written(members.join(label, "node").select("key", "node", "comp"), "members")
-    open_tiles = written(rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"))
-                         .filter("low <> high")
-                         .select("key", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("blocks")), "open")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = (rows.join(open_tiles, "key").select("key", "node", "comp", "blocks", block.alias("own"))
-             .join(classes.select("node", "n", *BITMAP), "node")
-             .select("key", "node", "comp", "n", *BITMAP, "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                     F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "node", "comp", "n", *BITMAP))
-    residual = (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-                .mapInArrow(compare_blocks(percent), "u long, v long").distinct())
-    more = exact(residual, "rest")
-    label = components(classes, links.unionByName(more), "all")
+    node_of = classes.select(F.col("name").alias("c"), "node")
+    in_group = written(meets.select("c", "pivot").unionByName(meets.select(F.col("pivot").alias("c"), "pivot").distinct())
+                       .join(node_of, "c").select("pivot", "node").distinct(), "groups")
+    discard(meets)
+    for at, most in enumerate(ROUNDS):
+        rows = written(in_group.select("pivot", "node").join(label, "node").join(classes.select("node", "n"), "node"), f"members{at}")
+        open_groups = written(rows.groupBy("pivot").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"), F.sum("n").alias("n"))
+                              .filter("low <> high")
+                              .select("pivot", F.greatest(F.ceil(F.col("size") / BLOCK_ROWS), F.ceil(F.col("n") / (2 * BLOCK_BYTES))).cast("int").alias("blocks")),
+                              f"open{at}")
+        still = written(rows.join(open_groups, "pivot").select("pivot", "node", "comp", "blocks"), f"still{at}")
+        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        dealt = (still.select("pivot", "node", "comp", "blocks", block.alias("own"))
+                 .join(classes.select("node", "n", "bits"), "node")
+                 .select("pivot", "node", "comp", "n", "bits", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+                 .select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "node", "comp", "n", "bits"))
+        more = exact(dealt.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+                     .mapInArrow(compare_groups(percent, most), "u long, v long"), f"round{at}")
+        discard(in_group, rows, open_groups, label)
+        in_group = still
+        every = written(links.unionByName(more), f"links{at}")
+        discard(links, more)
+        links = every
+        label = components(classes, links, f"round{at}")
 
     whole = label.join(classes.select("node", "cls", "first_id", "doc_id", "tkey"), "node")
     stands = written(whole.groupBy("comp").agg(
@@ -376,6 +417,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("rep")), "components")
     placed = written(whole.select("comp", "cls").join(stands, "comp")
                      .select("cls", "component_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.tkey").alias("rep_key")), "placed")
+    discard(in_group, label, links, stands, classes)
     return sig.join(placed, "cls", "left").select(
         "doc_id", "tkey", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

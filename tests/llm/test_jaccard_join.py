@@ -108,3 +108,44 @@ def test_shared_tiles_across_batches():
         got = sorted(tuple(r.values()) for b in J.shared_tiles(iter(batches)) for r in b.to_pylist())
         want = sorted((k, c, min(x for y, x in rows if y == k)) for k, c in set(rows) if len({x for y, x in rows if y == k}) > 1)
         assert got == want
+
+
+def test_short_sets_with_empty_ranges_meet():
+    """Sets that leave many ranges empty enter further orders, and still meet whom they link with."""
+    rnd = np.random.RandomState(2)
+    further = 0
+    for n in (7, 8, 9, 12):
+        k, m, cuts = J.band_plan(int(np.searchsorted(J.band_edges(80), n, side="right")) - 1, 80)
+        for _ in range(4000):
+            a = np.unique(rnd.randint(0, 1 << 62, n).astype(np.uint64) * np.uint64(5))
+            empty = m - len(np.unique(np.searchsorted(cuts, a)))
+            further += empty >= m - k
+            b = np.union1d(a[1:], rnd.randint(0, 1 << 62, 1).astype(np.uint64)) if rnd.rand() < .5 else a[1:]
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                assert len(np.intersect1d(J.tile_keys(a, 80), J.tile_keys(b, 80)))
+    assert further > 20
+
+
+def test_folded_bitmaps_bound_the_difference():
+    rnd = np.random.RandomState(3)
+    for _ in range(200):
+        a = np.unique(rnd.randint(0, 1 << 62, rnd.randint(1, 400)).astype(np.uint64))
+        b = np.union1d(a[:rnd.randint(0, len(a) + 1)], rnd.randint(0, 1 << 62, rnd.randint(0, 200)).astype(np.uint64))
+        x, y = (np.frombuffer(J.parity_bitmap(s), np.uint64) for s in (a, b))
+        words = min(len(x), len(y))
+        differ = int(np.bitwise_count(J.folded(x, words) ^ J.folded(y, words)).sum())
+        assert differ <= len(np.setxor1d(a, b))
+        assert differ % 2 == len(np.setxor1d(a, b)) % 2
+
+
+def test_pairs_that_do_not_link_are_not_listed():
+    """Long texts of one origin below the threshold: the bitmaps tell them apart."""
+    rnd = np.random.RandomState(4)
+    base = np.unique(rnd.randint(0, 1 << 62, 4000).astype(np.uint64))
+    sets = [np.union1d(np.delete(base, rnd.choice(len(base), 320, replace=False)), rnd.randint(0, 1 << 62, 320).astype(np.uint64)) for _ in range(40)]
+    bits = [np.frombuffer(J.parity_bitmap(s), np.uint64) for s in sets]
+    words = min(map(len, bits))
+    found = list(J.group_pairs(np.arange(40), np.arange(40), np.array([len(s) for s in sets]), np.zeros(40, int),
+                               np.stack([J.folded(b, words) for b in bits]), 85, None))
+    assert found == []

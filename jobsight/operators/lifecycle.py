@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schemas import JOB_VACANCIES, LENGTH_LIMITS
@@ -32,34 +32,33 @@ def _ts(x) -> Column:
 
 def assign_ids(df: DataFrame, id_col: str, start, order: Sequence[str] = (),
                compact: bool = False) -> DataFrame:
-    """Unique ids above ``start`` without a global sort or a single task.
-
-    Rows keep their partitions and are sorted inside them by ``order`` (a
-    unique key), so a recomputed task numbers them the same way.
+    """Unique ids above ``start`` without a single task that sees all rows.
 
     * ``compact=False`` (one pass): ``start + 1 + monotonically_increasing_id``;
-      unique, increasing per partition, with gaps between partitions (the
-      warehouse key allows gaps).
-    * ``compact=True``: ``start + 1, start + 2, ...``; each partition numbers
-      its rows locally and adds the row count of the partitions before it.
-      The counts are one row per partition, summed up in one unpartitioned
+      unique, with gaps between partitions (the warehouse key allows gaps).
+      Rows keep their partitions and are sorted inside them by ``order`` (a
+      unique key), so a recomputed task numbers them the same way.
+    * ``compact=True``: ``start + 1, start + 2, ...`` in the order of ``order`` over
+      the whole table: rows are range-partitioned, each partition numbers its
+      rows, and the row counts of the partitions before it are added.  The
+      counts are one row per partition, summed up in one unpartitioned
       window over those few rows.  The numbered rows are checkpointed to the shared
-      checkpoint folder first, so both passes see the same numbering.
+      checkpoint folder first, so both passes see the same partitions.
+      Without ``order`` rows are numbered as they lie.
     """
-    local = df.sortWithinPartitions(*order) if order else df
     base = start if isinstance(start, Column) else F.lit(start)
     if not compact:
+        local = df.sortWithinPartitions(*order) if order else df
         return local.withColumn(id_col, (base + 1 + F.monotonically_increasing_id()).cast("long"))
     ensure_checkpoint_dir(df.sparkSession)
-    local = (local.withColumn("_pid", F.spark_partition_id())
-             .withColumn("_mid", F.monotonically_increasing_id())
-             .checkpoint(eager=True))
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n"))
-    out = (local.join(offsets.select("_pid", "_off", "_m0"), "_pid")
-           .withColumn(id_col, (base + F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1).cast("long")))
-    return out.drop("_pid", "_mid", "_off", "_m0")
+    local = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    local = local.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    part, at = F.shiftright("_mid", 33), F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = local.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    out = local.join(offsets, part == F.col("_part")).withColumn(id_col, (base + F.col("_before") + at + 1).cast("long"))
+    return out.drop("_mid", "_part", "_before")
 
 
 def max_id(df: DataFrame, id_col: str) -> Column:
@@ -79,10 +78,22 @@ def stale_predicate(last_seen, is_active, as_of, days: int = 3) -> Column:
 
 # ------------------------------------------------------------ joins
 
-def insert_absent(existing: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+def absent_rows(existing: DataFrame, new: DataFrame, key: Sequence[str], owner: str | None = None) -> DataFrame:
+    """E5: the rows of ``new`` whose key ``existing`` lacks.
+
+    With ``owner``, a column of the key, the history is first cut down to the
+    owners that ``new`` has: what meets ``new`` in the join follows the
+    batch and not the history (a small batch's owners are sent to the scan by Spark).
+    """
+    old = existing.select(*key)
+    if owner is not None:
+        old = old.join(new.select(owner).distinct(), owner, "left_semi")
+    return new.join(old, list(key), "left_anti").select(*existing.columns)
+
+
+def insert_absent(existing: DataFrame, new: DataFrame, key: Sequence[str], owner: str | None = None) -> DataFrame:
     """E5: keep every existing row, add new rows whose key is absent."""
-    fresh = new.join(existing.select(*key), list(key), "left_anti")
-    return existing.unionByName(fresh.select(*existing.columns))
+    return existing.unionByName(absent_rows(existing, new, key, owner))
 
 
 def cascade_delete(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
@@ -98,44 +109,35 @@ def orphan_check(children: DataFrame, parents: DataFrame, key: str) -> DataFrame
 # ------------------------------------------------------------ upsert
 
 def upsert_jobs(current: DataFrame, batch: DataFrame, as_of, clear_closed_at: bool = False,
-                id_order: Sequence[str] = ()) -> DataFrame:
+                id_order: Sequence[str] = ("job_url",)) -> DataFrame:
     """G1: insert new urls, refresh seen ones.
 
-    A new url gets ``scraped_at = last_seen = as_of``, active, no ``closed_at``.
-    A seen url gets ``last_seen = as_of``, active, and the batch's title,
-    salary and work setup; all other columns keep their old values and
+    A new url gets ``scraped_at = last_seen = as_of``, active, no ``closed_at``, and
+    the next id, new urls in the order of ``id_order`` (``file_path, block_start, pos`` for
+    the landing order).  A seen url gets ``last_seen = as_of``, active, and the batch's
+    title, salary and work setup; all other columns keep their old values and
     ``closed_at`` is kept unless ``clear_closed_at``.  ``batch`` must be unique
     on ``job_url`` (``dedup_jobs`` then ``check_constraints``).
+
+    Two joins on the url: the snapshot with the batch's refreshable columns, and the
+    batch against the snapshot's urls.  A snapshot read by ``read_bucketed`` is
+    partitioned and sorted by url on disk, so only the batch crosses a shuffle;
+    only the new rows are numbered.
     """
     now = _ts(as_of)
+    seen = batch.select(F.col("job_url").alias("_url"), *[F.col(c).alias(f"_{c}") for c in UPSERT_REFRESH])
+    joined = current.select(*JOB_COLS).join(seen, F.col("job_url") == F.col("_url"), "left")
+    hit = F.col("_url").isNotNull()
+    changed = {c: F.col(f"_{c}") for c in UPSERT_REFRESH} | {"last_seen": now, "is_active": F.lit(True)}
+    if clear_closed_at:
+        changed["closed_at"] = F.lit(None).cast("timestamp_ntz")
+    kept = joined.select(*[F.when(hit, changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in JOB_COLS])
     extra = [c for c in id_order if c not in BATCH_COLS]
-    b = batch.select(*BATCH_COLS, *extra)
-    c = current.select(*JOB_COLS)
-    joined = c.alias("c").join(b.alias("b"), F.col("c.job_url") == F.col("b.job_url"), "full_outer")
-    has_c = F.col("c.job_url").isNotNull()
-    has_b = F.col("b.job_url").isNotNull()
-
-    def pick(name: str) -> Column:
-        if name in UPSERT_REFRESH:
-            return F.when(has_b, F.col(f"b.{name}")).otherwise(F.col(f"c.{name}")).alias(name)
-        if name in BATCH_COLS:
-            return F.when(has_c, F.col(f"c.{name}")).otherwise(F.col(f"b.{name}")).alias(name)
-        if name in ("last_seen", "scraped_at"):
-            keep = F.col(f"c.{name}") if name == "scraped_at" else now
-            return F.when(has_c & has_b, keep).when(has_c, F.col(f"c.{name}")).otherwise(now).alias(name)
-        if name == "is_active":
-            return F.when(has_b, F.lit(True)).otherwise(F.col("c.is_active")).alias(name)
-        if name == "closed_at":
-            kept = F.lit(None).cast("timestamp_ntz") if clear_closed_at else F.col("c.closed_at")
-            return F.when(has_b, F.when(has_c, kept)).otherwise(F.col("c.closed_at")).alias(name)
-        return F.col(f"c.{name}").alias(name)
-
-    merged = joined.select(*[pick(n) for n in JOB_COLS], has_c.alias("_old"))
-    # One pass: old rows keep their id, new rows take a fresh one (G5).  The
-    # key is unique, so sorting by it inside partitions fixes the numbering.
-    numbered = assign_ids(merged, "_new_id", max_id(current, "job_id"), order=["job_url"])
-    return numbered.withColumn(
-        "job_id", F.when(F.col("_old"), F.col("job_id")).otherwise(F.col("_new_id"))).select(*JOB_COLS)
+    fresh = batch.select(*BATCH_COLS, *extra).join(current.select("job_url"), "job_url", "left_anti")
+    fresh = assign_ids(fresh, "job_id", max_id(current, "job_id"), order=list(id_order), compact=True)
+    fresh = fresh.withColumns({"scraped_at": now, "last_seen": now, "is_active": F.lit(True),
+                               "closed_at": F.lit(None).cast("timestamp_ntz")})
+    return kept.unionByName(fresh.select(*JOB_COLS))
 
 
 def close_stale(jobs: DataFrame, as_of, days: int = 3) -> DataFrame:
@@ -155,25 +157,24 @@ def insert_courses(current: DataFrame, batch: DataFrame, as_of,
     """
     from .dedup import first_per_key
     cols = ["course_title", "platform", "url"]
-    first = first_per_key(batch.select(*cols, *order), "url", order)
+    first = first_per_key(batch.select(*cols, *order), "url", order).select(*cols, *order)
     fresh = first.join(current.select("url"), "url", "left_anti")
     fresh = fresh.withColumn("scraped_at", _ts(as_of))
-    fresh = assign_ids(fresh, "course_id", max_id(current, "course_id"), order=["url"])
+    fresh = assign_ids(fresh, "course_id", max_id(current, "course_id"), order=list(order), compact=True)
     keep = ["course_id", "course_title", "platform", "url", "scraped_at"]
     return current.select(*keep).unionByName(fresh.select(*keep))
 
 
 # ------------------------------------------------------------ constraints
 
-def check_constraints(df: DataFrame, table: str = "job_vacancies", key: str | None = None,
-                      not_null: Sequence[str] | None = None, check_unique: bool = True,
-                      strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (good, rejects) with a ``reject_reason``.
+def constraint_reasons(df: DataFrame, table: str = "job_vacancies", key: str | None = None,
+                       not_null: Sequence[str] | None = None, check_unique: bool = True) -> DataFrame:
+    """``df`` with a ``reject_reason`` (empty for rows the warehouse takes), in one pass.
 
     Checks NOT NULL, VARCHAR lengths, the salary's numeric shape and range,
     and key uniqueness (every row of a repeated key is rejected: the
     warehouse would refuse the whole batch).  A batch that F1 has made
-    unique needs no ``check_unique`` and is read once.  ``strict`` raises instead, as the warehouse does.
+    unique needs no ``check_unique``: then the check is one projection.
     """
     key = key or ("job_url" if table == "job_vacancies" else "url")
     not_null = list(not_null) if not_null is not None else (
@@ -192,15 +193,31 @@ def check_constraints(df: DataFrame, table: str = "job_vacancies", key: str | No
         checked = df.join(dup.withColumn("_dup", F.lit(True)), key, "left")
         reasons.append(F.when(F.col("_dup"), F.lit("duplicate_key")))
     checked = checked.withColumn("reject_reason", F.concat_ws(";", F.array_compact(F.array(*reasons))))
-    if check_unique:
-        checked = checked.drop("_dup")
-    good = checked.filter(F.col("reject_reason") == "").drop("reject_reason")
-    bad = checked.filter(F.col("reject_reason") != "")
+    return checked.drop("_dup")
+
+
+def check_constraints(df: DataFrame, table: str = "job_vacancies", key: str | None = None,
+                      not_null: Sequence[str] | None = None, check_unique: bool = True,
+                      strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Split rows into (good, rejects) by ``constraint_reasons``.
+
+    ``strict`` raises if there are rejects, as the warehouse does: the checked
+    rows are written once, and counted in that same pass.
+    """
+    checked = constraint_reasons(df, table, key, not_null, check_unique)
     if strict:
-        n = bad.count()
-        if n:
-            raise ValueError(f"{n} rows violate {table} constraints")
-    return good, bad
+        checked = written_and_accepted(checked, table)
+    return checked.filter(F.col("reject_reason") == "").drop("reject_reason"), checked.filter(F.col("reject_reason") != "")
+
+
+def written_and_accepted(checked: DataFrame, table: str) -> DataFrame:
+    """The rows of ``constraint_reasons`` written once; raises if that pass counted a reject."""
+    from ..sources.snapshot import written
+    seen = Observation()
+    out = written(checked.observe(seen, F.count_if(F.col("reject_reason") != "").alias("rejects")), f"checked-{table}")
+    if seen.get["rejects"]:
+        raise ValueError(f"{seen.get['rejects']} rows violate {table} constraints")
+    return out
 
 
 # ------------------------------------------------------------ replay
@@ -265,3 +282,56 @@ def replay_closed_form(sightings: DataFrame, as_of, key: str = "job_url", seen:
     times = {"scraped_at": d0.cast("timestamp_ntz"), "last_seen": d1.cast("timestamp_ntz"),
              "is_active": d1 >= F.date_sub(end, days), "closed_at": F.array_max(closing).cast("timestamp_ntz")}
     return agg.select(*cols, *[v.alias(k) for k, v in times.items() if columns is None or k in columns])
+
+
+# ------------------------------------------------------------ replay in steps
+
+#: What a step carries per key beside the rows: the first and last sighting day, and the last day a gap closed it.
+STATE_DAYS = ("first_day", "last_day", "closed_day")
+
+
+def interval_state(sightings: DataFrame, key: str = "job_url", seen: str = "seen_at",
+                   order: Sequence[str] = ("pos",), days: int = 3) -> DataFrame:
+    """G8 as mergeable state: one row per key of fixed width, whatever the length of the history.
+
+    ``first`` and ``last`` are the key's first row of its first and of its last day
+    (as structs).  Sightings are reduced to one row per key and day before
+    they meet (partial aggregation), then neighbouring days give the gaps.
+    """
+    day = F.to_date(F.col(seen))
+    row = F.struct(*[c for c in BATCH_COLS if c != key])
+    daily = (sightings.groupBy(F.col(key), day.alias("_day"))
+             .agg(F.min_by(row, F.struct(*[F.col(c) for c in order])).alias("_row")))
+    before = F.lag("_day").over(Window.partitionBy(key).orderBy("_day"))
+    end = F.date_add(before, days + 1)
+    gaps = daily.withColumn("_closed", F.when(F.col("_day") > end, end))
+    return gaps.groupBy(key).agg(
+        F.min("_day").alias("first_day"), F.max("_day").alias("last_day"), F.max("_closed").alias("closed_day"),
+        F.min_by("_row", "_day").alias("first"), F.max_by("_row", "_day").alias("last"))
+
+
+def merge_states(earlier: DataFrame, later: DataFrame, key: str = "job_url", days: int = 3) -> DataFrame:
+    """The state over two spans of days; every day of ``earlier`` lies before every day of ``later``.
+
+    A step of a daily load merges the stored state with the day's.  The gap
+    between a key's last day in the one and first day in the other closes it if it is long enough.
+    """
+    a = earlier.select(F.col(key), *[F.col(c).alias(f"_a_{c}") for c in (*STATE_DAYS, "first", "last")])
+    b = later.select(F.col(key), *[F.col(c).alias(f"_b_{c}") for c in (*STATE_DAYS, "first", "last")])
+    end = F.date_add("_a_last_day", days + 1)
+    between = F.when(F.col("_b_first_day") > end, end)
+    return a.join(b, key, "full_outer").select(
+        key, F.coalesce("_a_first_day", "_b_first_day").alias("first_day"), F.coalesce("_b_last_day", "_a_last_day").alias("last_day"),
+        F.coalesce("_b_closed_day", between, "_a_closed_day").alias("closed_day"),
+        F.coalesce("_a_first", "_b_first").alias("first"), F.coalesce("_b_last", "_a_last").alias("last"))
+
+
+def state_at(state: DataFrame, as_of, key: str = "job_url", days: int = 3) -> DataFrame:
+    """The postings of a state after the run of ``as_of`` (as ``replay_closed_form``)."""
+    end = F.to_date(_ts(as_of))
+    overdue = F.date_add("last_day", days + 1)
+    cols = [F.col(key) if c == key else F.col(f"{'last' if c in UPSERT_REFRESH else 'first'}.{c}").alias(c) for c in BATCH_COLS]
+    return state.select(
+        *cols, F.col("first_day").cast("timestamp_ntz").alias("scraped_at"), F.col("last_day").cast("timestamp_ntz").alias("last_seen"),
+        (F.col("last_day") >= F.date_sub(end, days)).alias("is_active"),
+        F.coalesce(F.when(overdue <= end, overdue), "closed_day").cast("timestamp_ntz").alias("closed_at"))

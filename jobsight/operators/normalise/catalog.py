@@ -20,8 +20,8 @@ from ...plans import adapters as A
 from ...session import scratch_path
 from ...sources.payloads import read_payloads
 from ..filters import filter_json_type
-from ..pages import (board_sizes, detect_ats, extract_ld_json, harvest_titles, has_next_data, json_items, ld_json_type_census,
-                     next_data_keys)
+from ..pages import (board_sizes, detect_ats, extract_ld_json, filter_links, filter_url_pattern, harvest_titles, has_next_data,
+                     json_items, ld_json_type_census, link_harvest, next_data_keys)
 from . import api, html
 from .oracle import SQL
 
@@ -45,6 +45,20 @@ def _title() -> Column:
     return A._case(k % 8, list(enumerate(A.TITLES[:-1])), A.TITLES[-1])
 
 
+def _marked(title: Column) -> Column:
+    """A title as markup; one in four begins with character references (a name, a number, a hexadecimal number)."""
+    return F.concat(F.when(F.col("o_orderkey") % 4 == 0, F.lit("R&amp;D &#8211; &#xE9;quipe ")).otherwise(F.lit("")), title)
+
+
+def _href(path: Column) -> Column:
+    """An href attribute in one of four spellings: double quotes, single quotes, upper case, none."""
+    k = F.col("o_orderkey")
+    return (F.when(k % 4 == 0, F.concat(F.lit(' href="'), path, F.lit('"')))
+            .when(k % 4 == 1, F.concat(F.lit(" href='"), path, F.lit("'")))
+            .when(k % 4 == 2, F.concat(F.lit(' HREF = "'), path, F.lit('"')))
+            .otherwise(F.concat(F.lit(" data-n=1 href="), path)))
+
+
 def _paged(df: DataFrame, item: Column) -> DataFrame:
     """(seq, items) with at most PAGE items per page, in key order."""
     page = F.floor(F.col("o_orderkey") / PAGE).alias("seq")
@@ -197,28 +211,28 @@ def posting_pages(spark, sf):
     """Search cards, vendor links, JSON titles and page titles of several kinds; one page in four has data for Next."""
     k = F.col("o_orderkey")
     key = k.cast("string")
-    name = F.regexp_replace(_title(), "<[^>]*>", " ")
+    name = _marked(F.regexp_replace(_title(), "<[^>]*>", " "))
     link = (F.when(k % 5 == 0, F.lit(""))
-            .when(k % 5 == 1, F.concat(F.lit('<a href="/id/job/other"><b>x</b></a><a data-x="1" href="/id/job/'), key,
-                                       F.lit('?ref=cardTitle">'), name, F.lit("</a>")))
+            .when(k % 5 == 1, F.concat(F.lit('<a href="/id/job/other"><b>x</b></a><A data-x="a>b" HREF=\'/id/job/'), key,
+                                       F.lit("?ref=cardTitle'>"), name, F.lit("</A>")))
             .when(k % 5 == 2, F.concat(F.lit('<a href="https://id.jobstreet.com/id/job/'), key, F.lit('?a=1"> </a><h2>'), name, F.lit("</h2>")))
-            .otherwise(F.concat(F.lit('<a href="/id/job/'), key, F.lit('"><span>'), name, F.lit("</span></a>"))))
+            .otherwise(F.concat(F.lit("<a href=/id/job/"), key, F.lit("?a=1&amp;b=2><span>"), name, F.lit("</span></a>"))))
     company = (F.when(k % 3 == 0, F.concat(F.lit('<b data-automation="jobCompany">'), F.col("c_name"), F.lit("</b>")))
-               .when(k % 3 == 1, F.concat(F.lit('<span class="x-company y">'), F.lower("c_name"), F.lit("</span>"))).otherwise(F.lit("")))
-    place = F.when(k % 2 == 0, F.concat(F.lit('<i data-automation="jobLocation">'), F.lower("n_name"), F.lit("</i>"))).otherwise(F.lit(""))
+               .when(k % 3 == 1, F.concat(F.lit("<SPAN CLASS='x-company y'>"), F.lower("c_name"), F.lit("</SPAN>"))).otherwise(F.lit("")))
+    place = F.when(k % 2 == 0, F.concat(F.lit("<i data-automation=jobLocation>"), F.lower("n_name"), F.lit("</i>"))).otherwise(F.lit(""))
     pay = F.when(k % 4 == 0, F.concat(F.lit('<i data-automation="jobSalary">Rp '), F.floor("o_totalprice").cast("string"), F.lit("</i>"))).otherwise(F.lit(""))
-    piece = F.concat(F.lit('<article data-testid="job-card">'), link, company, place, pay, F.lit("</article>"))
+    piece = F.concat(F.when(k % 2 == 0, F.lit('<article data-testid="job-card">')).otherwise(F.lit("<ARTICLE data-testid='job-card'>")), link, company, place, pay, F.lit("</article>"))
 
     def wrap(a):
         n = F.col("seq")
         text = n.cast("string")
-        title = (F.when(n % 3 == 0, F.concat(F.lit("Engineer "), text, F.lit(" at Firm "), text, F.lit(" - Tech in Asia")))
+        title = (F.when(n % 3 == 0, F.concat(F.lit("R&amp;D Engineer "), text, F.lit(" at A&#38;B Firm "), text, F.lit(" - Tech in Asia")))
                  .when(n % 3 == 1, F.concat(F.lit("Role "), text, F.lit(" - Tech in Asia"))).otherwise(F.lit("")))
         vendor = (F.when(n % 3 == 0, F.lit('<a href="https://boards.greenhouse.io/x">g</a><a href="http://jobs.lever.co/y">l</a>'))
                   .when(n % 3 == 1, F.lit('<a href="https://x.recruitee.com/o">r</a>')).otherwise(F.lit("")))
         data = F.when(n % 4 == 0, F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">{"title": "Posting number '), text,
                                            F.lit('", "n": {"title": "x"}}</script>'))).otherwise(F.lit(""))
-        return F.concat(F.lit("<html><head><title>"), title, F.lit("</title></head><body><p>About <b>team "), text, F.lit("</b> </p><span>Use SQL</span>"),
+        return F.concat(F.lit("<html><head><title>"), title, F.lit("</title></head><body><!-- <p>no</p> --><P class=x>About <b>team "), text, F.lit("</b> </P><span>Use SQL &lt; 3</span>"),
                         vendor, data, F.array_join(a, ""), F.lit('<footer><a href="/id/job/footer">f</a></footer></body></html>'))
     return _pages(spark, sf, piece, wrap)
 
@@ -236,8 +250,8 @@ def apollo_pages(spark, sf):
 
 def card_pages(spark, sf):
     k = F.col("o_orderkey")
-    piece = F.concat(F.lit('<a href="/academies/'), (k % 500).cast("string"), F.lit('"><h5>'), _title(),
-                     F.lit('</h5><p>Belajar</p><span class="level">Pemula</span></a><a href="/about">About</a>'))
+    piece = F.concat(F.lit("<a"), _href(F.concat(F.lit("/academies/"), (k % 500).cast("string"))), F.lit("><h5>"), _marked(_title()),
+                     F.lit("</h5><p>Belajar &amp; kerja</p><SPAN Class='level'>Pemula</SPAN></a><a href='/about'>About</a>"))
     return _pages(spark, sf, piece, lambda a: F.array_join(a, ""))
 
 
@@ -249,8 +263,9 @@ def job_card_pages(spark, sf):
 
 def vidio_pages(spark, sf):
     k = F.col("o_orderkey")
-    piece = F.concat(F.lit('<div class="b-job"><a href="/careers/'), k.cast("string"), F.lit('"><h3 class="b-job__name">'),
-                     _title(), F.lit('</h3><span class="b-job__location">'), F.lower("n_name"),
+    piece = F.concat(F.when(k % 2 == 0, F.lit('<div class="b-job">')).otherwise(F.lit("<DIV id=j CLASS='b-job'>")), F.lit("<a"),
+                     _href(F.concat(F.lit("/careers/"), k.cast("string"))), F.lit('><h3 class="b-job__name">'),
+                     _marked(_title()), F.lit('</h3><span class="b-job__location">'), F.lower("n_name"),
                      F.lit('</span><span class="b-job__department">'), F.col("c_mktsegment"), F.lit("</span></a></div>"))
     return _pages(spark, sf, piece, lambda a: F.concat(
         F.lit("<html><body>"), F.array_join(a, ""), F.lit('<div class="b-job"><a><h2>No link</h2></a></div>'
@@ -261,18 +276,28 @@ def trakstar_pages(spark, sf):
     k = F.col("o_orderkey")
     setup = F.when(F.col("o_orderpriority") == "1-URGENT", "Remote").otherwise("On-site")
     piece = F.concat(
-        F.lit('<div class="js-card list-item">'),
-        F.when(k % 2 == 0, F.lit('<h3 class="js-job-list-opening-name">')).otherwise(F.lit("<h2>")), _title(),
+        F.when(k % 2 == 0, F.lit('<div class="js-card list-item">')).otherwise(F.lit("<Div class='js-card list-item' >")),
+        F.when(k % 2 == 0, F.lit("<h3 class=js-job-list-opening-name>")).otherwise(F.lit("<h2>")), _marked(_title()),
         F.when(k % 2 == 0, F.lit("</h3>")).otherwise(F.lit("</h2><h3>Second</h3>")),
         F.lit('<div class="js-job-list-opening-loc">'), F.lower("n_name"),
         F.lit('</div><div class="col-md-4"><div class="rb-text-4">'), F.col("c_mktsegment"),
         F.lit('</div></div><div class="js-job-list-opening-meta"><span>Full-time</span><span>'), setup,
-        F.lit('</span></div><a href="/jobs/'), k.cast("string"), F.lit('">Apply</a></div>'))
+        F.lit("</span></div><a"), _href(F.concat(F.lit("/jobs/"), k.cast("string"))), F.lit(">Apply</a></div>"))
     return _pages(spark, sf, piece, lambda a: F.concat(
         F.lit("<html><body>"), F.array_join(a, ""), F.lit('<div class="js-card list-item"><h3>No link</h3></div>'
                                                            '<footer><a href="/about">About</a></footer></body></html>')))
 
 
+def link_pages(spark, sf):
+    """Links in every spelling, with references in their values, beside comments, scripts and elements that only look like links."""
+    k = F.col("o_orderkey")
+    path = F.concat(F.when(k % 5 == 0, F.lit("/jobs/search/")).when(k % 5 == 1, F.lit("https://x.example/jobs/")).when(k % 5 == 2, F.lit("/academies/")).otherwise(F.lit("/jobs/")),
+                    (k % 700).cast("string"), F.lit("?a=1&amp;b=&#x41;"))
+    piece = F.concat(F.lit("<li><a class='n'"), _href(path), F.lit('>x</a><!-- <a href="/jobs/hidden"> --><b data-href="/jobs/no">y</b></li>'))
+    return _pages(spark, sf, piece, lambda a: F.concat(
+        F.lit("<html><head><link href='/jobs/style.css'><script>var a = '<a href=\"/jobs/script\">';</script></head><ul>"), F.array_join(a, ""), F.lit("</ul></html>")))
+
+
 def landed_payloads(spark, sf):
     """A4: two kinds of payloads landed as one table under the scratch folder, one kind read back."""
     path = scratch_path(spark, f"payloads-{uuid.uuid4().hex}")
@@ -310,6 +335,9 @@ def catalog() -> dict:
         "has_next_data_rendered": (lambda s, sf: posting_pages(s, sf).select("page_id", has_next_data("html").alias("has_next_data")), None),
         "detect_ats_rendered": (lambda s, sf: detect_ats(posting_pages(s, sf)), None),
         "harvest_titles_rendered": (lambda s, sf: harvest_titles(posting_pages(s, sf), markers=["__NEXT_DATA__", "lever.co"]), None),
+        "filter_links_rendered": (lambda s, sf: filter_links(link_pages(s, sf)), None),
+        "filter_url_pattern_rendered": (lambda s, sf: filter_url_pattern(link_pages(s, sf)), None),
+        "link_harvest_rendered": (lambda s, sf: link_harvest(link_pages(s, sf), marker="/jobs/", samples=3), None),
         "ld_json_type_census": (lambda s, sf: ld_json_type_census(ld_pages(s, sf)), None),
         "next_data_keys": (lambda s, sf: next_data_keys(next_pages(s, sf)), None),
         "filter_json_type": (lambda s, sf: filter_json_type(extract_ld_json(ld_pages(s, sf)).select(

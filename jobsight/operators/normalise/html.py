@@ -2,7 +2,8 @@
 
 Pages are rows of a ``pages``-shaped table (page_id, url, html).  Embedded
 JSON (JSON-LD, ``__NEXT_DATA__``, Apollo state) is cut out with a regex and
-read with the JSON functions; card markup is split and read with regexes.
+read with the JSON functions; card markup is brought into its canonical spelling
+(``functions.markup``), then split and read with regexes, and texts are decoded.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...functions.dates import iso_or_now
+from ...functions.markup import canonical_markup, decode_references
 from ...functions.text import absolutize_url, clean_string, is_falsy, py_strip
 from ...schemas import COURSE_RECORD
 from ..pages import LD_JSON, NEXT_DATA, json_items, title_page
@@ -114,26 +116,38 @@ def normalise_apollo(pages: DataFrame, now: Column, base: str = "https://www.cou
     return hits.select(F.lit("coursera").alias("source"), F.col("page_id").alias("seq"), *rec)
 
 
+def _canonical(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("html", canonical_markup("html"))
+
+
+def _text(c: Column, pattern: str, group: int = 1) -> Column:
+    """A decoded text or attribute value of canonical markup, empty if there is none."""
+    return decode_references(F.regexp_extract(c, pattern, group))
+
+
+HREF = r' href="([^"]*)"'
+
+
 def _attr_text(card: Column, cls: str) -> Column:
-    t = F.regexp_extract(card, r'(?s)class="[^"]*' + cls + r'[^"]*"[^>]*>([^<]*)<', 1)
+    t = _text(card, r'(?s) class="[^"]*' + cls + r'[^"]*"[^>]*>([^<]*)<')
     return F.coalesce(F.nullif(py_strip(t), F.lit("")), F.lit("N/A"))
 
 
 def normalise_course_cards(pages: DataFrame, now: Column, pattern: str = r"/academies/\d+",
                            base: str = "https://www.dicoding.com", platform: str = "Dicoding") -> DataFrame:
     """Anchors whose href matches ``pattern``; first card per url; 4 attributes."""
-    anchors = pages.select("page_id", F.posexplode(F.regexp_extract_all(
-        "html", F.lit(r'(?s)(<a\b[^>]*href="[^"]*"[^>]*>.*?</a>)'), 1)).alias("item_pos", "card"))
-    href = F.regexp_extract("card", r'href="([^"]*)"', 1)
+    anchors = _canonical(pages).select("page_id", F.posexplode(F.regexp_extract_all(
+        "html", F.lit(r'(?s)(<a(?: [^>]*?)? href="[^"]*"[^>]*>.*?</a>)'), 1)).alias("item_pos", "card"))
+    href = _text(F.col("card"), HREF)
     anchors = anchors.withColumn("href", href).filter(F.col("href").rlike(pattern))
     anchors = anchors.withColumn("url", absolutize_url("href", base))
     from ..dedup import first_per_key
     first = first_per_key(anchors, "url", ["page_id", "item_pos"])
     c = F.col("card")
-    title = F.regexp_extract(c, r"(?s)<(?:h5|strong)[^>]*>([^<]*)<", 1)
+    title = _text(c, r"(?s)<(?:h5|strong)(?: [^>]*)?>([^<]*)<")
     rec = course_record(
         now, course_title=F.coalesce(F.nullif(py_strip(title), F.lit("")), F.lit("N/A")),
-        desc=py_strip(F.regexp_extract(c, r"(?s)<p[^>]*>([^<]*)<", 1)),
+        desc=py_strip(_text(c, r"(?s)<p(?: [^>]*)?>([^<]*)<")),
         level=_attr_text(c, "level"), duration=_attr_text(c, "duration"), rating=_attr_text(c, "rating"),
         students=_attr_text(c, "student"), platform=F.lit(platform), url=F.col("url"))
     return first.select(F.lit(platform.lower()).alias("source"), F.col("page_id").alias("seq"), "item_pos", *rec)
@@ -148,11 +162,11 @@ def static_catalogue(spark: SparkSession, rows: Sequence[dict], now: str, platfo
 def normalise_job_cards(pages: DataFrame, now: Column, link_marker: str, base: str, company: str,
                         board: str) -> DataFrame:
     """B6 / B8 generic form: anchors whose href contains ``link_marker``."""
-    anchors = pages.select("page_id", F.posexplode(F.regexp_extract_all(
-        "html", F.lit(r'(?s)(<a\b[^>]*href="[^"]*' + link_marker + r'[^"]*"[^>]*>.*?</a>)'), 1)).alias("item_pos", "card"))
+    anchors = _canonical(pages).select("page_id", F.posexplode(F.regexp_extract_all(
+        "html", F.lit(r'(?s)(<a(?: [^>]*?)? href="[^"]*' + link_marker + r'[^"]*"[^>]*>.*?</a>)'), 1)).alias("item_pos", "card"))
     c = F.col("card")
-    href = F.regexp_extract(c, r'href="([^"]*)"', 1)
-    title = py_strip(F.regexp_replace(F.regexp_replace(c, r"^<a\b[^>]*>|</a>$", ""), r"<[^>]+>", " "))
+    href = _text(c, HREF)
+    title = py_strip(decode_references(F.regexp_replace(F.regexp_replace(c, r"^<a\b[^>]*>|</a>$", ""), r"<[^>]+>", " ")))
     title = F.regexp_replace(title, r"\s+", " ")
     out = anchors.select("page_id", "item_pos", absolutize_url(href, base).alias("url"), title.alias("title"))
     out = out.filter((F.col("url") != base) & (F.col("title") != ""))
@@ -171,13 +185,13 @@ def _first_text(card: Column, patterns: Sequence[str]) -> Column:
     every = "|".join(f"(?:{p})" for p in patterns)
     found = F.regexp_extract(card, every, 0)
     inner = F.coalesce(*[F.nullif(F.regexp_extract(found, p, 1), F.lit("")) for p in patterns])
-    return F.when(found != "", inner)
+    return F.when(found != "", decode_references(inner))
 
 
 def cards_by_cascade(pages: DataFrame, routes: Sequence[str]) -> DataFrame:
     """Cards of the first route that finds any on a page (selector cascade).
 
-    A route is a regex for the start of a card element.  The page is split in
+    A route is a regex, on canonical markup, for the start of a card element.  The page is split in
     front of every match; a card then ends at its own closing tag (see
     ``own_element``), so nothing behind it, on a page's last card the footer,
     counts as the card's.  All routes are evaluated in one projection of the
@@ -186,6 +200,7 @@ def cards_by_cascade(pages: DataFrame, routes: Sequence[str]) -> DataFrame:
     # a leading marker keeps the text before the first card as element 1 even
     # when the page starts with a card (a split never yields a leading empty
     # string for a zero-width match)
+    pages = _canonical(pages)
     page = F.concat(F.lit("\u0001"), F.col("html"))
     parts = [F.slice(F.split(page, "(?=" + r + ")"), 2, 1 << 30) for r in routes]
     hits = [F.when(F.col("html").rlike(r), a) for r, a in zip(routes, parts)]
@@ -194,14 +209,17 @@ def cards_by_cascade(pages: DataFrame, routes: Sequence[str]) -> DataFrame:
     return cards.select("page_id", "item_pos", own_element(F.col("card")).alias("card"))
 
 
+#: Elements that cards are.
+CARD_TAGS = ("div", "li", "a", "article")
+
+
 def own_element(markup: Column) -> Column:
-    """The element that ``markup`` starts with, up to its closing tag (all of it if there is none).
+    """The element that ``markup`` (canonical) starts with, one of ``CARD_TAGS``, up to its closing tag (all of it if there is none).
 
     The pieces between tags of the element's name are counted up and down; the
     first piece after which the count is zero ends the element.
     """
-    name = F.regexp_extract(markup, r"^<([a-zA-Z0-9]+)", 1)
-    pieces = F.split(markup, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"\b)")))
+    pieces = F.coalesce(*[F.when(markup.rlike(f"^<{tag}[ >]"), F.split(markup, f"(?=</?{tag}[ >])")) for tag in CARD_TAGS], F.array(markup))
     step = lambda p: F.when(p.startswith("</"), -1).when(p.startswith("<"), 1).otherwise(0)
     ended = F.aggregate(
         pieces, F.struct(F.lit(0).alias("open"), F.lit(0).alias("seen"), F.lit(0).alias("end")),
@@ -246,7 +264,7 @@ def normalise_vidio_cards(pages: DataFrame, now: Column, base: str = "https://ww
     c = F.col("card")
     title = F.coalesce(_first_text(c, VIDIO_TITLE), _first_text(c, [ANY_TEXT]), F.lit("N/A"))
     dept = F.coalesce(_first_text(c, VIDIO_DEPARTMENT), F.lit("N/A"))
-    href = F.regexp_extract(c, r'href="([^"]*)"', 1)
+    href = _text(c, HREF)
     url = F.when(href.startswith("http"), href).when(href != "", F.concat(F.lit(base), href)).otherwise(F.lit(""))
     cards = cards.withColumn("_t", title).withColumn("_u", url).filter((F.col("_u") != "") & (F.col("_t") != "N/A"))
     rec = job_record(
@@ -264,7 +282,7 @@ def normalise_trakstar_cards(pages: DataFrame, now: Column, base: str = "https:/
     title = F.coalesce(_first_text(c, TRAKSTAR_TITLE), _first_text(c, [ANY_TEXT]), F.lit("N/A"))
     dept = F.coalesce(_first_text(c, TRAKSTAR_DEPARTMENT), F.lit("N/A"))
     jtype = F.coalesce(_first_text(c, TRAKSTAR_TYPE), F.lit("Full-time"))
-    href = F.regexp_extract(c, r'<a\b[^>]*href="([^"]*)"', 1)
+    href = _text(c, r'<a(?: [^>]*?)? href="([^"]*)"')
     url = F.when(href.startswith("http"), href).when(href != "", F.concat(F.lit(base), href)).otherwise(F.lit(""))
     cards = cards.withColumn("_u", url).filter(F.col("_u") != "")
     san = lambda x: F.coalesce(F.nullif(_sanitize(x), F.lit("")), F.lit("N/A"))
@@ -279,18 +297,18 @@ def normalise_trakstar_cards(pages: DataFrame, now: Column, base: str = "https:/
 
 # Selectors of a search-result card, as regexes.
 SEARCH_ROUTES = [r'<article\b[^>]*data-testid="job-card"', r"<article\b"]
-CARD_LINK = r'(?is)<a\b[^>]*href="(?=[^"]*/id/job/)(?=[^"]*cardTitle)([^"]*)"[^>]*>(.*?)</a>'
-ANY_LINK = r'(?is)<a\b[^>]*href="([^"]*/id/job/[^"]*)"[^>]*>(.*?)</a>'
+CARD_LINK = r'(?s)<a(?: [^>]*?)? href="(?=[^"]*/id/job/)(?=[^"]*cardTitle)([^"]*)"[^>]*>(.*?)</a>'
+ANY_LINK = r'(?s)<a(?: [^>]*?)? href="([^"]*/id/job/[^"]*)"[^>]*>(.*?)</a>'
 CARD_HEADING = [r"<h3[^>]*>([^<]+)", r"<h2[^>]*>([^<]+)", r'<[a-z0-9]+[^>]*data-automation="jobTitle"[^>]*>([^<]+)']
 FIRST_TEXT = r"(?s)(?:^|>)([^<]+)"
 
 
 def _automation(card: Column, name: str) -> Column:
-    return F.nullif(F.regexp_extract(card, r'<[a-z0-9]+[^>]*data-automation="' + name + r'"[^>]*>([^<]+)', 1), F.lit(""))
+    return F.nullif(_text(card, r'<[a-z0-9]+[^>]* data-automation="' + name + r'"[^>]*>([^<]+)'), F.lit(""))
 
 
 def _span_class(card: Column, name: str) -> Column:
-    return F.nullif(F.regexp_extract(card, r'<span[^>]*class="[^"]*' + name + r'[^"]*"[^>]*>([^<]+)', 1), F.lit(""))
+    return F.nullif(_text(card, r'<span[^>]* class="[^"]*' + name + r'[^"]*"[^>]*>([^<]+)'), F.lit(""))
 
 
 def normalise_search_cards(pages: DataFrame, now: Column, base: str = JOBSTREET) -> DataFrame:
@@ -303,9 +321,9 @@ def normalise_search_cards(pages: DataFrame, now: Column, base: str = JOBSTREET)
     cards = cards_by_cascade(pages, SEARCH_ROUTES)
     c = F.col("card")
     cards = cards.filter(c.rlike(ANY_LINK)).withColumns({
-        "_href": F.when(c.rlike(CARD_LINK), F.regexp_extract(c, CARD_LINK, 1)).otherwise(F.regexp_extract(c, ANY_LINK, 1)),
+        "_href": F.when(c.rlike(CARD_LINK), _text(c, CARD_LINK)).otherwise(_text(c, ANY_LINK)),
         "_inner": F.when(c.rlike(CARD_LINK), F.regexp_extract(c, CARD_LINK, 2)).otherwise(F.regexp_extract(c, ANY_LINK, 2))})
-    text = py_strip(F.regexp_extract("_inner", FIRST_TEXT, 1))
+    text = py_strip(_text(F.col("_inner"), FIRST_TEXT))
     title = F.coalesce(F.nullif(text, F.lit("")), _first_text(c, CARD_HEADING), F.lit("N/A"))
     url = F.substring_index(F.when(F.col("_href").startswith("http"), F.col("_href")).otherwise(F.concat(F.lit(base), F.col("_href"))), "?", 1)
     cards = cards.withColumns({
@@ -320,11 +338,11 @@ def normalise_search_cards(pages: DataFrame, now: Column, base: str = JOBSTREET)
     return emit(cards, {"source": F.lit("jobstreet"), "seq": F.col("page_id"), "item_pos": F.col("item_pos")}, rec)
 
 
-def page_texts(html: Column) -> Column:
-    """Texts inside paragraphs and directly in spans, stripped, in page order, joined by a space."""
-    pieces = F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>.*?</p>|<span\b[^>]*>[^<]*"), F.lit(0))
+def page_texts(markup: Column) -> Column:
+    """Of canonical markup the texts inside paragraphs and directly in spans, decoded, stripped, in page order, joined by a space."""
+    pieces = F.regexp_extract_all(markup, F.lit(r"(?s)<p[ >].*?</p>|<span(?: [^>]*)?>[^<]*"), F.lit(0))
     nodes = F.flatten(F.transform(pieces, lambda x: F.split(F.regexp_replace(x, r"(?s)<[^>]*>", "\u0001"), "\u0001")))
-    return F.array_join(F.filter(F.transform(nodes, lambda t: py_strip(t)), lambda t: t != ""), " ")
+    return F.array_join(F.filter(F.transform(nodes, lambda t: py_strip(decode_references(t))), lambda t: t != ""), " ")
 
 
 def normalise_title_page(pages: DataFrame, now: Column) -> DataFrame:

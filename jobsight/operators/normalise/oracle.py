@@ -28,6 +28,10 @@ ORD = f"""(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdat
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 
 
+#: What a title of the page fixtures begins with, decoded.
+LEAD = "CASE WHEN o_orderkey % 4 = 0 THEN 'R&D – équipe ' ELSE '' END"
+
+
 def end_date(x: str) -> str:
     return f"coalesce(strftime(try_strptime({x}, '%Y-%m-%d %H:%M:%S') + INTERVAL 30 DAY, {O.TS_FMT}), 'N/A')"
 
@@ -205,7 +209,7 @@ def apollo() -> str:
 def course_cards() -> str:
     first = (f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey % 500 ORDER BY seq, item_pos) AS rn "
              f"FROM {ORD}) WHERE rn = 1)")
-    cols = {"course_title": "trim(regexp_replace(title, '<.*$', ''))", "desc": "'Belajar'", "level": "'Pemula'",
+    cols = {"course_title": f"trim({LEAD} || regexp_replace(title, '<.*$', ''))", "desc": "'Belajar & kerja'", "level": "'Pemula'",
             "duration": "'N/A'", "rating": "'N/A'", "students": "'N/A'", "platform": "'Dicoding'",
             "url": "'https://www.dicoding.com/academies/' || CAST(o_orderkey % 500 AS VARCHAR)",
             "scraped_at": f"'{NOW}'", "job_age": "'unknown'"}
@@ -238,17 +242,17 @@ def next_data_keys() -> str:
 
 
 def vidio_cards() -> str:
-    raw = "regexp_replace(title, '<.*$', '')"
+    raw = f"({LEAD} || regexp_replace(title, '<.*$', ''))"
     return record_sql("vidio", {
         "job_title": O.ws(raw), "job_location": "lower(n_name)", "job_department": "c_mktsegment",
         "job_url": "'https://www.vidio.com/careers/' || CAST(o_orderkey AS VARCHAR)", "job_type": "'Full-time'",
         "company": "'Vidio'", "company_url": "'https://www.vidio.com'", "job_board": "'Vidio Careers'",
         "work_arrangement": "'On-site'", "desc": f"{raw} || ' ' || c_mktsegment",
-    }, where="WHERE regexp_replace(title, '<.*$', '') <> 'N/A'")
+    }, where=f"WHERE {raw} <> 'N/A'")
 
 
 def trakstar_cards() -> str:
-    raw = "regexp_replace(title, '<.*$', '')"
+    raw = f"({LEAD} || regexp_replace(title, '<.*$', ''))"
     return record_sql("mekari", {
         "job_title": O.ws(raw), "job_location": "lower(n_name)", "job_department": "c_mktsegment",
         "job_url": "'https://mekari.hire.trakstar.com/jobs/' || CAST(o_orderkey AS VARCHAR)", "job_type": "'Full-time'",
@@ -259,7 +263,7 @@ def trakstar_cards() -> str:
 
 
 def search_cards() -> str:
-    name = "regexp_replace(title, '<[^>]*>', ' ', 'g')"
+    name = f"{LEAD} || regexp_replace(title, '<[^>]*>', ' ', 'g')"
     t = O.clean_string(f"({name})")
     company = ("CASE o_orderkey % 3 WHEN 0 THEN " + O.clean_string("c_name") + " WHEN 1 THEN " + O.clean_string("lower(c_name)")
                + " ELSE 'Private Advertiser' END")
@@ -279,17 +283,17 @@ PAGE_KEYS = f"(SELECT DISTINCT seq, 0 AS item_pos FROM {ORD})"
 def title_pages() -> str:
     n = "CAST(seq AS VARCHAR)"
     return record_sql("techinasia", {
-        "job_title": f"CASE seq % 3 WHEN 0 THEN 'Engineer ' || {n} WHEN 1 THEN 'Role ' || {n} ELSE 'N/A' END",
+        "job_title": f"CASE seq % 3 WHEN 0 THEN 'R&D Engineer ' || {n} WHEN 1 THEN 'Role ' || {n} ELSE 'N/A' END",
         "job_location": "'N/A'", "job_department": "'N/A'", "job_url": f"'https://site.example/p/' || {n}", "job_type": "'N/A'",
-        "company": f"CASE seq % 3 WHEN 0 THEN 'Firm ' || {n} ELSE 'N/A' END", "company_url": "''", "job_board": "'Tech in Asia Jobs'",
+        "company": f"CASE seq % 3 WHEN 0 THEN 'A&B Firm ' || {n} ELSE 'N/A' END", "company_url": "''", "job_board": "'Tech in Asia Jobs'",
         "job_board_url": "'https://www.techinasia.com/jobs'", "job_age": "'0'", "work_arrangement": "'N/A'",
-        "desc": f"'About team ' || {n} || ' Use SQL' || coalesce(' ' || spans, '')",
+        "desc": f"'About team ' || {n} || ' Use SQL < 3' || coalesce(' ' || spans, '')",
     }, src=f"(SELECT seq, 0 AS item_pos, {SPANS} AS spans FROM {ORD} GROUP BY seq)")
 
 
 # texts of the cards' spans, in page order: job links of two kinds, and companies
 SPANS = ("nullif(array_to_string(flatten(list(list_filter([CASE WHEN o_orderkey % 5 >= 3 THEN "
-         + O.strip("regexp_replace(title, '<[^>]*>', ' ', 'g')") + " END, CASE WHEN o_orderkey % 3 = 1 THEN lower(c_name) END], "
+         + O.strip(f"({LEAD} || regexp_replace(title, '<[^>]*>', ' ', 'g'))") + " END, CASE WHEN o_orderkey % 3 = 1 THEN lower(c_name) END], "
          "lambda x: x IS NOT NULL) ORDER BY item_pos)), ' '), '')")
 
 
@@ -307,11 +311,32 @@ def harvest_titles_rendered() -> str:
             f"seq % 4 = 0 AS has___NEXT_DATA__, seq % 3 = 0 AS has_lever_co FROM {PAGE_KEYS}")
 
 
+HREFS = (f"(SELECT seq AS page_id, item_pos, CASE o_orderkey % 5 WHEN 0 THEN '/jobs/search/' WHEN 1 THEN 'https://x.example/jobs/' "
+         f"WHEN 2 THEN '/academies/' ELSE '/jobs/' END || CAST(o_orderkey % 700 AS VARCHAR) || '?a=1&b=A' AS href FROM {ORD})")
+
+
+def filter_links_rendered() -> str:
+    return (f"SELECT DISTINCT CASE WHEN starts_with(href, 'http') THEN href ELSE 'https://www.techinasia.com' || href END AS link "
+            f"FROM {HREFS} WHERE contains(href, '/jobs/') AND NOT contains(href, 'search')")
+
+
+def filter_url_pattern_rendered() -> str:
+    return (f"SELECT 'https://www.dicoding.com' || href AS link, page_id, item_pos FROM {HREFS} WHERE regexp_matches(href, '/academies/\\d+') "
+            "QUALIFY row_number() OVER (PARTITION BY href ORDER BY page_id, item_pos) = 1")
+
+
+def link_harvest_rendered() -> str:
+    return (f"SELECT page_id, CAST(len(l) AS INTEGER) AS n_links, l[1:3] AS samples FROM (SELECT page_id, "
+            f"coalesce(list(href ORDER BY item_pos) FILTER (WHERE contains(href, '/jobs/')), CAST([] AS VARCHAR[])) AS l FROM {HREFS} GROUP BY page_id)")
+
+
 def filter_json_type() -> str:
     return f"SELECT seq AS page_id, item_pos FROM {ORD}"
 
 
 SQL = {
+    "filter_links_rendered": filter_links_rendered, "filter_url_pattern_rendered": filter_url_pattern_rendered,
+    "link_harvest_rendered": link_harvest_rendered,
     "normalise_search_cards": search_cards, "normalise_title_page": title_pages,
     "has_next_data_rendered": has_next_data_rendered, "detect_ats_rendered": detect_ats_rendered,
     "harvest_titles_rendered": harvest_titles_rendered,

@@ -12,17 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.markup import canonical_markup, decode_references, link_hrefs
 from ..functions.text import absolutize_url, py_strip, strip_query
 from . import dedup
 
-HREF = r'href="([^"]*)"'
 # Patterns and markers.  Embedded JSON is found by one attribute of
 # its script tag, whatever other attributes stand beside it.
 LD_JSON = r'(?is)<script\b[^>]*\btype\s*=\s*["\']?application/ld\+json["\']?[^>]*>(.*?)</script>'
 NEXT_DATA = r'(?is)<script\b[^>]*\bid\s*=\s*["\']?__NEXT_DATA__["\']?[^>]*>\s*(\{.*?\})\s*</script>'
 # H4 looks for this very text.
 NEXT_DATA_LITERAL = r'(?s)<script id="__NEXT_DATA__" type="application/json">(\{.*?\})</script>'
-TITLE_TAG = r"(?s)<title>(.*?)</title>"
+# On canonical markup.
+TITLE_TAG = r"(?s)<title(?: [^>]*)?>(.*?)</title>"
 # Hosting vendors recognised in page links.
 ATS_VENDORS = ["greenhouse", "lever", "workable", "kalibrr", "glints", "recruitee", "smartrecruit"]
 ATS_LINK = r'(?i)https?://[^\s"<>]*(' + "|".join(ATS_VENDORS) + r')[^\s"<>]*'
@@ -33,13 +34,14 @@ CENSUS_MARKERS = ['data-testid="job-card"', "<article", 'data-automation="jobLis
 TIA_SUFFIX = " - Tech in Asia"
 
 
-def hrefs(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(HREF), 1)
+def links(pages: DataFrame) -> DataFrame:
+    """Every link's href, decoded, with its position in the page."""
+    return pages.select("page_id", "url", F.posexplode(link_hrefs("html")).alias("item_pos", "href"))
 
 
-def links(pages: DataFrame) -> DataFrame:
-    """Every href with its position in the page."""
-    return pages.select("page_id", "url", F.posexplode(hrefs(F.col("html"))).alias("item_pos", "href"))
+def title_text(markup: Column) -> Column:
+    """The decoded text of the title of canonical markup, empty without one."""
+    return decode_references(F.coalesce(F.regexp_extract(markup, TITLE_TAG, 1), F.lit("")))
 
 
 def filter_links(pages: DataFrame, marker: str = "/jobs/", exact_exclude: str = "/jobs",
@@ -109,7 +111,7 @@ def next_data_keys(pages: DataFrame) -> DataFrame:
 
 def link_harvest(pages: DataFrame, marker: str, samples: int) -> DataFrame:
     """H6: per page, the number of links containing ``marker`` and the first ``samples`` of them."""
-    hits = F.filter(hrefs(F.col("html")), lambda h: h.contains(marker))
+    hits = F.filter(link_hrefs("html"), lambda h: h.contains(marker))
     return pages.select("page_id", F.size(hits).alias("n_links"), F.slice(hits, 1, samples).alias("samples"))
 
 
@@ -156,8 +158,9 @@ def search_cards(pages: DataFrame, link_marker: str = "/id/job/", base: str = "h
 
 
 def title_page(pages: DataFrame, suffix: str = TIA_SUFFIX, keep: dict | None = None) -> DataFrame:
-    """Title and company from ``<title>X at Y - Tech in Asia</title>``; ``keep`` adds columns of the page."""
-    t = py_strip(F.coalesce(F.regexp_extract("html", TITLE_TAG, 1), F.lit("")))
+    """Title and company from ``<title>X at Y - Tech in Asia</title>``; ``keep`` adds columns of the page, whose ``html`` is canonical markup."""
+    pages = pages.withColumn("html", canonical_markup("html")).withColumn("_title", py_strip(title_text(F.col("html"))))
+    t = F.col("_title")
     parts = F.split(t, " at ")
     both = t.contains(" at ") & t.contains(suffix)
     title = (F.when(both, py_strip(parts.getItem(0)))
@@ -174,18 +177,45 @@ def first_page_route(pages: DataFrame, marker: str = "/jobs/") -> DataFrame:
     The routes are arrays of one projection and the first that is not empty is
     exploded: one scan, no shuffle.
     """
-    at = F.transform(hrefs(F.col("html")), lambda h, i: F.struct(i.alias("item_pos"), h.alias("href")))
-    found = pages.select("page_id", "html", at.alias("all"))
+    best = F.coalesce(*[F.when(F.size(r) > 0, F.col(r)) for r in ("r1", "r2", "r3")])
+    return (page_routes(pages, marker).select("page_id", F.explode(best).alias("x"))
+            .select("page_id", "x.route", "x.item_pos", "x.href"))
+
+
+def page_routes(pages: DataFrame, marker: str) -> DataFrame:
+    """Per page the items of its three routes (marked links, other links, the title) as arrays ``r1``, ``r2``, ``r3``."""
+    found = pages.select("page_id", link_hrefs("html").alias("hrefs"), title_text(canonical_markup("html")).alias("title"))
+    at = F.transform("hrefs", lambda h, i: F.struct(i.alias("item_pos"), h.alias("href")))
+    found = found.select("page_id", "title", at.alias("all"))
     marked = F.filter("all", lambda x: x["href"].contains(marker))
     other = F.filter("all", lambda x: ~x["href"].contains(marker))
-    title = F.array(F.struct(F.lit(0).alias("item_pos"), F.regexp_extract("html", TITLE_TAG, 1).alias("href")))
+    title = F.array(F.struct(F.lit(0).alias("item_pos"), F.col("title").alias("href")))
 
     def numbered(items: Column, route: int) -> Column:
         return F.transform(items, lambda x: F.struct(F.lit(route).alias("route"), x["item_pos"].alias("item_pos"), x["href"].alias("href")))
 
-    routes = [numbered(r, k) for k, r in enumerate((marked, other, title), start=1)]
-    best = F.coalesce(*[F.when(F.size(r) > 0, r) for r in routes])
-    return found.select("page_id", F.explode(best).alias("x")).select("page_id", "x.route", "x.item_pos", "x.href")
+    return found.select("page_id", *[numbered(r, k).alias(f"r{k}") for k, r in enumerate((marked, other, title), start=1)])
+
+
+def new_page_route(pages: DataFrame, marker: str = "/jobs/") -> DataFrame:
+    """E7 on pages with a running set: in page order, a page's first route with an item that no earlier page has emitted."""
+    items = (page_routes(pages, marker).select("page_id", F.explode(F.flatten(F.array("r1", "r2", "r3"))).alias("x"))
+             .select(F.lit("run").alias("run"), "page_id", "x.route", "x.item_pos", "x.href"))
+    return dedup.first_new_route(items, page="page_id", url="href").drop("run")
+
+
+def decoded_sql(x: str) -> str:
+    """DuckDB: the references that the driver's pages hold, decoded."""
+    for name, sign in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        x = f"replace({x}, '&{name};', '{sign}')"
+    return x
+
+
+def hrefs_sql(html: str) -> str:
+    """DuckDB: hrefs of links in any quotes, outside comments and scripts."""
+    plain = f"regexp_replace(regexp_replace({html}, '(?s)<!--.*?-->', '', 'g'), '(?is)<(script|style)\\b.*?</(script|style)>', '', 'g')"
+    values = f"""regexp_extract_all({plain}, '(?is)<a\\s(?:[^>]*?\\s)?href\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s>]+)', 1)"""
+    return f"list_transform({values}, lambda v: {decoded_sql('trim(v, chr(34) || chr(39))')})"
 
 
 def catalog() -> dict:
@@ -195,14 +225,14 @@ def catalog() -> dict:
     def pg(spark, sf):
         return A.pages(spark, sf)
 
-    link_sql = ("(SELECT page_id, url, unnest(l) AS href, CAST(unnest(range(len(l))) AS INTEGER) AS item_pos FROM "
-                "(SELECT page_id, url, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS l FROM pages))")
+    list_sql = f"(SELECT page_id, url, {hrefs_sql('html')} AS l FROM pages)"
+    link_sql = f"(SELECT page_id, url, unnest(l) AS href, CAST(unnest(range(len(l))) AS INTEGER) AS item_pos FROM {list_sql})"
     cen = " UNION ALL ".join(
         f"SELECT '{m}' AS pattern, (length(html) - length(replace(html, '{m}', ''))) // {len(m)} AS hits FROM pages"
         for m in CENSUS_MARKERS)
     routes_sql = (f"(SELECT page_id, 1 AS route, item_pos, href FROM {link_sql} WHERE contains(href, '/e')"
                   f" UNION ALL SELECT page_id, 2 AS route, item_pos, href FROM {link_sql} WHERE NOT contains(href, '/e')"
-                  " UNION ALL SELECT page_id, 3 AS route, 0 AS item_pos, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS href FROM pages)")
+                  " UNION ALL SELECT page_id, 3 AS route, 0 AS item_pos, " + decoded_sql("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)") + " AS href FROM pages)")
     return {
         "filter_links": (
             lambda s, sf: filter_links(pg(s, sf), marker="/t", exact_exclude="/the", banned=("search", "employers")),
@@ -221,8 +251,7 @@ def catalog() -> dict:
         "link_harvest": (
             lambda s, sf: link_harvest(pg(s, sf), marker="th", samples=3),
             "SELECT page_id, CAST(len(list_filter(l, lambda h: contains(h, 'th'))) AS INTEGER) AS n_links, "
-            "list_slice(list_filter(l, lambda h: contains(h, 'th')), 1, 3) AS samples FROM "
-            "(SELECT page_id, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS l FROM pages)"),
+            f"list_slice(list_filter(l, lambda h: contains(h, 'th')), 1, 3) AS samples FROM {list_sql}"),
         "detect_ats": (
             lambda s, sf: detect_ats(pg(s, sf)),
             "SELECT page_id, regexp_extract_all(html, '(?i)https?://[^\\s\"<>]*(" + "|".join(ATS_VENDORS)
@@ -242,10 +271,29 @@ def catalog() -> dict:
             "SELECT page_id, url AS job_url, CASE WHEN contains(t, ' at ') AND contains(t, ' - Tech in Asia') THEN trim(split_part(t, ' at ', 1)) "
             "WHEN t <> '' THEN trim(replace(t, ' - Tech in Asia', '')) ELSE 'N/A' END AS job_title, "
             "CASE WHEN contains(t, ' at ') AND contains(t, ' - Tech in Asia') THEN trim(replace(split_part(t, ' at ', 2), ' - Tech in Asia', '')) ELSE 'N/A' END AS company "
-            "FROM (SELECT page_id, url, trim(coalesce(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '')) AS t FROM pages)"),
+            "FROM (SELECT page_id, url, trim(" + decoded_sql("coalesce(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '')") + ") AS t FROM pages)"),
         "first_nonempty_route": (
             lambda s, sf: first_page_route(pg(s, sf), marker="/e"),
             f"SELECT page_id, route, item_pos, href FROM (SELECT *, min(route) OVER (PARTITION BY page_id) AS best FROM {routes_sql}) WHERE route = best"),
+        "first_new_route": (
+            lambda s, sf: new_page_route(pg(s, sf), marker="/e"),
+            "WITH RECURSIVE items AS " + routes_sql + """, l AS (
+              SELECT page_id, row_number() OVER (ORDER BY page_id) AS n, coalesce(list(href ORDER BY item_pos) FILTER (WHERE route = 1), []) AS r1,
+                     coalesce(list(href ORDER BY item_pos) FILTER (WHERE route = 2), []) AS r2, coalesce(list(href ORDER BY item_pos) FILTER (WHERE route = 3), []) AS r3
+              FROM items GROUP BY page_id
+            ), walk AS (
+              SELECT CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS seen, 0 AS route, CAST([] AS VARCHAR[]) AS got
+              UNION ALL
+              SELECT n, list_concat(seen, got), route, got FROM (
+                SELECT n, seen, CASE WHEN len(f1) > 0 THEN 1 WHEN len(f2) > 0 THEN 2 ELSE 3 END AS route,
+                       CASE WHEN len(f1) > 0 THEN f1 WHEN len(f2) > 0 THEN f2 ELSE f3 END AS got
+                FROM (SELECT l.n, seen, list_filter(r1, lambda x: NOT list_contains(seen, x)) AS f1,
+                             list_filter(r2, lambda x: NOT list_contains(seen, x)) AS f2, list_filter(r3, lambda x: NOT list_contains(seen, x)) AS f3
+                      FROM walk JOIN l ON l.n = walk.n + 1))
+            )
+            SELECT l.page_id, i.route, min(i.item_pos) AS item_pos, i.href
+            FROM walk JOIN l USING (n) JOIN items i ON i.page_id = l.page_id AND i.route = walk.route
+            WHERE list_contains(got, i.href) GROUP BY ALL"""),
         "exclude_seen": (
             lambda s, sf: dedup.exclude_seen(links(pg(s, sf)).select("page_id", "item_pos", "href"), key="href",
                                              order=["page_id", "item_pos"]),

@@ -147,4 +147,4 @@ def append_skills(existing: DataFrame, owners: DataFrame, text: str, id_col: str
                   keywords: Sequence[str] = SKILL_KEYWORDS) -> DataFrame:
     """Add the (owner, skill) pairs found in ``owners``; pairs never disappear."""
     found = distinct_pairs(match_keywords(owners, text, keywords, keep=[id_col]), [id_col, "skill_name"])
-    return insert_absent(existing.select(id_col, "skill_name"), found, [id_col, "skill_name"])
+    return insert_absent(existing.select(id_col, "skill_name"), found, [id_col, "skill_name"], owner=id_col)

@@ -7,6 +7,8 @@ Every query reads whole tables; limits appear only where top-k is the feature.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -17,6 +19,9 @@ from ..functions import text as X
 from ..operators import dedup, filters, lifecycle, pages as P, skills
 from ..operators.normalise import catalog as normalise_catalog
 from ..schemas import JOB_VACANCIES, RECORD, SKILL_KEYWORDS
+from ..session import scratch_path
+from ..sources.bucketed import publish_bucketed, read_bucketed
+from ..sources.clustered import publish_clustered, read_clustered
 from ..sources.landing import parse_landing, route_records, union_sources
 from ..sources.snapshot import written
 from . import adapters as A
@@ -29,6 +34,7 @@ SQL: dict = {}
 
 NOW = "2026-04-29 06:00:00"          # the run timestamp used by 'or now' rules
 AS_OF = "2001-08-01 00:00:00"         # end of the sighting history
+BUCKETS = 16
 DOC_WORDS = ["the", "of", "and", "der", "que", "la", "von"]
 
 
@@ -448,17 +454,16 @@ REASON_SQL = """concat_ws(';',
 
 @register("check_constraints", f"""SELECT * FROM (SELECT *, {REASON_SQL.format(more='')} AS reject_reason FROM ({BATCH_SQL}))""")
 def _check(spark, sf):
-    """Accepted rows (no reason) and rejects."""
-    good, bad = lifecycle.check_constraints(_clean_batch(spark, sf), "job_vacancies", check_unique=False)
-    return good.withColumn("reject_reason", F.lit("")).unionByName(bad)
+    """Accepted rows (no reason) and rejects, in one pass."""
+    return lifecycle.constraint_reasons(_clean_batch(spark, sf), "job_vacancies", check_unique=False)
 
 
 @register("check_constraints_unique", f"""SELECT job_url, pos, {REASON_SQL.format(more=", CASE WHEN n > 1 THEN 'duplicate_key' END")} AS reject_reason
 FROM (SELECT *, count(*) OVER (PARTITION BY job_url) AS n FROM {CLS_P})""")
 def _check_unique(spark, sf):
     """The same on postings that were not deduplicated: rows of a repeated url are refused."""
-    good, bad = lifecycle.check_constraints(classified(P_(spark, sf)), "job_vacancies")
-    return good.withColumn("reject_reason", F.lit("")).unionByName(bad).select("job_url", "pos", "reject_reason")
+    checked = lifecycle.constraint_reasons(classified(P_(spark, sf)), "job_vacancies")
+    return checked.select("job_url", "pos", "reject_reason")
 
 
 # ------------------------------------------------------------------ lifecycle
@@ -472,6 +477,23 @@ def _closed_form(spark, sf):
     return lifecycle.replay_closed_form(sightings(spark, sf), AS_OF)
 
 
+# the history is replayed in three spans of days, each merged into the state before it
+SPANS = ["1995-01-01", "1998-06-01"]
+
+
+@register("replay_incremental", f"SELECT * FROM {O.closed_form_sql(CLS_S, AS_OF)}")
+def _replay_incremental(spark, sf):
+    s = sightings(spark, sf)
+    day = F.to_date("seen_at")
+    cuts = [None, *[F.lit(d).cast("date") for d in SPANS], None]
+    state = None
+    for a, b in zip(cuts, cuts[1:]):
+        span = s.filter((F.lit(True) if a is None else day >= a) & (F.lit(True) if b is None else day < b))
+        step = lifecycle.interval_state(span)
+        state = step if state is None else lifecycle.merge_states(state, step)
+    return lifecycle.state_at(state, AS_OF)
+
+
 JOB_OUT = ["job_title", "company_name", "location", "source", "job_url", "salary_avg", "job_category",
            "experience_level", "work_setup", "job_type", "scraped_at", "last_seen", "is_active", "closed_at"]
 # all sightings: those before the cut make the state, the others the batch
@@ -527,6 +549,20 @@ def _upsert(spark, sf):
     return out.select(*JOB_OUT)
 
 
+@register("upsert_jobs_bucketed", _close_sql(_g1_upsert_sql(), G1_END))
+def _upsert_bucketed(spark, sf):
+    """The same on a snapshot published in buckets of its key."""
+    path = scratch_path(spark, f"bucketed-{uuid.uuid4().hex}")
+    state = lifecycle.assign_ids(_g1_state(spark, sf).drop("job_id"), "job_id", 0, order=["job_url"])
+    publish_bucketed(state.select(*lifecycle.JOB_COLS), path, buckets=BUCKETS)
+    current = read_bucketed(spark, path, JOB_VACANCIES, buckets=BUCKETS)
+    win = sightings(spark, sf).filter((F.col("seen_at") >= F.lit(G1_CUT).cast("timestamp_ntz")) &
+                                      (F.col("seen_at") < F.lit(G1_END).cast("timestamp_ntz")))
+    batch = dedup.first_per_key(win, "job_url", ["pos"])
+    out = lifecycle.close_stale(lifecycle.upsert_jobs(current, batch, G1_END), G1_END)
+    return out.select(*JOB_OUT)
+
+
 # a state over all sightings that ran last some days before the run that closes
 AS_OF_STATE, AS_OF_CLOSE = "1998-08-01 00:00:00", "1998-08-06 10:00:00"
 
@@ -544,11 +580,11 @@ def _stale(spark, sf):
     return s.select("pos", "job_url", lifecycle.stale_predicate("seen_at", F.lit(True), "2001-07-15 10:00:00").alias("stale"))
 
 
-@register("assign_ids")
+@register("assign_ids", f"SELECT job_url, pos, row_number() OVER (ORDER BY source, pos) AS job_id FROM (SELECT *, job_board AS source FROM {FIRST_P})")
 def _assign_ids(spark, sf):
-    """G5 (rows-only): compact ids for the distinct posting urls."""
-    first = dedup.dedup_jobs(P_(spark, sf), order=["pos"]).select("job_url", "pos")
-    return lifecycle.assign_ids(first, "job_id", 0, order=["job_url"], compact=True)
+    """Ids of the distinct posting urls in the order of (source, position), as files land by source."""
+    first = dedup.dedup_jobs(P_(spark, sf), order=["pos"]).select("job_url", "pos", "job_board")
+    return lifecycle.assign_ids(first, "job_id", 0, order=["job_board", "pos"], compact=True).select("job_url", "pos", "job_id")
 
 
 # ------------------------------------------------------------------ courses
@@ -716,10 +752,23 @@ for _dim in ("location", "work_setup", "job_category", "source"):
 @register("facet_filter", f"""SELECT * FROM {W_SQL} WHERE location = 'DKI Jakarta' AND work_setup IN ('Hybrid', 'Onsite')
   AND salary_avg >= 1000 AND salary_avg <= 300000 AND scraped_at >= TIMESTAMP '1996-01-01'""")
 def _facet_filter(spark, sf):
-    return I.facet_filter(warehouse_jobs(spark, sf), location="DKI Jakarta", work_setup=["Hybrid", "Onsite"],
+    return facet_lookup(warehouse_jobs(spark, sf))
+
+
+def facet_lookup(jobs):
+    return I.facet_filter(jobs, location="DKI Jakarta", work_setup=["Hybrid", "Onsite"],
                           salary_min=1000, salary_max=300000, scraped_from="1996-01-01")
 
 
+@register("facet_filter_published", f"""SELECT * FROM {W_SQL} WHERE location = 'DKI Jakarta' AND work_setup IN ('Hybrid', 'Onsite')
+  AND salary_avg >= 1000 AND salary_avg <= 300000 AND scraped_at >= TIMESTAMP '1996-01-01'""")
+def _facet_filter_published(spark, sf):
+    """The same lookup on the published snapshot, clustered by its facets: the filters reach the scan."""
+    path = scratch_path(spark, f"clustered-{uuid.uuid4().hex}")
+    publish_clustered(warehouse_jobs(spark, sf), path)
+    return facet_lookup(read_clustered(spark, path))
+
+
 def _detailed(spark, sf):
     """The warehouse rows with a job type by the url's number and a level by the salary."""
     jobs = warehouse_jobs(spark, sf)

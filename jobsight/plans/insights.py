@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.snapshot import written
-
 
 def top_skills(skills: DataFrame, n: int = 10, jobs: DataFrame | None = None,
                active_only: bool = False, id_col: str = "job_id") -> DataFrame:
@@ -43,34 +41,35 @@ def salary_distribution(jobs: DataFrame, width: int = 5_000_000) -> DataFrame:
             .groupBy(band.alias("band_start")).agg(F.count(F.lit(1)).alias("job_count")))
 
 
+#: Rank error of the quantile sketch, as one in this many rows.
+ACCURACY = 10_000
+
+
 def salary_summary(jobs: DataFrame) -> DataFrame:
-    """min, median, mean and max of known salaries (one row).
+    """min, median, mean and max of known salaries (one row), exact and in one lazy plan.
 
-    The median is read off counts per distinct salary: the salaries are ranged
-    over partitions, each partition's count places it, and only the partition
-    that holds a middle rank is looked into.  No task gathers all salaries.
+    A quantile sketch gives two salaries that the middle ranks must lie between
+    (twice its rank error away from the middle on either side).  A second
+    pass counts the rows below and the rows per salary in between, some
+    4 in 10,000 of all, and the running counts of those few meet the middle ranks.
+    If the sketch kept less than it promises, the query fails rather than give another median.
     """
-    counts = written(jobs.filter(F.col("salary_avg") > 0).groupBy(F.col("salary_avg").cast("double").alias("s"))
-                     .agg(F.count(F.lit(1)).alias("c")), "salaries")
-    ranged = written(counts.repartitionByRange("s").withColumn("part", F.spark_partition_id()), "salary-ranges")
-    sizes = ranged.groupBy("part").agg(F.sum("c").alias("size"))  # one row per partition
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sizes.select("part", "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("skip"),
-                          F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"))
+    known = jobs.filter(F.col("salary_avg") > 0).select(F.col("salary_avg").cast("double").alias("s"))
+    sketch = known.agg(F.percentile_approx("s", [0.5 - 2 / ACCURACY, 0.5 + 2 / ACCURACY], ACCURACY).alias("q"))
+    lo, hi = (sketch.select(F.element_at("q", k)).scalar() for k in (1, 2))
+    total = known.agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi"), F.sum("s").alias("sum"),
+                      F.count_if(F.col("s") < lo).alias("below"))
     low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    holds = placed.filter(((low > F.col("skip")) & (low <= F.col("skip") + F.col("size")))
-                          | ((high > F.col("skip")) & (high <= F.col("skip") + F.col("size"))))
-    inside = ranged.join(holds, "part").withColumn(
-        "upto", F.col("skip") + F.sum("c").over(Window.partitionBy("part").orderBy("s")))
-    middle = inside.agg(F.min(F.when(F.col("upto") >= low, F.col("s"))).alias("a"),
-                        F.min(F.when(F.col("upto") >= high, F.col("s"))).alias("b"))
-    total = counts.agg(F.sum("c").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi"), F.sum(F.col("s") * F.col("c")).alias("sum"))
+    inside = known.filter((F.col("s") >= lo) & (F.col("s") <= hi)).groupBy("s").agg(F.count(F.lit(1)).alias("c"))
+    n, below = total.select("n").scalar(), total.select("below").scalar()
+    upto = inside.select("s", (F.sum("c").over(Window.orderBy("s")) + below).alias("upto"), n.alias("n"))
+    middle = upto.agg(F.min(F.when(F.col("upto") >= low, F.col("s"))).alias("a"), F.min(F.when(F.col("upto") >= high, F.col("s"))).alias("b"))
+    a, b = middle.select("a").scalar(), middle.select("b").scalar()
+    held = (F.col("n") == 0) | ((F.col("below") < low) & b.isNotNull())
     return total.select(
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-        F.round("lo", 2).alias("min_salary"),
-        F.round((middle.select("a").scalar() + middle.select("b").scalar()) / 2, 2).alias("median_salary"),
-        F.round(F.col("sum") / F.col("n"), 2).alias("mean_salary"),
-        F.round("hi", 2).alias("max_salary"))
+        F.col("n").cast("bigint").alias("n"), F.round("lo", 2).alias("min_salary"),
+        F.when(held, F.round((a + b) / 2, 2)).otherwise(F.raise_error(F.lit("the sketch does not hold the median")).cast("double")).alias("median_salary"),
+        F.round(F.col("sum") / F.col("n"), 2).alias("mean_salary"), F.round("hi", 2).alias("max_salary"))
 
 
 def skills_gap(job_skills: DataFrame, course_skills: DataFrame) -> DataFrame:

@@ -118,7 +118,7 @@ def load_lines(spark: SparkSession, lines: DataFrame, root: str, as_of: str, run
     batch = written(batch, "batch")  # read twice: for the postings and for their skills
     good, rejects = check_constraints(batch, "job_vacancies", check_unique=False, strict=strict)  # F1 made the key unique
     current = read_snapshot(spark, root, "job_vacancies")
-    jobs = close_stale(upsert_jobs(current, good, as_of), as_of, days)
+    jobs = close_stale(upsert_jobs(current, good, as_of, id_order=ORDER), as_of, days)
 
     # titles are unique (F2), urls need not be: G3 keeps the first of each
     courses_batch = clean_course_batch(courses_raw)

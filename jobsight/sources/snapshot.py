@@ -41,29 +41,26 @@ def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
         return None
 
 
+def _entries(manifest: DataFrame) -> dict:
+    """The table -> path map of the latest run among the manifest's rows, plus its metadata."""
+    latest = manifest.agg(F.max("seq").alias("seq")).first()["seq"]
+    if latest is None:
+        return {}
+    rows = manifest.filter(F.col("seq") == latest).collect()  # one row per table (four)
+    return {r["table"]: r["path"] for r in rows} | {
+        "_seq": latest, "_run_id": rows[0]["run_id"], "_batch_id": rows[0]["batch_id"]}
+
+
 def current_manifest(spark: SparkSession, root: str) -> dict:
     """The table -> path map of the latest committed run, plus its metadata."""
     m = _manifest(spark, root)
-    if m is None:
-        return {}
-    latest = m.agg(F.max("seq").alias("seq")).collect()  # one row
-    if not latest or latest[0]["seq"] is None:
-        return {}
-    seq = latest[0]["seq"]
-    rows = m.filter(F.col("seq") == seq).collect()  # one row per table (four)
-    out = {r["table"]: r["path"] for r in rows}
-    out["_seq"] = seq
-    out["_run_id"] = rows[0]["run_id"] if rows else None
-    out["_batch_id"] = rows[0]["batch_id"] if rows else None
-    return out
+    return {} if m is None else _entries(m)
 
 
 def committed(spark: SparkSession, root: str, run_id: str) -> dict:
-    """The current manifest if ``run_id`` has been committed, else an empty one."""
+    """The manifest that ``run_id`` committed, empty if it has not."""
     m = _manifest(spark, root)
-    if m is None or m.filter(F.col("run_id") == run_id).isEmpty():
-        return {}
-    return current_manifest(spark, root)
+    return {} if m is None else _entries(m.filter(F.col("run_id") == run_id))
 
 
 def read_snapshot(spark: SparkSession, root: str, table: str,
@@ -116,8 +113,3 @@ def publish_all(spark: SparkSession, root: str, tables: dict[str, DataFrame], ru
     man.coalesce(1).write.mode("error").json(f"{root}/_manifest/seq={seq}")
     return current_manifest(spark, root)
 
-
-def last_batch_id(spark: SparkSession, root: str) -> int | None:
-    """Highest batch id committed so far (batch loads in between store none)."""
-    m = _manifest(spark, root)
-    return None if m is None else m.agg(F.max("batch_id")).first()[0]

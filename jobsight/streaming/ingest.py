@@ -2,9 +2,10 @@
 
 Each micro-batch of new ``*.jl`` lines is folded into the warehouse by the
 same load as the batch job (``foreachBatch``).  The stream's checkpoint
-tracks which files were consumed; the manifest stores the last committed
-batch id, so a micro-batch replayed after a failure is skipped instead of
-being applied twice.  ``trigger(availableNow=True)`` turns a daily schedule
+tracks which files were consumed.  A micro-batch's run id is made of the
+stream's own id, which is new with every checkpoint folder, and the batch id: a
+micro-batch replayed after a failure is not applied twice, and the batches
+of a new checkpoint, whose ids start at 0 again, are not taken for old ones.  ``trigger(availableNow=True)`` turns a daily schedule
 into "process everything new, then stop".
 
 The file source never reads a path twice.  A crawler must therefore land each
@@ -14,6 +15,7 @@ name is not seen, and its postings would close as stale.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +23,6 @@ from pyspark.sql import functions as F
 
 from ..plans.load import load_lines
 from ..schemas import SKILL_KEYWORDS
-from ..sources.snapshot import last_batch_id
 
 
 def landing_stream(spark: SparkSession, landing_path: str, pattern: str = "*.jl",
@@ -37,17 +38,21 @@ def landing_stream(spark: SparkSession, landing_path: str, pattern: str = "*.jl"
     )
 
 
-def fold_batch(root: str, keywords: Sequence[str] = SKILL_KEYWORDS, days: int = 3):
+def stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """The id that Spark gave the stream when it made the checkpoint folder."""
+    text = spark.read.text(checkpoint_location.rstrip("/") + "/metadata").first()["value"]
+    return json.loads(text)["id"]
+
+
+def fold_batch(root: str, checkpoint_location: str, keywords: Sequence[str] = SKILL_KEYWORDS, days: int = 3):
     """``foreachBatch`` function: one load per micro-batch, run time = now (UTC)."""
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = last_batch_id(spark, root)
-        if done is not None and batch_id <= done:
-            return  # already committed before a restart
         as_of = spark.sql("SELECT date_format(localtimestamp(), 'yyyy-MM-dd HH:mm:ss') AS t").first()["t"]
         # line positions are assigned per micro-batch (a static DataFrame here)
         lines = batch.withColumn("pos", F.monotonically_increasing_id())
-        load_lines(spark, lines, root, as_of, f"b{batch_id:09d}", keywords, days=days, batch_id=batch_id)
+        run_id = f"{stream_id(spark, checkpoint_location)}-b{batch_id:09d}"
+        load_lines(spark, lines, root, as_of, run_id, keywords, days=days, batch_id=batch_id)
     return fold
 
 
@@ -55,7 +60,7 @@ def start(spark: SparkSession, landing_path: str, root: str, checkpoint_location
           available_now: bool = True, keywords: Sequence[str] = SKILL_KEYWORDS):
     """Start the ingestion query; returns the ``StreamingQuery``."""
     writer = (landing_stream(spark, landing_path).writeStream
-              .foreachBatch(fold_batch(root, keywords))
+              .foreachBatch(fold_batch(root, checkpoint_location, keywords))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 day")
     return writer.start()

@@ -24,3 +24,15 @@ def test_available_now_stream(spark, tmp_path):
     q2 = start(spark, str(land), root, str(tmp_path / "ckpt"))   # nothing new: no new version
     q2.awaitTermination(300)
     assert current_manifest(spark, root)["_seq"] == seq
+
+
+def test_new_checkpoint_does_not_skip(spark, tmp_path):
+    """The batches of a second stream count from 0 again and are loaded all the same."""
+    root = str(tmp_path / "wh")
+    bootstrap(spark, root)
+    for n in (1, 2):
+        land = tmp_path / f"landing{n}"
+        land.mkdir()
+        (land / "a_output.jl").write_text(json.dumps({"job_title": f"T{n}", "job_url": f"s{n}", "base_salary": "1"}) + "\n")
+        start(spark, str(land), root, str(tmp_path / f"ckpt{n}")).awaitTermination(300)
+    assert sorted(r.job_url for r in read_snapshot(spark, root, "job_vacancies").collect()) == ["s1", "s2"]

@@ -205,8 +205,8 @@ def cards_by_cascade(pages: DataFrame, routes: Sequence[str]) -> DataFrame:
     parts = [F.slice(F.split(page, "(?=" + r + ")"), 2, 1 << 30) for r in routes]
     hits = [F.when(F.col("html").rlike(r), a) for r, a in zip(routes, parts)]
     chosen = F.coalesce(*hits, F.array().cast("array<string>"))
-    cards = pages.select("page_id", F.posexplode(chosen).alias("item_pos", "card"))
-    return cards.select("page_id", "item_pos", own_element(F.col("card")).alias("card"))
+    # cut to their own tag inside the array: a filter behind the explode cannot repeat that work
+    return pages.select("page_id", F.posexplode(F.transform(chosen, own_element)).alias("item_pos", "card"))
 
 
 #: Elements that cards are.
@@ -221,14 +221,22 @@ def own_element(markup: Column) -> Column:
     """
     pieces = F.coalesce(*[F.when(markup.rlike(f"^<{tag}[ >]"), F.split(markup, f"(?=</?{tag}[ >])")) for tag in CARD_TAGS], F.array(markup))
     step = lambda p: F.when(p.startswith("</"), -1).when(p.startswith("<"), 1).otherwise(0)
-    ended = F.aggregate(
-        pieces, F.struct(F.lit(0).alias("open"), F.lit(0).alias("seen"), F.lit(0).alias("end")),
-        lambda a, p: F.struct((a["open"] + step(p)).alias("open"), (a["seen"] + 1).alias("seen"),
-                              F.when((a["end"] == 0) & (a["open"] + step(p) == 0), a["seen"] + 1).otherwise(a["end"]).alias("end")),
-        lambda a: a["end"])
-    whole = F.concat(F.array_join(F.slice(pieces, 1, ended - 1), ""),
-                     F.regexp_extract(F.element_at(pieces, ended), r"^</[^>]*>?", 0))
-    return F.when(ended > 0, whole).otherwise(markup)
+
+    def cut(pieces: Column, ended: Column) -> Column:
+        whole = F.concat(F.array_join(F.slice(pieces, 1, ended - 1), ""),
+                         F.regexp_extract(F.element_at(pieces, ended), r"^</[^>]*>?", 0))
+        return F.when(ended > 0, whole).otherwise(markup)
+
+    def ends(pieces: Column) -> Column:
+        return F.aggregate(
+            pieces, F.struct(F.lit(0).alias("open"), F.lit(0).alias("seen"), F.lit(0).alias("end")),
+            lambda a, p: F.struct((a["open"] + step(p)).alias("open"), (a["seen"] + 1).alias("seen"),
+                                  F.when((a["end"] == 0) & (a["open"] + step(p) == 0), a["seen"] + 1).otherwise(a["end"]).alias("end")),
+            lambda a: a["end"])
+
+    # one-element arrays stand for local names, so that the pieces and their end are computed once
+    placed = F.transform(F.array(pieces), lambda x: F.struct(x.alias("pieces"), ends(x).alias("ended")))
+    return F.element_at(F.transform(placed, lambda x: cut(x["pieces"], x["ended"])), 1)
 
 
 # Selector cascades of the two career pages, as regexes for card starts and
@@ -263,12 +271,14 @@ def normalise_vidio_cards(pages: DataFrame, now: Column, base: str = "https://ww
     cards = cards_by_cascade(pages, VIDIO_ROUTES)
     c = F.col("card")
     title = F.coalesce(_first_text(c, VIDIO_TITLE), _first_text(c, [ANY_TEXT]), F.lit("N/A"))
-    dept = F.coalesce(_first_text(c, VIDIO_DEPARTMENT), F.lit("N/A"))
     href = _text(c, HREF)
     url = F.when(href.startswith("http"), href).when(href != "", F.concat(F.lit(base), href)).otherwise(F.lit(""))
-    cards = cards.withColumn("_t", title).withColumn("_u", url).filter((F.col("_u") != "") & (F.col("_t") != "N/A"))
+    cards = cards.withColumns({"_t": title, "_u": url, "_dept": F.coalesce(_first_text(c, VIDIO_DEPARTMENT), F.lit("N/A")),
+                               "_loc": F.coalesce(_first_text(c, VIDIO_LOCATION), F.lit("Indonesia"))})
+    cards = cards.filter((F.col("_u") != "") & (F.col("_t") != "N/A"))
+    dept = F.col("_dept")
     rec = job_record(
-        now, job_title=_sanitize(F.col("_t")), job_location=_sanitize(F.coalesce(_first_text(c, VIDIO_LOCATION), F.lit("Indonesia"))),
+        now, job_title=_sanitize(F.col("_t")), job_location=_sanitize(F.col("_loc")),
         job_department=_sanitize(dept), job_url=F.col("_u"), job_type=F.lit("Full-time"), company=F.lit("Vidio"),
         company_url=F.lit(base), job_board=F.lit("Vidio Careers"), work_arrangement=F.lit("On-site"),
         desc=F.concat_ws(" ", F.col("_t"), dept))
@@ -280,17 +290,20 @@ def normalise_trakstar_cards(pages: DataFrame, now: Column, base: str = "https:/
     cards = cards_by_cascade(pages, TRAKSTAR_ROUTES)
     c = F.col("card")
     title = F.coalesce(_first_text(c, TRAKSTAR_TITLE), _first_text(c, [ANY_TEXT]), F.lit("N/A"))
-    dept = F.coalesce(_first_text(c, TRAKSTAR_DEPARTMENT), F.lit("N/A"))
-    jtype = F.coalesce(_first_text(c, TRAKSTAR_TYPE), F.lit("Full-time"))
     href = _text(c, r'<a(?: [^>]*?)? href="([^"]*)"')
     url = F.when(href.startswith("http"), href).when(href != "", F.concat(F.lit(base), href)).otherwise(F.lit(""))
-    cards = cards.withColumn("_u", url).filter(F.col("_u") != "")
+    cards = cards.withColumns({
+        "_u": url, "_t": title, "_dept": F.coalesce(_first_text(c, TRAKSTAR_DEPARTMENT), F.lit("N/A")),
+        "_type": F.coalesce(_first_text(c, TRAKSTAR_TYPE), F.lit("Full-time")),
+        "_loc": F.coalesce(_first_text(c, TRAKSTAR_LOCATION), F.lit("Indonesia")),
+        "_setup": F.coalesce(_first_text(c, TRAKSTAR_SETUP), F.lit("On-site"))}).filter(F.col("_u") != "")
+    title, dept, jtype = F.col("_t"), F.col("_dept"), F.col("_type")
     san = lambda x: F.coalesce(F.nullif(_sanitize(x), F.lit("")), F.lit("N/A"))
     rec = job_record(
-        now, job_title=san(title), job_location=san(F.coalesce(_first_text(c, TRAKSTAR_LOCATION), F.lit("Indonesia"))),
+        now, job_title=san(title), job_location=san(F.col("_loc")),
         job_department=san(dept), job_url=F.col("_u"), job_type=san(jtype), company=F.lit("Mekari"),
         job_board=F.lit("Mekari Careers"),
-        work_arrangement=san(F.coalesce(_first_text(c, TRAKSTAR_SETUP), F.lit("On-site"))),
+        work_arrangement=san(F.col("_setup")),
         desc=F.concat_ws(" ", title, dept, jtype))
     return emit(cards, {"source": F.lit("mekari"), "seq": F.col("page_id"), "item_pos": F.col("item_pos")}, rec)
 

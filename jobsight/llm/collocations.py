@@ -10,7 +10,7 @@ sorted coordinates.  Pairs that are frequent enough are ranked in their turn, an
 step counts longer phrases until the longest are reached.  A phrase can only be
 frequent if both phrases of one word less in it are.
 
-Texts are read in blocks of about a million words of one language.  A block's
+Texts are read in blocks of about half a million words of one language.  A block's
 distinct words, and its distinct pairs, cross a shuffle once per block, so the
 most common word weighs no more than any other.  Dense tiles are summed in two
 steps (groups of blocks, then all), so no task reads a tile's cells from every block.
@@ -39,12 +39,12 @@ _EDGE = re.compile(rb"[\t\n\x0b\x0c\r .,;:!?]")
 #: A text is cut at a blank or break after this many bytes, to bound the word objects at hand.
 PIECE = 1 << 20
 #: A block ends with the document that brings it to this many words.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 TILE, DENSE_TILES = 256, 64
 #: Pairs of words that a bundle of sparse tiles is meant to see.
-BUNDLE = 1 << 21
-#: Entries of a bundle that are held before they are summed.
-HELD = 1 << 22
+BUNDLE = 1 << 19
+#: New entries of a bundle that are held before they are summed.
+HELD = 1 << 19
 LOW = U((1 << 32) - 1)
 #: Exact, in decimals of 38 digits.
 SCORE = ("(1000000 * cast(a as decimal(16,0)) * cast(a as decimal(15,0))) div "
@@ -111,7 +111,7 @@ def word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(numbers) - 2
         held = np.bincount(ids[ids >= 0], minlength=n)
         words = [w.decode() for w in list(numbers)[2:]]
-        return next(number), lang, words, held, pack(ids)
+        return next(number), lang, words, held, pack(narrow(ids))
 
     def rows() -> Iterator[tuple]:
         open_blocks: dict[str, tuple[Numbers, list[np.ndarray]]] = {}
@@ -128,23 +128,37 @@ def word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     sizes.pop(name)
         for name, (numbers, parts) in open_blocks.items():
             yield block(name, numbers, parts)
-    yield from emitted(rows(), WORD_BLOCKS)
+    for row in rows():
+        yield from emitted(iter([row]), WORD_BLOCKS)
 
 
 def coded_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """block, lang, payload, places and ids of its frequent words -> blocks as ids, -1 for breaks and other words."""
+    """Rows sorted by (block, kind): places and ids of a block's frequent words (kind 0), then the block.
+
+    Gives blocks as ids, -1 for breaks and other words; blocks without a frequent word vanish.
+    """
     def rows() -> Iterator[tuple]:
+        at, known = None, []
         for batch in batches:
-            for i in range(batch.num_rows):
-                ids, = unpack(batch.column(2)[i].as_buffer())
-                pairs = batch.column(3)[i].values
-                place, rank = (pairs.field(k).to_numpy() for k in (0, 1))
-                to = np.full(max(int(ids.max(initial=0)), int(place.max(initial=0))) + 2, -1, np.int64)
-                to[place] = rank
-                to[-1] = -1  # what a break, numbered -1, becomes
-                ids = narrow(unbroken(to[ids])[0])
-                yield batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), pack(ids, ids)
-    yield from emitted(rows(), CODED_SCHEMA)
+            block, kind, place, rank = (batch.column(k).to_numpy() for k in range(4))
+            cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
+            for part in np.split(np.arange(len(block)), cuts):
+                if not len(part):
+                    continue
+                i = int(part[0])
+                if block[i] != at:
+                    at, known = int(block[i]), []
+                if not kind[i]:
+                    known.append((place[part], rank[part]))
+                elif known:
+                    ids, = unpack(batch.column(5)[i].as_buffer())
+                    places, ranks = (np.concatenate(x) for x in zip(*known))
+                    to = np.full(int(ids.max(initial=0)) + 2, -1, np.int64)
+                    to[places] = ranks
+                    to[-1] = -1  # what a break, numbered -1, becomes
+                    ids = narrow(unbroken(to[ids])[0])
+                    yield at, batch.column(4)[i].as_py(), pack(ids, ids)
+    yield from emitted(rows(), CODED_SCHEMA, 4 << 20)
 
 
 def cells(ids: np.ndarray, current: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,7 +237,7 @@ def frequent_cells(least: int):
                 for *_, payload in parts:
                     held.append(unpack(payload))
                     size += len(held[-1][0])
-                    if size > HELD:
+                    if size > HELD + 2 * len(held[0][0]):
                         held = [summed(held)]
                         size = len(held[0][0])
                 codes, a = summed(held)
@@ -363,9 +377,12 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     totals = written(words.groupBy("lang").agg(F.sum("held").alias("n")), "word-totals")
     counts = words.groupBy("lang", "phrase").agg(F.sum("held").alias("f")).filter(F.col("f") >= least)
     vocabulary = ranked(counts, "vocabulary", F.desc("f"), F.col("phrase"))
-    known = (words.join(vocabulary, ["lang", "phrase"]).groupBy("block")
-             .agg(F.collect_list(F.struct("place", F.col("id").alias("rank"))).alias("known")))
-    coded = written(blocks.select("block", "lang", "payload").join(known, "block").mapInArrow(coded_blocks, CODED), "coded1")
+    known = words.join(vocabulary, ["lang", "phrase"]).select(
+        F.col("block").alias("key"), F.lit(0).alias("kind"), F.col("place").cast("long").alias("place"), F.col("id").alias("rank"),
+        F.lit("").alias("lang"), F.lit(b"").alias("payload"))
+    whole = blocks.select(F.col("block").alias("key"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("place"), F.lit(0).cast("long").alias("rank"),
+                          "lang", "payload")
+    coded = written(gathered(known.unionByName(whole), coded_blocks, CODED, "kind"), "coded1")
     n_blocks, n_words = coded.count(), totals.agg(F.sum("n")).first()[0] or 0
     discard(blocks)
     salts = max(1, round(n_blocks ** 0.5))

@@ -1,7 +1,8 @@
 """Main text of web pages by tag-path ratios.
 
 A page becomes its text nodes in page order, each with the path of block
-elements from the root.  Per path, text length and punctuation per node are
+elements from the root; a step is the tag with, for elements that hold others, its
+classes, so that columns side by side are paths of their own.  Per path, text length and punctuation per node are
 aggregated; the two ratios are smoothed along the page, so that a heading next
 to paragraphs shares their weight, and fused, less the share of link text.  The
 paths above a threshold are content, taken apart for article and main elements and
@@ -16,8 +17,11 @@ or role) do not enter the ratios.  Forms, and elements marked by a word of class
 id, do, at a lower score: a class that names nothing else (ad, share-buttons) weighs
 more than one that has such a word among others (has-sidebar, notice-period), and an
 article or main element is marked only by elements around it that hold other texts
-(comments, related).  Within a region, forms and elements of the former kind are left
-out unless they hold content.
+(comments, related).  Elements of the former kind are no content at all while a sentence
+stands outside them, and small blocks outside articles that speak of cookies or consent
+never are.  Within a region, forms and elements of the former kind are left
+out unless they hold content.  A headline (h1) in front of a region, and what
+short texts stand between the two, belong to it.
 """
 
 from __future__ import annotations
@@ -64,6 +68,12 @@ ADVERT = re.compile(rf"(?:^|\s)(?:{ADVERTS})(?:$|\s)", re.I)
 OTHERS = re.compile(rf"(?:^|[\s_-])(?:{ADVERTS}|sidebar|related|recommended|recommendations|comments?|replies|reply|disqus)(?:$|[\s_-])", re.I)
 # Elements that a word of class or id other than of adverts never takes out.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote tr td th".split())
+# Of prose elements, those whose class is only words like these are calls to the reader.
+CALLS = re.compile(r"(?:^|\s)(?:(?:newsletter|subscribe|signup|share|sharing|social|cookies?|consent|gdpr|login)(?:$|[\s_-]+(?=\S)))+$", re.I)
+# Words of notices, in blocks of at most NOTICE_NODES nodes outside articles.
+NOTICE = re.compile(r"\b(?:cookies?|consent|gdpr|dsgvo|rgpd)\b", re.I)
+NOTICE_NODES = 3
+SENTENCE = re.compile(r"\w[.!?…。！？][\"'»”)]*(?:\s|$)")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 #: Weight of neighbouring nodes, by distance, when ratios are smoothed.
 SMOOTH = [math.exp(-d * d / 2) for d in range(4)]
@@ -71,8 +81,9 @@ SMOOTH = [math.exp(-d * d / 2) for d in range(4)]
 THRESHOLD = 0.25
 #: Nodes with a larger share of link text choose no region; within a region they are text like others.
 MOST_LINK = 0.5
-#: Factor of a path's score by its mark: none, a word among others, a form or nothing but such words, those of ``OTHERS``.
-MARKED = (1.0, 0.5, 0.1, 0.02)
+#: Factor of a path's score by its mark: none, a word among others, a form, nothing but such words, those of ``OTHERS``.
+MARKED = (1.0, 0.5, 0.1, 0.1, 0.02)
+FORM, ONLY = 2, 3
 
 
 @dataclass
@@ -110,9 +121,9 @@ def mark_of(tag: str, words: str) -> int:
     """Place in ``MARKED`` by the words of an element's class and id."""
     if tag == "body" or not MARKS.search(words):
         return 0
-    if not (NOTHING_ELSE.search(words) if tag not in PROSE else ADVERT.search(words)):
+    if not (NOTHING_ELSE.search(words) if tag not in PROSE else ADVERT.search(words) or CALLS.search(words.strip())):
         return 1
-    return 3 if OTHERS.search(words) else 2
+    return ONLY + 1 if OTHERS.search(words) else ONLY
 
 
 def parse(page: str) -> tuple[list[Node], list[Element]]:
@@ -120,7 +131,7 @@ def parse(page: str) -> tuple[list[Node], list[Element]]:
     root = Element("", 0, 0, 0, False, 0, 0, 0, 0)
     elements, stack = [root], [root]
     opened: Counter = Counter()
-    paths: dict[tuple[int, str, bool, int], int] = {}
+    paths: dict[tuple, int] = {}
     nodes: list[Node] = []
     runs: list[str] = []
     link = links = 0
@@ -188,11 +199,12 @@ def parse(page: str) -> tuple[list[Node], list[Element]]:
         main = tag in ("article", "main") or role in ("main", "article")
         never = (tag in NEVER or (tag == "header" and not top.main) or role in ROLES or "hidden" in given
                  or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", ""))
-        mark = 2 if tag == "form" else mark_of(tag, f"{given.get('class', '')} {given.get('id', '')}") if given and not main else 0
-        number, all_marks = len(elements), max(mark, 0 if main and top.mark < 3 else top.mark)
-        element = Element(tag, number, top.number, paths.setdefault((top.path, tag, main, all_marks), len(paths) + 1),
+        mark = FORM if tag == "form" else mark_of(tag, f"{given.get('class', '')} {given.get('id', '')}") if given and not main else 0
+        number, all_marks = len(elements), max(mark, 0 if main and top.mark <= ONLY else top.mark)
+        classes = " ".join(given.get("class", "").split()) if given and tag not in PROSE else ""
+        element = Element(tag, number, top.number, paths.setdefault((top.path, tag, classes, main, all_marks), len(paths) + 1),
                           never or top.never, number if main else top.main, top.outer or main * number, all_marks,
-                          number if mark > 1 else top.left_out)
+                          number if mark >= FORM else top.left_out)
         elements.append(element)
         stack.append(element)
         opened[tag] += 1
@@ -246,26 +258,58 @@ def regions(content: list[Node], elements: list[Element]) -> dict[int, Element]:
     return {k: around(groups[k], elements) for k in taken}
 
 
+def notices(nodes: list[Node], elements: list[Element]) -> set[int]:
+    """Places of the nodes of small blocks outside articles that speak of cookies or consent."""
+    out: set[int] = set()
+    numbers = [n.element for n in nodes]
+    for n in nodes:
+        if not n.outer and NOTICE.search(n.text):
+            block = elements[n.element]
+            while block.tag in PROSE or block.tag in PARTS:
+                block = elements[block.parent]
+            if block.number and block.tag != "body":
+                held = [i for i, e in enumerate(numbers) if block.number <= e <= block.last]
+                if len(held) <= NOTICE_NODES < len(nodes):
+                    out.update(held)
+    return out
+
+
+def headed(nodes: list[Node], elements: list[Element], first: int, size: int) -> list[int]:
+    """The places from the last headline in front of place ``first`` up to it, if the texts between are short and unmarked."""
+    for i in range(first - 1, -1, -1):
+        if elements[nodes[i].element].tag == "h1":
+            between = [j for j in range(i, first) if nodes[j].mark <= 1 and nodes[j].link <= MOST_LINK * len(nodes[j].text)]
+            return between if i in between and sum(len(nodes[j].text) for j in between[1:]) <= THRESHOLD * size else []
+    return []
+
+
 def main_text(page: str | None) -> str:
     """The main text; empty for null, for an empty page and for one without content."""
     nodes, elements = parse(page or "")
+    gone = notices(nodes, elements)
+    nodes = [n for i, n in enumerate(nodes) if i not in gone]
     if not nodes:
         return ""
     score = scores(nodes)
     best = [max((score[n.path] for n in nodes if bool(n.outer) == inside), default=0.0) for inside in (False, True)]
     content = [n for n in nodes if score[n.path] >= THRESHOLD * best[n.outer > 0] and n.link <= MOST_LINK * len(n.text)]
+    plain = [n for n in nodes if n.mark < FORM and n.link <= MOST_LINK * len(n.text)]
+    if any(SENTENCE.search(n.text) for n in plain):
+        content = [n for n in content if n.mark < ONLY] or plain
     taken = regions(content, elements)
     holding = {n.left_out for n in content if n.outer in taken}
     found = sorted(taken.values(), key=lambda e: e.number)
     out, at, first, last = [], 0, 0, -1  # first and last element of the region begun that reaches farthest
-    for n in nodes:
+    for i, n in enumerate(nodes):
         while at < len(found) and found[at].number <= n.element:
             if found[at].last > last:
                 first, last = found[at].number, found[at].last
             at += 1
         if n.element <= last and (n.left_out <= first or n.left_out in holding):
-            out.append(n.text)
-    return " ".join(out)
+            out.append(i)
+    if out and not any(elements[nodes[i].element].tag == "h1" for i in out):
+        out = headed(nodes, elements, out[0], sum(len(nodes[i].text) for i in out)) + out
+    return " ".join(nodes[i].text for i in out)
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

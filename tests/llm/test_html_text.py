@@ -128,3 +128,32 @@ def test_frames(spark):
     got = sorted(map(str, (tuple(r) for r in extract_pages(pages).collect())))
     assert got == sorted(map(str, [(1, None, "", 0), (1, None, "", 0), (None, "u", PARA, len(PARA)), (3, "v", "", 0)]))
     assert extract_pages(pages.limit(0)).collect() == []
+
+
+BODY = "".join(f"<p>{PARA}</p>" for _ in range(3))
+
+
+def test_headline_beside_the_body():
+    page = f"<body><div class=top><a href=/>Home</a></div><div><h1>Head</h1><div class=meta>By A</div><div class=body>{BODY}</div></div></body>"
+    assert main_text(page) == " ".join(["Head", "By A", *[PARA] * 3])
+
+
+def test_column_beside_the_story_has_a_path_of_its_own():
+    side = "<div class=col2><p><a href=/a>One</a></p><p><a href=/b>Two</a></p><p>About us.</p></div>"
+    assert main_text(f"<body><div class=row><div class=col>{BODY}</div>{side}</div></body>") == " ".join([PARA] * 3)
+
+
+def test_short_story_beside_a_long_footer():
+    legal = "All rights reserved, of course. No part may be copied, sold or lent. " * 6
+    assert main_text(f"<body><div id=content><h1>Hi</h1><p>Short text.</p></div><div class=footer>{legal}</div></body>") == "Hi Short text."
+
+
+def test_notices_and_calls():
+    bar = "<div id=cb-77>We use cookies, and so do our partners. Accept them all, or choose.<button>OK</button></div>"
+    call = "<p class=newsletter>Sign up for our letter, free of charge.</p>"
+    assert main_text(f"<body>{bar}<div class=entry>{BODY}</div></body>") == " ".join([PARA] * 3)
+    assert main_text(f"<body><article><h1>T</h1>{BODY}{call}</article></body>") == " ".join(["T", *[PARA] * 3])
+    about = "".join(f"<p>Cookies are small files, {PARA}</p>" for _ in range(5))
+    assert main_text(f"<body><div class=entry>{about}</div></body>").count("Cookies") == 5
+    kept = f"<article><h1>T</h1>{BODY}<p class=notice-period>A month, as agreed.</p></article>"
+    assert main_text(kept).endswith("A month, as agreed.")

@@ -138,10 +138,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = f"""
-WITH d AS (
-  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
-  FROM documents
+WITH copies AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, name, row_number() OVER (PARTITION BY name) - 1 AS nth
+  FROM (SELECT *, substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS name FROM documents)
+), d AS (
+  SELECT doc_id, n_bytes, CAST('0x' || CASE WHEN nth = 0 THEN name ELSE substr(md5(name || ':' || nth), 1, 15) END AS BIGINT) AS h FROM copies
 ), sums AS (
   SELECT depth, h >> (60 - depth) AS p, sum(n_bytes) AS whole
   FROM (SELECT h, n_bytes, unnest(range(0, 41)) AS depth FROM d WHERE n_bytes <= {SHARD_BYTES}) GROUP BY ALL

@@ -6,16 +6,21 @@ buckets do, until every shard fits.  Since the buckets over a row are nested,
 its shard is the first of them that fits.  Sizes are summed once per round at
 some bits beyond the expected depth and rolled up from there; rows are read
 again only for buckets that need still more bits.
+
+Rows that repeat id and text are told apart by an occurrence number, which is
+hashed with them, so that no number of copies makes a bucket that cannot split.
+Copies are numbered inside their partitions, and the counts of the partitions
+before are added; only hashes that repeat take part.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobsight.llm.store import written
+from jobsight.llm.store import discard, written
 
 HASH_BITS = 60
 #: Bytes of text in a shard, at most.
@@ -24,12 +29,35 @@ SHARD_BYTES = 1 << 20
 SPARE_BITS = 4
 
 
+def bits_of(name: Column) -> Column:
+    """``HASH_BITS`` bits of a hash."""
+    return F.conv(F.substring(F.md5(name), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def hex_of(h: str) -> Column:
+    return F.lpad(F.lower(F.hex(h)), HASH_BITS // 4, "0")
+
+
 def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n_bytes, h``: 60 bits of a hash of id and text."""
+    """``docs`` with ``__row`` (its place), ``__n`` (bytes of text) and ``__h`` (a hash of id and text)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     name = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text)
-    return docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
-                       F.conv(F.substring(F.md5(name), 1, HASH_BITS // 4), 16, 10).cast("long").alias("h"))
+    return docs.select("*", F.monotonically_increasing_id().alias("__row"), F.octet_length(text).cast("long").alias("__n"), bits_of(name).alias("__h"))
+
+
+def told_apart(rows: DataFrame) -> DataFrame:
+    """``row, n_bytes, h`` (written) with other hashes for the second and further rows of one hash."""
+    again = rows.groupBy("h").agg(F.count("*").alias("copies")).filter("copies > 1").select("h")
+    part = F.shiftright("row", 33)
+    copies = rows.join(again, "h", "left_semi").withColumn("part", part)
+    counts = copies.groupBy("h", "part").agg(F.count("*").alias("held"))
+    before = F.coalesce(F.sum("held").over(Window.partitionBy("h").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at = F.row_number().over(Window.partitionBy("h", "part").orderBy("row"))
+    numbered = copies.withColumn("at", at).join(counts.select("h", "part", before.alias("before")), ["h", "part"])
+    nth = F.col("before") + F.col("at") - 1
+    other = bits_of(F.concat(hex_of("h"), F.lit(":"), nth.cast("string")))
+    return (rows.join(again, "h", "left_anti").select("row", "n_bytes", "h")
+            .unionByName(numbered.select("row", "n_bytes", F.when(nth == 0, F.col("h")).otherwise(other).alias("h"))))
 
 
 def prefix(h, bits):
@@ -64,46 +92,54 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
         low, bits = bits + 1, min(HASH_BITS, bits + 8)
 
 
-def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, shard, depth, n_bytes, shard_bytes, shard_docs``.
-
-    ``shard`` is the bucket's bit pattern (empty for an undivided table).  A text
-    over the limit is a shard of its own, ``own:`` and its hash, and does not
-    count in the buckets.  Rows that repeat id and text share a hash and cannot
-    be told apart by bits: beyond the limit they stay one shard of full depth.
-    Null ids and null texts (0 bytes) are hashed as empty.
-    """
-    rows = written(hashed(docs, id_col, text_col), "hashes")
+def placed_rows(rows: DataFrame, limit: int) -> DataFrame:
+    """``row, n_bytes, shard, depth`` of ``row, n_bytes, h``."""
     small = rows.filter(F.col("n_bytes") <= limit)
     entries = directory(small, limit)
     placed = rows.filter(F.col("n_bytes") > limit).select(
-        "doc_id", "n_bytes", F.concat(F.lit("own:"), F.lpad(F.lower(F.hex("h")), HASH_BITS // 4, "0")).alias("shard"),
-        F.lit(HASH_BITS).alias("depth"))
+        "row", "n_bytes", F.concat(F.lit("own:"), hex_of("h")).alias("shard"), F.lit(HASH_BITS).alias("depth"))
     for r in entries.select("bits").distinct().orderBy("bits").collect():
         part = entries.filter(F.col("bits") == r["bits"]).drop("bits")
         placed = placed.unionByName(
             small.withColumn("leaf", prefix("h", r["bits"])).join(part, "leaf")
-            .select("doc_id", "n_bytes", F.when(F.col("depth") == 0, "").otherwise(
+            .select("row", "n_bytes", F.when(F.col("depth") == 0, "").otherwise(
                 F.lpad(F.bin(prefix("h", "depth")), F.col("depth"), F.lit("0"))).alias("shard"), "depth"))
-    placed = written(placed, "placed")
+    return placed
+
+
+def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, shard, depth, n_bytes, shard_bytes, shard_docs``.
+
+    ``shard`` is the bucket's bit pattern (empty for an undivided table); no
+    bucket is over the limit.  A text over the limit is a shard of its own, ``own:`` and
+    its hash, and does not count in the buckets.  Rows that repeat id and text
+    are hashed with an occurrence number from the second on.
+    Null ids and null texts (0 bytes) are hashed as empty.
+    """
+    raw = written(hashed(docs, id_col, text_col).select(F.col(id_col).alias("doc_id"), F.col("__row").alias("row"), F.col("__n").alias("n_bytes"),
+                                                        F.col("__h").alias("h")), "hashes")
+    rows = written(told_apart(raw.drop("doc_id")), "told-apart")
+    placed = written(placed_rows(rows, limit).join(raw.select("row", "doc_id"), "row"), "placed")
     sums = written(placed.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_docs")), "shards")
+    discard(raw, rows)
     return placed.join(sums, "shard").select("doc_id", "shard", "depth", "n_bytes", "shard_bytes", "shard_docs")
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write ``docs`` as Parquet, one folder per shard, rows of a shard in one task each."""
-    rows = written(hashed(docs, id_col, text_col), "hashes")
-    entries = directory(rows.filter(F.col("n_bytes") <= limit), limit)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    name = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text)
-    marked = docs.withColumn("__h", F.conv(F.substring(F.md5(name), 1, HASH_BITS // 4), 16, 10).cast("long"))
-    out = marked.filter(F.octet_length(text) > limit).withColumn(
-        "shard", F.concat(F.lit("own-"), F.lower(F.hex("__h"))))
-    for r in entries.select("bits").distinct().orderBy("bits").collect():
-        part = entries.filter(F.col("bits") == r["bits"]).select(F.col("leaf").alias("__leaf"), F.col("depth").alias("__depth"))
-        out = out.unionByName(
-            marked.filter(F.octet_length(text) <= limit).withColumn("__leaf", prefix("__h", r["bits"])).join(part, "__leaf")
-            .withColumn("shard", F.when(F.col("__depth") == 0, "all").otherwise(
-                F.concat(F.lit("b"), F.lpad(F.bin(prefix("__h", "__depth")), F.col("__depth"), F.lit("0")))))
-            .drop("__leaf", "__depth"))
-    out.drop("__h").repartition("shard").write.partitionBy("shard").parquet(path)
+    """Write ``docs`` as Parquet, one folder per shard, rows of a shard in one task each.
+
+    The folder of the undivided table is ``all``, of a bucket ``b`` and its bits, of a text
+    of its own ``own-`` and its hash.  The documents are written once with
+    their places and joined once with the shards, at whatever depth those are; an
+    empty table leaves an empty Parquet table.
+    """
+    wide = written(hashed(docs, id_col, text_col), "places")
+    rows = written(told_apart(wide.select(F.col("__row").alias("row"), F.col("__n").alias("n_bytes"), F.col("__h").alias("h"))), "told-apart")
+    folder = F.when(F.col("shard").startswith("own:"), F.replace("shard", F.lit(":"), F.lit("-"))).when(F.col("shard") == "", "all").otherwise(F.concat(F.lit("b"), "shard"))
+    placed = placed_rows(rows, limit).select("row", folder.alias("shard"))
+    out = wide.join(placed, F.col("__row") == F.col("row")).drop("__row", "__n", "__h", "row").repartition("shard")
+    if out.isEmpty():
+        docs.limit(0).write.parquet(path)
+    else:
+        out.write.partitionBy("shard").parquet(path)
+    discard(wide, rows)

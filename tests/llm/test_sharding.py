@@ -1,16 +1,19 @@
 """Extendible hashing against a directory that splits one bucket at a time."""
 
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from jobsight.llm import sharding as S
 
 
 def brute(rows, limit):
-    items = []
+    items, seen = [], Counter()
     for i, t in rows:
-        name = f"{'' if i is None else i}:{t or ''}"
-        items.append((i, len((t or "").encode()), int(hashlib.md5(name.encode()).hexdigest()[:15], 16)))
+        name = hashlib.md5(f"{'' if i is None else i}:{t or ''}".encode()).hexdigest()[:15]
+        nth, seen[name] = seen[name], seen[name] + 1
+        if nth:
+            name = hashlib.md5(f"{name}:{nth}".encode()).hexdigest()[:15]
+        items.append((i, len((t or "").encode()), int(name, 16)))
     done, queue = [], [("", [x for x in items if x[1] <= limit])]
     while queue:
         bits, bucket = queue.pop()
@@ -45,6 +48,16 @@ def test_directory(spark, tmp_path):
     S.write_shards(plain, str(tmp_path / "out"), 5000)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == len(rows())
+    assert sorted(str((r["doc_id"], r["text"])) for r in back.collect()) == sorted(str(r) for r in rows())
+    S.write_shards(plain.limit(0), str(tmp_path / "none"))
+    assert spark.read.parquet(str(tmp_path / "none")).collect() == []
+
+
+def test_copies_split(spark):
+    """Any number of rows of one id and text fits the limit."""
+    docs = spark.createDataFrame([(7, "x" * 1000)] * 700 + [(1, "y")], "doc_id long, text string").repartition(5)
+    got = S.assign_shards(docs, 20_000).collect()
+    assert len(got) == 701 and max(r["shard_bytes"] for r in got) <= 20_000
 
 
 def test_deep_buckets_take_more_rounds(spark, monkeypatch):

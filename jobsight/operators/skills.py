@@ -44,60 +44,19 @@ def match_keywords(df: DataFrame, text: str, keywords: Sequence[str] = SKILL_KEY
 WORD_RUN = r"(?U)\w+"
 
 
-def _grams(toks: Column, seps: Column, off: Column, lengths: Sequence[int]) -> Column:
-    """Distinct token n-grams of the given lengths with their original separators.
-
-    ``toks``/``seps`` are the text's word runs and non-word runs (``off`` is 1
-    when the text starts with a separator).  They must be columns, not the
-    regex expressions, since the lambdas below read them once per element.
-    A keyword that starts and ends with a word character matches
-    ``\\b kw \\b`` exactly when it equals one of these strings: the match is
-    bounded by whole tokens, and the separators between its tokens are the
-    text's.
-    """
-    def ngram_fn(n: int):
-        def fn(i):
-            pieces = [F.element_at(toks, i)]
-            for j in range(1, n):
-                pieces += [F.element_at(seps, i + (j - 1) + off), F.element_at(toks, i + j)]
-            return F.when(F.size(toks) >= n, F.concat(*pieces))
-        return fn
-
-    parts = [F.array().cast("array<string>")]
-    for n in lengths:
-        if n == 1:
-            parts.append(toks)
-            continue
-        starts = F.sequence(F.lit(1), F.greatest(F.size(toks) - (n - 1), F.lit(1)))
-        parts.append(F.transform(starts, ngram_fn(n)))
-    return F.array_distinct(F.filter(F.flatten(F.array(*parts)), lambda g: g.isNotNull()))
-
-
-def split_runs(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """The text's word runs and separator runs as columns of their own projection."""
-    t = F.col(text)
-    return df.select(*keep, F.regexp_extract_all(t, F.lit(WORD_RUN), 0).alias("_toks"),
-                     F.regexp_extract_all(t, F.lit(r"(?U)\W+"), 0).alias("_seps"),
-                     F.when(t.rlike(r"^(?U)\W"), F.lit(1)).otherwise(F.lit(0)).alias("_off"))
-
-
 def match_keywords_join(df: DataFrame, text: str, keywords, keep: Sequence[str] = (),
                         out: str = "skill_name") -> DataFrame:
     """E3 for large dictionaries (a list or a one-column DataFrame), as equi-joins.
 
-    Same rows as ``match_keywords``; the caller picks the plan.  Spark's regex
-    classifies the keywords, by the same word class that finds the tokens:
-
-    * A keyword that starts and ends with a word character matches exactly when
-      it equals a run of the text's tokens with their separators (``_grams``).
-      Only runs of lengths that the dictionary has are made (the distinct
-      lengths are the one thing the driver learns of it), and the text is not
-      carried through the explode.
-    * Any other keyword with a word in it (``c++``, ``.net``) is joined on its
-      first token, which must be a whole token of the text, and then checked
-      by the regex.
-    * A keyword without any word character is matched by the regex projection;
-      such keywords (strings of signs) are collected.
+    Same rows as ``match_keywords``; the caller picks the plan.  A keyword can
+    only match a text that holds each of its words as a word, so it is
+    joined on one of them, the one that the fewest texts hold (its anchor);
+    a keyword with a word that no text holds is dropped.  What is shuffled are the
+    distinct words of each text, whatever the lengths of the keywords, with a 128-bit hash of the text
+    in place of the row; texts come back to their candidates by that hash
+    and are checked by the regex, after a plain substring test.  One word by
+    itself needs no check.  A keyword without any word character is matched by the
+    regex projection; such keywords (strings of signs) are collected.
 
     Each (row, keyword) pair comes out once per input row.
     """
@@ -106,30 +65,25 @@ def match_keywords_join(df: DataFrame, text: str, keywords, keep: Sequence[str]
         [(k,) for k in dict.fromkeys(keywords)], "skill_name string")
     low = F.lower(F.col("_kw"))
     kw = table.select(F.col(table.columns[0]).alias("_kw")).filter("_kw IS NOT NULL").distinct().select(
-        "_kw", low.alias("_gram"), F.rlike(low, F.lit(r"(?Us)^\w(.*\w)?$")).alias("_plain"),
-        F.size(F.regexp_extract_all(low, F.lit(WORD_RUN), 0)).alias("_runs"),
-        F.regexp_extract(low, WORD_RUN, 0).alias("_head"))
-    kinds = kw.groupBy("_plain", F.when(F.col("_plain") | (F.col("_runs") == 0), F.col("_runs")).alias("_runs")).count().collect()
-    runs = split_runs(df, text, keep)
-    none = runs.select(*keep, F.lit("").alias(out)).filter(F.lit(False))
-    parts = []
-    lengths = sorted(r["_runs"] for r in kinds if r["_plain"])
-    if lengths:
-        grams = runs.select(*keep, F.explode(_grams(F.col("_toks"), F.col("_seps"), F.col("_off"), lengths)).alias("_gram"))
-        parts.append(grams.join(kw.filter("_plain"), "_gram").select(*keep, F.col("_kw").alias(out)))
-    if any(not r["_plain"] and r["_runs"] is None for r in kinds):
-        heads = df.select(*keep, F.col(text).alias("_text")).withColumn(
-            "_head", F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(WORD_RUN), 0))))
-        odd = kw.filter("NOT _plain AND _runs > 0").select("_kw", "_head")
-        parts.append(heads.join(odd, "_head").filter(F.rlike("_text", keyword_pattern(F.col("_kw"))))
-                     .select(*keep, F.col("_kw").alias(out)))
-    if any(not r["_plain"] and r["_runs"] == 0 for r in kinds):
-        signs = [r["_kw"] for r in kw.filter("_runs = 0").select("_kw").collect()]
-        parts.append(match_keywords(df, text, signs, keep=keep, out=out))
-    found = parts[0] if parts else none
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return found
+        "_kw", low.alias("_low"), F.array_distinct(F.regexp_extract_all(low, F.lit(WORD_RUN), 0)).alias("_words"),
+        F.rlike(low, F.lit(r"(?Us)^\w+$")).alias("_exact"))
+    t = F.col(text)
+    name = [F.xxhash64(t).alias("_r1"), F.xxhash64(F.lit(1), t).alias("_r2")]
+    words = df.select(*name, F.explode(F.array_distinct(F.regexp_extract_all(t, F.lit(WORD_RUN), 0))).alias("_word"))
+    needed = kw.select("_kw", "_low", "_exact", F.size("_words").alias("_n"), F.explode("_words").alias("_word"))
+    held = words.join(needed.select("_word").distinct(), "_word").groupBy("_word").agg(F.count(F.lit(1)).alias("_texts"))
+    anchors = (needed.join(held, "_word").groupBy("_kw", "_low", "_exact", "_n")
+               .agg(F.count(F.lit(1)).alias("_found"), F.min(F.struct("_texts", "_word")).alias("_rarest"))
+               .filter("_found = _n").select("_kw", "_low", "_exact", F.col("_rarest._word").alias("_word")))
+    candidates = (words.join(anchors, "_word").groupBy("_r1", "_r2")
+                  .agg(F.collect_set(F.struct("_kw", "_low", "_exact")).alias("_candidates")))
+    # the sets are as large as a text has words that anchor keywords
+    checked = (df.select(*keep, t.alias("_text"), *name).join(candidates, ["_r1", "_r2"])
+               .select(*keep, "_text", F.explode("_candidates").alias("_c"))
+               .filter(F.col("_c._exact") | (F.contains("_text", F.col("_c._low")) & F.rlike("_text", keyword_pattern(F.col("_c._kw")))))
+               .select(*keep, F.col("_c._kw").alias(out)))
+    signs = [r["_kw"] for r in kw.filter("size(_words) = 0").select("_kw").collect()]
+    return checked.unionByName(match_keywords(df, text, signs, keep=keep, out=out)) if signs else checked
 
 
 def resolve_job_id(batch: DataFrame, jobs: DataFrame, key: str = "job_url") -> DataFrame:

@@ -99,14 +99,15 @@ def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_lines(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """Events as landed JSON lines: jobs, courses and malformed lines.
 
     ``error`` events become truncated lines, ``view`` events JSON arrays,
     ``signup`` events course records (one with an explicit null title), the
-    rest job records whose urls repeat (every 50th one is blank).
+    rest job records whose urls repeat (every 50th one is blank).  ``where``
+    chooses the events of one day's landing.
     """
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    e = table(spark, sf_dir, "events").filter(where).select("event_id", "user_id", "event_type", "value")
     uid = F.col("user_id").cast("string")
     eid = F.col("event_id")
     cents = F.floor(F.col("value") * 100).cast("bigint").cast("string")

@@ -503,8 +503,8 @@ G1_BATCH = (f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITIO
             f"WHERE seen_at >= TIMESTAMP '{G1_CUT}' AND seen_at < TIMESTAMP '{G1_END}') WHERE rn = 1)")
 
 
-def _g1_upsert_sql() -> str:
-    now = f"TIMESTAMP '{G1_END}'"
+def _g1_upsert_sql(state: str = G1_STATE, batch: str = G1_BATCH, as_of: str = G1_END) -> str:
+    now = f"TIMESTAMP '{as_of}'"
     cols = []
     for c in JOB_OUT:
         if c == "job_url":
@@ -521,7 +521,7 @@ def _g1_upsert_sql() -> str:
             cols.append("CASE WHEN b.job_url IS NOT NULL THEN TRUE ELSE c.is_active END AS is_active")
         elif c == "closed_at":
             cols.append("c.closed_at AS closed_at")
-    return f"SELECT {', '.join(cols)} FROM {G1_STATE} c FULL OUTER JOIN {G1_BATCH} b ON c.job_url = b.job_url"
+    return f"SELECT {', '.join(cols)} FROM {state} c FULL OUTER JOIN {batch} b ON c.job_url = b.job_url"
 
 
 def _close_sql(src: str, as_of: str, days: int = 3) -> str:
@@ -869,7 +869,7 @@ def _load_course_sql() -> str:
             "WHERE course_title IS NOT NULL) WHERE rn = 1)")
 
 
-def _load_job_sql() -> str:
+def _load_job_sql(lines: str = L_SQL) -> str:
     t = O.clean_text("value->>'job_title'")
     cols = f"""{O.null_if_na(t)} AS job_title, {O.null_if_na("value->>'company'")} AS company_name,
   {O.null_if_na(O.location("value->>'job_location'"))} AS location, {O.null_if_na("value->>'job_board'")} AS source,
@@ -880,7 +880,7 @@ def _load_job_sql() -> str:
   {O.null_if_na("value->>'job_type'")} AS job_type,
   {O.search_text(t, O.clean_text("value->>'desc'"))} AS search_text"""
     first = (f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY value->>'job_url' ORDER BY pos) AS rn "
-             f"FROM {L_SQL} WHERE json_valid(value) AND json_type(value) = 'OBJECT' "
+             f"FROM {lines} WHERE json_valid(value) AND json_type(value) = 'OBJECT' "
              f"AND NOT list_contains(json_keys(value), 'course_title') AND {KEYED_SQL}) WHERE rn = 1)")
     sal = "value->>'base_salary'"
     good = f"{O.null_if_na(t)} IS NOT NULL AND {O.salary_ok(sal)} AND {O.parse_salary(sal)} IS NOT NULL"
@@ -896,6 +896,39 @@ def _daily_load_jobs(spark, sf):
     return read_snapshot(spark, root, "job_vacancies").drop("job_id")
 
 
+# Two days' landings that overlap: what only the first holds closes on the second, what both hold is refreshed, the rest is new.
+LOAD_DAYS = [("2026-04-24 06:00:00", "value < 60"), (LOAD_AS_OF, "value >= 30")]
+LOAD_DAY_SQL = [_load_job_sql(f"({O.landing_sql()} WHERE events.{where})") for _, where in LOAD_DAYS]
+LOAD_STATE_SQL = (f"(SELECT *, TIMESTAMP '{LOAD_DAYS[0][0]}' AS scraped_at, TIMESTAMP '{LOAD_DAYS[0][0]}' AS last_seen, TRUE AS is_active, "
+                  f"CAST(NULL AS TIMESTAMP) AS closed_at FROM {LOAD_DAY_SQL[0]})")
+
+
+def _load_two_days(spark, sf):
+    """The load onto a warehouse that holds the day before: the root of the warehouse after both."""
+    from .load import bootstrap, load_lines
+    root = scratch_path(spark, f"warehouse-{uuid.uuid4().hex}")
+    bootstrap(spark, root)
+    for as_of, where in LOAD_DAYS:
+        load_lines(spark, A.landing_lines(spark, sf, where), root, as_of, f"day-{as_of[:10]}")
+    return root
+
+
+@register("daily_load_second_jobs", _close_sql(_g1_upsert_sql(LOAD_STATE_SQL, LOAD_DAY_SQL[1], LOAD_AS_OF), LOAD_AS_OF))
+def _daily_load_second_jobs(spark, sf):
+    from ..sources.snapshot import read_snapshot
+    return read_snapshot(spark, _load_two_days(spark, sf), "job_vacancies").select(*JOB_OUT)
+
+
+@register("daily_load_second_skills", " UNION ".join(
+    f"SELECT j.job_url, kw.skill_name FROM {j} j, {O.keyword_values()} WHERE regexp_matches(j.search_text, kw.pat)" for j in LOAD_DAY_SQL))
+def _daily_load_second_skills(spark, sf):
+    """Pairs of the first day stay, those of the second are added."""
+    from ..sources.snapshot import read_snapshot
+    root = _load_two_days(spark, sf)
+    jobs = read_snapshot(spark, root, "job_vacancies", ["job_id", "job_url"])
+    return read_snapshot(spark, root, "job_skills").join(jobs, "job_id").select("job_url", "skill_name")
+
+
 @register("daily_load_skills", f"""SELECT DISTINCT j.job_url, kw.skill_name FROM {_load_job_sql()} j, {O.keyword_values()}
 WHERE regexp_matches(j.search_text, kw.pat)""")
 def _daily_load_skills(spark, sf):

@@ -205,17 +205,20 @@ def check_constraints(df: DataFrame, table: str = "job_vacancies", key: str | No
     rows are written once, and counted in that same pass.
     """
     checked = constraint_reasons(df, table, key, not_null, check_unique)
-    if strict:
-        checked = written_and_accepted(checked, table)
+    return split_checked(written_checked(checked, table, strict) if strict else checked)
+
+
+def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, rejects) of the rows of ``constraint_reasons``."""
     return checked.filter(F.col("reject_reason") == "").drop("reject_reason"), checked.filter(F.col("reject_reason") != "")
 
 
-def written_and_accepted(checked: DataFrame, table: str) -> DataFrame:
-    """The rows of ``constraint_reasons`` written once; raises if that pass counted a reject."""
+def written_checked(checked: DataFrame, table: str, strict: bool = False) -> DataFrame:
+    """The rows of ``constraint_reasons`` written once; ``strict`` raises if that same pass counted rejects."""
     from ..sources.snapshot import written
     seen = Observation()
     out = written(checked.observe(seen, F.count_if(F.col("reject_reason") != "").alias("rejects")), f"checked-{table}")
-    if seen.get["rejects"]:
+    if strict and seen.get["rejects"]:
         raise ValueError(f"{seen.get['rejects']} rows violate {table} constraints")
     return out
 

@@ -19,7 +19,7 @@ from ..functions.classify import classify_frame
 from ..functions.text import clean_text, null_if_na, search_text
 from ..operators.dedup import dedup_courses, dedup_jobs
 from ..operators.filters import drop_keyless
-from ..operators.lifecycle import check_constraints, close_stale, insert_courses, upsert_jobs
+from ..operators.lifecycle import close_stale, constraint_reasons, insert_courses, split_checked, upsert_jobs, written_checked
 from ..operators.skills import append_skills, resolve_course_id, resolve_job_id
 from ..schemas import SKILL_KEYWORDS, empty
 from ..session import ensure_checkpoint_dir
@@ -114,15 +114,15 @@ def load_lines(spark: SparkSession, lines: DataFrame, root: str, as_of: str, run
         return {}  # no record with a key: nothing changes
     jobs_raw, courses_raw = route_records(records)
 
-    batch = clean_job_batch(jobs_raw, pandas_missing=pandas_missing)
-    batch = written(batch, "batch")  # read twice: for the postings and for their skills
-    good, rejects = check_constraints(batch, "job_vacancies", check_unique=False, strict=strict)  # F1 made the key unique
+    # classified, checked and written in one pass, and read twice: for the postings and for their skills
+    batch = constraint_reasons(clean_job_batch(jobs_raw, pandas_missing=pandas_missing), check_unique=False)  # F1 made the key unique
+    good, rejects = split_checked(written_checked(batch, "job_vacancies", strict))
     current = read_snapshot(spark, root, "job_vacancies")
     jobs = close_stale(upsert_jobs(current, good, as_of, id_order=ORDER), as_of, days)
 
     # titles are unique (F2), urls need not be: G3 keeps the first of each
-    courses_batch = clean_course_batch(courses_raw)
-    cgood, crejects = check_constraints(courses_batch, "courses", check_unique=False, strict=strict)
+    courses_batch = constraint_reasons(clean_course_batch(courses_raw), "courses", check_unique=False)
+    cgood, crejects = split_checked(written_checked(courses_batch, "courses", strict))
     courses = insert_courses(read_snapshot(spark, root, "courses"), cgood, as_of)
 
     # Write the two owner tables first and read them back: the skill pairs

@@ -35,6 +35,7 @@ partners together, the class's array once for up to ``PARTNERS`` of them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
@@ -61,6 +62,8 @@ BLOCK_ROWS, BLOCK_BYTES = 4096, 32 << 20
 PARTNERS = 1024
 #: Partners of a class by which groups are compared, round by round; at last all.
 ROUNDS = (1, None)
+#: Orders of the hash space that a set may need; each is enough for most sets.
+MOST_TURNS = 256
 #: Classes a task remembers, to hash each once; then it begins to forget.
 REMEMBERED = 1 << 18
 
@@ -125,7 +128,11 @@ def band_plan(band: int, percent: int) -> tuple[int, int, np.ndarray | None]:
     k = (100 - percent) * 2 * largest // (100 + percent)
     if not k:
         return 0, 0, None  # only equal sets link, and those are one class
+    smallest = band_edges(percent)[max(0, band - 1)]
     m = k + 1 + max(2, k // 32)
+    # so many ranges that the band's smallest sets leave fewer than m - k of them empty, as a rule
+    while m < 2 * smallest and m * (1 - math.exp(-smallest / m)) < 1.03 * (k + 1):
+        m += max(1, k // 32)
     return k, m, np.array([(i << 64) // m for i in range(1, m)], U)
 
 
@@ -137,6 +144,8 @@ def tile_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
         k, m, cuts = band_plan(band, percent)
         turn, empty, order = 0, m, shingles
         while m and empty >= m - k:
+            if turn == MOST_TURNS:
+                raise ValueError(f"a set of {len(shingles)} shingles leaves too many ranges empty in every order")
             if turn:
                 order = np.sort(mix(shingles + U(turn)))
             sums = np.zeros(len(order) + 1, U)

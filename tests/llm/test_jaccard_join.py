@@ -149,3 +149,14 @@ def test_pairs_that_do_not_link_are_not_listed():
     found = list(J.group_pairs(np.arange(40), np.arange(40), np.array([len(s) for s in sets]), np.zeros(40, int),
                                np.stack([J.folded(b, words) for b in bits]), 85, None))
     assert found == []
+
+
+@pytest.mark.parametrize("percent", [70, 80, 85, 90])
+def test_sets_of_all_sizes_need_few_orders(percent):
+    """Also the smallest sets of a band find enough ranges that are not empty."""
+    rnd = np.random.RandomState(5)
+    for n in [*range(1, 40), *(int(1.07 ** i) for i in range(55, 150))]:
+        a = np.unique(rnd.randint(0, 1 << 62, n).astype(np.uint64) * np.uint64(7))
+        own = int(np.searchsorted(J.band_edges(percent), len(a), side="right")) - 1
+        most = sum(J.band_plan(b, percent)[1] for b in (own, own + 1))
+        assert len(J.tile_keys(a, percent)) <= 8 * most + 8

@@ -8,13 +8,17 @@ and then from the left, holds the adjacent symbol pairs that form a piece; the
 best pair merges and its new neighbours enter, until the agenda is empty.
 Symbols outside the vocabulary become byte pieces.
 
-Segments repeat, so each task keeps a bounded memo of them.  Every segment that
+Segments of one length are merged together: the agenda is a matrix with one row for
+each segment and one column for each pair, and every step merges the best pair of every row.
+
+Segments repeat, so each worker keeps a bounded memo of them.  Every segment that
 the agenda encodes is compared with the sentencepiece library in its Arrow
 batch; a difference raises.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
@@ -22,19 +26,23 @@ from collections.abc import Iterator
 from itertools import chain
 from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
 SEGMENT = re.compile(f"{SPACE}([^{SPACE}]+|{SPACE}*[^{SPACE}]*)")
-#: Memoised segments of a worker (about 150 MB); beyond it the memo starts anew.
-MEMO_SEGMENTS = 400_000
+#: Segments of a memo's younger half (about 100 MB); when it is full it becomes the older half.
+MEMO_SEGMENTS = 300_000
 #: Longer segments are encoded each time.
 MEMO_CHARS = 64
-#: Up to this length the agenda is a flat array of scores, beyond it a heap.
+#: Up to this length segments are merged together, beyond it one by one with a heap.
 FLAT_CHARS = 48
-NONE = float("-inf")
+#: Cells of an agenda matrix, at most (or one row).
+AGENDA_CELLS = 1 << 20
+#: Rank of a pair that forms no piece.
+NONE = np.int32((1 << 31) - 1)
 
 
 class MergeCodec:
@@ -64,11 +72,121 @@ class MergeCodec:
             raise ValueError("the vocabulary has no byte pieces")
         self.check = check
         self.lead = len(sp.encode("a"))
-        self.memo: dict[str, tuple[list[int], str]] = {}
+        # tuples of numbers and strings: the garbage collector leaves them alone
+        self.memo = Memo()
+        self.decimals = [str(i) for i in range(sp.get_piece_size())]
+        self._pairs()
+
+    def _pairs(self) -> None:
+        """The pairs of symbols that form a piece, with the piece and the rank of its score (equal scores share one).
+
+        Symbols are the pieces, the characters in them and ASCII, numbered from 1; 0 is any other character.
+        """
+        names = list(self.scores)
+        number = {n: i for i, n in enumerate(dict.fromkeys([*names, *sorted(set("".join(names))), *map(chr, range(128))]), 1)}
+        rank = {score: i for i, score in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        self.base = len(number) + 1
+        found = [(number[n[:k]] * self.base + number[n[k:]], rank[self.scores[n]], number[n])
+                 for n in names for k in range(1, len(n)) if n[:k] in number and n[k:] in number]
+        self._table(found)
+        self.id_of_symbol = np.array([-1] + [self.ids.get(n, self.bytes[ord(n)] if n.isascii() and len(n) == 1 else -1) for n in number], np.int64)
+        self.symbol_of_char = np.zeros(0x110000, np.int32)
+        for n, i in number.items():
+            if len(n) == 1:
+                self.symbol_of_char[ord(n)] = i
+
+    def _table(self, found: list[tuple[int, int, int]]) -> None:
+        """An open-addressed table of pairs, at most a quarter full; a pair lies within ``reach`` places of its own."""
+        bits = max(4, (4 * len(found)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        keys = np.array([k for k, _, _ in found], np.int64)
+        home = self._home(keys).tolist()
+        self.reach, places, taken = 1, [], set()
+        for at in home:
+            step = 0
+            while at + step in taken:
+                step += 1
+            taken.add(at + step)
+            places.append(at + step)
+            self.reach = max(self.reach, step + 1)
+        size = (1 << bits) + self.reach + 1
+        self.pair_keys = np.full(size, -1, np.int64)
+        self.pair_ranks = np.full(size, NONE, np.int32)
+        self.pair_symbols = np.zeros(size, np.int64)
+        self.pair_keys[places] = keys
+        self.pair_ranks[places] = [r for _, r, _ in found]
+        self.pair_symbols[places] = [n for _, _, n in found]
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def find_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Places of pairs in the table; of a pair it lacks, an empty place."""
+        key = left * self.base + right
+        at = self._home(key.ravel()).reshape(key.shape)
+        have = self.pair_keys[at]
+        open_ = np.flatnonzero((have != key) & (have >= 0))
+        if len(open_):
+            flat_at, flat_key = at.ravel(), key.ravel()
+            for _ in range(self.reach):
+                flat_at[open_] += 1
+                have = self.pair_keys[flat_at[open_]]
+                open_ = open_[(have != flat_key[open_]) & (have >= 0)]
+                if not len(open_):
+                    break
+            flat_at[open_] = len(self.pair_keys) - 1  # beyond all places, and empty
+            at = flat_at.reshape(key.shape)
+        return at
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return self.pair_ranks[self.find_pairs(left, right)]
+
+    def merge_many(self, segments: list[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of many segments, those of one length together."""
+        found: dict[str, tuple[int, ...]] = {}
+        by_length: dict[int, list[str]] = {}
+        for s in segments:
+            by_length.setdefault(len(s), []).append(s)
+        for n in [n for n in by_length if not 0 < n <= FLAT_CHARS]:
+            found.update((s, self.merge(SPACE + s)) for s in by_length.pop(n))
+        for n, names in by_length.items():
+            step = max(1, AGENDA_CELLS // (n + 1))
+            for at in range(0, len(names), step):
+                self._merge_rows(names[at:at + step], n, found)
+        return found
 
-    def merge(self, segment: str) -> list[int]:
-        """Ids of one segment by the agenda: the best score first, of equals the leftmost."""
-        symbols = self.merge_flat(segment) if len(segment) <= FLAT_CHARS else self.merge_heap(segment)
+    def _merge_rows(self, names: list[str], n: int, found: dict[str, tuple[int, ...]]) -> None:
+        chars = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n)
+        symbols = np.empty((len(names), n + 1), np.int64)
+        symbols[:, 0] = self.symbol_of_char[ord(SPACE)]
+        symbols[:, 1:] = self.symbol_of_char[chars]
+        agenda = self.ranks(symbols[:, :-1], symbols[:, 1:])
+        rows = np.arange(len(names))
+        while len(rows):
+            at = agenda.argmin(axis=1) if agenda.shape[1] else np.zeros(len(rows), np.int64)
+            best = agenda[np.arange(len(rows)), at] if agenda.shape[1] else np.full(len(rows), NONE)
+            done = best == NONE
+            if done.any():
+                for r, ids in zip(rows[done].tolist(), self.id_of_symbol[symbols[done]].tolist()):
+                    found[names[r]] = tuple(ids) if -1 not in ids else self.merge(SPACE + names[r])  # a character without a piece becomes bytes
+                rows, at, symbols, agenda = (x[~done] for x in (rows, at, symbols, agenda))
+                if not len(rows):
+                    break
+            here, width = np.arange(len(rows)), symbols.shape[1]
+            columns = np.arange(width - 1)
+            merged = self.pair_symbols[self.find_pairs(symbols[here, at], symbols[here, at + 1])]
+            symbols = np.take_along_axis(symbols, columns + (columns > at[:, None]), axis=1)
+            symbols[here, at] = merged
+            columns = columns[:-1]
+            agenda = np.take_along_axis(agenda, columns + (columns >= at[:, None]), axis=1)
+            k = np.flatnonzero(at > 0)
+            agenda[k, at[k] - 1] = self.ranks(symbols[k, at[k] - 1], symbols[k, at[k]])
+            k = np.flatnonzero(at < width - 2)
+            agenda[k, at[k]] = self.ranks(symbols[k, at[k]], symbols[k, at[k] + 1])
+
+    def merge(self, segment: str) -> tuple[int, ...]:
+        """Ids of one segment by a heap: the best score first, of equals the leftmost."""
+        symbols = self.merge_heap(segment)
         ids = self.ids
         found: list[int] = []
         for s in symbols:
@@ -77,24 +195,7 @@ class MergeCodec:
                 found.append(i)
             else:
                 found.extend(self.bytes[b] for b in s.encode())
-        return found
-
-    def merge_flat(self, segment: str) -> list[str]:
-        """The agenda as an array: ``agenda[i]`` is the score of the pair that starts at symbol i."""
-        symbols, score = list(segment), self.scores.get
-        agenda = [score(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
-        while agenda:
-            best = max(agenda)
-            if best == NONE:
-                break
-            i = agenda.index(best)
-            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
-            del agenda[i]
-            if i:
-                agenda[i - 1] = score(symbols[i - 1] + symbols[i], NONE)
-            if i < len(agenda):
-                agenda[i] = score(symbols[i] + symbols[i + 1], NONE)
-        return symbols
+        return tuple(found)
 
     def merge_heap(self, segment: str) -> list[str]:
         """The agenda as a heap; entries whose symbols have merged meanwhile are skipped."""
@@ -124,35 +225,34 @@ class MergeCodec:
             propose(left, after[left])
         return [s for s in symbols if s is not None]
 
-    def learn(self, segments: set[str]) -> dict[str, tuple[list[int], str]]:
+    def learn(self, segments: set[str]) -> dict[str, tuple[tuple[int, ...], str]]:
         """Ids, and ids as comma-joined decimals, of segments (named without their first space symbol).
 
         All are compared with the library's ids in one call.
         """
         names = list(segments)
-        ids = [self.merge(SPACE + s) for s in names]
+        merged = self.merge_many(names)
+        decimal = self.decimals.__getitem__
+        found = {s: (i, ",".join(map(decimal, i))) for s, i in merged.items()}
         if self.check:
             # a word stands in front, since the library adds a space before a text but not before none
             plain = self.library.encode([f"a {s.replace(SPACE, ' ')}" for s in names])
-            for s, own, other in zip(names, ids, plain):
-                if own != other[self.lead:]:
+            for s, other in zip(names, plain):
+                if merged[s] != tuple(other[self.lead:]):
                     raise ValueError(f"the library encodes {s[:80]!r} differently")
-        found = {s: (i, ",".join(map(str, i))) for s, i in zip(names, ids)}
-        short = {s: v for s, v in found.items() if len(s) <= MEMO_CHARS}
-        if len(self.memo) + len(short) > MEMO_SEGMENTS:
-            self.memo.clear()
-        if len(short) <= MEMO_SEGMENTS:
-            self.memo.update(short)
+        self.memo.remember(found)
         return found
 
-    def segments(self, texts: list[str | None]) -> Iterator[list[tuple[list[int], str]]]:
+    def segments(self, texts: list[str | None]) -> Iterator[list[tuple[tuple[int, ...], str]]]:
         """The segments of each text, as ids and as decimals; none for null and empty texts."""
         cut = [split(t) if t else [] for t in texts]
-        known = [list(map(self.memo.get, words)) for words in cut]
-        new = {s for words, got in zip(cut, known) if None in got for s, v in zip(words, got) if v is None}
-        found = self.learn(new) if new else {}
-        for words, got in zip(cut, known):
-            yield [v or found[s] for s, v in zip(words, got)] if None in got else got
+        got = [list(map(self.memo.young.get, words)) for words in cut]
+        rest = self.memo.known({s for words, have in zip(cut, got) if None in have for s, v in zip(words, have) if v is None})
+        new = {s for s, v in rest.items() if v is None}
+        if new:
+            rest.update(self.learn(new))
+        for words, have in zip(cut, got):
+            yield [v or rest[s] for s, v in zip(words, have)] if None in have else have
 
     def encode(self, text: str) -> list[int]:
         return flat(next(self.segments([text])))
@@ -163,7 +263,30 @@ class MergeCodec:
         return (raw[1:] if raw[:1] == b" " else raw).decode(errors="replace")
 
 
-def flat(found: list[tuple[list[int], str]]) -> list[int]:
+class Memo:
+    """A bounded memo in two halves: what is asked for again moves from the older to the younger one."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def known(self, names: set[str]) -> dict:
+        """What is known of the names, else None."""
+        out = {n: self.young.get(n) for n in names}
+        again = {n: self.old[n] for n, v in out.items() if v is None and n in self.old}
+        self.remember(again)
+        out.update(again)
+        return out
+
+    def remember(self, found: dict) -> None:
+        short = {n: v for n, v in found.items() if len(n) <= MEMO_CHARS}
+        if len(self.young) + len(short) > MEMO_SEGMENTS:
+            self.young, self.old = {}, self.young
+        if len(short) <= MEMO_SEGMENTS:
+            self.young.update(short)
+
+
+def flat(found: list[tuple[tuple[int, ...], str]]) -> list[int]:
     return list(chain.from_iterable(map(itemgetter(0), found)))
 
 
@@ -233,16 +356,22 @@ def encode_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(model_file)
+        gc.disable()  # no cycles arise here, and the memos would be searched for some again and again
+        try:
+            yield from digests(codec, batches)
+        finally:
+            gc.enable()
+
+    def digests(codec: MergeCodec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sha = hashlib.sha256
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                n_tokens, of_ids, of_text = [], [], []
-                for found in codec.segments(part.column(1).to_pylist()):
-                    ids = flat(found)
-                    n_tokens.append(len(ids))
-                    of_ids.append(sha(",".join([s for _, s in found]).encode()).hexdigest())
-                    of_text.append(sha(codec.library.decode(ids).encode()).hexdigest())
+                found = list(codec.segments(part.column(1).to_pylist()))
+                ids = list(map(flat, found))
+                n_tokens = list(map(len, ids))
+                of_ids = [sha(",".join([s for _, s in x]).encode()).hexdigest() for x in found]
+                of_text = [sha(codec.library.decode(x).encode()).hexdigest() for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n_tokens, pa.int64()), pa.array(of_ids, pa.string()),
                      pa.array(of_text, pa.string())],

@@ -7,9 +7,9 @@ assignments.  Boosted trees score each candidate from its format and its
 context, thresholds calibrated per generator on held-back candidates decide,
 and of overlapping winners the best stays.
 
-The trees are fitted by Spark ML on a bounded sample of documents, with weak
-labels: formats that prove themselves (check digits, octet ranges, well-formed
-addresses, a naming word in front).  They are then written out as one SQL
+The trees are fitted by Spark ML on the candidates of all documents, equal ones
+counted together, with weak labels: formats that prove themselves (check digits, octet
+ranges, well-formed addresses, a naming word in front).  They are then written out as one SQL
 expression, so scoring is a projection without shuffle, collect or Python.
 """
 
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsight.llm.store import sampled, written
+from jobsight.llm.store import written
 
 # The base patterns.  Guards at a run's start and possessive
 # repeats keep the leftmost matches as they are and the search linear.
@@ -41,8 +41,6 @@ GENERATORS = {
     "assigned": r"(?i)(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\x20?[=:]\x20?[\"']?"
                 r"[A-Za-z0-9+/_=.-]{6,}+[\"']?",
 }
-#: Documents whose candidates the trees are fitted on, about.
-FIT_DOCUMENTS = 20_000
 TREES, DEPTH = 12, 3
 #: Precision on held-back candidates that a threshold has to reach.
 PRECISION = 0.95
@@ -156,32 +154,38 @@ def tree_sql(lines: list[str]) -> str:
     return f"(CASE WHEN x.f{test[1]} <= {float(test[2])!r}D THEN {yes} ELSE {tree_sql(lines)} END)"
 
 
-def fit_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_documents: int = FIT_DOCUMENTS) -> SpanModel | None:
-    """Fit trees and thresholds on the candidates of about ``fit_documents`` documents, chosen by a hash.
+def counted_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The candidates of all documents, those of one half, kind, label and features as one row with their number ``n``."""
+    rows = proposed(docs, id_col, text_col).select(
+        F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"), F.explode("candidates").alias("x"))
+    names = [f"f{i}" for i in range(N_FEATURES)]
+    return rows.groupBy("half", "x.kind", "x.label", *(f"x.{f}" for f in names)).agg(F.count("*").alias("n"))
+
+
+def fit_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> SpanModel | None:
+    """Fit trees on the candidates of one half of the documents and thresholds on those of the other.
 
-    None where the sample has no candidates of both labels.
+    Equal candidates weigh as many as they are.  None where there are no
+    candidates of both labels.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    some = docs.filter(sampled(F.xxhash64(F.col(id_col), F.col(text_col)), fit_documents, docs.count()))
-    rows = proposed(some, id_col, text_col).select(
-        F.explode("candidates").alias("x"), F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"))
-    rows = written(rows.select("half", "x.*"), "pii-sample")
+    rows = written(counted_candidates(docs, id_col, text_col), "pii-candidates")
     names = [f"f{i}" for i in range(N_FEATURES)]
     fit = VectorAssembler(inputCols=names, outputCol="features").transform(
-        rows.filter("half = 0").select(F.col("label").cast("double").alias("label"), *names))
+        rows.filter("half = 0").select(F.col("label").cast("double").alias("label"), F.col("n").cast("double").alias("n"), *names))
     if fit.select("label").distinct().count() < 2:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=11, maxBins=32).fit(fit)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=11, maxBins=32, weightCol="n").fit(fit)
     trees = []
     for tree, weight in zip(model.trees, model.treeWeights):
         lines = [x for x in tree.toDebugString.splitlines()[1:] if x.strip()]
         trees.append(f"{weight!r}D * {tree_sql(lines)}")
     score = f"1D / (1D + exp(-2D * ({' + '.join(trees)})))"
-    held = rows.filter("half = 1").select("kind", "label", F.struct(*names).alias("x"))
-    bins = (held.select("kind", "label", F.floor(F.expr(score) * 50).cast("int").alias("bin"))
-            .groupBy("kind", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("good")).collect())
+    held = rows.filter("half = 1").select("kind", "label", "n", F.struct(*names).alias("x"))
+    bins = (held.select("kind", "label", "n", F.floor(F.expr(score) * 50).cast("int").alias("bin"))
+            .groupBy("kind", "bin").agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("good")).collect())
     thresholds = {}
     for i, kind in enumerate(GENERATORS):
         least, total, good = 0.9, 0, 0

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from jobsight.llm.pii import BASE, fit_spans, personal_data, redact, span_digests
+from jobsight.llm.pii import BASE, counted_candidates, fit_spans, personal_data, redact, span_digests
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -72,3 +72,10 @@ def test_added_spans_and_redaction(spark):
         spans = [(s["start"], s["end"]) for s in r["added"]]
         assert not any(a < y and x < b for a, b in spans for x, y in base)
         assert not any(a < y and x < b for i, (a, b) in enumerate(spans) for x, y in spans[:i])
+
+
+def test_every_document_is_fitted_on(spark):
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'call 555 123 4567 now' ELSE 'no number here' END AS text")
+    rows = counted_candidates(docs).collect()
+    assert sum(r["n"] for r in rows) == 10_000
+    assert sorted((r["half"], r["kind"]) for r in rows) == [(0, 1), (1, 1)]

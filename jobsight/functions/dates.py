@@ -15,10 +15,9 @@ from .text import _col, is_falsy
 
 TEXT_FMT = "yyyy-MM-dd HH:mm:ss"
 # ISO-8601 as Python's fromisoformat reads it: date, optional time (hour,
-# minute, second, fraction); the offset is removed beforehand.
-_ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?)?$"
-# An offset only counts after a time of day ('2026-04-28' keeps its '-28').
-_OFFSET = r"([T ]\d{2}(?::\d{2}){0,2}(?:\.\d+)?)(?:Z|[+-]\d{2}(?::?\d{2})?)$"
+# minute, second, fraction).  An offset is left out, and only counts after a time
+# of day ('2026-04-28' keeps its '-28').
+_ISO = (r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?(?=Z?$|[+-]\d{2}(?::?\d{2})?$)|(?=$)))")
 
 
 def _ntz(ts: Column) -> Column:
@@ -28,9 +27,7 @@ def _ntz(ts: Column) -> Column:
 def parse_iso(c) -> Column:
     """ISO-8601 text to ``timestamp_ntz``; an offset is dropped, not converted."""
     c = _col(c)
-    body = F.regexp_replace(c, _OFFSET, "$1")
-    body = F.when(body.rlike(_ISO_SHAPE), F.replace(body, F.lit("T"), F.lit(" ")))
-    return _ntz(F.try_to_timestamp(body))
+    return _ntz(F.try_to_timestamp(F.replace(F.regexp_extract(c, _ISO, 1), F.lit("T"), F.lit(" "))))
 
 
 def format_ts(ts) -> Column:
@@ -76,22 +73,34 @@ def parse_text_ts(c) -> Column:
     return _ntz(F.try_to_timestamp(_col(c), F.lit("yyyy-M-d H:m:s")))
 
 
+def days_later(ts, days: int = 30) -> Column:
+    """C14 of a parsed timestamp: ``days`` days later as text; null gives 'N/A'."""
+    return F.coalesce(format_ts(_col(ts) + F.make_dt_interval(F.lit(days))), F.lit("N/A"))
+
+
 def apply_end_date(c, days: int = 30) -> Column:
     """C14: last_seen + ``days`` days as text; unparsable gives 'N/A'."""
-    ts = parse_text_ts(c) + F.make_dt_interval(F.lit(days))
-    return F.coalesce(format_ts(ts), F.lit("N/A"))
+    return days_later(parse_text_ts(c), days)
 
 
 # Job-age buckets by whole days between first and last sighting.
 JOB_AGE_BUCKETS = [(1, "new"), (7, "hot"), (15, "recent"), (21, "aging"), (30, "old")]
 
 
-def job_age(first_seen, last_seen) -> Column:
-    """Bucket of whole days of |last - first|; missing/unparsable 'unknown'."""
-    a, b = parse_text_ts(first_seen), parse_text_ts(last_seen)
-    secs = F.abs(F.timestamp_diff("SECOND", a, b))
-    days = F.floor(secs / F.lit(86400))
-    out = F.when(a.isNull() | b.isNull(), F.lit("unknown"))
+def days_between(a, b) -> Column:
+    """Whole days of |b - a|, null where one is null."""
+    return F.floor(F.abs(F.timestamp_diff("SECOND", _col(a), _col(b))) / F.lit(86400))
+
+
+def age_bucket(days) -> Column:
+    """C15 of a number of days; null gives 'unknown'.  Pass a column: it is read once per bucket."""
+    days = _col(days)
+    out = F.when(days.isNull(), F.lit("unknown"))
     for limit, label in JOB_AGE_BUCKETS:
         out = out.when(days <= limit, F.lit(label))
     return out.otherwise(F.lit("expired"))
+
+
+def job_age(first_seen, last_seen) -> Column:
+    """Bucket of whole days of |last - first|; missing/unparsable 'unknown'."""
+    return age_bucket(days_between(parse_text_ts(first_seen), parse_text_ts(last_seen)))

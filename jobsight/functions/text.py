@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 
 # Python whitespace as a Java regex class (used with the (?U) flag).
 PY_WS_CLASS = r"[\s\x1c-\x1f]"
+# The same set as characters (Unicode White_Space and the four separators).
+PY_WS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                          0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+# A run of white space other than one plain space.  Printable ASCII is told apart
+# first, and the many single spaces of a text are no matches.
+_WS_RUN = rf"(?U) [[^!-~]&&{PY_WS_CLASS}]+|[[^ -~]&&{PY_WS_CLASS}][[^!-~]&&{PY_WS_CLASS}]*"
 _TAG = r"<[^>]+>"
 # str.title() upper-cases a cased letter that follows an uncased character
 # (or starts the text) and lower-cases every other cased letter.
@@ -33,12 +39,12 @@ def is_falsy(c) -> Column:
 
 def py_strip(c) -> Column:
     """``str.strip()``."""
-    return F.regexp_replace(_col(c), r"(?U)^" + PY_WS_CLASS + r"+|" + PY_WS_CLASS + r"+$", "")
+    return F.btrim(_col(c), F.lit(PY_WS))
 
 
 def py_ws(c) -> Column:
     """``' '.join(s.split())`` - collapse whitespace runs and strip."""
-    return py_strip(F.regexp_replace(_col(c), r"(?U)" + PY_WS_CLASS + r"+", " "))
+    return F.regexp_replace(py_strip(c), _WS_RUN, " ")
 
 
 def clean_string(c) -> Column:

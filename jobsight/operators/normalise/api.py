@@ -15,14 +15,7 @@ from ...functions.classify import infer_arrangement
 from ...functions.dates import iso_or_now, iso_seconds_or_input, long_date_or_now, millis_or_now
 from ...functions.text import (collapse_ws, comma_to_dash, first_truthy, is_falsy, py_capitalize, py_strip,
                                py_title, strip_html)
-from .base import explode_items, jget, job_record, keep_order, or_default
-
-
-def _obj_field(item: Column, obj: str, field: str, default: str) -> Column:
-    """``x.get(obj).get(field, default)`` when ``obj`` is an object, else ``default``."""
-    o = jget(item, f"$.{obj}")
-    is_obj = F.coalesce(py_strip(o).startswith("{"), F.lit(False))
-    return F.when(is_obj, F.coalesce(jget(o, f"$.{field}"), F.lit(default))).otherwise(F.lit(default))
+from .base import explode_fields, explode_items, jget, job_record, keep_order, or_default
 
 
 def _truthy_text(c: Column) -> Column:
@@ -93,11 +86,13 @@ def normalise_kalibrr(payloads: DataFrame, now: Column) -> DataFrame:
     """B2: Kalibrr ``jobs``; url from company code and id; remote flag beats hybrid."""
     it = explode_items(payloads, "$.jobs").withColumn("j", F.from_json("item", KALIBRR_ITEM))
     j = lambda f: F.col(f"j.{f}")
-    code = _obj(j("company"), "code", "")
-    ac = jget(j("google_location"), "$.address_components")
+    # read more than once below, so columns of their own
+    it = it.withColumns({"_code": _obj(j("company"), "code", ""), "_ac": jget(j("google_location"), "$.address_components")})
+    code, ac = F.col("_code"), F.col("_ac")
     city = F.coalesce(jget(ac, "$.city"), F.lit(""))
     region = F.coalesce(jget(ac, "$.region"), F.lit(""))
-    loc = F.regexp_replace(F.concat(city, F.lit(", "), region), r"^[, ]+|[, ]+$", "")
+    it = it.withColumn("_loc", F.btrim(F.concat(city, F.lit(", "), region), F.lit(", ")))
+    loc = F.col("_loc")
     has_ac = F.coalesce(ac.startswith("{"), F.lit(False))
     edu = j("education_level").try_cast("int")
     level = F.lit("Junior/Mid-Level")
@@ -129,28 +124,29 @@ def normalise_kalibrr(payloads: DataFrame, now: Column) -> DataFrame:
 
 def normalise_karir(payloads: DataFrame, now: Column) -> DataFrame:
     """Karir ``data.opportunities``; salary is the lower bound; empty dates stay empty."""
-    it = explode_items(payloads, "$.data.opportunities")
-    i = F.col("item")
-    funcs = F.from_json(jget(i, "$.job_functions"), "array<string>")
-    levels = F.from_json(jget(i, "$.job_levels"), "array<string>")
-    position = F.coalesce(jget(i, "$.job_position"), F.lit("N/A"))
-    company = F.coalesce(jget(i, "$.company_name"), F.lit("Unknown"))
-    salary = jget(i, "$.salary_lower")
-    last_seen = iso_seconds_or_input(jget(i, "$.posted_at"))
+    it = explode_fields(payloads, "$.data.opportunities", "id", "job_position", "company_name", "location", "job_functions",
+                        "job_type", "job_levels", "salary_lower", "posted_at", "expires_at", "workplace")
+    j = lambda f: F.col(f"j.{f}")
+    funcs = F.from_json(j("job_functions"), "array<string>")
+    levels = F.from_json(j("job_levels"), "array<string>")
+    position = F.coalesce(j("job_position"), F.lit("N/A"))
+    company = F.coalesce(j("company_name"), F.lit("Unknown"))
+    salary = j("salary_lower")
+    last_seen = iso_seconds_or_input(j("posted_at"))
     rec = job_record(
         now,
         job_title=comma_to_dash(position),
-        job_location=comma_to_dash(F.coalesce(jget(i, "$.location"), F.lit("Indonesia"))),
+        job_location=comma_to_dash(F.coalesce(j("location"), F.lit("Indonesia"))),
         job_department=F.when(F.size(funcs) > 0, F.array_join(funcs, " - ")).otherwise("N/A"),
-        job_url=F.concat(F.lit("https://karir.com/opportunities/"), F.coalesce(jget(i, "$.id"), F.lit(""))),
+        job_url=F.concat(F.lit("https://karir.com/opportunities/"), F.coalesce(j("id"), F.lit(""))),
         base_salary=F.when(_truthy_text(salary), salary).otherwise("0"),
-        job_type=F.coalesce(jget(i, "$.job_type"), F.lit("Full-time")),
+        job_type=F.coalesce(j("job_type"), F.lit("Full-time")),
         job_level=F.when(levels.isNotNull(), F.array_join(levels, " - ")).otherwise("N/A"),
         last_seen=last_seen,
-        job_apply_end_date=iso_seconds_or_input(jget(i, "$.expires_at")),
+        job_apply_end_date=iso_seconds_or_input(j("expires_at")),
         company=comma_to_dash(company),
         job_board=F.lit("Karir.com"), job_board_url=F.lit("https://karir.com/"),
-        work_arrangement=F.coalesce(jget(i, "$.workplace"), F.lit("On-site")),
+        work_arrangement=F.coalesce(j("workplace"), F.lit("On-site")),
         desc=F.concat_ws(" ", position, F.coalesce(F.array_join(funcs, " "), F.lit("")), company),
     )
     return keep_order(it, rec)
@@ -165,24 +161,25 @@ def normalise_greenhouse(payloads: DataFrame, now: Column, company: str = "Flip"
     The description takes the whole content; ``content_chars=200`` cuts it as
     the original crawler does, so that later text reaches no skill.
     """
-    it = explode_items(payloads, "$.jobs")
-    i = F.col("item")
-    title = collapse_ws(jget(i, "$.title"))
-    dept = F.coalesce(jget(i, "$.departments[0].name"), F.lit("N/A"))
-    content = F.coalesce(jget(i, "$.content"), F.lit(""))
+    it = explode_fields(payloads, "$.jobs", "id", "title", "updated_at", "absolute_url", "content", "location",
+                        "departments", "offices")
+    j = lambda f: F.col(f"j.{f}")
+    title = collapse_ws(j("title"))
+    dept = F.coalesce(jget(j("departments"), "$[0].name"), F.lit("N/A"))
+    content = F.coalesce(j("content"), F.lit(""))
     if infer_from_content:
-        loc = _obj_field(i, "location", "name", "Indonesia")
-        updated = jget(i, "$.updated_at")
+        loc = _obj(j("location"), "name", "Indonesia")
+        updated = j("updated_at")
         last_seen = F.when(is_falsy(updated), now).otherwise(iso_or_now(updated, now))
         setup = infer_arrangement([content])
         desc = F.concat_ws(" ", title, dept, content if content_chars is None else F.substring(content, 1, content_chars))
-        url = F.coalesce(jget(i, "$.absolute_url"), F.concat(F.lit(url_base), F.coalesce(jget(i, "$.id"), F.lit(""))))
+        url = F.coalesce(j("absolute_url"), F.concat(F.lit(url_base), F.coalesce(j("id"), F.lit(""))))
     else:
-        loc = F.coalesce(jget(i, "$.offices[0].name"), F.lit("Indonesia"))
+        loc = F.coalesce(jget(j("offices"), "$[0].name"), F.lit("Indonesia"))
         last_seen = now
         setup = F.lit("On-site")
         desc = F.concat_ws(" ", title, dept)
-        url = F.coalesce(jget(i, "$.absolute_url"), F.lit(""))
+        url = F.coalesce(j("absolute_url"), F.lit(""))
     rec = job_record(
         now, job_title=title, job_location=collapse_ws(loc), job_department=collapse_ws(dept), job_url=url,
         job_type=F.lit("Full-time"), last_seen=last_seen, company=F.lit(company), job_board=F.lit(board),
@@ -192,19 +189,19 @@ def normalise_greenhouse(payloads: DataFrame, now: Column, company: str = "Flip"
 
 def normalise_lever(payloads: DataFrame, now: Column) -> DataFrame:
     """Lever postings (top-level array); arrangement from the location text."""
-    it = explode_items(payloads, None)
-    i = F.col("item")
+    it = explode_fields(payloads, None, "text", "hostedUrl", "createdAt", "categories")
+    j = lambda f: F.col(f"j.{f}")
 
     def cat(field: str, default: str) -> Column:
-        return collapse_ws(F.coalesce(jget(i, f"$.categories.{field}"), F.lit(default)), blank_to_default=True)
-    title = collapse_ws(jget(i, "$.text"), blank_to_default=True)
+        return collapse_ws(F.coalesce(jget(j("categories"), f"$.{field}"), F.lit(default)), blank_to_default=True)
+    title = collapse_ws(j("text"), blank_to_default=True)
     loc = cat("location", "Indonesia")
     commitment = cat("commitment", "Full-time")
-    team = F.when(is_falsy(jget(i, "$.categories.team")), "N/A").otherwise(cat("team", ""))
+    team = F.when(is_falsy(jget(j("categories"), "$.team")), "N/A").otherwise(cat("team", ""))
     rec = job_record(
         now, job_title=title, job_location=loc, job_department=cat("department", "N/A"),
-        job_url=F.coalesce(jget(i, "$.hostedUrl"), F.lit("")), job_type=commitment,
-        last_seen=millis_or_now(jget(i, "$.createdAt"), now), company=F.lit("Mekari"),
+        job_url=F.coalesce(j("hostedUrl"), F.lit("")), job_type=commitment,
+        last_seen=millis_or_now(j("createdAt"), now), company=F.lit("Mekari"),
         job_board=F.lit("Mekari Careers"), work_arrangement=infer_arrangement([loc]),
         desc=F.concat_ws(" ", title, cat("department", "N/A"), commitment, team))
     return keep_order(it, rec)
@@ -234,20 +231,21 @@ def normalise_jibe(payloads: DataFrame, now: Column) -> DataFrame:
 
 def normalise_koltiva(payloads: DataFrame, now: Column) -> DataFrame:
     """Koltiva ``data.data``; title case; 'Contract' removed from the type."""
-    it = explode_items(payloads, "$.data.data")
-    i = F.col("item")
-    position = F.coalesce(jget(i, "$.position_name"), F.lit("N/A"))
-    section = F.coalesce(jget(i, "$.unitsec_name"), F.lit("N/A"))
-    benefits = F.coalesce(jget(i, "$.jobs_benefits_perks"), F.lit(""))
-    close = F.coalesce(jget(i, "$.close_date"), F.lit(""))
+    it = explode_fields(payloads, "$.data.data", "position_name", "unitsec_name", "unit_name", "country_name", "slug",
+                        "work_period_name", "level_name", "close_date", "jobs_benefits_perks")
+    j = lambda f: F.col(f"j.{f}")
+    position = F.coalesce(j("position_name"), F.lit("N/A"))
+    section = F.coalesce(j("unitsec_name"), F.lit("N/A"))
+    benefits = F.coalesce(j("jobs_benefits_perks"), F.lit(""))
+    close = F.coalesce(j("close_date"), F.lit(""))
     rec = job_record(
         now, job_title=comma_to_dash(position, title=True, blank_default="N/A"),
-        job_location=F.concat_ws(" - ", comma_to_dash(jget(i, "$.unit_name"), blank_default="N/A"),
-                                 comma_to_dash(jget(i, "$.country_name"), blank_default="N/A")),
+        job_location=F.concat_ws(" - ", comma_to_dash(j("unit_name"), blank_default="N/A"),
+                                 comma_to_dash(j("country_name"), blank_default="N/A")),
         job_department=comma_to_dash(section, blank_default="N/A"),
-        job_url=F.concat(F.lit("https://career.koltiva.com/list-job/"), F.coalesce(jget(i, "$.slug"), F.lit(""))),
-        job_type=comma_to_dash(jget(i, "$.work_period_name"), drop_word="Contract", blank_default="N/A"),
-        job_level=comma_to_dash(jget(i, "$.level_name"), blank_default="N/A"),
+        job_url=F.concat(F.lit("https://career.koltiva.com/list-job/"), F.coalesce(j("slug"), F.lit(""))),
+        job_type=comma_to_dash(j("work_period_name"), drop_word="Contract", blank_default="N/A"),
+        job_level=comma_to_dash(j("level_name"), blank_default="N/A"),
         job_apply_end_date=F.when(close.contains("T"), F.substring_index(close, "T", 1)).otherwise(close),
         last_seen=now, company=F.lit("Koltiva"), job_board=F.lit("Koltiva Careers"),
         work_arrangement=infer_arrangement([benefits], rules=[("Work-from-home", "Remote")], lower=False),

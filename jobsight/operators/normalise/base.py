@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ...functions.dates import apply_end_date, job_age
+from ...functions.dates import age_bucket, days_between, days_later, parse_text_ts
 from ...functions.text import is_falsy
 from ...schemas import COURSE_FIELDS, JOB_FIELDS
 
@@ -45,12 +45,35 @@ def explode_items(payloads: DataFrame, path: str | None, item: str = "item") ->
                            F.posexplode(F.coalesce(items, F.array().cast("array<string>"))).alias("item_pos", item))
 
 
+def item_fields(item, *fields: str) -> Column:
+    """The named members of an object's text, parsed at once into a struct of texts.
+
+    Members that are no texts stay JSON; all are null for anything but an object.
+    """
+    return F.from_json(item if isinstance(item, Column) else F.col(item), ", ".join(f"`{f}` string" for f in fields))
+
+
+def explode_fields(payloads: DataFrame, path: str | None, *fields: str) -> DataFrame:
+    """``explode_items`` with the named members of each posting as the struct ``j``.
+
+    They are parsed inside the exploded array, where no later filter can repeat the parsing.
+    """
+    arr = F.col("body") if path is None else F.get_json_object("body", path)
+    items = F.transform(F.from_json(arr, "array<string>"), lambda x: item_fields(x, *fields))
+    return payloads.select("source", "seq", "fetched_at",
+                           F.posexplode(F.coalesce(items, F.array().cast(item_type(fields)))).alias("item_pos", "j"))
+
+
+def item_type(fields) -> str:
+    return "array<struct<" + ", ".join(f"`{f}`: string" for f in fields) + ">>"
+
+
 class JobRecord:
-    """The 18 landed job fields of one source, computed in two stages.
+    """The 18 landed job fields of one source, computed in stages.
 
-    Stage one evaluates every source rule once as a column; stage two adds
-    the fields derived from ``last_seen`` (end date, job age), so a costly
-    ``last_seen`` rule is not re-evaluated inside each of them.
+    Stage one evaluates every source rule once as a column; the next parse
+    ``last_seen`` and count its days; the last adds the fields derived from them
+    (end date, job age), so that nothing is re-evaluated inside each of them.
     """
 
     def __init__(self, now: Column, fields: dict):
@@ -64,13 +87,14 @@ class JobRecord:
                        *[v.alias("_r_" + k) for k, v in raw.items()])
         last = F.col("_r_last_seen")
         now = F.col("_now")
+        s1 = s1.withColumn("_last", parse_text_ts(last)).withColumn("_days", days_between(parse_text_ts(now), F.col("_last")))
         vals = {
             "first_seen": now,
             "base_salary": F.lit("0"),
             "job_level": F.lit("N/A"),
             "is_active": F.lit("True"),
-            "job_apply_end_date": apply_end_date(last),
-            "job_age": F.when(is_falsy(now) | is_falsy(last), F.lit("unknown")).otherwise(job_age(now, last)),
+            "job_apply_end_date": days_later("_last"),
+            "job_age": F.when(is_falsy(now) | is_falsy(last), F.lit("unknown")).otherwise(age_bucket("_days")),
         }
         vals.update({k: F.col("_r_" + k) for k in raw})
         return s1.select(*prefix.keys(), *[s(vals.get(name, F.lit(None).cast("string"))).cast("string").alias(name)

@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...functions.dates import iso_or_now
-from ...functions.markup import canonical_markup, decode_references
+from ...functions.markup import canonical_markup, decode_references, let
 from ...functions.text import absolutize_url, clean_string, is_falsy, py_strip
 from ...schemas import COURSE_RECORD
 from ..pages import LD_JSON, NEXT_DATA, json_items, title_page
-from .base import course_record, emit, jget, job_record
+from .base import course_record, emit, item_fields, jget, job_record
 
 JOBSTREET = "https://id.jobstreet.com"
 
@@ -34,29 +34,35 @@ def normalise_ld_json(pages: DataFrame, now: Column, desc_chars: int | None = No
     crawler does, so that later text reaches no skill.
     """
     blocks = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(LD_JSON), 1)).alias("block_pos", "block"))
-    items = blocks.select("page_id", "block_pos", F.posexplode(json_items(F.col("block"))).alias("item_pos", "item"))
-    i = F.col("item")
-    items = items.filter((jget(i, "$['@type']") == "JobPosting") & ~is_falsy(jget(i, "$.url")))
-    loc_obj = jget(i, "$.jobLocation")
+    # parsed once, inside the exploded array, where the filter cannot repeat it
+    items = blocks.select("page_id", "block_pos", F.posexplode(F.transform(
+        json_items(F.col("block")), lambda x: item_fields(x, *LD_FIELDS))).alias("item_pos", "j"))
+    j = lambda f: F.col(f"j.`{f}`")
+    items = items.filter((j("@type") == "JobPosting") & ~is_falsy(j("url")))
+    loc_obj = j("jobLocation")
     is_list = F.coalesce(py_strip(loc_obj).startswith("["), F.lit(False))
-    location = F.when(is_list, F.coalesce(jget(i, "$.jobLocation[0].address.addressLocality"), F.lit("Indonesia"))).otherwise(
-        F.coalesce(F.nullif(jget(i, "$.jobLocation.address.addressLocality"), F.lit("")),
-                   F.nullif(jget(i, "$.jobLocation.address.addressRegion"), F.lit("")), F.lit("Indonesia")))
-    posted = jget(i, "$.datePosted")
-    desc = F.coalesce(jget(i, "$.description"), F.lit(""))
+    location = F.when(is_list, F.coalesce(jget(loc_obj, "$[0].address.addressLocality"), F.lit("Indonesia"))).otherwise(
+        F.coalesce(F.nullif(jget(loc_obj, "$.address.addressLocality"), F.lit("")),
+                   F.nullif(jget(loc_obj, "$.address.addressRegion"), F.lit("")), F.lit("Indonesia")))
+    posted = j("datePosted")
+    desc = F.coalesce(j("description"), F.lit(""))
     rec = job_record(
-        now, job_title=clean_string(F.coalesce(jget(i, "$.title"), F.lit("N/A"))),
-        job_location=clean_string(location), job_department=F.lit("N/A"), job_url=jget(i, "$.url"),
-        job_type=F.coalesce(jget(i, "$.employmentType"), F.lit("Full-time")),
+        now, job_title=clean_string(F.coalesce(j("title"), F.lit("N/A"))),
+        job_location=clean_string(location), job_department=F.lit("N/A"), job_url=j("url"),
+        job_type=F.coalesce(j("employmentType"), F.lit("Full-time")),
         last_seen=F.when(is_falsy(posted), now).otherwise(iso_or_now(posted, now)),
-        job_apply_end_date=iso_or_now(jget(i, "$.validThrough"), now),
-        company=clean_string(F.coalesce(jget(i, "$.hiringOrganization.name"), F.lit("Private Advertiser"))),
+        job_apply_end_date=iso_or_now(j("validThrough"), now),
+        company=clean_string(F.coalesce(jget(j("hiringOrganization"), "$.name"), F.lit("Private Advertiser"))),
         job_board=F.lit("Jobstreet"), job_board_url=F.lit(JOBSTREET), work_arrangement=F.lit("On-site"),
         desc=clean_string(desc if desc_chars is None else F.substring(desc, 1, desc_chars)))
     return emit(items, {"source": F.lit("jobstreet"), "seq": F.col("page_id"),
                         "block_pos": F.col("block_pos"), "item_pos": F.col("item_pos")}, rec)
 
 
+LD_FIELDS = ("@type", "url", "title", "datePosted", "validThrough", "employmentType", "description", "hiringOrganization",
+             "jobLocation")
+
+
 def normalise_next_data(pages: DataFrame, now: Column) -> DataFrame:
     """``__NEXT_DATA__`` jobs at the first non-empty of three paths."""
     nd = pages.select("page_id", F.regexp_extract("html", NEXT_DATA, 1).alias("nd")).filter(F.col("nd") != "")
@@ -66,13 +72,14 @@ def normalise_next_data(pages: DataFrame, now: Column) -> DataFrame:
     nd = nd.select("page_id", *[F.from_json(F.get_json_object("nd", p), "array<string>").alias(f"_a{k}")
                                 for k, p in enumerate(paths)])
     jobs = F.coalesce(*[F.when(F.size(f"_a{k}") > 0, F.col(f"_a{k}")) for k in range(len(paths))])
-    items = nd.select("page_id", F.posexplode(F.coalesce(jobs, F.array().cast("array<string>"))).alias("item_pos", "item"))
-    items = items.withColumn("j", F.from_json("item", NEXT_ITEM)).withColumn("_is_obj", F.col("item").startswith("{"))
+    # parsed once, inside the exploded array, where the filter cannot repeat it
+    parsed = F.transform(F.coalesce(jobs, F.array().cast("array<string>")),
+                         lambda x: F.struct(x.startswith("{").alias("is_obj"), F.from_json(x, NEXT_ITEM).alias("j")))
+    items = nd.select("page_id", F.posexplode(parsed).alias("item_pos", "x")).select("page_id", "item_pos", "x.is_obj", "x.j")
     j = lambda f: F.col(f"j.{f}")
     url = F.coalesce(F.nullif(j("jobUrl"), F.lit("")), j("url"), F.lit(""))
-    url = F.when(url.startswith("http") | (url == ""), url).otherwise(F.concat(F.lit(JOBSTREET), url))
-    items = items.withColumn("_url", url).filter(F.col("_is_obj") & (F.col("_url") != ""))
-    url = F.col("_url")
+    items = items.filter(F.col("is_obj") & (url != ""))
+    url = F.when(url.startswith("http"), url).otherwise(F.concat(F.lit(JOBSTREET), url))
     loc_raw = F.coalesce(F.nullif(j("location"), F.lit("")), F.nullif(j("locationDescription"), F.lit("")),
                          F.lit("Indonesia"))
     loc = F.when(loc_raw.startswith("{"), F.coalesce(F.nullif(jget(loc_raw, "$.label"), F.lit("")),
@@ -183,13 +190,12 @@ def _first_text(card: Column, patterns: Sequence[str]) -> Column:
     The patterns are tried together at each place, so document order decides.
     """
     every = "|".join(f"(?:{p})" for p in patterns)
-    found = F.regexp_extract(card, every, 0)
-    inner = F.coalesce(*[F.nullif(F.regexp_extract(found, p, 1), F.lit("")) for p in patterns])
-    return F.when(found != "", decode_references(inner))
+    inner = lambda found: F.coalesce(*[F.nullif(F.regexp_extract(found, p, 1), F.lit("")) for p in patterns])
+    return let(F.regexp_extract(card, every, 0), lambda found: F.when(found != "", decode_references(inner(found))))
 
 
-def cards_by_cascade(pages: DataFrame, routes: Sequence[str]) -> DataFrame:
-    """Cards of the first route that finds any on a page (selector cascade).
+def cards_by_cascade(pages: DataFrame, routes: Sequence[str], read) -> DataFrame:
+    """Cards of the first route that finds any on a page (selector cascade), as the columns that ``read`` makes of a card.
 
     A route is a regex, on canonical markup, for the start of a card element.  The page is split in
     front of every match; a card then ends at its own closing tag (see
@@ -205,8 +211,10 @@ def cards_by_cascade(pages: DataFrame, routes: Sequence[str]) -> DataFrame:
     parts = [F.slice(F.split(page, "(?=" + r + ")"), 2, 1 << 30) for r in routes]
     hits = [F.when(F.col("html").rlike(r), a) for r, a in zip(routes, parts)]
     chosen = F.coalesce(*hits, F.array().cast("array<string>"))
-    # cut to their own tag inside the array: a filter behind the explode cannot repeat that work
-    return pages.select("page_id", F.posexplode(F.transform(chosen, own_element)).alias("item_pos", "card"))
+    # cut to their own tag and read inside the array: a filter behind the explode cannot repeat that work
+    fields = lambda card: F.struct(*[v.alias(k) for k, v in read(card).items()])
+    cards = F.transform(chosen, lambda x: let(own_element(x), fields))
+    return pages.select("page_id", F.posexplode(cards).alias("item_pos", "card")).select("page_id", "item_pos", "card.*")
 
 
 #: Elements that cards are.
@@ -219,7 +227,6 @@ def own_element(markup: Column) -> Column:
     The pieces between tags of the element's name are counted up and down; the
     first piece after which the count is zero ends the element.
     """
-    pieces = F.coalesce(*[F.when(markup.rlike(f"^<{tag}[ >]"), F.split(markup, f"(?=</?{tag}[ >])")) for tag in CARD_TAGS], F.array(markup))
     step = lambda p: F.when(p.startswith("</"), -1).when(p.startswith("<"), 1).otherwise(0)
 
     def cut(pieces: Column, ended: Column) -> Column:
@@ -234,9 +241,17 @@ def own_element(markup: Column) -> Column:
                                   F.when((a["end"] == 0) & (a["open"] + step(p) == 0), a["seen"] + 1).otherwise(a["end"]).alias("end")),
             lambda a: a["end"])
 
-    # one-element arrays stand for local names, so that the pieces and their end are computed once
-    placed = F.transform(F.array(pieces), lambda x: F.struct(x.alias("pieces"), ends(x).alias("ended")))
-    return F.element_at(F.transform(placed, lambda x: cut(x["pieces"], x["ended"])), 1)
+    def counted(tag: str) -> Column:
+        return let(F.split(markup, f"(?=</?{tag}[ >])"), lambda pieces: let(ends(pieces), lambda ended: cut(pieces, ended)))
+
+    def element(tag: str) -> Column:
+        """Up to the first closing tag where no element of the name opens before it, else by counting."""
+        close = f"</{tag}>"
+        inner = F.substring_index(F.substring(markup, 2, 1 << 30), close, 1)
+        plain = F.contains(markup, F.lit(close)) & ~F.contains(inner, F.lit(f"<{tag} ")) & ~F.contains(inner, F.lit(f"<{tag}>"))
+        return F.when(plain, F.concat(F.substring_index(markup, close, 1), F.lit(close))).otherwise(counted(tag))
+
+    return F.coalesce(*[F.when(markup.startswith(f"<{tag} ") | markup.startswith(f"<{tag}>"), element(tag)) for tag in CARD_TAGS], markup)
 
 
 # Selector cascades of the two career pages, as regexes for card starts and
@@ -266,15 +281,17 @@ def _sanitize(c: Column) -> Column:
     return F.when(is_falsy(c), F.lit("N/A")).otherwise(F.regexp_replace(py_strip(c), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
+def _on_site(href: Column, base: str) -> Column:
+    """A card's href as an absolute url, empty if there is none."""
+    return let(href, lambda h: F.when(h.startswith("http"), h).when(h != "", F.concat(F.lit(base), h)).otherwise(F.lit("")))
+
+
 def normalise_vidio_cards(pages: DataFrame, now: Column, base: str = "https://www.vidio.com") -> DataFrame:
     """Vidio careers cards; no url, no title or a title of 'N/A' drops the card."""
-    cards = cards_by_cascade(pages, VIDIO_ROUTES)
-    c = F.col("card")
-    title = F.coalesce(_first_text(c, VIDIO_TITLE), _first_text(c, [ANY_TEXT]), F.lit("N/A"))
-    href = _text(c, HREF)
-    url = F.when(href.startswith("http"), href).when(href != "", F.concat(F.lit(base), href)).otherwise(F.lit(""))
-    cards = cards.withColumns({"_t": title, "_u": url, "_dept": F.coalesce(_first_text(c, VIDIO_DEPARTMENT), F.lit("N/A")),
-                               "_loc": F.coalesce(_first_text(c, VIDIO_LOCATION), F.lit("Indonesia"))})
+    cards = cards_by_cascade(pages, VIDIO_ROUTES, lambda c: {
+        "_t": F.coalesce(_first_text(c, VIDIO_TITLE), _first_text(c, [ANY_TEXT]), F.lit("N/A")),
+        "_u": _on_site(_text(c, HREF), base), "_dept": F.coalesce(_first_text(c, VIDIO_DEPARTMENT), F.lit("N/A")),
+        "_loc": F.coalesce(_first_text(c, VIDIO_LOCATION), F.lit("Indonesia"))})
     cards = cards.filter((F.col("_u") != "") & (F.col("_t") != "N/A"))
     dept = F.col("_dept")
     rec = job_record(
@@ -287,13 +304,10 @@ def normalise_vidio_cards(pages: DataFrame, now: Column, base: str = "https://ww
 
 def normalise_trakstar_cards(pages: DataFrame, now: Column, base: str = "https://mekari.hire.trakstar.com") -> DataFrame:
     """Trakstar opening cards; per-field selector fallbacks; no href drops the card."""
-    cards = cards_by_cascade(pages, TRAKSTAR_ROUTES)
-    c = F.col("card")
-    title = F.coalesce(_first_text(c, TRAKSTAR_TITLE), _first_text(c, [ANY_TEXT]), F.lit("N/A"))
-    href = _text(c, r'<a(?: [^>]*?)? href="([^"]*)"')
-    url = F.when(href.startswith("http"), href).when(href != "", F.concat(F.lit(base), href)).otherwise(F.lit(""))
-    cards = cards.withColumns({
-        "_u": url, "_t": title, "_dept": F.coalesce(_first_text(c, TRAKSTAR_DEPARTMENT), F.lit("N/A")),
+    cards = cards_by_cascade(pages, TRAKSTAR_ROUTES, lambda c: {
+        "_u": _on_site(_text(c, r'<a(?: [^>]*?)? href="([^"]*)"'), base),
+        "_t": F.coalesce(_first_text(c, TRAKSTAR_TITLE), _first_text(c, [ANY_TEXT]), F.lit("N/A")),
+        "_dept": F.coalesce(_first_text(c, TRAKSTAR_DEPARTMENT), F.lit("N/A")),
         "_type": F.coalesce(_first_text(c, TRAKSTAR_TYPE), F.lit("Full-time")),
         "_loc": F.coalesce(_first_text(c, TRAKSTAR_LOCATION), F.lit("Indonesia")),
         "_setup": F.coalesce(_first_text(c, TRAKSTAR_SETUP), F.lit("On-site"))}).filter(F.col("_u") != "")
@@ -317,11 +331,11 @@ FIRST_TEXT = r"(?s)(?:^|>)([^<]+)"
 
 
 def _automation(card: Column, name: str) -> Column:
-    return F.nullif(_text(card, r'<[a-z0-9]+[^>]* data-automation="' + name + r'"[^>]*>([^<]+)'), F.lit(""))
+    return let(_text(card, r'<[a-z0-9]+[^>]* data-automation="' + name + r'"[^>]*>([^<]+)'), lambda t: F.when(t != "", t))
 
 
 def _span_class(card: Column, name: str) -> Column:
-    return F.nullif(_text(card, r'<span[^>]* class="[^"]*' + name + r'[^"]*"[^>]*>([^<]+)'), F.lit(""))
+    return let(_text(card, r'<span[^>]* class="[^"]*' + name + r'[^"]*"[^>]*>([^<]+)'), lambda t: F.when(t != "", t))
 
 
 def normalise_search_cards(pages: DataFrame, now: Column, base: str = JOBSTREET) -> DataFrame:
@@ -331,21 +345,25 @@ def normalise_search_cards(pages: DataFrame, now: Column, base: str = JOBSTREET)
     card without one is dropped.  The title is the link's first text, else the
     first heading.  Company, location and salary come from the card.
     """
-    cards = cards_by_cascade(pages, SEARCH_ROUTES)
-    c = F.col("card")
-    cards = cards.filter(c.rlike(ANY_LINK)).withColumns({
-        "_href": F.when(c.rlike(CARD_LINK), _text(c, CARD_LINK)).otherwise(_text(c, ANY_LINK)),
-        "_inner": F.when(c.rlike(CARD_LINK), F.regexp_extract(c, CARD_LINK, 2)).otherwise(F.regexp_extract(c, ANY_LINK, 2))})
-    text = py_strip(_text(F.col("_inner"), FIRST_TEXT))
-    title = F.coalesce(F.nullif(text, F.lit("")), _first_text(c, CARD_HEADING), F.lit("N/A"))
-    url = F.substring_index(F.when(F.col("_href").startswith("http"), F.col("_href")).otherwise(F.concat(F.lit(base), F.col("_href"))), "?", 1)
+    def read(c: Column) -> dict:
+        link = let(F.regexp_extract(c, CARD_LINK, 0), lambda x: F.when(x != "", x).otherwise(F.regexp_extract(c, ANY_LINK, 0)))
+        in_link = lambda x: F.struct(
+            F.when(x != "", F.coalesce(F.nullif(_text(x, CARD_LINK), F.lit("")), _text(x, ANY_LINK))).alias("href"),
+            py_strip(_text(F.regexp_extract(x, ANY_LINK, 2), FIRST_TEXT)).alias("text"))
+        return {"link": let(link, in_link), "heading": _first_text(c, CARD_HEADING),
+                "company": F.coalesce(_automation(c, "jobCompany"), _span_class(c, "company"), F.lit("Private Advertiser")),
+                "place": F.coalesce(_automation(c, "jobLocation"), _span_class(c, "location"), F.lit("Indonesia")),
+                "pay": F.coalesce(_automation(c, "jobSalary"), F.lit("0"))}
+
+    cards = cards_by_cascade(pages, SEARCH_ROUTES, read).filter(F.col("link.href").isNotNull())
+    href = F.col("link.href")
+    title = F.coalesce(F.nullif(F.col("link.text"), F.lit("")), F.col("heading"), F.lit("N/A"))
     cards = cards.withColumns({
-        "_title": clean_string(title), "_url": url,
-        "_company": clean_string(F.coalesce(_automation(c, "jobCompany"), _span_class(c, "company"), F.lit("Private Advertiser"))),
-        "_location": clean_string(F.coalesce(_automation(c, "jobLocation"), _span_class(c, "location"), F.lit("Indonesia")))})
+        "_url": F.substring_index(F.when(href.startswith("http"), href).otherwise(F.concat(F.lit(base), href)), "?", 1),
+        "_title": clean_string(title), "_company": clean_string("company"), "_location": clean_string("place")})
     rec = job_record(
         now, job_title=F.col("_title"), job_location=F.col("_location"), job_department=F.lit("N/A"), job_url=F.col("_url"),
-        base_salary=F.coalesce(_automation(c, "jobSalary"), F.lit("0")), job_type=F.lit("Full-time"), job_apply_end_date=now,
+        base_salary=F.col("pay"), job_type=F.lit("Full-time"), job_apply_end_date=now,
         company=F.col("_company"), job_board=F.lit("Jobstreet"), job_board_url=F.lit(base), work_arrangement=F.lit("On-site"),
         job_age=F.lit("0"), desc=F.concat_ws(" ", "_title", "_company"))
     return emit(cards, {"source": F.lit("jobstreet"), "seq": F.col("page_id"), "item_pos": F.col("item_pos")}, rec)

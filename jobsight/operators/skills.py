@@ -41,7 +41,11 @@ def match_keywords(df: DataFrame, text: str, keywords: Sequence[str] = SKILL_KEY
     return df.select(*keep, F.explode(keyword_hits(text, keywords)).alias(out))
 
 
-WORD_RUN = r"(?U)\w+"
+# Word characters; the most frequent ones are told apart first.
+_WORD = r"[a-z0-9\w]"
+WORD_RUN = rf"(?U){_WORD}+"
+#: Two neighbouring words with what stands between them; the next match begins at the second word.
+WORD_PAIR = rf"(?U)(?<!{_WORD})(?=({_WORD}++[^a-z0-9\w]++{_WORD}++)){_WORD}++"
 
 
 def match_keywords_join(df: DataFrame, text: str, keywords, keep: Sequence[str] = (),
@@ -53,9 +57,10 @@ def match_keywords_join(df: DataFrame, text: str, keywords, keep: Sequence[str]
     joined on one of them, the one that the fewest texts hold (its anchor);
     a keyword with a word that no text holds is dropped.  What is shuffled are the
     distinct words of each text, whatever the lengths of the keywords, with a 128-bit hash of the text
-    in place of the row; texts come back to their candidates by that hash
-    and are checked by the regex, after a plain substring test.  One word by
-    itself needs no check.  A keyword without any word character is matched by the
+    in place of the row; texts come back to their candidates by that hash.  There one
+    word by itself needs no check, two words are looked up among the
+    text's pairs of neighbouring words, which are cut out once per text, and other
+    keywords are checked by the regex, after a plain substring test.  A keyword without any word character is matched by the
     regex projection; such keywords (strings of signs) are collected.
 
     Each (row, keyword) pair comes out once per input row.
@@ -63,26 +68,28 @@ def match_keywords_join(df: DataFrame, text: str, keywords, keep: Sequence[str]
     spark = df.sparkSession
     table = keywords if isinstance(keywords, DataFrame) else spark.createDataFrame(
         [(k,) for k in dict.fromkeys(keywords)], "skill_name string")
-    low = F.lower(F.col("_kw"))
-    kw = table.select(F.col(table.columns[0]).alias("_kw")).filter("_kw IS NOT NULL").distinct().select(
-        "_kw", low.alias("_low"), F.array_distinct(F.regexp_extract_all(low, F.lit(WORD_RUN), 0)).alias("_words"),
-        F.rlike(low, F.lit(r"(?Us)^\w+$")).alias("_exact"))
+    kw = table.select(F.col(table.columns[0]).alias("_kw")).filter("_kw IS NOT NULL").distinct().withColumn("_low", F.lower("_kw"))
+    low = F.col("_low")
+    words_of = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(WORD_RUN), F.lit(0)))
+    kind = F.when(F.rlike(low, F.lit(r"(?Us)^\w+\z")), 1).when(F.rlike(low, F.lit(r"(?Us)^\w+\W+\w+\z")), 2).otherwise(0)
+    lows = kw.select("_low").distinct().select("_low", words_of(low).alias("_words"), kind.alias("_kind"))
     t = F.col(text)
     name = [F.xxhash64(t).alias("_r1"), F.xxhash64(F.lit(1), t).alias("_r2")]
-    words = df.select(*name, F.explode(F.array_distinct(F.regexp_extract_all(t, F.lit(WORD_RUN), 0))).alias("_word"))
-    needed = kw.select("_kw", "_low", "_exact", F.size("_words").alias("_n"), F.explode("_words").alias("_word"))
+    words = df.select(*name, F.explode(words_of(t)).alias("_word"))
+    needed = lows.select("_low", "_kind", F.size("_words").alias("_n"), F.explode("_words").alias("_word"))
     held = words.join(needed.select("_word").distinct(), "_word").groupBy("_word").agg(F.count(F.lit(1)).alias("_texts"))
-    anchors = (needed.join(held, "_word").groupBy("_kw", "_low", "_exact", "_n")
+    anchors = (needed.join(held, "_word").groupBy("_low", "_kind", "_n")
                .agg(F.count(F.lit(1)).alias("_found"), F.min(F.struct("_texts", "_word")).alias("_rarest"))
-               .filter("_found = _n").select("_kw", "_low", "_exact", F.col("_rarest._word").alias("_word")))
-    candidates = (words.join(anchors, "_word").groupBy("_r1", "_r2")
-                  .agg(F.collect_set(F.struct("_kw", "_low", "_exact")).alias("_candidates")))
+               .filter("_found = _n").select("_low", "_kind", F.col("_rarest._word").alias("_word")))
     # the sets are as large as a text has words that anchor keywords
+    candidates = (words.join(anchors, "_word").groupBy("_r1", "_r2")
+                  .agg(*(F.collect_set(F.when(F.col("_kind") == k, low)).alias(f"_c{k}") for k in range(3))))
+    pairs = F.when(F.size("_c2") > 0, F.array_intersect("_c2", F.regexp_extract_all("_text", F.lit(WORD_PAIR), F.lit(1)))).otherwise(F.col("_c2"))
+    other = F.filter("_c0", lambda k: F.contains("_text", k) & F.rlike("_text", keyword_pattern(k)))
     checked = (df.select(*keep, t.alias("_text"), *name).join(candidates, ["_r1", "_r2"])
-               .select(*keep, "_text", F.explode("_candidates").alias("_c"))
-               .filter(F.col("_c._exact") | (F.contains("_text", F.col("_c._low")) & F.rlike("_text", keyword_pattern(F.col("_c._kw")))))
-               .select(*keep, F.col("_c._kw").alias(out)))
-    signs = [r["_kw"] for r in kw.filter("size(_words) = 0").select("_kw").collect()]
+               .select(*keep, F.explode(F.concat("_c1", pairs, other)).alias("_low"))
+               .join(kw, "_low").select(*keep, F.col("_kw").alias(out)))
+    signs = [r["_kw"] for r in kw.join(lows.filter("size(_words) = 0"), "_low").select("_kw").collect()]
     return checked.unionByName(match_keywords(df, text, signs, keep=keep, out=out)) if signs else checked
 
 

@@ -54,3 +54,16 @@ def test_white_space_and_markup_take_short_ways(spark):
     odd = "<SCRIPT>a<b</SCRIPT><p>x<STYLE >y</style><img src=a/b disabled><a href='q\"<'>t</A  ><div class=\"x"
     assert pages(spark, odd).select(canonical_markup("html")).first()[0] == (
         '<script></script><p>x<style></style><img src="a/b" disabled=""><a href="q&quot;&lt;">t</a><div>')
+
+
+def test_dictionary_pairs_need_no_regex_per_candidate(spark):
+    words = ["Data Lake", "data lake", "lake", "data  lake", "big data lake", "c++", "c++ data", "x\n", "a b\n", "++", "data-lake", "é ö", "lake‍x"]
+    texts = ["big data lake", "data  lake c++ x", "xdata lake", "data lakes", "data-lake é ö.", "a b\n c++data ++", "c++ data\nlake", None, "", "big data lake",
+             "lake‍x data lake data lake"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    from jobsight.operators import skills
+    want = sorted((r["id"], r["skill_name"]) for r in skills.match_keywords(docs, "t", words, keep=["id"]).collect())
+    joined = skills.match_keywords_join(docs, "t", words, keep=["id"])
+    assert sorted((r["id"], r["skill_name"]) for r in joined.collect()) == want
+    two = skills.match_keywords_join(docs, "t", ["data lake", "é ö"], keep=["id"])
+    assert (0, "data lake") in {(r["id"], r["skill_name"]) for r in two.collect()} and "array_intersect" in plan(two)

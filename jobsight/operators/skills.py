@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import SKILL_KEYWORDS
+from ..sources.snapshot import written
 from .dedup import distinct_pairs
 from .lifecycle import insert_absent
 
@@ -81,6 +82,7 @@ def match_keywords_join(df: DataFrame, text: str, keywords, keep: Sequence[str]
     anchors = (needed.join(held, "_word").groupBy("_low", "_kind", "_n")
                .agg(F.count(F.lit(1)).alias("_found"), F.min(F.struct("_texts", "_word")).alias("_rarest"))
                .filter("_found = _n").select("_low", "_kind", F.col("_rarest._word").alias("_word")))
+    anchors = written(anchors, "anchors")  # a table of known size: a small one is joined where the words lie
     # the sets are as large as a text has words that anchor keywords
     candidates = (words.join(anchors, "_word").groupBy("_r1", "_r2")
                   .agg(*(F.collect_set(F.when(F.col("_kind") == k, low)).alias(f"_c{k}") for k in range(3))))
